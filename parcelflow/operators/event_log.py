@@ -28,9 +28,13 @@ class EventLog:
     def read(self) -> DataFrame:
         return self.spark.read.schema(EVENT_LOG).parquet(self.path)
 
-    def raw_events(self) -> DataFrame:
-        """The stored events, one per (topic, partition, offset)."""
-        return self.read().filter(F.col("outcome") == "written").select(RAW_EVENTS.fieldNames())
+    def raw_events(self, blocks: bool = False) -> DataFrame:
+        """The stored events, one per (topic, partition, offset).
+
+        ``blocks`` adds their folder, ``offset_block``, for incremental loads.
+        """
+        columns = RAW_EVENTS.fieldNames() + (["offset_block"] if blocks else [])
+        return self.read().filter(F.col("outcome") == "written").select(columns)
 
     def quarantine(self) -> DataFrame:
         """Rejected messages with their reason and original bytes."""

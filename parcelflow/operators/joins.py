@@ -1,66 +1,73 @@
-"""Left joins that stay balanced when one key holds much of a side."""
+"""Left joins that stay balanced when one key holds much of the right side."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Keys that can be tracked as hot. With a share of at least 1/HOT_KEYS each there
-# cannot be more of them, so the list has at most this many rows.
-HOT_KEYS = 1000
-_TRACKED = 100_000
+# A key is hot from a share of 1/1000 of the rows on, so there are at most 1000.
+HOT_SHARE = 1000
+# The sketch misjudges a count by at most about 1/4700 of the rows.
+_TRACKED = 10_000
+_MERGE_GROUPS = 512
 
+HotKeys = list[tuple[object, int]]
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000) -> DataFrame:
-    """Keys with at least 1/1000 of the rows, and in how many ``pieces`` to cut each.
 
-    A frequent-items sketch of fixed size finds them in one pass over the key
-    column: no shuffle by key, and never more than 1000 result rows. Keys with
-    fewer than ``min_rows`` rows fit a task and are left whole.
+def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000) -> HotKeys:
+    """Keys with at least 1/1000 of the rows, and in how many pieces to cut each.
+
+    One pass over the key column with a frequent-items sketch of fixed size: no
+    shuffle by key. The sketches merge in two steps, so that no task merges one
+    per input split. At most 1000 short rows reach the driver. Keys below
+    ``min_rows`` rows fit a task and are left whole.
     """
-    top = df.filter(F.col(key).isNotNull()).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k({key}, {HOT_KEYS}, {_TRACKED})").alias("top"),
-    )
-    items = top.select("rows", F.inline("top"))
-    share = F.greatest(F.ceil(F.col("rows") / HOT_KEYS), F.lit(min_rows))
-    return items.filter(F.col("count") >= share).select(
-        F.col("item").alias(key), F.ceil(F.col("count") / share).cast("int").alias("_pieces")
+    found = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy((F.spark_partition_id() % _MERGE_GROUPS).alias("part"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.expr(f"approx_top_k_accumulate({key}, {_TRACKED})").alias("sketch"),
+        )
+        .agg(F.sum("rows").alias("rows"), F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"))
+        .filter(F.col("rows") >= min_rows)
+        .select("rows", F.expr(f"inline(approx_top_k_estimate(sketch, {HOT_SHARE}))"))
     )
+    share = F.greatest(F.ceil(F.col("rows") / HOT_SHARE), F.lit(min_rows))
+    hot = found.filter(F.col("count") >= share).select("item", F.ceil(F.col("count") / share).cast("int").alias("pieces"))
+    return [(row["item"], row["pieces"]) for row in hot.collect()]
 
 
 def left_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    left_spread: str,
     right_spread: str,
-    min_rows: int = 1_000_000,
+    hot: HotKeys = (),
 ) -> DataFrame:
-    """``left LEFT JOIN right USING (key)``, split where the right side is hot.
+    """``left LEFT JOIN right USING (key)``; the right rows of ``hot`` keys are split.
 
-    AQE splits a hot partition of the left side by itself but cannot split the
-    right side of a left join. So right rows of a hot key are dealt into pieces
-    by the hash of ``right_spread``, and each left row of that key visits all
-    pieces. A copy that finds nothing in its piece is dropped: its key exists
-    on the right, so another copy found a match. Rows with a NULL key
-    match nothing; they are dealt by ``left_spread``.
+    A hot left side needs no help: AQE cuts its partitions. It cannot cut the
+    right side of a left join, so the right rows of a hot key are dealt into
+    pieces by the hash of ``right_spread`` and each left row of that key visits
+    all pieces. A copy that finds nothing in its piece is dropped; that is exact
+    because a hot key, having been counted on the right, matches in some piece.
     """
-    # at most HOT_KEYS rows by construction, hence safe to broadcast
-    hot = F.broadcast(hot_keys(right, key, min_rows))
+    if not hot:
+        return left.join(right, key, "left")
+    schema = T.StructType([right.schema[key], T.StructField("_pieces", T.IntegerType())])
+    # at most HOT_SHARE rows (see hot_keys), hence safe to broadcast
+    pieces_of = F.broadcast(left.sparkSession.createDataFrame(list(hot), schema))
     pieces = F.col("_pieces")
-    visits = (
-        F.when(F.col(key).isNull(), F.array(F.pmod(F.xxhash64(left_spread), F.lit(HOT_KEYS)).cast("int")))
-        .when(pieces.isNotNull(), F.sequence(F.lit(0), pieces - 1))
-        .otherwise(F.array(F.lit(0)))
-    )
+    visits = F.when(pieces.isNotNull(), F.sequence(F.lit(0), pieces - 1)).otherwise(F.array(F.lit(0)))
     dealt = F.coalesce(F.pmod(F.xxhash64(right_spread), pieces).cast("int"), F.lit(0))
-    probe = left.join(hot, key, "left").withColumn("_piece", F.explode(visits))
+
+    probe = left.join(pieces_of, key, "left").withColumn("_piece", F.explode(visits))
     build = (
-        right.join(hot, key, "left")
-        .withColumn("_piece", dealt)
-        .withColumn("_found", F.lit(True))
+        right.join(pieces_of, key, "left")
+        .withColumns({"_piece": dealt, "_found": F.lit(True)})
         .drop("_pieces")
     )
     joined = probe.join(build, [key, "_piece"], "left")
-    return joined.filter(pieces.isNull() | F.col("_found")).drop("_pieces", "_piece", "_found")
+    return joined.filter(pieces.isNull() | F.col("_found").isNotNull()).drop("_pieces", "_piece", "_found")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.operators.joins import left_join
+from parcelflow.operators.joins import HotKeys, left_join
 
 
 def dim_customers(customers: DataFrame) -> DataFrame:
@@ -90,8 +90,11 @@ def _order_context(orders: DataFrame) -> DataFrame:
     )
 
 
-def fct_payments(payments: DataFrame, orders: DataFrame, min_hot_rows: int = 1_000_000) -> DataFrame:
-    """Payments with their order. An order id that occurs twice yields two rows."""
+def fct_payments(payments: DataFrame, orders: DataFrame, hot_orders: HotKeys = ()) -> DataFrame:
+    """Payments with their order. An order id that occurs twice yields two rows.
+
+    ``hot_orders`` are the order ids to split, see :func:`~parcelflow.operators.joins.hot_keys`.
+    """
     paid = payments.select(
         "payment_id",
         "order_id",
@@ -101,7 +104,7 @@ def fct_payments(payments: DataFrame, orders: DataFrame, min_hot_rows: int = 1_0
         "payment_date",
         "ingested_at",
     )
-    joined = left_join(paid, _order_context(orders), "order_id", "payment_id", "_order_event", min_hot_rows)
+    joined = left_join(paid, _order_context(orders), "order_id", "_order_event", hot_orders)
     return joined.select(
         "payment_id",
         "order_id",
@@ -116,7 +119,7 @@ def fct_payments(payments: DataFrame, orders: DataFrame, min_hot_rows: int = 1_0
     )
 
 
-def shipment_payments(shipments: DataFrame, payments: DataFrame, min_hot_rows: int = 1_000_000) -> DataFrame:
+def shipment_payments(shipments: DataFrame, payments: DataFrame, hot_payments: HotKeys = ()) -> DataFrame:
     """Shipments with the payment they name."""
     shipped = shipments.select(
         "shipment_id", "payment_id", "order_id", "customer_id", "ship_date", "ingested_at"
@@ -128,17 +131,19 @@ def shipment_payments(shipments: DataFrame, payments: DataFrame, min_hot_rows: i
         F.col("currency").alias("payment_currency"),
         F.struct("kafka_partition", "kafka_offset").alias("_payment_event"),
     )
-    return left_join(shipped, paid, "payment_id", "shipment_id", "_payment_event", min_hot_rows).drop(
-        "_payment_event"
-    )
+    return left_join(shipped, paid, "payment_id", "_payment_event", hot_payments).drop("_payment_event")
 
 
 def fct_shipments(
-    shipments: DataFrame, payments: DataFrame, orders: DataFrame, min_hot_rows: int = 1_000_000
+    shipments: DataFrame,
+    payments: DataFrame,
+    orders: DataFrame,
+    hot_payments: HotKeys = (),
+    hot_orders: HotKeys = (),
 ) -> DataFrame:
     """Shipments with their payment and, independently of it, their order."""
-    paid = shipment_payments(shipments, payments, min_hot_rows)
-    joined = left_join(paid, _order_context(orders), "order_id", "shipment_id", "_order_event", min_hot_rows)
+    paid = shipment_payments(shipments, payments, hot_payments)
+    joined = left_join(paid, _order_context(orders), "order_id", "_order_event", hot_orders)
     return joined.select(
         "shipment_id",
         "payment_id",

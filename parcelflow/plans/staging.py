@@ -22,7 +22,8 @@ def typed_events(raw_events: DataFrame, topic: str, on_error: str = "raise") ->
     """The contract columns of one topic.
 
     A malformed field stops the query (``raise``). With ``quarantine`` it
-    becomes NULL and ``failed_fields`` lists the JSON names that failed.
+    becomes NULL and ``failed_fields`` lists the JSON names that failed. An
+    ``offset_block`` column is passed on.
     """
     specs = CONTRACTS[topic]
     payload = F.col("payload")
@@ -44,6 +45,8 @@ def typed_events(raw_events: DataFrame, topic: str, on_error: str = "raise") ->
         columns.append(F.array_compact(F.array(*failures)).alias("failed_fields"))
     elif on_error != "raise":
         raise ValueError(f"on_error must be 'raise' or 'quarantine', not {on_error!r}")
+    if "offset_block" in raw_events.columns:
+        columns.append("offset_block")
     return topic_filter(raw_events, topic).select(*columns)
 
 
@@ -59,15 +62,21 @@ def stg_shipments(raw_events: DataFrame, on_error: str = "raise") -> DataFrame:
     return typed_events(raw_events, "shipments", on_error)
 
 
+# The raw dimension tables under the names the models use.
+RENAMED = {
+    "stg_products": ["product_id", "name AS product_name", "price", "category_id", "ingested_at"],
+    "stg_customers": ["customer_id", "name AS customer_name", "email", "ingested_at"],
+    "stg_categories": ["category_id", "name AS category_name", "ingested_at"],
+}
+
+
 def stg_products(raw_products: DataFrame) -> DataFrame:
-    return raw_products.select(
-        "product_id", F.col("name").alias("product_name"), "price", "category_id", "ingested_at"
-    )
+    return raw_products.selectExpr(RENAMED["stg_products"])
 
 
 def stg_customers(raw_customers: DataFrame) -> DataFrame:
-    return raw_customers.select("customer_id", F.col("name").alias("customer_name"), "email", "ingested_at")
+    return raw_customers.selectExpr(RENAMED["stg_customers"])
 
 
 def stg_categories(raw_categories: DataFrame) -> DataFrame:
-    return raw_categories.select("category_id", F.col("name").alias("category_name"), "ingested_at")
+    return raw_categories.selectExpr(RENAMED["stg_categories"])

@@ -1,0 +1,22 @@
+"""Row counts of the raw log and the facts, in one row."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def pipeline_status(
+    raw_events: DataFrame, fct_orders: DataFrame, fct_payments: DataFrame, fct_shipments: DataFrame
+) -> DataFrame:
+    return raw_events.sparkSession.sql(
+        """
+        SELECT (SELECT count(*) FROM {raw}) AS raw_events_count,
+               (SELECT count(*) FROM {orders}) AS fct_orders_count,
+               (SELECT count(*) FROM {payments}) AS fct_payments_count,
+               (SELECT count(*) FROM {shipments}) AS fct_shipments_count
+        """,
+        raw=raw_events,
+        orders=fct_orders,
+        payments=fct_payments,
+        shipments=fct_shipments,
+    )
