@@ -107,12 +107,12 @@ class IncrementalTable:
         keys = batch.select(self.key)
         repeats = stored.join(keys, self.key, "left_semi").select("offset_block").distinct()
         rewritten = [r[0] for r in repeats.collect()]  # at most the table's folders
+        affected = F.col("offset_block").isin(rewritten)
+        # append first: the rewrite removes files, and the batch may read this table
+        self._write(batch.filter(~affected), "append")
         if rewritten:
-            affected = F.col("offset_block").isin(rewritten)
             kept = stored.filter(affected).join(keys, self.key, "left_anti")
             self._write(kept.unionByName(batch.filter(affected)), "overwrite")
-            batch = batch.filter(~affected)
-        self._write(batch, "append")
         committed = self.spark.range(1).select(F.timestamp_micros(F.lit(mark)).alias("mark"))
         committed.coalesce(1).write.mode("append").parquet(self._marks)
 

@@ -19,7 +19,7 @@ from parcelflow.operators.conflicts import insert_ignore
 from parcelflow.operators.joins import HotKeys, hot_keys
 from parcelflow.operators.quality import check_not_null, check_primary_key, check_rule, require
 from parcelflow.plans import marts, staging
-from parcelflow.plans.status import pipeline_status
+from parcelflow.plans.status import warehouse_status
 from parcelflow.schemas import RAW_CATEGORIES, RAW_CUSTOMERS, RAW_EVENTS, RAW_PRODUCTS
 from parcelflow.sources.seeds import seed_categories, seed_customers, seed_products
 
@@ -178,7 +178,7 @@ class Warehouse:
         return result
 
     def status(self) -> DataFrame:
-        return pipeline_status(
+        return warehouse_status(
             self.source("raw_events"), self.ref("fct_orders"), self.ref("fct_payments"), self.ref("fct_shipments")
         )
 

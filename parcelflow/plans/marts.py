@@ -134,6 +134,11 @@ def shipment_payments(shipments: DataFrame, payments: DataFrame, hot_payments: H
     return left_join(shipped, paid, "payment_id", "_payment_event", hot_payments).drop("_payment_event")
 
 
+def shipment_orders(shipments: DataFrame, orders: DataFrame, hot_orders: HotKeys = ()) -> DataFrame:
+    """Shipments with the order they name."""
+    return left_join(shipments, _order_context(orders), "order_id", "_order_event", hot_orders)
+
+
 def fct_shipments(
     shipments: DataFrame,
     payments: DataFrame,
@@ -143,8 +148,7 @@ def fct_shipments(
 ) -> DataFrame:
     """Shipments with their payment and, independently of it, their order."""
     paid = shipment_payments(shipments, payments, hot_payments)
-    joined = left_join(paid, _order_context(orders), "order_id", "_order_event", hot_orders)
-    return joined.select(
+    return shipment_orders(paid, orders, hot_orders).select(
         "shipment_id",
         "payment_id",
         "order_id",

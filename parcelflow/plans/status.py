@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def pipeline_status(
+def warehouse_status(
     raw_events: DataFrame, fct_orders: DataFrame, fct_payments: DataFrame, fct_shipments: DataFrame
 ) -> DataFrame:
     return raw_events.sparkSession.sql(

@@ -1,0 +1,44 @@
+"""Run a query and its expected SQL, and compare the rows as multisets."""
+
+from __future__ import annotations
+
+import glob
+import math
+import os
+from collections import Counter
+
+import duckdb
+
+
+def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _cell(value):
+    if isinstance(value, float) and math.isnan(value):
+        return None
+    return value
+
+
+def _rows(columns, rows) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_cell(row[i]) for i in order) for row in rows)
+
+
+def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    """None when equal, else a short description."""
+    got_rows = [tuple(r) for r in df.collect()]
+    result = con.execute(sql)
+    names = [c[0] for c in result.description]
+    want_rows = result.fetchall()
+    if sorted(df.columns) != sorted(names):
+        return f"columns {sorted(df.columns)} != {sorted(names)}"
+    got, want = _rows(df.columns, got_rows), _rows(names, want_rows)
+    if got == want:
+        return None
+    extra, missing = list((got - want).items())[:2], list((want - got).items())[:2]
+    return f"{len(got_rows)} rows, expected {len(want_rows)}; extra {extra}; missing {missing}"
