@@ -514,7 +514,9 @@ def stream_payment_enrich(spark, sf_dir):
     """Payments of at most a day after their order; the others come out bare.
 
     A closing event on each stream, a month after the last, moves the watermark
-    past all real payments, so that the bare ones are released.
+    past all real payments, so that the bare ones are released. It needs an
+    order id (one that matches nothing): rows without a join key are dropped
+    before the watermark sees them.
     """
     log = landed(spark, sf_dir)
     closers = scratch_dir(spark, "closing")
@@ -522,11 +524,12 @@ def stream_payment_enrich(spark, sf_dir):
     last.write.parquet(closers)
     closing = spark.readStream.schema(last.schema).parquet(closers)
 
-    def closed(rows: DataFrame, time: str) -> DataFrame:
-        return rows.unionByName(closing.select(F.col("at").alias(time)), allowMissingColumns=True)
+    def closed(rows: DataFrame, time: str, order_id: int) -> DataFrame:
+        last_row = closing.select(F.col("at").alias(time), F.lit(order_id).cast("bigint").alias("order_id"))
+        return rows.unionByName(last_row, allowMissingColumns=True)
 
-    payments = closed(staging.stg_payments(log.stream()), "payment_date")
-    orders = closed(staging.stg_orders(log.stream()), "order_ts")
+    payments = closed(staging.stg_payments(log.stream()), "payment_date", -1)
+    orders = closed(staging.stg_orders(log.stream()), "order_ts", -2)
     out = scratch_dir(spark, "enriched")
     query = (
         enrich_payments(payments, orders, max_delay="1 day")
