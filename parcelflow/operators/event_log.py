@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.functions import offset_block
 from parcelflow.functions.keys import BLOCK_BITS
 from parcelflow.operators.ingest import log_rows, outcome_counts
 from parcelflow.schemas import EVENT_LOG, LOG_PARTITIONS, MESSAGE_KEY, RAW_EVENTS
 
+# Up to this many blocks a batch is written straight from the deduplicating shuffle.
+_FEW_BLOCKS = 32
+
 
 class EventLog:
     """Parquet, partitioned by outcome, topic and offset block.
@@ -63,26 +65,30 @@ class EventLog:
         """
         batch = frame.persist() if keep else frame
         try:
-            known = self._known(batch)
-            rows = log_rows(batch, known, clock, self.block_bits)
+            spans = self._spans(batch)
+            if not spans:
+                return
+            rows = log_rows(batch, self._known(spans), clock, self.block_bits)
+            blocks = sum((s["high"] >> self.block_bits) - (s["low"] >> self.block_bits) + 1 for s in spans)
+            if blocks > _FEW_BLOCKS:
+                # a backfill: every task would write a small file into every block
+                rows = rows.hint("rebalance", *LOG_PARTITIONS)
             rows.write.mode("append").partitionBy(*LOG_PARTITIONS).parquet(self.path)
         finally:
             if keep:
                 batch.unpersist()
 
-    def _known(self, batch: DataFrame) -> DataFrame | None:
-        """Stored identities that could collide with the batch.
+    def _spans(self, batch: DataFrame) -> list[Row]:
+        """Lowest and highest offset per topic: one row per subscribed topic."""
+        return batch.groupBy("topic").agg(F.min("offset").alias("low"), F.max("offset").alias("high")).collect()
+
+    def _known(self, spans: list[Row]) -> DataFrame:
+        """Stored identities that could collide with a batch.
 
         Offsets of a topic only collide within the batch's own span, so the
-        spans (one row per subscribed topic) become literal filters on the
-        partition folders and on the Parquet statistics of ``kafka_offset``.
+        spans become literal filters on the partition folders and on the Parquet
+        statistics of ``kafka_offset``.
         """
-        spans = (
-            batch.groupBy("topic").agg(F.min("offset").alias("low"), F.max("offset").alias("high")).collect()
-        )
-        stored = self.read().filter(~F.col("redelivery"))
-        if not spans:
-            return None
 
         def covers(column: str, bound) -> Column:
             tests = [
@@ -94,6 +100,7 @@ class EventLog:
         # a conjunct of its own, so that the folder test prunes
         blocks = covers("offset_block", lambda o: o >> self.block_bits)
         offsets = covers("kafka_offset", lambda o: o)
+        stored = self.read().filter(~F.col("redelivery"))
         return stored.filter(blocks & offsets).select(*MESSAGE_KEY, "outcome", "reject_id")
 
     def redrive(self, repaired: DataFrame, clock: Column | None = None) -> None:
@@ -111,6 +118,3 @@ def quarantine_as_messages(quarantine: DataFrame) -> DataFrame:
         F.col("kafka_offset").alias("offset"),
         F.col("message_ts").alias("timestamp"),
     )
-
-
-__all__ = ["EventLog", "offset_block", "quarantine_as_messages"]

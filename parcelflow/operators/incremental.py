@@ -70,40 +70,57 @@ class IncrementalTable:
 
     def load_keyed(self, source: DataFrame) -> None:
         """Insert every source row whose key the table lacks, however late it came."""
-        self.upsert(self.missing_rows(source))
+        batch = self._with_block(self.missing_rows(source))
+        self._write(batch, "append")
+        self._commit(high_water_mark(batch))
 
     def missing_rows(self, source: DataFrame) -> DataFrame:
         """Source rows whose key is not in the table.
 
         The table holds a subset of the source, both without repeats, so a block
         with equal row counts on both sides is complete. Counts per block come
-        from Parquet footers where the source has ``offset_block`` as a folder;
-        only the other blocks are opened and compared key by key.
+        from Parquet footers where the source has ``offset_block`` as a folder.
+        Blocks the table lacks are taken whole; only those it holds in
+        part are compared key by key.
         """
-        block = self._block(source)
-        have = self._stored().groupBy("offset_block").agg(F.count(F.lit(1)).alias("have"))
+        stored, block = self._stored(), self._block(source)
+        have = stored.groupBy("offset_block").agg(F.count(F.lit(1)).alias("have"))
         want = source.groupBy(block.alias("offset_block")).agg(F.count(F.lit(1)).alias("want"))
-        open_blocks = want.join(have, "offset_block", "left").filter(F.coalesce("have", F.lit(0)) != F.col("want"))
-        blocks = [r[0] for r in open_blocks.select("offset_block").take(_MAX_BLOCK_FILTER + 1)]
-        stored = self._stored()
-        if len(blocks) <= _MAX_BLOCK_FILTER:
-            source = source.filter(block.isin(blocks))
-            stored = stored.filter(F.col("offset_block").isin(blocks))
-        return source.join(stored.select(self.key), self.key, "left_anti")
+        unequal = want.join(have, "offset_block", "left").filter(F.coalesce("have", F.lit(0)) != F.col("want"))
+        blocks = unequal.select("offset_block", "have").take(_MAX_BLOCK_FILTER + 1)
+        partial = [r["offset_block"] for r in blocks if r["have"] is not None]
+        if len(blocks) > _MAX_BLOCK_FILTER:
+            if stored.isEmpty():
+                return source
+            return source.join(stored.select(self.key), self.key, "left_anti")
+        new = source.filter(block.isin([r["offset_block"] for r in blocks if r["have"] is None]))
+        if not partial:
+            return new
+        known = stored.filter(F.col("offset_block").isin(partial)).select(self.key)
+        rest = source.filter(block.isin(partial)).join(known, self.key, "left_anti")
+        return new.unionByName(rest)
 
     def upsert(self, batch: DataFrame) -> None:
         """Replace rows with the batch's keys, insert the others.
 
-        Readers of a rewritten block may see it change; a table format with
-        MERGE avoids that where its connector is available.
+        Only blocks in which a key repeats are rewritten. Readers of such a
+        block may see it change; a table format with MERGE avoids that where its
+        connector is available.
         """
-        batch = batch.select(*self._columns, self._block(batch).alias("offset_block"))
+        batch = self._with_block(batch)
         mark, low, high = batch.agg(
             F.unix_micros(F.max("ingested_at")), F.min("offset_block"), F.max("offset_block")
         ).head()
         if mark is None:
             return
         stored = self._stored().filter(F.col("offset_block").between(low, high))
+        if stored.isEmpty():
+            self._write(batch, "append")
+        else:
+            self._replace(stored, batch)
+        self._commit(mark)
+
+    def _replace(self, stored: DataFrame, batch: DataFrame) -> None:
         keys = batch.select(self.key)
         repeats = stored.join(keys, self.key, "left_semi").select("offset_block").distinct()
         rewritten = [r[0] for r in repeats.collect()]  # at most the table's folders
@@ -112,9 +129,17 @@ class IncrementalTable:
         self._write(batch.filter(~affected), "append")
         if rewritten:
             kept = stored.filter(affected).join(keys, self.key, "left_anti")
-            self._write(kept.unionByName(batch.filter(affected)), "overwrite")
-        committed = self.spark.range(1).select(F.timestamp_micros(F.lit(mark)).alias("mark"))
-        committed.coalesce(1).write.mode("append").parquet(self._marks)
+            block = kept.unionByName(batch.filter(affected))
+            # joined rows are spread by key: gather each block into few files again
+            self._write(block.hint("rebalance", "offset_block"), "overwrite")
+
+    def _commit(self, mark: int | None) -> None:
+        if mark is not None:
+            row = self.spark.range(1).coalesce(1).select(F.timestamp_micros(F.lit(mark)).alias("mark"))
+            row.write.mode("append").parquet(self._marks)
+
+    def _with_block(self, batch: DataFrame) -> DataFrame:
+        return batch.select(*self._columns, self._block(batch).alias("offset_block"))
 
     def _block(self, df: DataFrame) -> Column:
         if "offset_block" in df.columns:

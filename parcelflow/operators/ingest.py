@@ -23,7 +23,7 @@ from parcelflow.functions import (
     with_strict_json,
 )
 from parcelflow.functions.keys import BLOCK_BITS
-from parcelflow.schemas import EVENT_LOG, LOG_PARTITIONS, MESSAGE_KEY
+from parcelflow.schemas import EVENT_LOG, MESSAGE_KEY
 
 # One exchange on this identity serves the in-batch and the history check.
 # reject_id tells apart rejected messages that share an offset.
@@ -161,6 +161,3 @@ def outcome_counts(log: DataFrame) -> DataFrame:
     return log.groupBy(F.col("kafka_topic").alias("topic"), "outcome").agg(
         F.sum("copies").cast("bigint").alias("messages")
     )
-
-
-__all__ = ["LOG_PARTITIONS", "bad_messages", "classify", "log_rows", "merge_copies", "outcome_counts"]

@@ -102,13 +102,16 @@ class Warehouse:
         """
         key, primary, required = _RAW_KEYS[name]
         stored = self.source(name)
-        new = insert_ignore(rows.select(stored.columns), key, primary, stored)
-        require(f"{name}: not null", check_not_null(new, required))
-        require(f"{name}: primary key", check_primary_key(new, [primary]))
-        require(f"{name}: primary key taken", new.join(stored, primary, "left_semi"))
-        if name == "raw_products":
-            require(f"{name}: price >= 0", check_rule(new, "price >= 0"))
-        new.write.mode("append").parquet(self._raw(name))
+        new = insert_ignore(rows.select(stored.columns), key, primary, stored).persist()
+        try:
+            require(f"{name}: not null", check_not_null(new, required))
+            require(f"{name}: primary key", check_primary_key(new, [primary]))
+            require(f"{name}: primary key taken", new.join(stored, primary, "left_semi"))
+            if name == "raw_products":
+                require(f"{name}: price >= 0", check_rule(new, "price >= 0"))
+            new.write.mode("append").parquet(self._raw(name))
+        finally:
+            new.unpersist()
 
     def seed(self) -> None:
         """Insert the starter rows; those present already are left alone."""

@@ -115,7 +115,7 @@ def _hot_payments(spark, sf_dir):
 
 def _envelope(raw_events: DataFrame) -> DataFrame:
     order_id = field(F.col("payload"), "order_id").cast("bigint").alias("order_id")
-    return raw_events.select(*MESSAGE_KEY, "kafka_key", order_id, "event_ts", "ingested_at")
+    return portable(raw_events.select(*MESSAGE_KEY, "kafka_key", order_id, "event_ts", "ingested_at"))
 
 
 # --- ingest -----------------------------------------------------------------

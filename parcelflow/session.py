@@ -17,6 +17,7 @@ SEMANTICS = {
 
 # Speed only. Shredding stores the payload's frequent fields as real Parquet
 # columns, and the pushed-down variant scan then reads just the asked-for ones.
+# Stream joins keep their state in RocksDB, off the heap, and upload only changes.
 PERFORMANCE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -24,6 +25,10 @@ PERFORMANCE = {
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",
     "spark.sql.variant.pushVariantIntoScan": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
