@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions.keys import BLOCK_BITS
 from parcelflow.operators.ingest import log_rows, outcome_counts
-from parcelflow.schemas import EVENT_LOG, LOG_PARTITIONS, MESSAGE_KEY, RAW_EVENTS
+from parcelflow.schemas import EVENT_LOG, LOG_PARTITIONS, MESSAGE_KEY, RAW_EVENTS, create_if_absent
 
 # Up to this many blocks a batch is written straight from the deduplicating shuffle.
 _FEW_BLOCKS = 32
@@ -24,8 +24,7 @@ class EventLog:
 
     def __init__(self, spark: SparkSession, path: str, block_bits: int = BLOCK_BITS):
         self.spark, self.path, self.block_bits = spark, path, block_bits
-        # create if absent: "ignore" leaves an existing table alone
-        spark.createDataFrame([], EVENT_LOG).write.mode("ignore").partitionBy(*LOG_PARTITIONS).parquet(path)
+        create_if_absent(spark, path, EVENT_LOG, LOG_PARTITIONS)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(EVENT_LOG).parquet(self.path)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from parcelflow.functions import offset_block
 from parcelflow.functions.keys import BLOCK_BITS
+from parcelflow.schemas import create_if_absent
 
 # Fixed value: the mark of a table without rows.
 EMPTY_MARK = "1900-01-01"
@@ -44,8 +45,8 @@ class IncrementalTable:
         self._columns = schema.fieldNames()
         self._schema = T.StructType([*schema.fields, T.StructField("offset_block", T.LongType())])
         self._marks = f"{path}__marks"
-        spark.createDataFrame([], self._schema).write.mode("ignore").partitionBy("offset_block").parquet(path)
-        spark.createDataFrame([], "mark timestamp").write.mode("ignore").parquet(self._marks)
+        create_if_absent(spark, path, self._schema, ["offset_block"])
+        create_if_absent(spark, self._marks, "mark timestamp")
 
     def read(self) -> DataFrame:
         return self._stored().select(self._columns)

@@ -20,7 +20,7 @@ from parcelflow.operators.joins import HotKeys, hot_keys
 from parcelflow.operators.quality import check_not_null, check_primary_key, check_rule, require
 from parcelflow.plans import marts, staging
 from parcelflow.plans.status import warehouse_status
-from parcelflow.schemas import RAW_CATEGORIES, RAW_CUSTOMERS, RAW_EVENTS, RAW_PRODUCTS
+from parcelflow.schemas import RAW_CATEGORIES, RAW_CUSTOMERS, RAW_EVENTS, RAW_PRODUCTS, create_if_absent
 from parcelflow.sources.seeds import seed_categories, seed_customers, seed_products
 
 
@@ -81,7 +81,7 @@ class Warehouse:
         self._loads: dict[str, IncrementalTable] = {}
         self.log = EventLog(spark, f"{self.root}/raw/event_log", block_bits)
         for name, columns in _RAW_TABLES.items():
-            spark.createDataFrame([], columns).write.mode("ignore").parquet(self._raw(name))
+            create_if_absent(spark, self._raw(name), columns)
 
     # --- raw layer -------------------------------------------------------
 

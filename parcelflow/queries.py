@@ -31,7 +31,7 @@ from parcelflow.sources.events import emit_counts as count_emitted
 from parcelflow.sources.events import event_source
 from parcelflow.sources.logs import log_scan as scan_logs
 from parcelflow.sources.logs import render_line
-from parcelflow.sources.tables import create_if_absent
+from parcelflow.sources.tables import declare_table
 from parcelflow.streaming.chain import as_raw_events, start_payments, start_shipments
 from parcelflow.streaming.enrich import enrich_payments
 from parcelflow.streaming.ingest import stream_ingest as start_ingest
@@ -378,7 +378,7 @@ def materialize_table(spark, sf_dir):
     path, database = scratch_dir(spark, "dim_customers"), f"wh_{uuid.uuid4().hex[:8]}"
     columns = "customer_id bigint, customer_name string, email string"
     for _ in range(2):
-        create_if_absent(spark, database, "dim_customers", path, columns)
+        declare_table(spark, database, "dim_customers", path, columns)
         rebuild_table(orders, path)
         spark.catalog.refreshTable(f"{database}.dim_customers")
     return spark.table(f"{database}.dim_customers")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Topic names, and the number of partitions each topic has.
@@ -100,3 +102,13 @@ CONTRACTS: dict[str, tuple[Field, ...]] = {
         Field("ship_date", "ship_date", "timestamp"),
     ),
 }
+
+
+def create_if_absent(spark: SparkSession, path: str, schema: T.StructType | str, partitions: list[str] | None = None) -> None:
+    """An empty Parquet table at ``path``; no-op when there is one."""
+    empty_rows(spark, schema).write.mode("ignore").partitionBy(*(partitions or [])).parquet(path)
+
+
+def empty_rows(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])

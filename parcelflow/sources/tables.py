@@ -31,7 +31,7 @@ def jdbc_source(
     )
 
 
-def create_if_absent(spark: SparkSession, database: str, name: str, path: str, columns: str) -> None:
+def declare_table(spark: SparkSession, database: str, name: str, path: str, columns: str) -> None:
     """Declare a database and an external Parquet table; no-op for what exists."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet LOCATION '{path}'")
