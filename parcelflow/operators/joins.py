@@ -30,6 +30,7 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000) -> HotKeys:
             F.count(F.lit(1)).alias("rows"),
             F.expr(f"approx_top_k_accumulate({key}, {_TRACKED})").alias("sketch"),
         )
+        .groupBy(F.lit(0).alias("all"))  # no group, hence no sketch to combine, for no rows
         .agg(F.sum("rows").alias("rows"), F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"))
         .filter(F.col("rows") >= min_rows)
         .select("rows", F.expr(f"inline(approx_top_k_estimate(sketch, {HOT_SHARE}))"))

@@ -159,11 +159,13 @@ class Warehouse:
         self._forget_hot_keys()
         order = TopologicalSorter({name: model.needs for name, model in MODELS.items()})
         order.prepare()
+        # job groups and tags of the caller hold for the jobs started below
+        materialize = inheritable_thread_target(self.spark)(self.materialize)
         running = {}
         with ThreadPoolExecutor(threads) as pool:
             while order.is_active():
                 for name in order.get_ready():
-                    running[pool.submit(inheritable_thread_target(self.materialize), name, mode)] = name
+                    running[pool.submit(materialize, name, mode)] = name
                 for job in wait(running, return_when=FIRST_COMPLETED).done:
                     job.result()
                     order.done(running.pop(job))
