@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,8 +72,10 @@ class IncrementalTable:
     def load_keyed(self, source: DataFrame) -> None:
         """Insert every source row whose key the table lacks, however late it came."""
         batch = self._with_block(self.missing_rows(source))
-        self._write(batch, "append")
-        self._commit(high_water_mark(batch))
+        # taken while writing; a task that runs twice cannot change a maximum
+        seen = Observation()
+        self._write(batch.observe(seen, F.unix_micros(F.max("ingested_at")).alias("mark")), "append")
+        self._commit(seen.get["mark"])
 
     def missing_rows(self, source: DataFrame) -> DataFrame:
         """Source rows whose key is not in the table.
@@ -85,14 +87,14 @@ class IncrementalTable:
         part are compared key by key.
         """
         stored, block = self._stored(), self._block(source)
+        if stored.isEmpty():
+            return source
         have = stored.groupBy("offset_block").agg(F.count(F.lit(1)).alias("have"))
         want = source.groupBy(block.alias("offset_block")).agg(F.count(F.lit(1)).alias("want"))
         unequal = want.join(have, "offset_block", "left").filter(F.coalesce("have", F.lit(0)) != F.col("want"))
         blocks = unequal.select("offset_block", "have").take(_MAX_BLOCK_FILTER + 1)
         partial = [r["offset_block"] for r in blocks if r["have"] is not None]
         if len(blocks) > _MAX_BLOCK_FILTER:
-            if stored.isEmpty():
-                return source
             return source.join(stored.select(self.key), self.key, "left_anti")
         new = source.filter(block.isin([r["offset_block"] for r in blocks if r["have"] is None]))
         if not partial:

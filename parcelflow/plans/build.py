@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
-from functools import cached_property
 from graphlib import TopologicalSorter
 
 from pyspark import inheritable_thread_target
@@ -34,9 +33,9 @@ class Model:
 
 
 MODELS: dict[str, Model] = {
-    "stg_orders": Model("incremental", (), lambda w: staging.stg_orders(w.events())),
-    "stg_payments": Model("incremental", (), lambda w: staging.stg_payments(w.events())),
-    "stg_shipments": Model("incremental", (), lambda w: staging.stg_shipments(w.events())),
+    "stg_orders": Model("incremental", (), lambda w: w.staged("orders")),
+    "stg_payments": Model("incremental", (), lambda w: w.staged("payments")),
+    "stg_shipments": Model("incremental", (), lambda w: w.staged("shipments")),
     "stg_products": Model("view", (), lambda w: staging.stg_products(w.source("raw_products"))),
     "stg_customers": Model("view", (), lambda w: staging.stg_customers(w.source("raw_customers"))),
     "stg_categories": Model("view", (), lambda w: staging.stg_categories(w.source("raw_categories"))),
@@ -53,17 +52,22 @@ MODELS: dict[str, Model] = {
     "fct_payments": Model(
         "table",
         ("stg_payments", "fct_orders"),
-        lambda w: marts.fct_payments(w.ref("stg_payments"), w.ref("fct_orders"), w.hot_orders),
+        lambda w: marts.fct_payments(w.ref("stg_payments"), w.ref("fct_orders"), w.hot("hot_orders")),
     ),
     "fct_shipments": Model(
         "table",
         ("stg_shipments", "stg_payments", "fct_orders"),
         lambda w: marts.fct_shipments(
-            w.ref("stg_shipments"), w.ref("stg_payments"), w.ref("fct_orders"), w.hot_payments, w.hot_orders
+            w.ref("stg_shipments"), w.ref("stg_payments"), w.ref("fct_orders"), w.hot("hot_payments"), w.hot("hot_orders")
         ),
     ),
 }
 
+# Hot-key lists: the model whose key column is measured. Every staged order is in
+# fct_orders, so its keys are the keys there.
+_HOT = {"hot_orders": ("stg_orders", "order_id"), "hot_payments": ("stg_payments", "payment_id")}
+_SPLITS = {"fct_payments": ("hot_orders",), "fct_shipments": ("hot_orders", "hot_payments")}
+
 _RAW_TABLES = {"raw_categories": RAW_CATEGORIES, "raw_products": RAW_PRODUCTS, "raw_customers": RAW_CUSTOMERS}
 # Conflict key, primary key and required columns of each raw table
 _RAW_KEYS = {
@@ -74,11 +78,20 @@ _RAW_KEYS = {
 
 
 class Warehouse:
-    """Raw tables and models below one folder that all executors can reach."""
+    """Raw tables and models below one folder that all executors can reach.
+
+    A stored event with a malformed field stops the build (``on_error="raise"``), or
+    is left out of its staging table and listed by :meth:`failed`
+    (``on_error="quarantine"``).
+    """
 
-    def __init__(self, spark: SparkSession, root: str, block_bits: int = BLOCK_BITS):
+    def __init__(
+        self, spark: SparkSession, root: str, block_bits: int = BLOCK_BITS, on_error: str = "raise"
+    ):
         self.spark, self.root, self.block_bits = spark, root.rstrip("/"), block_bits
+        self.on_error = on_error
         self._loads: dict[str, IncrementalTable] = {}
+        self._hot: dict[str, HotKeys] = {}
         self.log = EventLog(spark, f"{self.root}/raw/event_log", block_bits)
         for name, columns in _RAW_TABLES.items():
             create_if_absent(spark, self._raw(name), columns)
@@ -91,9 +104,14 @@ class Warehouse:
             return self.log.raw_events()
         return self.spark.read.schema(_RAW_TABLES[name]).parquet(self._raw(name))
 
-    def events(self) -> DataFrame:
-        """Raw events with the folder column that incremental loads prune on."""
-        return self.log.raw_events(blocks=True)
+    def staged(self, topic: str) -> DataFrame:
+        """Typed events of a topic, with the folder column that loads prune on."""
+        events = staging.typed_events(self.log.raw_events(blocks=True), topic, self.on_error)
+        return staging.split_failed(events)[0] if self.on_error == "quarantine" else events
+
+    def failed(self, topic: str) -> DataFrame:
+        """Stored events of a topic with malformed fields, named in ``failed_fields``."""
+        return staging.split_failed(staging.typed_events(self.log.raw_events(), topic, "quarantine"))[1]
 
     def insert(self, name: str, rows: DataFrame) -> None:
         """Insert rows into a raw dimension table unless their name or email is taken.
@@ -156,16 +174,24 @@ class Warehouse:
 
         Models that do not depend on each other run as parallel Spark jobs.
         """
-        self._forget_hot_keys()
         order = TopologicalSorter({name: model.needs for name, model in MODELS.items()})
+        for facts, needs in _SPLITS.items():
+            order.add(facts, *needs)
+        for keys, (model, _) in _HOT.items():
+            order.add(keys, model)
         order.prepare()
+        self._hot.clear()
+
+        def step(name: str) -> None:
+            self.hot(name) if name in _HOT else self.materialize(name, mode)
+
         # job groups and tags of the caller hold for the jobs started below
-        materialize = inheritable_thread_target(self.spark)(self.materialize)
+        step = inheritable_thread_target(self.spark)(step)
         running = {}
         with ThreadPoolExecutor(threads) as pool:
             while order.is_active():
                 for name in order.get_ready():
-                    running[pool.submit(materialize, name, mode)] = name
+                    running[pool.submit(step, name)] = name
                 for job in wait(running, return_when=FIRST_COMPLETED).done:
                     job.result()
                     order.done(running.pop(job))
@@ -208,17 +234,12 @@ class Warehouse:
             else:
                 view(f"{wh}.{name}", self.ref(name).columns, f"parquet.`{self._table(name)}`")
 
-    @cached_property
-    def hot_orders(self) -> HotKeys:
-        return hot_keys(self.ref("fct_orders"), "order_id")
-
-    @cached_property
-    def hot_payments(self) -> HotKeys:
-        return hot_keys(self.ref("stg_payments"), "payment_id")
-
-    def _forget_hot_keys(self) -> None:
-        for name in ("hot_orders", "hot_payments"):
-            self.__dict__.pop(name, None)
+    def hot(self, name: str) -> HotKeys:
+        """Join keys to split, measured once per build on the narrow staging table."""
+        if name not in self._hot:
+            model, key = _HOT[name]
+            self._hot[name] = hot_keys(self.ref(model), key)
+        return self._hot[name]
 
     def _table(self, name: str) -> str:
         return f"{self.root}/wh/{name}"

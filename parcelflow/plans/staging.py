@@ -50,6 +50,12 @@ def typed_events(raw_events: DataFrame, topic: str, on_error: str = "raise") ->
     return topic_filter(raw_events, topic).select(*columns)
 
 
+def split_failed(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows staged with ``on_error="quarantine"``: the sound ones, and the failed ones."""
+    sound = F.size("failed_fields") == 0
+    return staged.filter(sound).drop("failed_fields"), staged.filter(~sound)
+
+
 def stg_orders(raw_events: DataFrame, on_error: str = "raise") -> DataFrame:
     return typed_events(raw_events, "orders", on_error)
 

@@ -70,8 +70,16 @@ def event_sink(messages: DataFrame, checkpoint: str, servers: str | None = None,
     return writer.format("parquet").outputMode("append").start(path)
 
 
-def write_events(messages: DataFrame, servers: str | None = None, path: str | None = None) -> None:
-    """The batch form of :func:`event_sink`."""
+def write_events(
+    messages: DataFrame, servers: str | None = None, path: str | None = None, by_key: bool = False
+) -> None:
+    """The batch form of :func:`event_sink`.
+
+    ``by_key`` puts the messages of one key into one file, as a broker puts
+    them into one partition; it costs a shuffle.
+    """
+    if by_key and path is not None:
+        messages = messages.repartition("key")
     if servers is not None:
         messages.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
     elif path is not None:

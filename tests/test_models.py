@@ -86,6 +86,19 @@ def test_new_events_are_picked_up_and_heal_the_facts(spark, folder):
     assert (row["product_name"], row["category_name"], row["revenue"]) == ("Headphones", "Electronics", Decimal(20))
 
 
+def test_a_malformed_field_stops_the_build_or_is_set_aside(spark, folder):
+    messages = frame(spark, message('{"order_id":"x"}'), message('{"order_id":5,"unit_price":1}', offset=1))
+    strict = Warehouse(spark, folder)
+    strict.log.append(messages)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        strict.build()
+    lenient = Warehouse(spark, folder, on_error="quarantine")
+    for _ in range(2):
+        lenient.build()
+        assert [r["order_id"] for r in lenient.ref("fct_orders").collect()] == [5]
+    assert [(r["event_id"], r["failed_fields"]) for r in lenient.failed("orders").collect()] == [("orders-0-0", ["order_id"])]
+
+
 def test_missing_and_null_dimension_keys_keep_the_row(spark):
     orders = spark.sql(
         "SELECT 1L order_id, timestamp '2024-01-01' order_ts, 'EUR' currency, customer_id, product_id, 1 quantity, "
