@@ -8,11 +8,17 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.functions.keys import BLOCK_BITS
-from parcelflow.operators.ingest import log_rows, outcome_counts
+from parcelflow.operators.ingest import fresh_rows, log_rows, outcome_counts
 from parcelflow.schemas import EVENT_LOG, LOG_PARTITIONS, MESSAGE_KEY, RAW_EVENTS, create_if_absent
 
-# Up to this many blocks a batch is written straight from the deduplicating shuffle.
-_FEW_BLOCKS = 32
+# A message's place, by the columns of the Kafka source.
+_POSITION = ["topic", "partition", "offset"]
+# Up to this many messages one shuffle costs less than a pass to avoid it.
+_SMALL_BATCH = 1_000_000
+# Repeated positions are broadcast up to this number (some 100 MB).
+_BROADCAST_POSITIONS = 1_000_000
+# A task may write into this many blocks; beyond it rows are gathered by block first.
+_FILES_PER_TASK = 32
 
 
 class EventLog:
@@ -59,27 +65,86 @@ class EventLog:
     def append(self, frame: DataFrame, clock: Column | None = None, keep: bool = False) -> None:
         """Add a batch. Running the same batch again stores no event twice.
 
-        The batch is read twice, once for its offset spans alone. ``keep``
-        holds it on local disk meanwhile, for sources that are slow to reread.
+        A small batch is merged in one shuffle. For a large one, a pass over the
+        positions alone finds the repeated messages first; all others are parsed
+        and written where they lie, so their payloads are never shuffled.
+        ``keep`` holds the batch on local disk between the passes, for sources
+        that are slow to reread.
         """
         batch = frame.persist() if keep else frame
         try:
             spans = self._spans(batch)
             if not spans:
                 return
-            rows = log_rows(batch, self._known(spans), clock, self.block_bits)
+            known = self._known(spans)
             blocks = sum((s["high"] >> self.block_bits) - (s["low"] >> self.block_bits) + 1 for s in spans)
-            if blocks > _FEW_BLOCKS:
-                # a backfill: every task would write a small file into every block
-                rows = rows.hint("rebalance", *LOG_PARTITIONS)
-            rows.write.mode("append").partitionBy(*LOG_PARTITIONS).parquet(self.path)
+            if sum(s["rows"] for s in spans) <= _SMALL_BATCH:
+                self._write(log_rows(batch, known, clock, self.block_bits), blocks)
+            else:
+                self._append_large(batch, spans, blocks, known, clock)
         finally:
             if keep:
                 batch.unpersist()
 
+    def _append_large(
+        self, batch: DataFrame, spans: list[Row], blocks: int, known: DataFrame, clock: Column | None
+    ) -> None:
+        if known.isEmpty():
+            known = None
+        repeated = self._repeated(batch, known).persist()
+        try:
+            positions = repeated.count()
+            if positions > _BROADCAST_POSITIONS:
+                self._write(log_rows(batch, known, clock, self.block_bits), blocks)
+                return
+            listed = F.broadcast(repeated)  # counted just above
+            fresh = batch.join(listed, _POSITION, "left_anti") if positions else batch
+            rows = fresh_rows(fresh, clock, self.block_bits)
+            if positions:
+                again = batch.join(listed, _POSITION, "left_semi")
+                rows = rows.unionAll(log_rows(again, known, clock, self.block_bits))
+            self._write(rows, sum(s["files"] for s in spans) / max(s["tasks"] for s in spans))
+        finally:
+            repeated.unpersist()
+
+    def _write(self, rows: DataFrame, files_per_task: float) -> None:
+        if files_per_task > _FILES_PER_TASK:
+            # gather blocks first: else every task would leave a small file in each
+            rows = rows.hint("rebalance", *LOG_PARTITIONS)
+        rows.write.mode("append").partitionBy(*LOG_PARTITIONS).parquet(self.path)
+
     def _spans(self, batch: DataFrame) -> list[Row]:
-        """Lowest and highest offset per topic: one row per subscribed topic."""
-        return batch.groupBy("topic").agg(F.min("offset").alias("low"), F.max("offset").alias("high")).collect()
+        """Offsets covered per topic, and how they lie in the input: one row per topic.
+
+        ``files`` is the number of blocks its tasks would write to, in all.
+        """
+        bits = self.block_bits
+        return (
+            batch.groupBy("topic", F.spark_partition_id().alias("task"))
+            .agg(F.min("offset").alias("low"), F.max("offset").alias("high"), F.count(F.lit(1)).alias("rows"))
+            .groupBy("topic")
+            .agg(
+                F.sum("rows").alias("rows"),
+                F.min("low").alias("low"),
+                F.max("high").alias("high"),
+                F.sum(F.shiftright("high", bits) - F.shiftright("low", bits) + 1).alias("files"),
+                F.count(F.lit(1)).alias("tasks"),
+            )
+            .collect()
+        )
+
+    def _repeated(self, batch: DataFrame, known: DataFrame | None) -> DataFrame:
+        """Positions that occur twice in the batch, or in the batch and the log.
+
+        Only positions are shuffled, combined map-side: a message delivered very
+        often is no hot spot.
+        """
+        positions = batch.groupBy(*_POSITION).agg(F.count(F.lit(1)).alias("copies"))
+        often = positions.filter(F.col("copies") > 1).select(*_POSITION)
+        if known is None:
+            return often
+        stored = known.select(*[F.col(k).alias(p) for k, p in zip(MESSAGE_KEY, _POSITION, strict=True)])
+        return often.unionAll(positions.join(stored, _POSITION, "left_semi").select(*_POSITION)).distinct()
 
     def _known(self, spans: list[Row]) -> DataFrame:
         """Stored identities that could collide with a batch.

@@ -105,13 +105,22 @@ def merge_copies(classified: DataFrame) -> DataFrame:
     )
 
 
+def fresh_rows(frame: DataFrame, clock: Column | None = None, block_bits: int = BLOCK_BITS) -> DataFrame:
+    """Event-log rows of messages known to be delivered for the first time.
+
+    A projection: payloads are neither shuffled nor sorted.
+    """
+    once = {"copies": F.lit(1).cast("bigint"), "redelivery": F.lit(False)}
+    return _as_log(classify(frame).withColumns(once), clock, block_bits)
+
+
 def log_rows(
     frame: DataFrame,
     known: DataFrame | None = None,
     clock: Column | None = None,
     block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
-    """The rows a batch adds to the event log.
+    """The event-log rows of messages that may repeat each other or stored ones.
 
     ``known`` holds the identities already stored (see ``EventLog``). A stored
     message costs one row with its payload; repeats cost one narrow row, so
@@ -139,21 +148,17 @@ def log_rows(
         repeats > 0,
         entry(F.when(accepted, "duplicate").otherwise(F.col("outcome")), repeats, True),
     )
+    entries = merged.withColumn("_entry", F.explode(F.array_compact(F.array(first, again))))
+    body = ["payload", "raw_key", "raw_value"]
+    stored = {c: F.when(~F.col("_entry.redelivery"), F.col(c)) for c in body}
+    counted = {c: F.col(f"_entry.{c}") for c in ("outcome", "copies", "redelivery")}
+    return _as_log(entries.withColumns({**stored, **counted}), clock, block_bits)
+
+
+def _as_log(rows: DataFrame, clock: Column | None, block_bits: int) -> DataFrame:
     now = F.current_timestamp() if clock is None else clock
-    rows = merged.withColumn("_entry", F.explode(F.array_compact(F.array(first, again))))
-    stored = ~F.col("_entry.redelivery")
-    computed = {
-        "outcome": F.col("_entry.outcome"),
-        "copies": F.col("_entry.copies"),
-        "redelivery": F.col("_entry.redelivery"),
-        "payload": F.when(stored, F.col("payload")),
-        "raw_key": F.when(stored, F.col("raw_key")),
-        "raw_value": F.when(stored, F.col("raw_value")),
-        "event_ts": now,
-        "ingested_at": now,
-        "offset_block": offset_block(F.col("kafka_offset"), block_bits),
-    }
-    return rows.select(*[computed.get(f.name, F.col(f.name)).alias(f.name) for f in EVENT_LOG.fields])
+    stamps = {"event_ts": now, "ingested_at": now, "offset_block": offset_block(F.col("kafka_offset"), block_bits)}
+    return rows.withColumns(stamps).select(EVENT_LOG.fieldNames())
 
 
 def outcome_counts(log: DataFrame) -> DataFrame:

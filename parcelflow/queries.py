@@ -28,7 +28,7 @@ from parcelflow.session import configure, scratch_dir
 from parcelflow.sources import order_tables as source
 from parcelflow.sources import seeds
 from parcelflow.sources.events import emit_counts as count_emitted
-from parcelflow.sources.events import event_source
+from parcelflow.sources.events import event_source, write_events
 from parcelflow.sources.logs import log_scan as scan_logs
 from parcelflow.sources.logs import render_line
 from parcelflow.sources.tables import declare_table
@@ -52,13 +52,28 @@ def portable(df: DataFrame) -> DataFrame:
 
 # --- stored input -----------------------------------------------------------
 
+_files: dict[tuple[str, str], str] = {}
 _landed: dict[tuple[str, str], EventLog] = {}
 
 
+def message_files(spark: SparkSession, sf_dir: str) -> str:
+    """All messages of the tables as files in the Kafka shape, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _files:
+        path = scratch_dir(spark, "messages")
+        write_events(source.kafka_frame(spark, sf_dir), path=path)
+        _files[key] = path
+    return _files[key]
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_source(spark, path=message_files(spark, sf_dir), streaming=False)
+
+
 def new_log(spark: SparkSession, sf_dir: str, purpose: str) -> EventLog:
-    """A fresh log holding all messages of the tables, stamped with message time."""
+    """A fresh log that has ingested all messages, stamped with message time."""
     log = EventLog(spark, scratch_dir(spark, purpose))
-    log.append(source.kafka_frame(spark, sf_dir), F.col("message_ts"))
+    log.append(messages(spark, sf_dir), F.col("message_ts"))
     return log
 
 
@@ -128,7 +143,7 @@ def ingest_raw_events(spark, sf_dir):
 def ingest_dedup(spark, sf_dir):
     """All messages delivered again in a second batch; each is stored once."""
     log = new_log(spark, sf_dir, "dedup")
-    log.append(source.kafka_frame(spark, sf_dir), F.col("message_ts"))
+    log.append(messages(spark, sf_dir), F.col("message_ts"))
     received = log.read().filter(F.col("outcome").isin("written", "duplicate"))
     return received.groupBy(*MESSAGE_KEY).agg(
         F.count(F.when(F.col("outcome") == "written", 1)).alias("stored"),
@@ -141,15 +156,15 @@ def ingest_outcomes(spark, sf_dir):
 
 
 def bad_messages(spark, sf_dir):
-    return find_bad_messages(source.kafka_frame(spark, sf_dir)).select(*MESSAGE_KEY, "reason")
+    return find_bad_messages(messages(spark, sf_dir)).select(*MESSAGE_KEY, "reason")
 
 
 def dead_letter_redrive(spark, sf_dir):
     """Rejected for their key, repaired from the payload, and offered again."""
     log = new_log(spark, sf_dir, "redrive")
     rejected = log.quarantine().filter(F.col("reason") == "key is not utf-8")
-    messages = quarantine_as_messages(rejected)
-    parsed = with_strict_json(messages.withColumn("_text", F.col("value").cast("string")), "_text", "_json")
+    offered = quarantine_as_messages(rejected)
+    parsed = with_strict_json(offered.withColumn("_text", F.col("value").cast("string")), "_text", "_json")
     repaired = parsed.withColumn("key", F.encode(field(F.col("_json"), "order_id"), "UTF-8"))
     log.redrive(repaired.select(KAFKA_SCHEMA.fieldNames()), F.col("message_ts"))
     return _envelope(log.raw_events())
@@ -212,18 +227,18 @@ def revenue(spark, sf_dir):
 
 def encode_events(spark, sf_dir):
     """Orders encoded as messages and read back."""
-    messages = chain.order_messages(_orders(spark, sf_dir))
+    encoded = chain.order_messages(_orders(spark, sf_dir))
     columns = ["event_id", "kafka_key", "order_id", "quantity", "unit_price", "currency", "order_ts"]
-    return portable(staging.stg_orders(as_raw_events(messages)).select(columns))
+    return portable(staging.stg_orders(as_raw_events(encoded)).select(columns))
 
 
 def emit_counts(spark, sf_dir):
-    messages = (
+    encoded = (
         chain.order_messages(_orders(spark, sf_dir))
         .unionByName(chain.payment_messages(_payments(spark, sf_dir)))
         .unionByName(chain.shipment_messages(_shipments(spark, sf_dir)))
     )
-    return count_emitted(messages)
+    return count_emitted(encoded)
 
 
 def derive_payments(spark, sf_dir):
@@ -387,7 +402,7 @@ def materialize_table(spark, sf_dir):
 def new_warehouse(spark, sf_dir) -> Warehouse:
     """A fresh warehouse whose raw layer holds all events and dimension rows."""
     warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"))
-    warehouse.log.append(source.kafka_frame(spark, sf_dir), F.col("message_ts"))
+    warehouse.log.append(messages(spark, sf_dir), F.col("message_ts"))
     warehouse.insert("raw_categories", source.raw_categories(spark, sf_dir))
     warehouse.insert("raw_products", source.raw_products(spark, sf_dir))
     warehouse.insert("raw_customers", source.raw_customers(spark, sf_dir))
@@ -480,21 +495,13 @@ def _finish(query) -> None:
     query.awaitTermination()
 
 
-def _message_files(spark, sf_dir) -> str:
-    """All messages as files, repeats apart from their originals."""
-    path = scratch_dir(spark, "messages")
-    cores = spark.sparkContext.defaultParallelism
-    source.kafka_frame(spark, sf_dir).repartition(cores).write.parquet(path)
-    return path
-
-
 def stream_ingest(spark, sf_dir):
     """The message files in several micro-batches into a log."""
     files = str(max(1, spark.sparkContext.defaultParallelism // 2))
-    messages = event_source(spark, TOPICS, path=_message_files(spark, sf_dir), maxFilesPerTrigger=files)
+    stream = event_source(spark, TOPICS, path=message_files(spark, sf_dir), maxFilesPerTrigger=files)
     log = EventLog(spark, scratch_dir(spark, "stream-log"))
     checkpoint = scratch_dir(spark, "stream-checkpoint")
-    _finish(start_ingest(messages, log, checkpoint, F.col("message_ts"), availableNow=True))
+    _finish(start_ingest(stream, log, checkpoint, F.col("message_ts"), availableNow=True))
     return _envelope(log.raw_events())
 
 
@@ -505,9 +512,9 @@ def stream_chain(spark, sf_dir):
     _finish(start_payments(orders, scratch_dir(spark, "cp-payments"), path=paid, availableNow=True))
     payments = event_source(spark, ("payments",), path=paid)
     _finish(start_shipments(payments, scratch_dir(spark, "cp-shipments"), path=shipped, availableNow=True))
-    messages = event_source(spark, ("shipments",), path=shipped, streaming=False)
+    derived = event_source(spark, ("shipments",), path=shipped, streaming=False)
     columns = ["shipment_id", "payment_id", "order_id", "customer_id", "ship_date"]
-    return portable(staging.stg_shipments(as_raw_events(messages)).select(columns))
+    return portable(staging.stg_shipments(as_raw_events(derived)).select(columns))
 
 
 def stream_payment_enrich(spark, sf_dir):

@@ -5,12 +5,22 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from parcelflow.operators import event_log
 from parcelflow.operators.event_log import EventLog, quarantine_as_messages
 from parcelflow.schemas import KAFKA_SCHEMA, MESSAGE_KEY
 from parcelflow.sources.order_tables import kafka_frame
 from tests.helpers import frame, message
 
 
+@pytest.fixture(params=["small batch", "large batch", "large batch, many repeats"])
+def way(request, monkeypatch):
+    """However a batch is appended, the result is the same."""
+    if request.param != "small batch":
+        monkeypatch.setattr(event_log, "_SMALL_BATCH", 0)
+    if request.param.endswith("repeats"):
+        monkeypatch.setattr(event_log, "_BROADCAST_POSITIONS", 0)
+
+
 def counts(log):
     return {(r["topic"], r["outcome"]): r["messages"] for r in log.outcomes().collect()}
 
@@ -19,7 +29,7 @@ def keys(log):
     return sorted(tuple(r) for r in log.raw_events().select(*MESSAGE_KEY).collect())
 
 
-def test_repeats_are_counted_and_stored_once(spark, folder):
+def test_repeats_are_counted_and_stored_once(spark, folder, way):
     log = EventLog(spark, folder)
     first = [message("1", offset=5), message("1", offset=5), message("1", offset=6)]
     log.append(frame(spark, *first))
@@ -36,7 +46,7 @@ def test_same_offset_elsewhere_is_no_repeat(spark, folder):
     assert not any(outcome == "duplicate" for _, outcome in counts(log))
 
 
-def test_first_delivery_wins(spark, folder):
+def test_first_delivery_wins(spark, folder, way):
     log = EventLog(spark, folder)
     log.append(frame(spark, message('"late"', minutes=2), message('"early"', minutes=1)))
     log.append(frame(spark, message('"other"', minutes=0)))
@@ -51,7 +61,7 @@ def test_a_bad_copy_does_not_take_the_offset(spark, folder):
     assert counts(log) == {("orders", "bad"): 1, ("orders", "written"): 1}
 
 
-def test_redelivered_bad_messages_count_again_but_are_kept_once(spark, folder):
+def test_redelivered_bad_messages_count_again_but_are_kept_once(spark, folder, way):
     log = EventLog(spark, folder)
     for _ in range(2):
         log.append(frame(spark, message("{"), message("{"), message("[", offset=0)))
@@ -59,9 +69,8 @@ def test_redelivered_bad_messages_count_again_but_are_kept_once(spark, folder):
     assert sorted(bytes(r["raw_value"]) for r in log.quarantine().collect()) == [b"[", b"{"]
 
 
-@pytest.mark.parametrize("bits", [20, 4])
-def test_ingesting_all_messages_twice_equals_once(spark, tables, folder, bits):
-    log = EventLog(spark, folder, block_bits=bits)
+def test_ingesting_all_messages_twice_equals_once(spark, tables, folder, way):
+    log = EventLog(spark, folder, block_bits=6)
     messages = kafka_frame(spark, tables)
     log.append(messages, F.col("message_ts"))
     once = log.raw_events().withColumn("payload", F.to_json("payload"))
@@ -105,7 +114,7 @@ def test_history_check_opens_only_the_blocks_of_the_batch(spark, folder):
     assert "PartitionFilters: [" in plan and "offset_block" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
-def test_one_hot_message_is_merged_before_the_shuffle(spark, folder):
+def test_one_hot_message(spark, folder, way):
     copies = spark.range(20000).selectExpr(
         "encode('7', 'UTF-8') key", "encode(if(id % 3 = 0, '5', string(id)), 'UTF-8') value", "'orders' topic",
         "0 partition", "if(id % 3 = 0, 1L, id + 10) offset", "timestamp '2024-01-01' timestamp",
