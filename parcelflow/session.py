@@ -43,6 +43,7 @@ def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSes
         spark.conf.set(name, value)
     if shuffle_bytes is not None:
         wanted = -(-shuffle_bytes // (200 << 20))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200MB")
         if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
             spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark

@@ -11,6 +11,7 @@ def enrich_payments(
     orders: DataFrame,
     max_delay: str = "7 days",
     late: str = "1 day",
+    pieces: int = 1,
 ) -> DataFrame:
     """Left join of staged payment and order streams on the order id.
 
@@ -18,19 +19,32 @@ def enrich_payments(
     lets Spark drop state: an order is kept until no payment can need it, and a
     payment without an order comes out with NULLs once the watermark, ``late``
     behind the newest event, has passed it.
+
+    Where many payments name the same order, ``pieces`` deals them over that many
+    state partitions, each of which gets a copy of the order. Payments without
+    an order id match nothing and are always dealt.
     """
+    dealt = F.xxhash64("payment_id")
+    scattered = F.when(F.col("order_id").isNull(), F.pmod(dealt, F.lit(1024)))
     paid = payments.withWatermark("payment_date", late).select(
         "payment_id",
         F.col("order_id").alias("_paid_order"),
+        F.coalesce(scattered, F.pmod(dealt, F.lit(pieces))).cast("int").alias("_paid_piece"),
         F.col("amount").alias("payment_amount"),
         F.col("currency").alias("payment_currency"),
         "payment_date",
     )
     placed = orders.withWatermark("order_ts", late).select(
-        "order_id", "product_id", "quantity", "unit_price", "order_ts"
+        "order_id",
+        F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("_piece"),
+        "product_id",
+        "quantity",
+        "unit_price",
+        "order_ts",
     )
+    same = (F.col("_paid_order") == F.col("order_id")) & (F.col("_paid_piece") == F.col("_piece"))
     in_time = F.expr(f"order_ts BETWEEN payment_date - INTERVAL {max_delay} AND payment_date")
-    return paid.join(placed, (F.col("_paid_order") == F.col("order_id")) & in_time, "left").select(
+    return paid.join(placed, same & in_time, "left").select(
         "payment_id",
         F.col("_paid_order").alias("order_id"),
         "product_id",

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from parcelflow import configure
 from parcelflow.plans import marts, staging
 from parcelflow.plans.build import MODELS, Warehouse
 from parcelflow.queries import new_warehouse, raw
@@ -56,6 +57,16 @@ def test_build_is_repeatable(built):
     assert sorted(warehouse.ref("fct_shipments").collect(), key=str) == before
 
 
+def test_shuffle_size(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        configure(spark, shuffle_bytes=20 << 30)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "103"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 def test_sql_access(spark, built):
     warehouse, counts = built
     warehouse.declare("raw", "wh")

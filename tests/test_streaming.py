@@ -72,7 +72,8 @@ def test_chain_derives_each_event_once_across_restarts(spark, tables, folder):
     assert shipped.select("kafka_key").exceptAll(orders.select("kafka_key")).isEmpty()
 
 
-def test_enrichment_over_several_batches(spark, folder):
+@pytest.mark.parametrize("pieces", [1, 3])
+def test_enrichment_over_several_batches(spark, folder, pieces):
     def events(first, count):
         return spark.range(first, first + count).selectExpr("id", "timestamp_seconds(id * 3600) at")
 
@@ -80,8 +81,8 @@ def test_enrichment_over_several_batches(spark, folder):
         rows = events(first, count)
         rows.selectExpr("id order_id", "id product_id", "1 quantity", "cast(2 as decimal(10,2)) unit_price",
                         "at order_ts").write.parquet(f"{folder}/orders/step={step}")
-        # every third payment names an order that does not exist
-        rows.selectExpr("id payment_id", "if(id % 3 = 0, -id - 1, id) order_id", "cast(2 as decimal(12,2)) amount",
+        # every third payment names an order that does not exist, or none
+        rows.selectExpr("id payment_id", "case when id % 6 = 0 then null when id % 3 = 0 then -id else id end order_id", "cast(2 as decimal(12,2)) amount",
                         "'EUR' currency", "at + interval 1 hour payment_date").write.parquet(f"{folder}/payments/step={step}")
 
     def stream(name):
@@ -90,7 +91,7 @@ def test_enrichment_over_several_batches(spark, folder):
 
     for step, (first, count) in enumerate([(0, 100), (100, 100), (200, 100)]):
         write(step, first, count)
-        query = enrich_payments(stream("payments"), stream("orders"), max_delay="2 hours", late="1 hour")
+        query = enrich_payments(stream("payments"), stream("orders"), max_delay="2 hours", late="1 hour", pieces=pieces)
         writer = query.writeStream.option("checkpointLocation", f"{folder}/cp").outputMode("append")
         run(writer.trigger(availableNow=True).format("parquet").start(f"{folder}/out"))
     rows = spark.read.parquet(f"{folder}/out")
