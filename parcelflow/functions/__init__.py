@@ -4,6 +4,7 @@ from parcelflow.functions.codec import decode_key, decode_utf8, encode_event, is
 from parcelflow.functions.keys import event_id, offset_block, with_row_id
 from parcelflow.functions.payload import (
     field,
+    has_lone_surrogate,
     has_nul_character,
     is_non_finite_json,
     typed_field,
@@ -16,6 +17,7 @@ __all__ = [
     "encode_event",
     "event_id",
     "field",
+    "has_lone_surrogate",
     "has_nul_character",
     "is_non_finite_json",
     "iso_text",

@@ -59,10 +59,23 @@ def is_non_finite_json(text: Column) -> Column:
     return F.when(text.rlike("NaN|Infinity"), F.coalesce(lenient, F.lit(False))).otherwise(F.lit(False))
 
 
+def _without_escaped_backslashes(text: Column) -> Column:
+    r"""Valid JSON text in which every ``\\u`` left is an escape, not an escaped backslash."""
+    return F.replace(text, F.lit("\\\\"), F.lit(""))
+
+
 def has_nul_character(text: Column) -> Column:
     """True where a JSON string escapes the NUL character, which no text column can hold."""
-    escape = F.contains(text, F.lit("\\u0000"))  # cheap test first: the pattern decides few texts
-    return F.when(escape, text.rlike(r"(?<!\\)(?:\\\\)*\\u0000")).otherwise(F.lit(False))
+    escape = F.lit("\\u0000")  # the first test is cheap and decides nearly all texts
+    return F.contains(text, escape) & F.contains(_without_escaped_backslashes(text), escape)
+
+
+def has_lone_surrogate(text: Column) -> Column:
+    """True where a JSON string escapes half a surrogate pair, which is no character."""
+    suspect = F.contains(text, F.lit("\\ud")) | F.contains(text, F.lit("\\uD"))
+    pair = r"(?i)\\ud[89ab][0-9a-f]{2}\\ud[c-f][0-9a-f]{2}"
+    rest = F.regexp_replace(_without_escaped_backslashes(text), pair, "")
+    return F.when(suspect, rest.rlike(r"(?i)\\ud[89a-f][0-9a-f]{2}")).otherwise(F.lit(False))
 
 
 def field(payload: Column, name: str) -> Column:

@@ -3,7 +3,7 @@
 Every message gets one outcome, tested in this order:
 
 * ``bad``       - no value, not UTF-8, not one JSON value, or JSON null
-* ``error``     - well-formed but not storable (undecodable key, NaN, NUL)
+* ``error``     - well-formed but not storable (undecodable key, NaN, NUL, half a surrogate pair)
 * ``duplicate`` - its (topic, partition, offset) is already taken
 * ``written``   - stored
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from parcelflow.functions import (
     decode_key,
     decode_utf8,
+    has_lone_surrogate,
     has_nul_character,
     is_non_finite_json,
     offset_block,
@@ -48,7 +49,8 @@ def classify(frame: DataFrame) -> DataFrame:
         "_error",
         F.when(undecodable_key(F.col("key")), "key is not utf-8")
         .when(payload.isNull(), "number is not finite")
-        .when(has_nul_character(text), "text holds a nul character"),
+        .when(has_nul_character(text), "text holds a nul character")
+        .when(has_lone_surrogate(text), "text holds half a surrogate pair"),
     )
     outcome = (
         F.when(F.col("_bad").isNotNull(), "bad")

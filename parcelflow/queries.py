@@ -8,7 +8,9 @@ equal with other engines.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -402,10 +404,15 @@ def materialize_table(spark, sf_dir):
 def new_warehouse(spark, sf_dir) -> Warehouse:
     """A fresh warehouse whose raw layer holds all events and dimension rows."""
     warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"))
-    warehouse.log.append(messages(spark, sf_dir), F.col("message_ts"))
-    warehouse.insert("raw_categories", source.raw_categories(spark, sf_dir))
-    warehouse.insert("raw_products", source.raw_products(spark, sf_dir))
-    warehouse.insert("raw_customers", source.raw_customers(spark, sf_dir))
+    loads = [
+        lambda: warehouse.log.append(messages(spark, sf_dir), F.col("message_ts")),
+        lambda: warehouse.insert("raw_categories", source.raw_categories(spark, sf_dir)),
+        lambda: warehouse.insert("raw_products", source.raw_products(spark, sf_dir)),
+        lambda: warehouse.insert("raw_customers", source.raw_customers(spark, sf_dir)),
+    ]
+    with ThreadPoolExecutor(len(loads)) as pool:  # independent tables, as parallel jobs
+        for load in [pool.submit(inheritable_thread_target(spark)(load)) for load in loads]:
+            load.result()
     return warehouse
 
 

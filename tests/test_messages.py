@@ -17,8 +17,10 @@ from tests.helpers import frame, message, values
 
 BAD = ['{"a":1} x', "1] [2", '1,"end":1} {', "1,2", "", "{bad", "null", None, b"\xffA", '{"a":1}]', '[1]]', '{"a":1}],{}',
        "{'a':1}", "INF", "tru", '"x', "[1,]", "01", "﻿{}"]
-GOOD = ["5", "[1]", '"x"', "true", '{"a":1,"a":2}', ' {"a": [1, {"b": "]"}]} ', '"]"', "[]", "{}", "-1.5e3", "[null]"]
-ERROR = ['{"a":NaN}', "NaN", "[-Infinity]", '{"a":"\\u0000"}', '{"a":"\\\\\\u0000"}']
+GOOD = ["5", "[1]", '"x"', "true", '{"a":1,"a":2}', ' {"a": [1, {"b": "]"}]} ', '"]"', "[]", "{}", "-1.5e3", "[null]",
+        '"\\\\ud800"', '"\\ud83d\\ude00"', '"\\uD83D\\uDE00 \\\\\\ud83d\\ude00"', '"\\\\u0000"']
+ERROR = ['{"a":NaN}', "NaN", "[-Infinity]", '{"a":"\\u0000"}', '{"a":"\\\\\\u0000"}', '"\\ud800"', '"\\uDC00"', '"\\ude00\\ud83d"',
+         '"\\\\\\ud83d"']
 
 
 def outcomes(spark, texts):
