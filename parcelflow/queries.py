@@ -11,6 +11,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,10 +59,19 @@ _files: dict[tuple[str, str], str] = {}
 _landed: dict[tuple[str, str], EventLog] = {}
 
 
+def _stored(spark: SparkSession, path: str) -> bool:
+    """False once a scratch folder has been cleared away."""
+    try:
+        spark.read.schema("value string").parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def message_files(spark: SparkSession, sf_dir: str) -> str:
     """All messages of the tables as files in the Kafka shape, written once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _files:
+    if key not in _files or not _stored(spark, _files[key]):
         path = scratch_dir(spark, "messages")
         write_events(source.kafka_frame(spark, sf_dir), path=path)
         _files[key] = path
@@ -82,7 +92,7 @@ def new_log(spark: SparkSession, sf_dir: str, purpose: str) -> EventLog:
 def landed(spark: SparkSession, sf_dir: str) -> EventLog:
     """The log all read-only queries share: events are stored once, then read."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
+    if key not in _landed or not _stored(spark, _landed[key].path):
         _landed[key] = new_log(spark, sf_dir, "landed")
     return _landed[key]
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 from parcelflow.operators.incremental import IncrementalTable, high_water_mark, incremental_filter
@@ -84,6 +86,15 @@ def test_a_load_that_died_before_its_mark_is_repeated(spark, table):
     assert content(table) == [(0, 1), (1, 2), (2, 3)]
 
 
+def test_a_lost_block_is_refilled(spark, table, folder):
+    source = rows(spark, *[(i, i, 1) for i in range(32)])
+    table.load_keyed(source)
+    os.rename(f"{folder}/t/offset_block=1", f"{folder}/gone")
+    assert len(content(table)) == 24
+    table.load_keyed(source)
+    assert content(table) == [(i, i) for i in range(32)]
+
+
 def test_empty_batch(spark, table):
     table.load_strict(rows(spark, (0, 1, 1)).limit(0))
     table.load_keyed(rows(spark, (0, 1, 1)).limit(0))
