@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 BLOCK_BITS = 20
 
 
-def event_id(topic: str = "kafka_topic", partition: str = "kafka_partition", offset: str = "kafka_offset") -> Column:
+def event_id(
+    topic: str = "kafka_topic", partition: str = "kafka_partition", offset: str = "kafka_offset"
+) -> Column:
     """``topic-partition-offset``, for example ``orders-1-5``."""
     return F.concat_ws("-", F.col(topic), F.col(partition), F.col(offset))
 

@@ -60,13 +60,19 @@ def _position(at: str) -> list[Column]:
 
 def payment_messages(payments: DataFrame) -> DataFrame:
     """Derived payments in the Kafka shape."""
-    fields = ["payment_id", "order_id", "customer_id", "amount", "currency", iso_text(F.col("payment_date")).alias("payment_date")]
+    fields = [
+        "payment_id", "order_id", "customer_id", "amount", "currency",
+        iso_text(F.col("payment_date")).alias("payment_date"),
+    ]
     return encode_events(payments, "payments", "order_id", fields, *_position("payment_date"))
 
 
 def shipment_messages(shipments: DataFrame) -> DataFrame:
     """Derived shipments in the Kafka shape."""
-    fields = ["shipment_id", "payment_id", "order_id", "customer_id", iso_text(F.col("ship_date")).alias("ship_date")]
+    fields = [
+        "shipment_id", "payment_id", "order_id", "customer_id",
+        iso_text(F.col("ship_date")).alias("ship_date"),
+    ]
     return encode_events(shipments, "shipments", "order_id", fields, *_position("ship_date"))
 
 

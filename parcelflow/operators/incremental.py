@@ -40,7 +40,14 @@ class IncrementalTable:
     a block and an upsert rewrites only the blocks in which a key repeats.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "event_id", block_bits: int = BLOCK_BITS):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        key: str = "event_id",
+        block_bits: int = BLOCK_BITS,
+    ):
         self.spark, self.path, self.key, self.block_bits = spark, path, key, block_bits
         self._columns = schema.fieldNames()
         self._schema = T.StructType([*schema.fields, T.StructField("offset_block", T.LongType())])

@@ -38,7 +38,8 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000) -> HotKeys:
         .select("rows", F.expr(f"inline(approx_top_k_estimate(sketch, {HOT_SHARE}))"))
     )
     share = F.greatest(F.ceil(F.col("rows") / HOT_SHARE), F.lit(min_rows))
-    hot = found.filter(F.col("count") >= share).select("item", F.ceil(F.col("count") / share).cast("int").alias("pieces"))
+    pieces = F.ceil(F.col("count") / share).cast("int").alias("pieces")
+    hot = found.filter(F.col("count") >= share).select("item", pieces)
     return [(row["item"], row["pieces"]) for row in hot.collect()]
 
 

@@ -41,7 +41,9 @@ MODELS: dict[str, Model] = {
     "stg_categories": Model("view", (), lambda w: staging.stg_categories(w.source("raw_categories"))),
     "dim_customers": Model("table", ("stg_customers",), lambda w: marts.dim_customers(w.ref("stg_customers"))),
     "dim_products": Model("table", ("stg_products",), lambda w: marts.dim_products(w.ref("stg_products"))),
-    "dim_categories": Model("table", ("stg_categories",), lambda w: marts.dim_categories(w.ref("stg_categories"))),
+    "dim_categories": Model(
+        "table", ("stg_categories",), lambda w: marts.dim_categories(w.ref("stg_categories"))
+    ),
     "fct_orders": Model(
         "table",
         ("stg_orders", "dim_customers", "dim_products", "dim_categories"),

@@ -359,7 +359,8 @@ def join_shipments_payments(spark, sf_dir):
 
 
 def join_shipments_orders(spark, sf_dir):
-    joined = marts.shipment_orders(_shipments(spark, sf_dir), _unnamed(_orders(spark, sf_dir)), _hot_orders(spark, sf_dir))
+    orders = _unnamed(_orders(spark, sf_dir))
+    joined = marts.shipment_orders(_shipments(spark, sf_dir), orders, _hot_orders(spark, sf_dir))
     return portable(joined.select("shipment_id", "order_id", "product_id", "quantity", "unit_price", "order_ts"))
 
 
@@ -586,7 +587,8 @@ def log_scan(spark, sf_dir):
     message = F.concat(F.lit("event "), F.col("event_id"), F.lit(" | user "), F.col("user_id"))
     line = render_line(F.col("ts"), F.when(failed, "ERROR").otherwise("INFO"), service, message)
     trace = F.when(failed, F.concat(F.lit("  raised at event "), F.col("event_id")))
-    lines = events.select(F.explode(F.array_compact(F.array(line, trace))).alias("value"), service.alias("service"))
+    both = F.explode(F.array_compact(F.array(line, trace)))
+    lines = events.select(both.alias("value"), service.alias("service"))
     path = scratch_dir(spark, "logs")
     lines.write.partitionBy("service").text(path)
     return portable(scan_logs(spark, path))

@@ -104,7 +104,9 @@ CONTRACTS: dict[str, tuple[Field, ...]] = {
 }
 
 
-def create_if_absent(spark: SparkSession, path: str, schema: T.StructType | str, partitions: list[str] | None = None) -> None:
+def create_if_absent(
+    spark: SparkSession, path: str, schema: T.StructType | str, partitions: list[str] | None = None
+) -> None:
     """An empty Parquet table at ``path``; no-op when there is one."""
     empty_rows(spark, schema).write.mode("ignore").partitionBy(*(partitions or [])).parquet(path)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow.functions import encode_event
 from parcelflow.schemas import KAFKA_SCHEMA, TOPICS
@@ -39,7 +40,9 @@ def event_source(
     return frame.filter(F.col("topic").isin(*topics))
 
 
-def encode_events(df: DataFrame, topic: str, key: str, fields: list[Column | str], *carry: Column) -> DataFrame:
+def encode_events(
+    df: DataFrame, topic: str, key: str, fields: list[Column | str], *carry: Column
+) -> DataFrame:
     """Rows as messages: text key, JSON value, both UTF-8; ``carry`` is kept."""
     columns = [F.col(f) if isinstance(f, str) else f for f in fields]
     return df.select(
@@ -55,7 +58,9 @@ def emit_counts(messages: DataFrame) -> DataFrame:
     return messages.groupBy("topic").agg(F.count(F.lit(1)).alias("sent"))
 
 
-def event_sink(messages: DataFrame, checkpoint: str, servers: str | None = None, path: str | None = None, **trigger):
+def event_sink(
+    messages: DataFrame, checkpoint: str, servers: str | None = None, path: str | None = None, **trigger
+) -> StreamingQuery:
     """Start a streaming write of messages to a broker or to Parquet.
 
     One order's events share a key, and a broker maps equal keys to one partition.

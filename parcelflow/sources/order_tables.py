@@ -113,7 +113,10 @@ def kafka_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     damaged = F.array(
         F.when(k % 97 == 96, message("orders", damaged_value, "order_ts", offset=k + 10000000)),
-        F.when(k % 193 == 192, message("orders", order, "order_ts", key=F.unhex(F.lit("ff")), offset=k + 20000000)),
+        F.when(
+            k % 193 == 192,
+            message("orders", order, "order_ts", key=F.unhex(F.lit("ff")), offset=k + 20000000),
+        ),
     )
     repeats = F.when(k % 10 == 0, events).otherwise(F.array().cast(f"array<{_MESSAGE}>"))
     every = F.array_compact(F.concat(events, repeats, damaged))
