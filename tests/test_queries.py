@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from parcelflow.expected_sql import ORACLE
 from parcelflow.queries import QUERIES
 from tests.compare import database, difference
 
-SQL = driver.oracle_sql()
+SQL = ORACLE
 
 
 @pytest.fixture(scope="module")
