@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.session import scratch_dir
+import parcelflow
+from parcelflow.session import configure, scratch_dir
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 CHUNK_BYTES = 2 << 20  # texts handled at once in numpy; a single longer text is one chunk
 
 
@@ -18,6 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Session settings, and the folder of this package on the Python workers' path.
+
+    Where executors do not see that folder, submit the package with ``--py-files``.
+    """
+    configure(spark)
+    root = str(Path(parcelflow.__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    return spark
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column), F.lit(""))
@@ -27,7 +45,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared scratch folder and read back; cuts the lineage for good."""
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")  # nothing reads them once the table is written
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_FREE_SHUFFLES) if before is None else spark.conf.set(_FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

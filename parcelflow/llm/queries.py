@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import chat, packing, token_counts, token_files
-from parcelflow.llm.common import table
+from parcelflow.llm import chat, ngram_join, packing, token_counts, token_files
+from parcelflow.llm.common import ready, table
 from parcelflow.session import scratch_dir
 
 
@@ -63,18 +63,31 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer("byte_bpe_50k.json"), scratch_dir(spark, "token-cache"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"), words=5, percent=75)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def _ready(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(ready(spark), sf_dir)
+
+    run.__name__ = query.__name__
+    return run
+
+
 QUERIES = {
-    name: globals()[name]
-    for name in (
-        "op2_chat_format",
-        "op3_best_fit_packing",
-        "op4_token_files",
-        "op7_token_counts",
+    query.__name__: _ready(query)
+    for query in (
+        op2_chat_format,
+        op3_best_fit_packing,
+        op4_token_files,
+        op7_token_counts,
+        op10_ngram_jaccard_join,
     )
 }
