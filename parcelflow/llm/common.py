@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -58,6 +58,14 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with value computed once, however often and wherever body uses it.
+
+    Inside a lambda, a plain column expression may be inlined and computed again per element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # --- texts of an Arrow batch as one byte buffer ------------------------------
 
 

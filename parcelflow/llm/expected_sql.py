@@ -1,5 +1,7 @@
 """The expected rows of the queries that SQL can express."""
 
+import corpus_pipeline
+
 # The template of the chat formatter: control strings get a backslash after their first character.
 _ESCAPE = r"""regexp_replace({0}, '([<\[])(\\*)(/?s>|/?INST\]|ANS\]|TEXT\]|NEXT\])', '\1\\\2\3', 'g')"""
 
@@ -28,3 +30,6 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """,
 }
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import chat, ngram_join, packing, token_counts, token_files
+from parcelflow.llm import (
+    chat,
+    decontaminate,
+    fingerprints,
+    licenses,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    token_counts,
+    token_files,
+)
 from parcelflow.llm.common import ready, table
 from parcelflow.session import scratch_dir
 
@@ -17,6 +29,16 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame(
@@ -58,18 +80,62 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_contamination(docs, items).groupBy("doc_id").agg(
+        F.sort_array(F.collect_set("item_id")).alias("item_ids"),
+        F.max(F.col("matched") / F.col("windows")).alias("coverage"),
+        F.max("exact").alias("exact"),
+    )
+    rows = docs.select("doc_id").join(found, "doc_id", "left")
+    return rows.select(
+        "doc_id",
+        F.col("item_ids").isNotNull().alias("contaminated"),
+        F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"),
+        F.coalesce("coverage", F.lit(0.0)).alias("coverage"),
+        F.coalesce("exact", F.lit(False)).alias("exact"),
+    )
+
+
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.count_tokens(docs, tokenizer("byte_bpe_50k.json"), scratch_dir(spark, "token-cache"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+    def as_text(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
+            ",",
+        )
+
+    def of(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    return found.select(
+        F.col("kept.doc_id").alias("doc_id"),
+        *[of(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(as_text(base), 256).alias("base_sha256"),
+        as_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents"), words=5, percent=75)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
     return corpus_pipeline.run(spark, sf_dir)
 
 
@@ -84,10 +150,16 @@ def _ready(query):
 QUERIES = {
     query.__name__: _ready(query)
     for query in (
+        op1_quality_classifier,
         op2_chat_format,
         op3_best_fit_packing,
         op4_token_files,
+        op5_benchmark_decontamination,
+        op6_document_fingerprints,
         op7_token_counts,
+        op8_license_scan,
+        op9_pii,
         op10_ngram_jaccard_join,
+        pipeline,
     )
 }
