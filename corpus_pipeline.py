@@ -22,7 +22,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     labels = table(ready(spark), sf_dir, "labels")
     scored = quality.quality_scores(docs, labels, keep=docs.columns)
-    return scored.filter(F.col("quality_score") >= MIN_QUALITY).select(*docs.columns)
+    return scored.filter(F.col("quality_score") >= MIN_QUALITY).select("kept.*")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +34,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     identity = F.coalesce("doc_id", F.xxhash64(whole_text()))
     linked = ngram_join.link_documents(docs.select(identity.alias("doc_id"), "text"))
     first = linked.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    of_document = Window.partitionBy("kept_id").orderBy("text")
-    rows = docs.join(first, identity == F.col("kept_id")).withColumn("nth_row", F.row_number().over(of_document))
-    return rows.filter("nth_row = 1").select(*docs.columns)
+    of_document = Window.partitionBy("kept_id").orderBy("doc.text")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), identity.alias("kept_id")).join(first, "kept_id")
+    return rows.withColumn("nth", F.row_number().over(of_document)).filter("nth = 1").select("doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -164,5 +164,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, coverage: float = 0.25) ->
     """The documents that hold no benchmark item, all columns."""
     found = find_contamination(docs, items, coverage).select("doc_id", "text_hash").distinct()
     found = found.toDF("held_id", "held_hash")
-    same = F.col("doc_id").eqNullSafe(F.col("held_id")) & (F.xxhash64(whole_text()) == F.col("held_hash"))
-    return docs.join(found, same, "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", F.xxhash64(whole_text()).alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("held_id")) & (F.col("text_hash") == F.col("held_hash"))
+    return rows.join(found, same, "left_anti").select("doc.*")

@@ -10,8 +10,7 @@ Ranks need no global sort: a piece knows its rank among the equal lengths of its
 task, and the counts per task and length, summed up, give each task its first rank.
 
 Defined results: null text is empty and holds the end id alone; repeated rows are packed as
-often as they occur; an empty table gives no pieces; other columns are ignored unless
-asked for by ``keep``.
+often as they occur; an empty table gives no pieces; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -237,18 +237,16 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, max_train: int
 
 
 def score(docs: DataFrame, net: Network, vectors: np.ndarray, keep: list[str]) -> DataFrame:
-    """The columns of ``keep`` and ``quality_score``, for every document."""
+    """(kept, quality_score) for every document; ``kept`` is a struct of the columns to keep."""
     table = docs.sparkSession.sparkContext.broadcast(vectors)
-    text = "quality_text"
-    wanted = docs.select(*keep, whole_text().alias(text))
+    wanted = docs.select(F.struct(*keep).alias("kept"), whole_text().alias("text"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = net.scores(features(batch[text], table.value)) if len(batch) else np.zeros(0)
-            kept = [batch[c] for c in keep]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], names=[*keep, "quality_score"])
+            scores = net.scores(features(batch["text"], table.value)) if len(batch) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch["kept"], pa.array(scores, pa.float64())], ["kept", "quality_score"])
 
-    schema = wanted.drop(text).schema.add("quality_score", "double")
+    schema = wanted.select("kept").schema.add("quality_score", "double")
     return wanted.mapInArrow(apply, schema)
 
 

@@ -32,8 +32,8 @@ def tokenizer(name: str) -> str:
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     return scored.select(
-        "doc_id",
-        quality.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("kept.doc_id").alias("doc_id"),
+        quality.held_out(F.col("kept.doc_id")).alias("held_out"),
         F.col("quality_score").alias("score"),
         (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
     )

@@ -45,8 +45,7 @@ class _SequenceFile:
         self.sink, self.width, self.seq_len, self.full = sink, width, seq_len, seq_len * batch_rows
         self.schema = pa.schema([("tokens", pa.list_(width, seq_len)), ("mask", pa.list_(pa.bool_(), seq_len))])
         self.writer = pa.ipc.new_stream(sink, self.schema)
-        self.first = sink.tell()
-        self.stride = 0
+        self.first = self.stride = 0
         self.held: list[np.ndarray] = []
         self.n_held = 0
 
@@ -66,10 +65,11 @@ class _SequenceFile:
         padded[:used] = ids
         mask = np.arange(len(padded)) < used
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.seq_len) for x in (padded, mask)]
-        before = self.sink.tell()
-        self.writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
-        if used == self.full:
-            self.stride = self.sink.tell() - before
+        batch = pa.RecordBatch.from_arrays(columns, schema=self.schema)
+        self.writer.write_batch(batch)
+        if not self.first:  # the schema went out with the first batch
+            self.stride = pa.ipc.get_record_batch_size(batch)
+            self.first = self.sink.tell() - self.stride
 
     def close(self) -> None:
         if self.n_held:
