@@ -1,0 +1,79 @@
+"""The stages of the corpus pipeline keep the columns, work on what they get, and take effect."""
+
+from __future__ import annotations
+
+import pytest
+
+import corpus_pipeline
+from parcelflow.llm.common import stored, table
+from tests.llm.test_ngram_join import brute as components_of
+from tests.llm.test_pii import brute as entities_of
+
+
+@pytest.fixture(scope="module")
+def outputs(spark, tables):
+    docs = table(spark, tables, "documents")
+    found = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        found.append(stored(stage(spark, found[-1], tables), "test-stage"))
+    return found
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.collect()}
+
+
+def test_stages(outputs):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "n-gram Jaccard join", "benchmark decontamination", "personal data", "best-fit packing",
+    ]
+    for df in outputs[1:-1]:
+        assert df.schema.names == outputs[0].schema.names and dict(df.dtypes) == dict(outputs[0].dtypes)
+
+
+def test_quality_rejects_bad_and_keeps_good(spark, tables, outputs):
+    kept = texts(outputs[1])
+    labels = {r.doc_id: r.quality for r in table(spark, tables, "labels").collect()}
+    good = [d for d, q in labels.items() if q == 1]
+    assert sum(d in kept for d in good) >= 0.97 * len(good)
+
+
+def test_one_of_each_group_stays(outputs):
+    before, after = texts(outputs[1]), texts(outputs[2])
+    wanted = {component for n, component in components_of(before.items()).values()}
+    assert set(after) == wanted and all(before[d] == t for d, t in after.items())
+
+
+def test_no_benchmark_item_is_left(spark, tables, outputs):
+    items = [" ".join(r.text.split()) for r in table(spark, tables, "benchmark").collect()]
+    before, after = texts(outputs[2]), texts(outputs[3])
+    holding = {d for d, t in before.items() if any(i in " ".join(t.split()) for i in items)}
+    assert not holding & set(after) and len(after) >= len(before) - len(holding) - 2
+
+
+def test_no_personal_data_is_left(outputs):
+    before, after = texts(outputs[3]), texts(outputs[4])
+    assert set(before) == set(after)
+    for d, text in after.items():
+        assert not entities_of(text)
+        if not entities_of(before[d]):
+            assert text == before[d]
+    assert all(r.n_chars == len(r.text) for r in outputs[4].collect())
+
+
+def test_everything_is_packed(outputs):
+    assert {r.doc_id for r in outputs[5].select("doc_id").collect()} == set(texts(outputs[4]))
+
+
+def test_stages_on_odd_rows(spark, tables, documents):
+    odd = documents((1, None), (2, ""), (2, ""), (None, "x y"), (None, "x y"), (None, "z"), (7, "a@b.org one"))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd, tables).count() > 0
+        assert stage(spark, documents(), tables).count() == 0
+    deduplicated = corpus_pipeline.keep_one_of_each_group(spark, odd, tables)
+    assert deduplicated.columns == odd.columns
+    assert sorted(((r.doc_id, r.text) for r in deduplicated.collect()), key=str) == sorted(
+        [(1, None), (2, ""), (None, "x y"), (None, "z"), (7, "a@b.org one")], key=str
+    )
+    clean = corpus_pipeline.remove_personal_data(spark, odd, tables)
+    assert {r.doc_id: (r.text, r.n_chars) for r in clean.filter("doc_id in (1, 7)").collect()} == {1: (None, None), 7: ("[EMAIL] one", 11)}

@@ -1,0 +1,83 @@
+"""The quality classifier on held-out labels, and its parts."""
+
+from __future__ import annotations
+
+import os
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from parcelflow.llm import quality
+from parcelflow.llm.common import table
+from parcelflow.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def larger(tables):
+    path = os.path.join(os.path.dirname(tables), "sf0.1")
+    return path if os.path.isdir(path) else tables
+
+
+def test_held_out_accuracy(spark, larger):
+    labels = {r.doc_id: r.quality for r in table(spark, larger, "labels").collect()}
+    rows = QUERIES["op1_quality_classifier"](spark, larger).collect()
+    assert len(rows) == table(spark, larger, "documents").count()
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
+    held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert len(held) > 100 and np.mean([p == y for p, y in held]) > 0.95
+    bad = [p for p, y in held if y == 0]
+    assert np.mean(bad) < 0.2
+
+
+def test_scores_do_not_depend_on_held_out_labels(spark, tables):
+    docs, labels = table(spark, tables, "documents"), table(spark, tables, "labels")
+    flipped = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    vectors = quality.word_vectors(docs)
+    one, two = (quality.fit(docs, x, vectors) for x in (labels, flipped))
+    assert np.allclose(one.hidden, two.hidden) and one.temperature == two.temperature
+
+
+def test_features_do_not_depend_on_batches():
+    rng = np.random.default_rng(0)
+    vectors = rng.normal(size=(quality.SLOTS, quality.DIM)).astype(np.float32)
+    texts = ["", None, "One two TWO!!", "a " * 700_000, "é ü 123"]
+    whole = quality.features(pa.array(texts), vectors)
+    single = np.vstack([quality.features(pa.array([t], pa.string()), vectors) for t in texts])
+    assert np.allclose(whole, single, atol=1e-4) and not whole[:2].any()
+
+
+def test_shapes_collapse():
+    def shapes(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return quality.slots_of(data, np.array([0, len(data)]))[1].tolist()
+
+    one = shapes("Hello HELLO hello h2o a!!! b!!!")
+    assert one[0] != one[1] != one[2] and one[4] == one[5]
+    assert shapes("World")[0] == one[0]
+
+
+def test_training_edges(spark, documents):
+    none = np.zeros((0, quality.FEATURES))
+    assert quality.train(none, np.zeros(0, int)).scores(np.zeros((2, quality.FEATURES))).tolist() == [0.5, 0.5]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None), (2, 1)], "doc_id long, quality int")
+    docs = documents((1, None), (2, "x"), (2, "x"), (None, "y"), (3, ""))
+    got = quality.quality_scores(docs, labels, keep=docs.columns).collect()
+    assert len(got) == 5 and all(0 <= r.quality_score <= 1 for r in got)
+    assert quality.quality_scores(documents(), labels, keep=["doc_id"]).count() == 0
+    assert quality.quality_scores(docs, labels.limit(0), keep=["doc_id"]).first().quality_score == 0.5
+
+
+def test_temperature_calibrates():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(4000, quality.FEATURES))
+    y = (rng.random(4000) < 1 / (1 + np.exp(-2 * x[:, 0]))).astype(int)
+    net = quality.train(x, y)
+    fresh = rng.normal(size=(4000, quality.FEATURES))
+    p = net.scores(fresh)
+    truth = 1 / (1 + np.exp(-2 * fresh[:, 0]))
+    assert abs(p - truth).mean() < 0.12
