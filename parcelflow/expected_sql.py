@@ -6,11 +6,35 @@ hide in both sides.
 
 from __future__ import annotations
 
-from parcelflow.schemas import CONTRACTS
-from parcelflow.sources import seeds
-from parcelflow.sources.order_tables import BASE_EVENTS, DIMENSION_TIME
+from parcelflow.sources.order_tables import BASE_EVENTS
 
-_DIM_TIME = f"TIMESTAMP '{DIMENSION_TIME}'"
+_DIM_TIME = "TIMESTAMP '2024-01-01 00:00:00'"
+
+
+# The starter rows, spelled out again so that a wrong one cannot hide on both sides.
+_CATEGORIES = """
+    (1, 'Electronics'), (2, 'Home'), (3, 'Fashion'), (4, 'Beauty'), (5, 'Sports'),
+    (6, 'Toys'), (7, 'Books'), (8, 'Groceries'), (9, 'Automotive'), (10, 'Office')
+"""
+_PRODUCTS = """
+    (1, 'Smartphone', 699.99, 1), (2, 'Laptop', 1299.99, 1), (3, 'Headphones', 199.99, 1),
+    (4, 'Coffee Maker', 89.99, 2), (5, 'Vacuum Cleaner', 149.99, 2), (6, 'Sofa', 899.99, 2),
+    (7, 'T-Shirt', 19.99, 3), (8, 'Jeans', 49.99, 3), (9, 'Sneakers', 79.99, 3),
+    (10, 'Lipstick', 29.99, 4), (11, 'Foundation', 39.99, 4), (12, 'Mascara', 24.99, 4),
+    (13, 'Football', 29.99, 5), (14, 'Tennis Racket', 89.99, 5), (15, 'Yoga Mat', 39.99, 5),
+    (16, 'Action Figure', 14.99, 6), (17, 'Board Game', 29.99, 6), (18, 'Doll', 19.99, 6),
+    (19, 'Novel', 14.99, 7), (20, 'Cookbook', 24.99, 7), (21, 'Biography', 19.99, 7),
+    (22, 'Organic Apples', 3.99, 8), (23, 'Milk', 2.49, 8), (24, 'Bread', 1.99, 8),
+    (25, 'Car Oil', 29.99, 9), (26, 'Tire Inflator', 49.99, 9), (27, 'Car Vacuum', 39.99, 9),
+    (28, 'Office Chair', 199.99, 10), (29, 'Desk Lamp', 49.99, 10), (30, 'Notebook', 5.99, 10)
+"""
+_CUSTOMERS = """
+    (1, 'Alice Johnson', 'alice.johnson@example.com'), (2, 'Bob Smith', 'bob.smith@example.com'),
+    (3, 'Charlie Brown', 'charlie.brown@example.com'), (4, 'Diana Prince', 'diana.prince@example.com'),
+    (5, 'Ethan Hunt', 'ethan.hunt@example.com'), (6, 'Fiona Gallagher', 'fiona.gallagher@example.com'),
+    (7, 'George Martin', 'george.martin@example.com'), (8, 'Hannah Baker', 'hannah.baker@example.com'),
+    (9, 'Ian Fleming', 'ian.fleming@example.com'), (10, 'Jane Doe', 'jane.doe@example.com')
+"""
 
 
 def _staged(topic: str, condition: str, event_time: str, columns: str) -> str:
@@ -35,19 +59,19 @@ _SHIPMENTS = _staged(
 
 _WITH = f"""
 WITH b AS ({BASE_EVENTS}),
-all_categories AS (
-    SELECT CAST(dense_rank() OVER (ORDER BY p_type) AS BIGINT) AS category_id, p_type AS name
-    FROM (SELECT DISTINCT p_type FROM part) t),
-raw_categories AS (SELECT *, {_DIM_TIME} AS ingested_at FROM all_categories WHERE category_id <> 6),
+raw_categories AS (
+    SELECT CAST(min(p_partkey) AS BIGINT) AS category_id, p_type AS name, {_DIM_TIME} AS ingested_at
+    FROM part GROUP BY p_type),
 raw_products AS (
     SELECT p.p_partkey AS product_id, p.p_name AS name, CAST(p.p_retailprice AS DECIMAL(10,2)) AS price,
-           {_DIM_TIME} AS ingested_at, CAST(c.category_id AS INT) AS category_id
+           {_DIM_TIME} AS ingested_at,
+           CAST(c.category_id + CASE WHEN p.p_partkey % 9 = 8 THEN 1000000000 ELSE 0 END AS INT) AS category_id
     FROM part p JOIN (SELECT min(p_partkey) AS k FROM part GROUP BY p_name) f ON f.k = p.p_partkey
-    JOIN all_categories c ON c.name = p.p_type),
+    JOIN raw_categories c ON c.name = p.p_type),
 raw_customers AS (
     SELECT c_custkey AS customer_id, c_name AS name,
            lower(replace(c_name, '#', '.')) || '@example.com' AS email, {_DIM_TIME} AS ingested_at
-    FROM customer WHERE c_acctbal >= 0),
+    FROM customer),
 o AS ({_ORDERS}),
 p AS ({_PAYMENTS}),
 s AS ({_SHIPMENTS}),
@@ -98,8 +122,15 @@ SELECT kafka_topic, kafka_partition, kafka_offset, kafka_key, order_id,
 _STAGED_HEAD = ["event_id", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_key"]
 
 
+_STAGED = {
+    "orders": ["order_id", "customer_id", "product_id", "quantity", "unit_price", "currency", "order_ts"],
+    "payments": ["payment_id", "order_id", "customer_id", "amount", "currency", "payment_date"],
+    "shipments": ["shipment_id", "payment_id", "order_id", "customer_id", "ship_date"],
+}
+
+
 def _contract(topic: str) -> list[str]:
-    return [*_STAGED_HEAD, *[f.column for f in CONTRACTS[topic]], "ingested_at"]
+    return [*_STAGED_HEAD, *_STAGED[topic], "ingested_at"]
 
 
 _FACT_ORDER = ["product_id", "product_name", "category_id", "category_name", "quantity", "unit_price", "revenue"]
@@ -107,6 +138,13 @@ _CUT = "TIMESTAMP '1998-06-30 00:00:00'"
 _FIRST_LOAD = f"(k % 40 <> 3 AND ingested_at <= {_CUT})"
 _DERIVED_ID = "kafka_offset * 1048576 + kafka_partition"
 
+_ENRICHED = """
+        SELECT p.payment_id, p.order_id, o.product_id, o.quantity, CAST(o.unit_price AS DOUBLE) AS unit_price,
+               CAST(CAST(o.quantity * o.unit_price AS DECIMAL(21,2)) AS DOUBLE) AS revenue,
+               CAST(p.amount AS DOUBLE) AS payment_amount, p.currency AS payment_currency, p.payment_date,
+               o.order_ts
+        FROM p LEFT JOIN o ON o.order_id = p.order_id"""
+
 _MODEL_ROWS = {
     "stg_orders": "o",
     "stg_payments": "p",
@@ -147,6 +185,14 @@ ORACLE = {
     "event_id": f"""{_WITH}
         SELECT kafka_topic || '-' || kafka_partition || '-' || kafka_offset AS event_id,
                kafka_topic, kafka_partition, kafka_offset FROM every""",
+    "row_id": f"{_WITH} SELECT kafka_topic, count(*) AS row_count, count(*) AS ids FROM every GROUP BY 1",
+    "write_by_key": f"""{_WITH},
+        sent AS (
+            SELECT kafka_key, CASE WHEN k % 10 = 0 THEN 2 ELSE 1 END AS n FROM every
+            UNION ALL SELECT CAST(order_id AS VARCHAR), 1 FROM b WHERE k % 97 = 96
+            UNION ALL SELECT 'undecodable', 1 FROM b WHERE k % 193 = 192)
+        SELECT messages, CAST(1 AS BIGINT) AS files, count(*) AS keys
+        FROM (SELECT CAST(sum(n) AS BIGINT) AS messages FROM sent GROUP BY kafka_key) t GROUP BY 1""",
     "json_field": """
         SELECT event_id, props ->> 'k' AS k, props ->> 'absent' AS absent FROM events""",
     "cast_bigint": "SELECT event_id, CAST(props ->> 'k' AS BIGINT) AS k FROM events",
@@ -170,9 +216,9 @@ ORACLE = {
                ingested_at AS ship_date FROM o""",
     "scan_raw_customers": f"{_WITH} SELECT * FROM raw_customers",
     "seed_values": f"""{_WITH},
-        sc(customer_id, customer_name, email) AS (VALUES {seeds.CUSTOMERS}),
-        sp(product_id, product_name, price, category_id) AS (VALUES {seeds.PRODUCTS}),
-        sg(category_id, category_name) AS (VALUES {seeds.CATEGORIES})
+        sc(customer_id, customer_name, email) AS (VALUES {_CUSTOMERS}),
+        sp(product_id, product_name, price, category_id) AS (VALUES {_PRODUCTS}),
+        sg(category_id, category_name) AS (VALUES {_CATEGORIES})
         SELECT o.event_id, sc.customer_name, sp.product_name, CAST(sp.category_id AS INT) AS category_id,
                sg.category_name
         FROM o LEFT JOIN sc ON sc.customer_id = o.customer_id LEFT JOIN sp ON sp.product_id = o.product_id
@@ -205,6 +251,12 @@ ORACLE = {
     "join_payments_orders": f"""{_WITH}
         SELECT p.payment_id, p.order_id, {_columns(["product_id", "quantity", "unit_price", "order_ts"], "o")}
         FROM p LEFT JOIN o ON o.order_id = p.order_id""",
+    "join_hot_orders": """
+        WITH placed AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_orderkey END AS order_id,
+                               o_orderkey AS line, o_totalprice AS total FROM orders),
+             paid AS (SELECT o_orderkey AS payment_id,
+                             CASE WHEN o_orderkey % 1000 = 1 THEN 1 ELSE o_orderkey + 1 END AS order_id FROM orders)
+        SELECT paid.order_id, payment_id, line, total FROM paid LEFT JOIN placed ON placed.order_id = paid.order_id""",
     "join_shipments_payments": f"""{_WITH}
         SELECT s.shipment_id, s.payment_id, s.order_id, s.customer_id, s.ship_date, s.ingested_at,
                p.payment_date, CAST(p.amount AS DOUBLE) AS payment_amount, p.currency AS payment_currency
@@ -236,7 +288,11 @@ ORACLE = {
     "incremental_upsert": f"""{_WITH}
         SELECT event_id, order_id, CAST(quantity + CASE WHEN currency = 'USD' THEN 1 ELSE 0 END AS INT) AS quantity
         FROM o""",
-    "warehouse_status": f"""{_WITH}
+    "incremental_keyed_changed": f"{_WITH} SELECT event_id, order_id, quantity, ingested_at FROM o",
+    "incremental_upsert_by_order": f"""{_WITH}
+        SELECT event_id, order_id, quantity FROM o
+        WHERE k % 50 = 49 OR NOT EXISTS (SELECT 1 FROM o x WHERE x.order_id = o.order_id AND x.k % 50 = 49)""",
+    "pipeline_status": f"""{_WITH}
         SELECT (SELECT count(*) FROM every) AS raw_events_count, (SELECT count(*) FROM f) AS fct_orders_count,
                (SELECT count(*) FROM fp) AS fct_payments_count, (SELECT count(*) FROM fs) AS fct_shipments_count""",
     "dq_not_null": f"{_WITH} SELECT k, order_id FROM b WHERE quantity_raw IS NULL",
@@ -248,12 +304,8 @@ ORACLE = {
         SELECT o.event_id, o.customer_id FROM o
         WHERE o.customer_id IS NOT NULL
           AND NOT EXISTS (SELECT 1 FROM raw_customers c WHERE c.customer_id = o.customer_id)""",
-    "stream_payment_enrich": f"""{_WITH}
-        SELECT p.payment_id, p.order_id, o.product_id, o.quantity, CAST(o.unit_price AS DOUBLE) AS unit_price,
-               CAST(CAST(o.quantity * o.unit_price AS DECIMAL(21,2)) AS DOUBLE) AS revenue,
-               CAST(p.amount AS DOUBLE) AS payment_amount, p.currency AS payment_currency, p.payment_date,
-               o.order_ts
-        FROM p LEFT JOIN o ON o.order_id = p.order_id
+    "stream_payment_enrich": f"{_WITH} {_ENRICHED}",
+    "stream_payment_enrich_bounded": f"""{_WITH} {_ENRICHED}
          AND o.order_ts BETWEEN p.payment_date - INTERVAL 1 DAY AND p.payment_date""",
     "log_scan": """
         WITH e AS (
@@ -272,3 +324,6 @@ ORACLE = {
         UNION ALL
         SELECT NULL, NULL, NULL, NULL, job, '  raised at event ' || event_id FROM e WHERE event_type = 'error'""",
 }
+for _name in ("fct_orders", "fct_payments", "fct_shipments"):
+    ORACLE[f"build_{_name}"] = ORACLE[_name]
+ORACLE["stream_outcomes"] = ORACLE["ingest_outcomes"]

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.functions.keys import BLOCK_BITS
 from parcelflow.operators.ingest import fresh_rows, log_rows, outcome_counts
-from parcelflow.schemas import EVENT_LOG, LOG_PARTITIONS, MESSAGE_KEY, RAW_EVENTS, create_if_absent
+from parcelflow.schemas import EVENT_LOG, LOG_PARTITIONS, MESSAGE_KEY, RAW_EVENTS, create_if_absent, empty_rows
 
 # A message's place, by the columns of the Kafka source.
 _POSITION = ["topic", "partition", "offset"]
@@ -19,6 +21,15 @@ _SMALL_BATCH = 1_000_000
 _BROADCAST_POSITIONS = 1_000_000
 # A task may write into this many blocks; beyond it rows are gathered by block first.
 _FILES_PER_TASK = 32
+# History is looked up by naming up to this many folders, beyond it by pruning the whole listing; the rows are the same.
+_NAMED_FOLDERS = 10_000
+_OUTCOMES = ("written", "duplicate", "bad", "error")
+
+# Appends of one driver to one log wait for each other; a log has one writing application.
+_LOCKS: dict[str, threading.Lock] = defaultdict(threading.Lock)
+
+# (topic, outcome) -> messages of an append
+Counts = dict[tuple[str, str], int]
 
 
 class EventLog:
@@ -62,67 +73,84 @@ class EventLog:
         rows = reader.parquet(self.path).filter(F.col("outcome") == "written")
         return rows.select(RAW_EVENTS.fieldNames())
 
-    def append(self, frame: DataFrame, clock: Column | None = None, keep: bool = False) -> None:
-        """Add a batch. Running the same batch again stores no event twice.
+    def append(self, frame: DataFrame, clock: Column | None = None, keep: bool = False) -> Counts:
+        """Add a batch; returns its messages per topic and outcome. Running the same batch again stores no event twice.
 
         A small batch is merged in one shuffle. For a large one, a pass over the
         positions alone finds the repeated messages first; all others are parsed
         and written where they lie, so their payloads are never shuffled.
         ``keep`` holds the batch on local disk between the passes, for sources
-        that are slow to reread.
+        that are slow to reread. A batch is read more than once, so it must not change in between.
         """
         batch = frame.persist() if keep else frame
         try:
-            spans = self._spans(batch)
-            if not spans:
-                return
-            known = self._known(spans)
-            blocks = sum((s["high"] >> self.block_bits) - (s["low"] >> self.block_bits) + 1 for s in spans)
-            if sum(s["rows"] for s in spans) <= _SMALL_BATCH:
-                self._write(log_rows(batch, known, clock, self.block_bits), blocks)
-            else:
-                self._append_large(batch, spans, blocks, known, clock)
+            with _LOCKS[self.path]:
+                spans = self._spans(batch)
+                if not spans:
+                    return {}
+                known = self._known(spans)
+                bits = self.block_bits
+                blocks = sum((s["high"] >> bits) - (s["low"] >> bits) + 1 for s in spans)
+                topics = sorted({s["topic"] for s in spans})
+                if sum(s["rows"] for s in spans) <= _SMALL_BATCH:
+                    return self._write(log_rows(batch, known, clock, bits), blocks, topics)
+                return self._append_large(batch, spans, blocks, known, clock, topics)
         finally:
             if keep:
                 batch.unpersist()
 
     def _append_large(
-        self, batch: DataFrame, spans: list[Row], blocks: int, known: DataFrame, clock: Column | None
-    ) -> None:
+        self,
+        batch: DataFrame,
+        spans: list[Row],
+        blocks: int,
+        known: DataFrame,
+        clock: Column | None,
+        topics: list[str],
+    ) -> Counts:
         if known.isEmpty():
             known = None
         repeated = self._repeated(batch, known).persist()
         try:
             positions = repeated.count()
             if positions > _BROADCAST_POSITIONS:
-                self._write(log_rows(batch, known, clock, self.block_bits), blocks)
-                return
+                return self._write(log_rows(batch, known, clock, self.block_bits), blocks, topics)
             listed = F.broadcast(repeated)  # counted just above
             fresh = batch.join(listed, _POSITION, "left_anti") if positions else batch
             rows = fresh_rows(fresh, clock, self.block_bits)
             if positions:
                 again = batch.join(listed, _POSITION, "left_semi")
                 rows = rows.unionAll(log_rows(again, known, clock, self.block_bits))
-            self._write(rows, sum(s["files"] for s in spans) / max(s["tasks"] for s in spans))
+            return self._write(rows, sum(s["files"] for s in spans) / max(s["tasks"] for s in spans), topics)
         finally:
             repeated.unpersist()
 
-    def _write(self, rows: DataFrame, files_per_task: float) -> None:
+    def _write(self, rows: DataFrame, files_per_task: float, topics: list[str]) -> Counts:
         if files_per_task > _FILES_PER_TASK:
             # gather blocks first: else every task would leave a small file in each
             rows = rows.hint("rebalance", *LOG_PARTITIONS)
+        cells = [(t, o) for t in topics for o in _OUTCOMES]
+
+        def messages(topic: str, outcome: str) -> Column:
+            here = (F.col("kafka_topic") == topic) & (F.col("outcome") == outcome)
+            return F.sum(F.when(here, F.col("copies")).otherwise(0))
+
+        seen = Observation()  # counted while writing, by the tasks that succeed
+        rows = rows.observe(seen, *[messages(t, o).alias(f"c{i}") for i, (t, o) in enumerate(cells)])
         rows.write.mode("append").partitionBy(*LOG_PARTITIONS).parquet(self.path)
+        counts = seen.get
+        return {cell: counts[f"c{i}"] for i, cell in enumerate(cells) if counts[f"c{i}"]}
 
     def _spans(self, batch: DataFrame) -> list[Row]:
-        """Offsets covered per topic, and how they lie in the input: one row per topic.
+        """Offsets covered per topic and partition, and how they lie in the input: one row each.
 
         ``files`` is the number of blocks its tasks would write to, in all.
         """
         bits = self.block_bits
         return (
-            batch.groupBy("topic", F.spark_partition_id().alias("task"))
+            batch.groupBy("topic", "partition", F.spark_partition_id().alias("task"))
             .agg(F.min("offset").alias("low"), F.max("offset").alias("high"), F.count(F.lit(1)).alias("rows"))
-            .groupBy("topic")
+            .groupBy("topic", "partition")
             .agg(
                 F.sum("rows").alias("rows"),
                 F.min("low").alias("low"),
@@ -149,27 +177,47 @@ class EventLog:
     def _known(self, spans: list[Row]) -> DataFrame:
         """Stored identities that could collide with a batch.
 
-        Offsets of a topic only collide within the batch's own span, so the
-        spans become literal filters on the partition folders and on the Parquet
-        statistics of ``kafka_offset``.
+        Offsets only collide within one partition of a topic, and there within the batch's own span. So the
+        folders of those blocks are named, not found by listing all history, and
+        the spans become literal filters on the Parquet statistics of ``kafka_offset``.
         """
-
-        def covers(column: str, bound) -> Column:
-            tests = [
-                (F.col("kafka_topic") == s["topic"]) & F.col(column).between(bound(s["low"]), bound(s["high"]))
+        stored = self._blocks(spans)
+        tests = [
+            (F.col("kafka_topic") == s["topic"])
+            & (F.col("kafka_partition") == s["partition"])
+            & F.col("offset_block").between(s["low"] >> self.block_bits, s["high"] >> self.block_bits)
+            & F.col("kafka_offset").between(s["low"], s["high"])
+            for s in spans
+        ]
+        stored = stored.filter(~F.col("redelivery")).filter(reduce(lambda a, b: a | b, tests))
+        return stored.select(*MESSAGE_KEY, "outcome", "reject_id")
+
+    def _blocks(self, spans: list[Row]) -> DataFrame:
+        """The stored rows in the blocks that the spans touch."""
+        wanted: dict[str, set[int]] = defaultdict(set)
+        if sum((s["high"] >> self.block_bits) - (s["low"] >> self.block_bits) + 1 for s in spans) > _NAMED_FOLDERS:
+            touched = [
+                (F.col("kafka_topic") == s["topic"])
+                & F.col("offset_block").between(s["low"] >> self.block_bits, s["high"] >> self.block_bits)
                 for s in spans
             ]
-            return reduce(lambda a, b: a | b, tests)
-
-        # a conjunct of its own, so that the folder test prunes
-        blocks = covers("offset_block", lambda o: o >> self.block_bits)
-        offsets = covers("kafka_offset", lambda o: o)
-        stored = self.read().filter(~F.col("redelivery"))
-        return stored.filter(blocks & offsets).select(*MESSAGE_KEY, "outcome", "reject_id")
-
-    def redrive(self, repaired: DataFrame, clock: Column | None = None) -> None:
+            return self.read().filter(reduce(lambda a, b: a | b, touched))
+        for s in spans:
+            wanted[s["topic"]].update(range(s["low"] >> self.block_bits, (s["high"] >> self.block_bits) + 1))
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        fs = hadoop.Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        paths = []
+        for topic, blocks in wanted.items():
+            numbers = ",".join(map(str, sorted(blocks)))
+            pattern = f"{self.path}/outcome=*/kafka_topic={topic}/offset_block={{{numbers}}}"
+            paths += [str(found.getPath()) for found in fs.globStatus(hadoop.Path(pattern)) or []]
+        if not paths:
+            return empty_rows(self.spark, EVENT_LOG)
+        return self.spark.read.schema(EVENT_LOG).option("basePath", self.path).parquet(*paths)
+
+    def redrive(self, repaired: DataFrame, clock: Column | None = None) -> Counts:
         """Offer repaired quarantine messages (Kafka-shaped) to ingest again."""
-        self.append(repaired, clock)
+        return self.append(repaired, clock)
 
 
 def quarantine_as_messages(quarantine: DataFrame) -> DataFrame:

@@ -8,12 +8,12 @@ from pyspark.sql import types as T
 
 from parcelflow.functions import offset_block
 from parcelflow.functions.keys import BLOCK_BITS
-from parcelflow.schemas import create_if_absent
+from parcelflow.operators.versioned import VersionedTable
 
 # Fixed value: the mark of a table without rows.
 EMPTY_MARK = "1900-01-01"
 
-# Beyond this many changed blocks a literal folder filter stops paying off.
+# Up to here changed blocks are a literal folder filter, beyond it a join; the rows are the same.
 _MAX_BLOCK_FILTER = 2000
 
 
@@ -34,10 +34,11 @@ def incremental_filter(df: DataFrame, mark: int | None, column: str = "ingested_
 
 
 class IncrementalTable:
-    """A keyed Parquet table, partitioned by the offset block of its events.
+    """A keyed Parquet table in parts that follow from the key.
 
-    A row's key is a function of (topic, partition, offset), so equal keys share
-    a block and an upsert rewrites only the blocks in which a key repeats.
+    The parts of ``event_id`` are offset blocks: an event's key is a function of its offset, so equal
+    keys share a block, and a batch touches few blocks. Any other key is dealt into ``buckets`` parts by its hash.
+    Every load is one commit: readers see all of it or nothing, and a load that died is simply repeated.
     """
 
     def __init__(
@@ -47,119 +48,94 @@ class IncrementalTable:
         schema: T.StructType,
         key: str = "event_id",
         block_bits: int = BLOCK_BITS,
+        buckets: int = 64,
     ):
-        self.spark, self.path, self.key, self.block_bits = spark, path, key, block_bits
+        self.spark, self.key, self.block_bits, self.buckets = spark, key, block_bits, buckets
+        self.table = VersionedTable(spark, path, schema, key)
         self._columns = schema.fieldNames()
-        self._schema = T.StructType([*schema.fields, T.StructField("offset_block", T.LongType())])
-        self._marks = f"{path}__marks"
-        create_if_absent(spark, path, self._schema, ["offset_block"])
-        create_if_absent(spark, self._marks, "mark timestamp")
 
     def read(self) -> DataFrame:
-        return self._stored().select(self._columns)
-
-    def _stored(self) -> DataFrame:
-        return self.spark.read.schema(self._schema).parquet(self.path)
+        return self.table.read()
 
     def mark(self) -> int | None:
-        """High-water mark of the committed loads, None before the first.
-
-        Kept as one row per load, so finding it never scans the table. A load
-        that died half-way has left no mark; the next one repeats it, and the
-        upsert replaces what was already there.
-        """
-        return high_water_mark(self.spark.read.schema("mark timestamp").parquet(self._marks), "mark")
+        """High-water mark of the committed loads, None before the first; kept in the manifest."""
+        return self.table.mark()
 
     def load_strict(self, source: DataFrame) -> None:
         """Upsert the source rows above the mark; all of them on the first run."""
         mark = self.mark()
-        batch = source if mark is None else incremental_filter(source, mark)
-        self.upsert(batch)
+        self.upsert(source if mark is None else incremental_filter(source, mark))
 
     def load_keyed(self, source: DataFrame) -> None:
         """Insert every source row whose key the table lacks, however late it came."""
-        batch = self._with_block(self.missing_rows(source))
         # taken while writing; a task that runs twice cannot change a maximum
         seen = Observation()
-        self._write(batch.observe(seen, F.unix_micros(F.max("ingested_at")).alias("mark")), "append")
-        self._commit(seen.get["mark"])
+        rows = self._with_part(self.missing_rows(source))
+        load = self.table._write(rows.observe(seen, F.unix_micros(F.max("ingested_at")).alias("mark")))
+        mark = seen.get["mark"]
+        if mark is not None:
+            self.table._commit(load, [], mark)
 
     def missing_rows(self, source: DataFrame) -> DataFrame:
         """Source rows whose key is not in the table.
 
-        The table holds a subset of the source, both without repeats, so a block
-        with equal row counts on both sides is complete. Counts per block come
-        from Parquet footers where the source has ``offset_block`` as a folder.
-        Blocks the table lacks are taken whole; only those it holds in
-        part are compared key by key.
+        Parts with the same number and the same digest of keys on both sides are
+        equal. The table's side comes from its manifest, the source's from one pass over the key column, which
+        moves a row per part and task. Parts the table lacks are taken whole; only
+        those that differ are compared key by key.
         """
-        stored, block = self._stored(), self._block(source)
-        if stored.isEmpty():
-            return source
-        have = stored.groupBy("offset_block").agg(F.count(F.lit(1)).alias("have"))
-        want = source.groupBy(block.alias("offset_block")).agg(F.count(F.lit(1)).alias("want"))
-        unequal = want.join(have, "offset_block", "left").filter(F.coalesce("have", F.lit(0)) != F.col("want"))
-        blocks = unequal.select("offset_block", "have").take(_MAX_BLOCK_FILTER + 1)
-        partial = [r["offset_block"] for r in blocks if r["have"] is not None]
-        if len(blocks) > _MAX_BLOCK_FILTER:
-            return source.join(stored.select(self.key), self.key, "left_anti")
-        new = source.filter(block.isin([r["offset_block"] for r in blocks if r["have"] is None]))
+        have = self.table.active().groupBy("part").agg(
+            F.sum("row_count").alias("have"), F.bit_xor("key_digest").alias("have_digest")
+        )
+        want = source.groupBy(self._part(source).alias("part")).agg(
+            F.count(F.lit(1)).alias("want"), F.bit_xor(F.xxhash64(self.key)).alias("want_digest")
+        )
+        same = F.col("have").eqNullSafe(F.col("want")) & F.col("have_digest").eqNullSafe(F.col("want_digest"))
+        unequal = want.join(have, "part", "left").filter(~same).select("part", F.col("have").isNotNull().alias("partial"))
+        few = unequal.limit(_MAX_BLOCK_FILTER + 1).collect()
+        rows = source.withColumn("_part", self._part(source))
+        if len(few) > _MAX_BLOCK_FILTER:
+            changed = rows.join(unequal.select(F.col("part").alias("_part")), "_part", "left_semi")
+            stored = self.table.with_part().join(unequal.filter("partial").select("part"), "part", "left_semi")
+            return changed.drop("_part").join(stored.select(self.key), self.key, "left_anti")
+        partial = [r["part"] for r in few if r["partial"]]
+        new = rows.filter(F.col("_part").isin([r["part"] for r in few if not r["partial"]])).drop("_part")
         if not partial:
             return new
-        known = stored.filter(F.col("offset_block").isin(partial)).select(self.key)
-        rest = source.filter(block.isin(partial)).join(known, self.key, "left_anti")
+        known = self.table.read(partial).select(self.key)
+        rest = rows.filter(F.col("_part").isin(partial)).drop("_part").join(known, self.key, "left_anti")
         return new.unionByName(rest)
 
     def upsert(self, batch: DataFrame) -> None:
-        """Replace rows with the batch's keys, insert the others.
+        """Replace rows with the batch's keys, insert the others, in one commit.
 
-        Only blocks in which a key repeats are rewritten. Readers of such a
-        block may see it change; a table format with MERGE avoids that where its
-        connector is available.
+        Only parts in which a key repeats are rewritten; the others of the batch are added to.
         """
-        batch = self._with_block(batch)
-        mark, low, high = batch.agg(
-            F.unix_micros(F.max("ingested_at")), F.min("offset_block"), F.max("offset_block")
-        ).head()
+        batch = self._with_part(batch)
+        mark, low, high = batch.agg(F.unix_micros(F.max("ingested_at")), F.min("part"), F.max("part")).head()
         if mark is None:
             return
-        stored = self._stored().filter(F.col("offset_block").between(low, high))
-        if stored.isEmpty():
-            self._write(batch, "append")
-        else:
-            self._replace(stored, batch)
-        self._commit(mark)
-
-    def _replace(self, stored: DataFrame, batch: DataFrame) -> None:
+        near = [r["part"] for r in self.table.active().filter(F.col("part").between(low, high)).select("part").distinct().collect()]
         keys = batch.select(self.key)
-        repeats = stored.join(keys, self.key, "left_semi").select("offset_block").distinct()
-        rewritten = [r[0] for r in repeats.collect()]  # at most the table's folders
-        affected = F.col("offset_block").isin(rewritten)
-        # append first: the rewrite removes files, and the batch may read this table
-        self._write(batch.filter(~affected), "append")
+        stored = self.table.with_part(near)
+        repeats = stored.join(keys, self.key, "left_semi").select("part").distinct()
+        rewritten = [r[0] for r in repeats.collect()]  # at most the parts near the batch
+        rows = batch
         if rewritten:
-            kept = stored.filter(affected).join(keys, self.key, "left_anti")
-            block = kept.unionByName(batch.filter(affected))
-            # joined rows are spread by key: gather each block into few files again
-            self._write(block.hint("rebalance", "offset_block"), "overwrite")
+            kept = self.table.with_part(rewritten).join(keys, self.key, "left_anti")
+            # joined rows are spread by key: gather each part into few files again
+            rows = kept.unionByName(batch).hint("rebalance", "part")
+        self.table.commit(rows, rewritten, mark)
 
-    def _commit(self, mark: int | None) -> None:
-        if mark is not None:
-            row = self.spark.range(1).coalesce(1).select(F.timestamp_micros(F.lit(mark)).alias("mark"))
-            row.write.mode("append").parquet(self._marks)
-
-    def _with_block(self, batch: DataFrame) -> DataFrame:
-        return batch.select(*self._columns, self._block(batch).alias("offset_block"))
+    def _with_part(self, batch: DataFrame) -> DataFrame:
+        return batch.select(*self._columns, self._part(batch).alias("part"))
 
-    def _block(self, df: DataFrame) -> Column:
+    def _part(self, df: DataFrame) -> Column:
+        if self.key != "event_id":
+            return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("bigint")
         if "offset_block" in df.columns:
-            return F.col("offset_block")
-        return offset_block(F.col("kafka_offset"), self.block_bits)
-
-    def _write(self, rows: DataFrame, mode: str) -> None:
-        # dynamic overwrite replaces only the blocks that occur in the rows
-        writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("offset_block").parquet(self.path)
+            return F.col("offset_block").cast("bigint")
+        return offset_block(F.col("kafka_offset"), self.block_bits).cast("bigint")
 
 
 __all__ = ["EMPTY_MARK", "IncrementalTable", "high_water_mark", "incremental_filter"]

@@ -6,41 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is hot from a share of 1/1000 of the rows on, so there are at most 1000.
-HOT_SHARE = 1000
-# The sketch misjudges a count by at most about 1/4700 of the rows.
-_TRACKED = 10_000
-_MERGE_GROUPS = 512
+# What one task may hold of a key. A key with more rows is cut into pieces of this size, at any size of the table.
+ROWS_PER_TASK = 1_000_000
+# Lists up to this length are literals and broadcast; longer ones stay a DataFrame.
+MAX_LISTED = 1000
 
-HotKeys = list[tuple[object, int]]
+HotKeys = DataFrame | list[tuple[object, int]]
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000) -> HotKeys:
-    """Keys with at least 1/1000 of the rows, and in how many pieces to cut each.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
+    """Keys with more rows than a task should hold, and in how many pieces to cut each.
 
-    One pass over the key column with a frequent-items sketch of fixed size: no
-    shuffle by key. The sketches merge in two steps, so that no task merges one
-    per input split. At most 1000 short rows reach the driver. Keys below
-    ``min_rows`` rows fit a task and are left whole.
+    Measure the right side of the join itself. The counts are exact and combine before the
+    shuffle, which moves keys only. A table of no more than ``rows_per_task`` rows has no such key, and
+    its size is in the file footers.
     """
-    if df.count() < min_rows:  # row counts of stored tables come from the file footers
+    if df.count() <= rows_per_task:
         return []
-    found = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy((F.spark_partition_id() % _MERGE_GROUPS).alias("part"))
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.expr(f"approx_top_k_accumulate({key}, {_TRACKED})").alias("sketch"),
-        )
-        .groupBy(F.lit(0).alias("all"))  # no group, hence no sketch to combine, for no rows
-        .agg(F.sum("rows").alias("rows"), F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"))
-        .filter(F.col("rows") >= min_rows)
-        .select("rows", F.expr(f"inline(approx_top_k_estimate(sketch, {HOT_SHARE}))"))
-    )
-    share = F.greatest(F.ceil(F.col("rows") / HOT_SHARE), F.lit(min_rows))
-    pieces = F.ceil(F.col("count") / share).cast("int").alias("pieces")
-    hot = found.filter(F.col("count") >= share).select("item", pieces)
-    return [(row["item"], row["pieces"]) for row in hot.collect()]
+    pieces = F.ceil(F.count("*") / F.lit(rows_per_task)).cast("int").alias("pieces")
+    counted = df.filter(F.col(key).isNotNull()).groupBy(F.col(key)).agg(pieces).filter("pieces > 1")
+    few = counted.limit(MAX_LISTED + 1).collect()
+    return counted if len(few) > MAX_LISTED else [tuple(row) for row in few]
 
 
 def left_join(
@@ -55,14 +41,24 @@ def left_join(
     A hot left side needs no help: AQE cuts its partitions. It cannot cut the
     right side of a left join, so the right rows of a hot key are dealt into
     pieces by the hash of ``right_spread`` and each left row of that key visits
-    all pieces. A copy that finds nothing in its piece is dropped; that is exact
-    because a hot key, having been counted on the right, matches in some piece.
+    all pieces; copies that find nothing are dropped. That is exact for any list: keys the right side does
+    not hold are taken off the list first, so every key left on it matches in some piece.
     """
-    if not hot:
-        return left.join(right, key, "left")
-    schema = T.StructType([right.schema[key], T.StructField("_pieces", T.IntegerType())])
-    # at most HOT_SHARE rows (see hot_keys), hence safe to broadcast
-    pieces_of = F.broadcast(left.sparkSession.createDataFrame(list(hot), schema))
+    if isinstance(hot, list | tuple):
+        if not hot:
+            return left.join(right, key, "left")
+        if len(hot) > MAX_LISTED:
+            raise ValueError(f"more than {MAX_LISTED} hot keys: pass them as a DataFrame")
+        listed = left.sparkSession.createDataFrame(
+            [(k, max(1, n)) for k, n in hot], right.select(key).schema.add("_pieces", T.IntegerType())
+        )
+        listed = F.broadcast(listed)  # at most MAX_LISTED short rows
+    else:
+        listed = hot.toDF(key, "_pieces")  # Spark decides by the size it measures
+    held = right.join(listed, key, "left_semi").select(key).distinct()
+    pieces_of = listed.join(held, key, "left_semi").groupBy(key).agg(F.max("_pieces").alias("_pieces"))
+    if isinstance(hot, list | tuple):
+        pieces_of = F.broadcast(pieces_of)
     pieces = F.col("_pieces")
     visits = F.when(pieces.isNotNull(), F.sequence(F.lit(0), pieces - 1)).otherwise(F.array(F.lit(0)))
     dealt = F.coalesce(F.pmod(F.xxhash64(right_spread), pieces).cast("int"), F.lit(0))

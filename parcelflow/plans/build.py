@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from parcelflow.functions.keys import BLOCK_BITS
 from parcelflow.operators.event_log import EventLog
 from parcelflow.operators.incremental import IncrementalTable
+from parcelflow.operators.versioned import VersionedTable
 from parcelflow.operators.conflicts import insert_ignore
 from parcelflow.operators.joins import HotKeys, hot_keys
 from parcelflow.operators.quality import check_not_null, check_primary_key, check_rule, require
 from parcelflow.plans import marts, staging
-from parcelflow.plans.status import warehouse_status
 from parcelflow.schemas import RAW_CATEGORIES, RAW_CUSTOMERS, RAW_EVENTS, RAW_PRODUCTS, create_if_absent
 from parcelflow.sources.seeds import seed_categories, seed_customers, seed_products
 
@@ -65,9 +65,8 @@ MODELS: dict[str, Model] = {
     ),
 }
 
-# Hot-key lists: the model whose key column is measured. Every staged order is in
-# fct_orders, so its keys are the keys there.
-_HOT = {"hot_orders": ("stg_orders", "order_id"), "hot_payments": ("stg_payments", "payment_id")}
+# Hot-key lists: the joined model whose key column is measured.
+_HOT = {"hot_orders": ("fct_orders", "order_id"), "hot_payments": ("stg_payments", "payment_id")}
 _SPLITS = {"fct_payments": ("hot_orders",), "fct_shipments": ("hot_orders", "hot_payments")}
 
 _RAW_TABLES = {"raw_categories": RAW_CATEGORIES, "raw_products": RAW_PRODUCTS, "raw_customers": RAW_CUSTOMERS}
@@ -151,7 +150,7 @@ class Warehouse:
             return model.query(self)
         if model.materialized == "incremental":
             return self._incremental(name).read()
-        return self.spark.read.parquet(self._table(name))
+        return self._versioned(name).read()
 
     def materialize(self, name: str, mode: str = "keyed") -> None:
         """Build one model from what is stored now.
@@ -163,6 +162,8 @@ class Warehouse:
         if model.materialized == "view":
             model.query(self).createOrReplaceTempView(name)
         elif model.materialized == "table":
+            # the version before this one goes a build later, when its readers are done
+            self._versioned(name).vacuum()
             materialize_table(model.query(self), self._table(name))
         elif mode == "keyed":
             self._incremental(name).load_keyed(model.query(self))
@@ -211,9 +212,10 @@ class Warehouse:
         return result
 
     def status(self) -> DataFrame:
-        return warehouse_status(
-            self.source("raw_events"), self.ref("fct_orders"), self.ref("fct_payments"), self.ref("fct_shipments")
-        )
+        """Row counts of the log and the facts, from file footers and manifests."""
+        facts = {name: self._versioned(name).count() for name in ("fct_orders", "fct_payments", "fct_shipments")}
+        raw = self.source("raw_events").agg(F.count(F.lit(1)).alias("raw_events_count"))
+        return raw.withColumns({f"{name}_count": F.lit(n).cast("bigint") for name, n in facts.items()})
 
     def declare(self, raw: str = "raw", wh: str = "wh") -> None:
         """Make the built warehouse queryable in SQL as ``raw.*`` and ``wh.*``.
@@ -234,10 +236,11 @@ class Warehouse:
             if model.materialized == "view":
                 view(f"{wh}.{name}", staging.RENAMED[name], f"{raw}.{name.replace('stg_', 'raw_')}")
             else:
-                view(f"{wh}.{name}", self.ref(name).columns, f"parquet.`{self._table(name)}`")
+                kept = self._incremental(name).table if model.materialized == "incremental" else self._versioned(name)
+                self.spark.sql(f"CREATE OR REPLACE VIEW {wh}.{name} AS {kept.sql(kept.schema.fieldNames())}")
 
     def hot(self, name: str) -> HotKeys:
-        """Join keys to split, measured once per build on the narrow staging table."""
+        """Join keys to split, measured once per build on the table that is joined."""
         if name not in self._hot:
             model, key = _HOT[name]
             self._hot[name] = hot_keys(self.ref(model), key)
@@ -246,6 +249,9 @@ class Warehouse:
     def _table(self, name: str) -> str:
         return f"{self.root}/wh/{name}"
 
+    def _versioned(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, self._table(name))
+
     def _incremental(self, name: str) -> IncrementalTable:
         if name not in self._loads:
             schema = MODELS[name].query(self).drop("offset_block").schema
@@ -255,6 +261,8 @@ class Warehouse:
         return self._loads[name]
 
 
-def materialize_table(df: DataFrame, path: str) -> None:
-    """Full rebuild: the new rows replace the table."""
-    df.write.mode("overwrite").parquet(path)
+def materialize_table(df: DataFrame, path: str) -> VersionedTable:
+    """Full rebuild: the new rows replace the table in one step; readers of the old ones keep them."""
+    table = VersionedTable(df.sparkSession, path, df.schema)
+    table.replace_all(df)
+    return table

@@ -22,11 +22,10 @@ from parcelflow.operators.conflicts import insert_ignore
 from parcelflow.operators.event_log import EventLog, quarantine_as_messages
 from parcelflow.operators.incremental import IncrementalTable
 from parcelflow.operators.ingest import bad_messages as find_bad_messages
-from parcelflow.operators.joins import hot_keys
+from parcelflow.operators.joins import hot_keys, left_join
 from parcelflow.plans import marts, staging
 from parcelflow.plans.build import Warehouse, materialize_table as rebuild_table
-from parcelflow.plans.status import warehouse_status as status_row
-from parcelflow.schemas import KAFKA_SCHEMA, MESSAGE_KEY, TOPICS, Field
+from parcelflow.schemas import KAFKA_SCHEMA, MESSAGE_KEY, RAW_CUSTOMERS, TOPICS, Field
 from parcelflow.session import configure, scratch_dir
 from parcelflow.sources import order_tables as source
 from parcelflow.sources import seeds
@@ -36,7 +35,8 @@ from parcelflow.sources.logs import log_scan as scan_logs
 from parcelflow.sources.logs import render_line
 from parcelflow.sources.tables import declare_table
 from parcelflow.streaming.chain import as_raw_events, start_payments, start_shipments
-from parcelflow.streaming.enrich import enrich_payments
+from parcelflow.streaming.enrich import enrich_payments, late_events
+from parcelflow.streaming.ingest import batch_counts
 from parcelflow.streaming.ingest import stream_ingest as start_ingest
 
 
@@ -57,6 +57,7 @@ def portable(df: DataFrame) -> DataFrame:
 
 _files: dict[tuple[str, str], str] = {}
 _landed: dict[tuple[str, str], EventLog] = {}
+_built: dict[tuple[str, str], Warehouse] = {}
 
 
 def _stored(spark: SparkSession, path: str) -> bool:
@@ -190,8 +191,23 @@ def topic_filter(spark, sf_dir):
 
 
 def event_ids(spark, sf_dir):
-    rows = with_row_id(raw(spark, sf_dir).select(event_id().alias("event_id"), *MESSAGE_KEY))
-    return rows.drop("id")
+    return raw(spark, sf_dir).select(event_id().alias("event_id"), *MESSAGE_KEY)
+
+
+def row_id(spark, sf_dir):
+    """Every stored event gets an id of its own: as many ids as rows, per topic."""
+    rows = with_row_id(raw(spark, sf_dir).select("kafka_topic"))
+    return rows.groupBy("kafka_topic").agg(F.count("id").alias("row_count"), F.countDistinct("id").alias("ids"))
+
+
+def write_by_key(spark, sf_dir):
+    """Messages written with the messages of each key in one file, as a broker puts them into one partition."""
+    path = scratch_dir(spark, "by-key")
+    write_events(messages(spark, sf_dir), path=path, by_key=True)
+    stored = spark.read.schema(KAFKA_SCHEMA).parquet(path)
+    stored = stored.select("key", F.input_file_name().alias("file"))
+    by_key = stored.groupBy("key").agg(F.countDistinct("file").alias("files"), F.count("*").alias("n"))
+    return by_key.groupBy(F.col("n").alias("messages"), "files").agg(F.count("*").alias("keys"))
 
 
 def _event_props(spark, sf_dir) -> DataFrame:
@@ -268,8 +284,12 @@ def derive_shipments(spark, sf_dir):
 
 def scan_raw_customers(spark, sf_dir):
     warehouse = Warehouse(spark, scratch_dir(spark, "raw"))
+    path, database = f"{warehouse.root}/raw/raw_customers", f"raw_{uuid.uuid4().hex[:8]}"
+    for _ in range(2):
+        declare_table(spark, database, "raw_customers", path, RAW_CUSTOMERS)
     warehouse.insert("raw_customers", source.raw_customers(spark, sf_dir))
-    return portable(warehouse.source("raw_customers"))
+    spark.catalog.refreshTable(f"{database}.raw_customers")
+    return portable(spark.table(f"{database}.raw_customers"))
 
 
 def seed_values(spark, sf_dir):
@@ -364,6 +384,17 @@ def join_shipments_orders(spark, sf_dir):
     return portable(joined.select("shipment_id", "order_id", "product_id", "quantity", "unit_price", "order_ts"))
 
 
+def join_hot_orders(spark, sf_dir):
+    """A third of the right rows share order 1; keys the right side lacks are listed too."""
+    orders = source.table(spark, sf_dir, "orders")
+    key, total = F.col("o_orderkey"), F.col("o_totalprice").alias("total")
+    placed = orders.select(F.when(key % 3 == 0, F.lit(1)).otherwise(key).alias("order_id"), key.alias("line"), total)
+    paid = orders.select(key.alias("payment_id"), F.when(key % 1000 == 1, F.lit(1)).otherwise(key + 1).alias("order_id"))
+    hot = hot_keys(placed, "order_id", rows_per_task=100)
+    assert hot, "the fixture has a hot order"
+    return left_join(paid, placed, "order_id", "line", [*hot, (-1, 3), (3, 4), (6, 2)])
+
+
 def _unnamed(orders: DataFrame) -> DataFrame:
     """Staged orders in the shape of the fact, without looking up names."""
     none = F.lit(None)
@@ -401,15 +432,13 @@ def fct_shipments(spark, sf_dir):
 
 
 def materialize_table(spark, sf_dir):
-    """Declared, rebuilt twice, and read back as a table."""
-    orders = marts.dim_customers(_customers(spark, sf_dir))
-    path, database = scratch_dir(spark, "dim_customers"), f"wh_{uuid.uuid4().hex[:8]}"
-    columns = "customer_id bigint, customer_name string, email string"
-    for _ in range(2):
-        declare_table(spark, database, "dim_customers", path, columns)
-        rebuild_table(orders, path)
-        spark.catalog.refreshTable(f"{database}.dim_customers")
-    return spark.table(f"{database}.dim_customers")
+    """Built, rebuilt with other rows, and rebuilt again while a reader holds the version before."""
+    customers = marts.dim_customers(_customers(spark, sf_dir))
+    path = scratch_dir(spark, "dim_customers")
+    rebuild_table(customers.withColumn("email", F.upper("email")), path)
+    reader = rebuild_table(customers, path).read()
+    rebuild_table(customers.limit(0), path)
+    return reader
 
 
 def new_warehouse(spark, sf_dir) -> Warehouse:
@@ -468,16 +497,60 @@ def incremental_upsert(spark, sf_dir):
     return table.read().select("event_id", "order_id", "quantity")
 
 
-def warehouse_status(spark, sf_dir):
-    orders = _fct_orders(spark, sf_dir)
-    payments, shipments = _payments(spark, sf_dir), _shipments(spark, sf_dir)
-    hot_o, hot_p = _hot_orders(spark, sf_dir), _hot_payments(spark, sf_dir)
-    return status_row(
-        raw(spark, sf_dir),
-        orders,
-        marts.fct_payments(payments, orders, hot_o),
-        marts.fct_shipments(shipments, payments, orders, hot_p, hot_o),
+def incremental_keyed_changed(spark, sf_dir):
+    """The first source holds the odd orders, the second as many even ones; the table ends with both."""
+    orders = staging.stg_orders(landed(spark, sf_dir).raw_events(blocks=True))
+    number = F.col("kafka_offset") * 3 + F.col("kafka_partition")
+    table = IncrementalTable(spark, scratch_dir(spark, "stg_orders"), orders.drop("offset_block").schema)
+    table.load_keyed(orders.filter(number % 2 == 1))
+    table.load_keyed(orders.filter(number % 2 == 0))
+    return portable(table.read().select("event_id", "order_id", "quantity", "ingested_at"))
+
+
+def incremental_upsert_by_order(spark, sf_dir):
+    """One row per order id, keyed on it: later events of an order, from any block, replace the earlier."""
+    orders = staging.stg_orders(landed(spark, sf_dir).raw_events(blocks=True))
+    number = F.col("kafka_offset") * 3 + F.col("kafka_partition")
+    table = IncrementalTable(
+        spark, scratch_dir(spark, "orders-by-id"), orders.drop("offset_block").schema, key="order_id", buckets=8
     )
+    table.upsert(orders.filter(number % 50 != 49))
+    table.upsert(orders.filter(number % 50 == 49))  # these repeat the order id before theirs
+    return table.read().select("event_id", "order_id", "quantity")
+
+
+def pipeline_status(spark, sf_dir):
+    """Row counts of the log and the facts of a built warehouse, from footers and manifests."""
+    return built_twice(spark, sf_dir).status()
+
+
+def built_twice(spark, sf_dir) -> Warehouse:
+    """A warehouse built on the first half of the messages, and again after the rest; kept per table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _built or not _stored(spark, f"{_built[key].root}/wh/fct_shipments/manifest"):
+        warehouse = Warehouse(spark, scratch_dir(spark, "built-twice"))
+        warehouse.insert("raw_categories", source.raw_categories(spark, sf_dir))
+        warehouse.insert("raw_products", source.raw_products(spark, sf_dir))
+        warehouse.insert("raw_customers", source.raw_customers(spark, sf_dir))
+        every = messages(spark, sf_dir)
+        half = F.col("offset") % 2 == 0
+        for part in (every.filter(half), every):
+            warehouse.log.append(part, F.col("message_ts"))
+            warehouse.build()
+        _built[key] = warehouse
+    return _built[key]
+
+
+def build_fct_orders(spark, sf_dir):
+    return portable(built_twice(spark, sf_dir).ref("fct_orders"))
+
+
+def build_fct_payments(spark, sf_dir):
+    return portable(built_twice(spark, sf_dir).ref("fct_payments"))
+
+
+def build_fct_shipments(spark, sf_dir):
+    return portable(built_twice(spark, sf_dir).ref("fct_shipments"))
 
 
 # --- constraints ------------------------------------------------------------------
@@ -523,6 +596,15 @@ def stream_ingest(spark, sf_dir):
     return _envelope(log.raw_events())
 
 
+def stream_outcomes(spark, sf_dir):
+    """Messages per topic and outcome, added up from the counters of the micro-batches."""
+    stream = event_source(spark, TOPICS, path=message_files(spark, sf_dir), maxFilesPerTrigger="4")
+    log, counts = EventLog(spark, scratch_dir(spark, "stream-log")), scratch_dir(spark, "stream-counts")
+    _finish(start_ingest(stream, log, scratch_dir(spark, "stream-checkpoint"), F.col("message_ts"), counts, availableNow=True))
+    by_batch = batch_counts(spark, counts)
+    return by_batch.groupBy("topic", "outcome").agg(F.sum("messages").cast("bigint").alias("messages"))
+
+
 def stream_chain(spark, sf_dir):
     """Stored orders -> payments -> shipments, one streaming query per step."""
     paid, shipped = scratch_dir(spark, "payments"), scratch_dir(spark, "shipments")
@@ -535,17 +617,18 @@ def stream_chain(spark, sf_dir):
     return portable(staging.stg_shipments(as_raw_events(derived)).select(columns))
 
 
-def stream_payment_enrich(spark, sf_dir):
-    """Payments of at most a day after their order; the others come out bare.
+def _enriched(spark, sf_dir, max_delay: str, max_early: str, late: str, hot_orders=()) -> DataFrame:
+    """Both streams joined in state.
 
-    A closing event on each stream, a month after the last, moves the watermark
-    past all real payments, so that the bare ones are released. It needs an
+    A closing event on each stream, beyond all bounds after the last, moves the watermark
+    past all real payments, so that those without a match are released. It needs an
     order id (one that matches nothing): rows without a join key are dropped
     before the watermark sees them.
     """
     log = landed(spark, sf_dir)
     closers = scratch_dir(spark, "closing")
-    last = log.raw_events().agg((F.max("event_ts") + F.expr("INTERVAL 30 DAYS")).alias("at"))
+    after = F.expr(f"INTERVAL {max_delay} + INTERVAL {max_early} + INTERVAL {late} + INTERVAL 30 DAYS")
+    last = log.raw_events().agg((F.max("event_ts") + after).alias("at"))
     last.write.parquet(closers)
     closing = spark.readStream.schema(last.schema).parquet(closers)
 
@@ -557,7 +640,7 @@ def stream_payment_enrich(spark, sf_dir):
     orders = closed(staging.stg_orders(log.stream()), "order_ts", -2)
     out = scratch_dir(spark, "enriched")
     query = (
-        enrich_payments(payments, orders, max_delay="1 day")
+        enrich_payments(payments, orders, max_delay, max_early, late, hot_orders)
         .writeStream.option("checkpointLocation", scratch_dir(spark, "cp-enriched"))
         .outputMode("append")
         .trigger(availableNow=True)
@@ -565,9 +648,24 @@ def stream_payment_enrich(spark, sf_dir):
         .start(out)
     )
     _finish(query)
+    if dropped := late_events(query):
+        raise RuntimeError(f"{dropped} events came behind the watermark")
     return portable(spark.read.parquet(out))
 
 
+def stream_payment_enrich(spark, sf_dir):
+    """All payments with their orders, whenever those were placed: equal to the left join of the stored tables.
+
+    Some orders are dealt over several state partitions, which must not show.
+    """
+    return _enriched(spark, sf_dir, "3650 days", "3650 days", "3650 days", hot_orders=[(48, 4), (98, 3), (-5, 2)])
+
+
+def stream_payment_enrich_bounded(spark, sf_dir):
+    """Payments of at most a day after their order; the others come out bare."""
+    return _enriched(spark, sf_dir, "1 day", "0 days", "1 day")
+
+
 # Which service writes about which kind of event, when events are told as log lines.
 _SERVICE = {
     "view": "api",
@@ -602,6 +700,8 @@ QUERIES = {
     "dead_letter_redrive": dead_letter_redrive,
     "topic_filter": topic_filter,
     "event_id": event_ids,
+    "row_id": row_id,
+    "write_by_key": write_by_key,
     "json_field": json_field,
     "cast_bigint": cast_bigint,
     "cast_decimal": cast_decimal,
@@ -639,15 +739,23 @@ QUERIES = {
     "incremental_strict": incremental_strict,
     "incremental_keyed": incremental_keyed,
     "incremental_upsert": incremental_upsert,
-    "warehouse_status": warehouse_status,
+    "pipeline_status": pipeline_status,
+    "build_fct_orders": build_fct_orders,
+    "build_fct_payments": build_fct_payments,
+    "build_fct_shipments": build_fct_shipments,
+    "incremental_keyed_changed": incremental_keyed_changed,
+    "incremental_upsert_by_order": incremental_upsert_by_order,
+    "join_hot_orders": join_hot_orders,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_check": dq_check,
     "dq_primary_key": dq_primary_key,
     "dq_relationships": dq_relationships,
     "stream_ingest": stream_ingest,
+    "stream_outcomes": stream_outcomes,
     "stream_chain": stream_chain,
     "stream_payment_enrich": stream_payment_enrich,
+    "stream_payment_enrich_bounded": stream_payment_enrich_bounded,
     "log_scan": log_scan,
 }
 

@@ -22,8 +22,11 @@ def event_source(
     """Messages of ``topics`` from a broker, or from Parquet of the same columns.
 
     A streaming query resumes from its checkpoint; ``starting`` counts only
-    the first time. Reading a broker needs Spark's Kafka connector package.
+    the first time. Reading a broker needs Spark's Kafka connector package. A batch read is read several times by
+    whoever uses it, so ``endingOffsets`` must name offsets: "latest" would be another place each time.
     """
+    if servers is not None and not streaming and options.get("endingOffsets", "latest") == "latest":
+        raise ValueError("a batch read of a broker needs endingOffsets as offsets, not 'latest'")
     reader = spark.readStream if streaming else spark.read
     if servers is not None:
         options = {

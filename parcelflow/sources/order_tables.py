@@ -19,7 +19,7 @@ DIMENSION_TIME = "2024-01-01 00:00:00"
 BASE_EVENTS = """
 SELECT o_orderkey AS k,
        o_orderkey - (CASE WHEN o_orderkey % 50 = 49 THEN 1 ELSE 0 END) AS order_id,
-       o_custkey AS customer_id,
+       o_custkey + (CASE WHEN o_orderkey % 11 = 10 THEN 1000000000 ELSE 0 END) AS customer_id,
        o_orderkey % 100 + 1 AS product_id,
        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 5 + 1 AS INT) END AS quantity_raw,
        CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE CAST(o_orderkey % 5 + 1 AS INT) END AS quantity,
@@ -47,12 +47,12 @@ _ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of fewer splits than cores; else leave it alone.
+    """Use all cores on a table of fewer files than cores; else leave it alone.
 
     A broker source does the same with its ``minPartitions`` option.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,43 +126,37 @@ def kafka_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MESSAGE = "struct<key:binary,value:binary,topic:string,partition:int,offset:bigint,timestamp:timestamp>"
 
 
-def all_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part types numbered from 1 in order of name; a handful of rows."""
-    names = table(spark, sf_dir, "part").agg(F.sort_array(F.collect_set("p_type")).alias("names"))
-    return names.select(F.posexplode("names").alias("pos", "name")).select(
-        (F.col("pos") + 1).cast("bigint").alias("category_id"), "name"
-    )
-
-
 def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Category 6 was never delivered, so products of it find no name."""
-    rows = all_categories(spark, sf_dir).filter(F.col("category_id") != 6)
-    return rows.withColumn("ingested_at", F.lit(DIMENSION_TIME).cast("timestamp"))
+    """Part types, numbered by their first part."""
+    types = table(spark, sf_dir, "part").groupBy("p_type").agg(F.min("p_partkey").alias("category_id"))
+    return types.select(
+        F.col("category_id").cast("bigint").alias("category_id"),
+        F.col("p_type").alias("name"),
+        F.lit(DIMENSION_TIME).cast("timestamp").alias("ingested_at"),
+    )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts inserted in key order; a name that is taken is ignored."""
+    """Parts inserted in key order; a name that is taken is ignored. Some name a category that does not exist."""
     parts = table(spark, sf_dir, "part")
     kept = insert_ignore(parts.select("p_partkey", "p_name", "p_type", "p_retailprice"), "p_name", "p_partkey")
-    joined = kept.join(all_categories(spark, sf_dir), F.col("name") == F.col("p_type"))
+    categories = raw_categories(spark, sf_dir).select("category_id", F.col("name").alias("type"))
+    unknown = F.when(F.col("p_partkey") % 9 == 8, F.lit(1_000_000_000)).otherwise(F.lit(0))
+    joined = kept.join(categories, F.col("type") == F.col("p_type"))
     return joined.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("name"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
         F.lit(DIMENSION_TIME).cast("timestamp").alias("ingested_at"),
-        F.col("category_id").cast("int").alias("category_id"),
+        (F.col("category_id") + unknown).cast("int").alias("category_id"),
     )
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers that pass CHECK (c_acctbal >= 0); the refused ones leave orders without a match."""
-    return (
-        table(spark, sf_dir, "customer")
-        .filter(F.col("c_acctbal") >= 0)
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("name"),
-            F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
-            F.lit(DIMENSION_TIME).cast("timestamp").alias("ingested_at"),
-        )
+    """All customers; the orders that find none name ids that do not exist."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"),
+        F.col("c_name").alias("name"),
+        F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
+        F.lit(DIMENSION_TIME).cast("timestamp").alias("ingested_at"),
     )

@@ -32,6 +32,6 @@ def jdbc_source(
 
 
 def declare_table(spark: SparkSession, database: str, name: str, path: str, columns: str) -> None:
-    """Declare a database and an external Parquet table; no-op for what exists."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    """Declare a database, kept beside the table's folder, and an external Parquet table; no-op for what exists."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{path.rstrip('/')}__database'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet LOCATION '{path}'")

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow.operators.event_log import EventLog
+from parcelflow.schemas import create_if_absent
+
+_COUNTS = "batch_id bigint, topic string, outcome string, messages bigint"
+
+
+def batch_counts(spark: SparkSession, counts_path: str) -> DataFrame:
+    """``batch_id, topic, outcome, messages`` of the micro-batches so far; a batch that ran again counts each time."""
+    create_if_absent(spark, counts_path, _COUNTS)
+    return spark.read.schema(_COUNTS).parquet(counts_path)
 
 
 def stream_ingest(
@@ -13,10 +22,14 @@ def stream_ingest(
     log: EventLog,
     checkpoint: str,
     clock: Column | None = None,
+    counts_path: str | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Append every micro-batch to the log.
 
+    ``counts_path`` is a table that gets the messages per topic and outcome of each batch, as
+    :func:`batch_counts` reads them.
+
     The checkpoint takes the place of offset commits: offsets count as done
     only after their batch is stored. A batch that runs twice finds its events
     in the log and stores them once, so delivery is effectively exactly-once.
@@ -25,7 +38,11 @@ def stream_ingest(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         # rereading a broker costs more than a local copy of one bounded batch
-        log.append(batch, clock, keep=True)
+        counts = log.append(batch, clock, keep=True)
+        if counts_path is not None and counts:
+            rows = [(batch_id, topic, outcome, n) for (topic, outcome), n in counts.items()]
+            entry = log.spark.createDataFrame(rows, _COUNTS).coalesce(1)
+            entry.write.mode("append").parquet(counts_path)
 
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -122,3 +122,54 @@ def test_one_hot_message(spark, folder, way):
     log = EventLog(spark, folder)
     log.append(copies)
     assert counts(log) == {("orders", "written"): 13334, ("orders", "duplicate"): 6666}
+
+
+def opened(df):
+    """Folders of stored blocks that a plan reads."""
+    return {f.split("/log/")[1].rsplit("/", 1)[0] for f in df.inputFiles()}
+
+
+def test_history_is_looked_up_per_partition(spark, folder):
+    """A partition that lags behind opens its own blocks, not those between it and the others."""
+    log = EventLog(spark, f"{folder}/log", block_bits=4)
+    log.append(frame(spark, *[message('{"a":1}', offset=o) for o in range(1600)]))
+    assert len(opened(log.read())) == 100
+    batch = frame(spark, message('{"a":1}', offset=1599), message('{"a":2}', partition=1, offset=0))
+    known = log._known(log._spans(batch))
+    assert opened(known) == {"outcome=written/kafka_topic=orders/offset_block=99", "outcome=written/kafka_topic=orders/offset_block=0"}
+    assert known.count() == 1
+    late = frame(spark, message('{"a":2}', partition=1, offset=3))
+    assert opened(log._known(log._spans(late))) == {"outcome=written/kafka_topic=orders/offset_block=0"}
+    elsewhere = frame(spark, message('{"a":2}', topic="payments"))
+    assert opened(log._known(log._spans(elsewhere))) == set()
+    assert log.append(batch) == {("orders", "written"): 1, ("orders", "duplicate"): 1}
+
+
+def test_wide_spans_prune_the_listing_instead(spark, folder, monkeypatch):
+    from parcelflow.operators import event_log
+
+    log = EventLog(spark, f"{folder}/log", block_bits=2)
+    batch = frame(spark, *[message('{"a":1}', offset=o) for o in range(20)])
+    log.append(batch)
+    monkeypatch.setattr(event_log, "_NAMED_FOLDERS", 1)
+    assert log.append(batch) == {("orders", "duplicate"): 20}
+
+
+def test_appends_at_the_same_time_store_an_event_once(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    log, same = EventLog(spark, f"{folder}/log"), EventLog(spark, f"{folder}/log")
+    batch = frame(spark, *[message('{"a":1}', offset=o) for o in range(50)])
+    with ThreadPoolExecutor(2) as pool:
+        counts = [job.result() for job in [pool.submit(x.append, batch) for x in (log, same)]]
+    assert sorted(counts, key=str) == [{("orders", "duplicate"): 50}, {("orders", "written"): 50}]
+    assert log.raw_events().count() == 50
+
+
+def test_counts_of_an_append(spark, folder):
+    log = EventLog(spark, folder)
+    batch = frame(spark, message('{"a":1}'), message('{"a":1}'), message("nope", offset=5), message('{"a":1}', key=b"\xff", offset=6), message('{"a":1}', topic="x"))
+    assert log.append(batch) == {
+        ("orders", "written"): 1, ("orders", "duplicate"): 1, ("orders", "bad"): 1, ("orders", "error"): 1, ("x", "written"): 1,
+    }
+    assert log.append(batch.limit(0)) == {}

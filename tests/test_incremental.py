@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 import pytest
 
 from parcelflow.operators.incremental import IncrementalTable, high_water_mark, incremental_filter
@@ -64,7 +62,7 @@ def test_upsert_leaves_other_blocks_alone(spark, table):
     table.upsert(rows(spark, *[(i, i, 1) for i in range(32)]))
 
     def others():
-        return {f for f in table._stored().inputFiles() if "offset_block=0/" not in f}
+        return {f for f in table.read().inputFiles() if "part=0/" not in f}
 
     before = others()
     table.upsert(rows(spark, (3, 100, 2)))
@@ -77,22 +75,80 @@ def test_a_batch_derived_from_the_table_itself(spark, table):
     assert content(table) == [(i, i + 1) for i in range(20)]
 
 
-def test_a_load_that_died_before_its_mark_is_repeated(spark, table):
-    first, second = rows(spark, (0, 1, 1)), rows(spark, (0, 1, 1), (1, 2, 3), (2, 3, 2))
-    table.load_strict(first)
-    # half of the second load reached the table, its mark did not
-    table._write(table._with_block(rows(spark, (1, 2, 3))), "append")
-    table.load_strict(second)
-    assert content(table) == [(0, 1), (1, 2), (2, 3)]
+@pytest.mark.parametrize("mode", ["strict", "keyed"])
+def test_a_load_that_dies_before_its_commit_changes_nothing(spark, table, mode, monkeypatch):
+    """Corrected rows survive, readers see the old rows, and the next load repeats the lost one."""
+    table.load_keyed(rows(spark, (0, 1, 1), (1, 1, 1), (9, 1, 1)))
+    table.upsert(rows(spark, (1, 50, 2)))
+    source = rows(spark, (0, 1, 1), (1, 1, 1), (9, 1, 1), (2, 5, 9), (1, 70, 9) if mode == "strict" else (3, 6, 9))
+    before = content(table)
+
+    def dies(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(type(table.table), "_commit", dies)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            table.load_strict(source) if mode == "strict" else table.load_keyed(source)
+    assert content(table) == before == [(0, 1), (1, 50), (9, 1)]
+    table.table.vacuum()  # the lost load's files
+    assert content(table) == before
+    table.load_strict(source) if mode == "strict" else table.load_keyed(source)
+    late = [(1, 70), (2, 5)] if mode == "strict" else [(1, 50), (2, 5), (3, 6)]
+    assert content(table) == sorted([(0, 1), (9, 1), *late])
 
 
-def test_a_lost_block_is_refilled(spark, table, folder):
-    source = rows(spark, *[(i, i, 1) for i in range(32)])
-    table.load_keyed(source)
-    os.rename(f"{folder}/t/offset_block=1", f"{folder}/gone")
-    assert len(content(table)) == 24
-    table.load_keyed(source)
-    assert content(table) == [(i, i) for i in range(32)]
+def test_a_reader_keeps_its_version(spark, table):
+    table.upsert(rows(spark, *[(i, i, 1) for i in range(20)]))
+    reader = table.read()
+    table.upsert(rows(spark, (3, 100, 2)))
+    assert reader.filter("amount = 100").count() == 0 and reader.count() == 20
+    assert table.read().filter("amount = 100").count() == 1
+
+
+def test_equal_counts_are_not_taken_for_equal_keys(spark, table):
+    table.load_keyed(rows(spark, (0, 1, 1), (1, 1, 1)))
+    table.load_keyed(rows(spark, (0, 1, 1), (2, 1, 1)))
+    assert content(table) == [(0, 1), (1, 1), (2, 1)]
+
+
+def test_many_changed_blocks_are_compared_by_a_join(spark, table, monkeypatch):
+    from parcelflow.operators import incremental
+
+    monkeypatch.setattr(incremental, "_MAX_BLOCK_FILTER", 1)
+    table.load_keyed(rows(spark, *[(i, 1, 1) for i in range(0, 40, 2)]))
+    table.load_keyed(rows(spark, *[(i, 2, 2) for i in range(60)]))
+    assert content(table) == [(i, 1 if i < 40 and i % 2 == 0 else 2) for i in range(60)]
+
+
+def test_any_key(spark, folder):
+    """Rows move between offset blocks, and still replace each other by the declared key."""
+    schema = rows(spark, (0, 0, 0)).schema
+    table = IncrementalTable(spark, f"{folder}/by_amount", schema, key="amount", block_bits=3, buckets=4)
+    table.upsert(rows(spark, (0, 7, 1), (50, 8, 1), (3, 9, 1)))
+    table.upsert(rows(spark, (100, 7, 2), (1, 10, 2)))
+    assert content(table) == [(1, 10), (3, 9), (50, 8), (100, 7)]
+    table.load_keyed(rows(spark, (200, 7, 3), (201, 11, 3)))
+    assert content(table) == [(1, 10), (3, 9), (50, 8), (100, 7), (201, 11)]
+
+
+def test_rebuild_is_a_swap(spark, folder, monkeypatch):
+    from parcelflow.operators.versioned import VersionedTable
+    from parcelflow.plans.build import materialize_table
+
+    first = materialize_table(rows(spark, (0, 1, 1)), f"{folder}/t")
+    reader = first.read()
+    with monkeypatch.context() as broken:
+        broken.setattr(VersionedTable, "_commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            materialize_table(rows(spark, (5, 5, 5)), f"{folder}/t")
+    assert [r["amount"] for r in first.read().collect()] == [1]
+    second = materialize_table(rows(spark, (2, 2, 2), (3, 3, 3)), f"{folder}/t")
+    assert reader.count() == 1 and second.count() == 2 == VersionedTable(spark, f"{folder}/t").read().count()
+    assert spark.sql(second.sql(["amount"])).count() == 2
+    assert materialize_table(rows(spark, (2, 2, 2)).limit(0), f"{folder}/t").read().count() == 0
+    second.vacuum()
+    assert second.count() == 0
 
 
 def test_empty_batch(spark, table):

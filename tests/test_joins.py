@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import pytest
 
+from parcelflow.operators import joins
 from parcelflow.operators.joins import hot_keys, left_join
 
+COLUMNS = ["k", "left_id", "right_id"]
+
 
 @pytest.fixture(scope="module")
 def sides(spark):
@@ -17,10 +20,15 @@ def sides(spark):
     return left, right
 
 
+def assert_plain(left, right, hot):
+    split = left_join(left, right, "k", "right_id", hot).select(COLUMNS)
+    plain = left.join(right, "k", "left").select(COLUMNS)
+    assert split.count() == plain.count()
+    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+
+
 def test_hot_keys_are_found(spark, sides):
-    found = hot_keys(sides[1], "k", min_rows=1000)
-    assert [key for key, _ in found] == [7]
-    assert found[0][1] >= 10
+    assert hot_keys(sides[1], "k", rows_per_task=1000) == [(7, 11)]
 
 
 def test_small_tables_have_none(sides):
@@ -29,24 +37,49 @@ def test_small_tables_have_none(sides):
 
 def test_key_of_every_row(spark):
     assert hot_keys(spark.range(5000).selectExpr("cast(null as bigint) k"), "k", 1) == []
-    assert [k for k, _ in hot_keys(spark.range(5000).selectExpr("1L k"), "k", 100)] == [1]
+    assert hot_keys(spark.range(5000).selectExpr("1L k"), "k", 100) == [(1, 50)]
 
 
-@pytest.mark.parametrize("min_rows", [500, 3000])
-def test_equals_the_plain_join(sides, min_rows):
-    left, right = sides
-    columns = ["k", "left_id", "right_id"]
-    split = left_join(left, right, "k", "right_id", hot_keys(right, "k", min_rows)).select(columns)
-    plain = left.join(right, "k", "left").select(columns)
-    assert split.count() == plain.count()
-    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+@pytest.mark.parametrize("rows_per_task", [500, 3000])
+def test_equals_the_plain_join(sides, rows_per_task):
+    assert_plain(*sides, hot_keys(sides[1], "k", rows_per_task))
+
+
+@pytest.mark.parametrize(
+    "hot",
+    [
+        [(99, 2)],  # a listed key that the right side lacks
+        [(7, 3), (8, 5), (10**9, 4), (2, 0)],
+        [(7, 1)],
+        [(None, 3), (7, 2)],
+        [(7, 2), (7, 5)],
+        [(2 * i, 2) for i in range(400)],  # every left key
+    ],
+)
+def test_any_list_is_exact(sides, hot):
+    assert_plain(*sides, hot)
+    assert_plain(sides[0], sides[1].limit(0), hot)
+
+
+def test_one_row_without_partner(spark):
+    left = spark.createDataFrame([(99, 1), (1, 2)], "k long, left_id long")
+    right = spark.createDataFrame([(1, 5)], "k long, right_id long")
+    assert left_join(left, right, "k", "right_id", [(99, 2)]).count() == 2
+
+
+def test_long_lists_stay_distributed(sides, monkeypatch):
+    monkeypatch.setattr(joins, "MAX_LISTED", 0)
+    hot = hot_keys(sides[1], "k", 1000)
+    assert hot.columns == ["k", "pieces"]
+    assert_plain(*sides, hot)
+    with pytest.raises(ValueError, match="hot keys"):
+        left_join(*sides, "k", "right_id", [(7, 2)])
 
 
 def test_text_keys(spark):
     right = spark.range(3000).selectExpr("if(id % 2 = 0, 'hot', string(id)) k", "id right_id")
     left = spark.createDataFrame([("hot", 1), ("1", 2), ("none", 3), (None, 4)], "k string, left_id int")
-    split = left_join(left, right, "k", "right_id", hot_keys(right, "k", 100))
-    assert split.count() == 1500 + 3
+    assert_plain(left, right, hot_keys(right, "k", 100))
 
 
 def test_the_plain_plan_is_used_without_hot_keys(sides):

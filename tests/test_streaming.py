@@ -13,8 +13,8 @@ from parcelflow.sources.events import event_source, write_events
 from parcelflow.sources.logs import log_scan, parse_lines
 from parcelflow.sources.order_tables import kafka_frame
 from parcelflow.streaming.chain import as_raw_events, start_payments, start_shipments
-from parcelflow.streaming.enrich import enrich_payments
-from parcelflow.streaming.ingest import stream_ingest
+from parcelflow.streaming.enrich import enrich_payments, late_events
+from parcelflow.streaming.ingest import batch_counts, stream_ingest
 
 
 def run(query):
@@ -72,8 +72,8 @@ def test_chain_derives_each_event_once_across_restarts(spark, tables, folder):
     assert shipped.select("kafka_key").exceptAll(orders.select("kafka_key")).isEmpty()
 
 
-@pytest.mark.parametrize("pieces", [1, 3])
-def test_enrichment_over_several_batches(spark, folder, pieces):
+@pytest.mark.parametrize("hot", [[], [(4, 3), (5, 2), (5, 4), (10**9, 7), (7, 0)]])
+def test_enrichment_over_several_batches(spark, folder, hot):
     def events(first, count):
         return spark.range(first, first + count).selectExpr("id", "timestamp_seconds(id * 3600) at")
 
@@ -91,7 +91,7 @@ def test_enrichment_over_several_batches(spark, folder, pieces):
 
     for step, (first, count) in enumerate([(0, 100), (100, 100), (200, 100)]):
         write(step, first, count)
-        query = enrich_payments(stream("payments"), stream("orders"), max_delay="2 hours", late="1 hour", pieces=pieces)
+        query = enrich_payments(stream("payments"), stream("orders"), max_delay="2 hours", late="1 hour", hot_orders=hot)
         writer = query.writeStream.option("checkpointLocation", f"{folder}/cp").outputMode("append")
         run(writer.trigger(availableNow=True).format("parquet").start(f"{folder}/out"))
     rows = spark.read.parquet(f"{folder}/out")
@@ -101,6 +101,50 @@ def test_enrichment_over_several_batches(spark, folder, pieces):
     assert rows.count() == rows.select("payment_id").distinct().count()
 
 
+def test_late_events_are_counted(spark, folder):
+    def stream(name, rows, step):
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/{name}/step={step}")
+        return spark.readStream.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    def payments(ids, day):
+        return spark.createDataFrame([(i, i, 1, "EUR") for i in ids], "payment_id long, order_id long, amount int, currency string").selectExpr(
+            "*", f"timestamp '2024-01-{day}' payment_date")
+
+    def orders(ids, day):
+        return spark.createDataFrame([(i, 1, 1, 1) for i in ids], "order_id long, product_id long, quantity int, unit_price int").selectExpr(
+            "*", f"timestamp '2024-01-{day}' order_ts")
+
+    dropped = []
+    for step, day in enumerate(["10", "20", "02"]):
+        rows = payments([step], day), orders([step], day)
+        query = enrich_payments(stream("p", rows[0], step), stream("o", rows[1], step), max_delay="1 day")
+        query = query.writeStream.option("checkpointLocation", f"{folder}/cp").outputMode("append")
+        query = query.trigger(availableNow=True).format("parquet").start(f"{folder}/out")
+        query.awaitTermination()
+        dropped.append(late_events(query))
+    assert dropped == [0, 0, 2]  # the last pair is more than a day behind the newest
+    with pytest.raises(ValueError):
+        enrich_payments(*rows, hot_orders=[(i, 2) for i in range(1001)])
+
+
+def test_batch_counters_add_up_to_the_outcomes(spark, tables, folder):
+    write_events(kafka_frame(spark, tables).repartition(4), path=f"{folder}/topic")
+    log = EventLog(spark, f"{folder}/log")
+    source = event_source(spark, path=f"{folder}/topic", maxFilesPerTrigger="2")
+    progress = run(stream_ingest(source, log, f"{folder}/cp", F.col("message_ts"), f"{folder}/counts", availableNow=True))
+    counts = batch_counts(spark, f"{folder}/counts")
+    assert counts.select("batch_id").distinct().count() == len(progress) == 2
+    total = counts.groupBy("topic", "outcome").agg(F.sum("messages").alias("messages"))
+    assert sorted(map(tuple, total.collect())) == sorted(map(tuple, log.outcomes().collect()))
+    assert batch_counts(spark, f"{folder}/none").count() == 0
+
+
+def test_a_batch_read_of_a_broker_needs_a_fixed_end(spark):
+    for options in ({}, {"endingOffsets": "latest"}):
+        with pytest.raises(ValueError, match="endingOffsets"):
+            event_source(spark, servers="broker:9092", streaming=False, **options)
+
+
 def test_staging_works_on_a_stream(spark, tables, folder):
     log = EventLog(spark, f"{folder}/log")
     log.append(kafka_frame(spark, tables), F.col("message_ts"))
