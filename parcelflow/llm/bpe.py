@@ -65,6 +65,9 @@ class _Library:
         self.library.no_padding()
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
 
+    def _has_special(self, text: str) -> bool:
+        return any(token in text for token in self.special)
+
     def by_library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, np.uint32) for x in found]
@@ -95,13 +98,13 @@ class _ByteLevel(_Library):
         words = {w: i for w, i in spec["model"]["vocab"].items() if w not in self.special}
         ranks = {bytes(letters[c] for c in w): i for w, i in words.items()}
         self.fast = tiktoken.Encoding(path, pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.beyond = re.compile("|".join(["[^\x00-ɏ]", *map(re.escape, self.special)]))
+        self.beyond = re.compile("[^\x00-ɏ]")
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         found = []
         for text in texts.to_pylist():
             text = text or ""
-            if self.beyond.search(text):
+            if self._has_special(text) or not text.isascii() and self.beyond.search(text):
                 found.append(self.by_library([text])[0])
             else:
                 found.append(np.asarray(self.fast.encode_ordinary(text), np.uint32))
@@ -112,8 +115,9 @@ class _WordEnds(_Library):
     """Lower-cased words with end marks: split in numpy, encode distinct words, gather."""
 
     def __init__(self, path: str, spec: dict):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         super().__init__(path, spec)
-        self.beyond = re.compile("|".join(["[^\x00-\xff]", "'", *map(re.escape, self.special)]))
         kinds = np.full(256, 3, np.uint8)  # 0 space, 1 letter, 2 digit (each alone), 3 other
         for code in range(256):
             c = chr(code)
@@ -125,19 +129,28 @@ class _WordEnds(_Library):
                 lower[code] = ord(chr(code).lower())
         self.lower = lower
         self.words: dict[bytes, bytes] = {}
+        # the same model for single words that are normalised and split already
+        self.by_word = Tokenizer(self.library.model)
+        self.by_word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        plain: list[str] = [t or "" for t in texts.to_pylist()]
-        odd = [i for i, t in enumerate(plain) if self.beyond.search(t)]
-        others = self.by_library([plain[i] for i in odd])
-        for i in odd:
-            plain[i] = ""
+        plain, odd, others = [], [], []
+        for i, text in enumerate(texts.to_pylist()):
+            text = text or ""
+            try:
+                latin = b"" if "'" in text or self._has_special(text) else text.encode("latin-1")
+            except UnicodeEncodeError:
+                latin = b""
+            if text and not latin:
+                odd.append(i)
+                others.append(text)
+            plain.append(latin)
         found: list[np.ndarray] = []
-        latin = pa.array([t.encode("latin-1") for t in plain], pa.large_binary())
+        latin = pa.array(plain, pa.large_binary())
         as_text = pa.Array.from_buffers(pa.large_string(), len(latin), [None, *latin.buffers()[1:]])
         for first, end, data, offsets in text_chunks(as_text):
             found.extend(self._chunk(self.lower[data], offsets))
-        for i, ids in zip(odd, others, strict=True):
+        for i, ids in zip(odd, self.by_library(others), strict=True):
             found[i] = ids
         return found
 
@@ -174,6 +187,6 @@ class _WordEnds(_Library):
         known = self.words
         new = [w for w in words if w not in known]
         if new:
-            found = self.library.encode_batch_fast([w.decode("latin-1") for w in new], add_special_tokens=False)
+            found = self.by_word.encode_batch_fast([w.decode("latin-1") for w in new], add_special_tokens=False)
             known.update((w, np.asarray(x.ids, np.uint32).tobytes()) for w, x in zip(new, found, strict=True))
         return [known[w] for w in words]

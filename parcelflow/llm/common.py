@@ -138,10 +138,12 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     lengths = ends - starts
     power = _powers(int(lengths.max()))
     total = int(lengths.sum())
+    index = np.int32 if len(data) < 1 << 31 else np.int64
     firsts = np.cumsum(lengths) - lengths
-    within = np.arange(total, dtype=np.int64) - np.repeat(firsts, lengths)
-    at = within + np.repeat(starts, lengths)
+    within = np.arange(total, dtype=index) - np.repeat(firsts.astype(index), lengths)
+    at = within + np.repeat(starts.astype(index), lengths)
     with np.errstate(over="ignore"):
-        terms = _BYTE[data[at]] * power[within]
+        terms = _BYTE[data[at]]
+        terms *= power[within]
         sums = np.add.reduceat(terms, firsts)
         return mix(sums + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
