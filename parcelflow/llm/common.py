@@ -22,12 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Batches to and from Python are whole texts and packed arrays: few rows, and few bytes, at a time.
+_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
+
 def ready(spark: SparkSession) -> SparkSession:
     """Session settings, and the folder of this package on the Python workers' path.
 
     Where executors do not see that folder, submit the package with ``--py-files``.
     """
     configure(spark)
+    for name, value in _BATCHES.items():
+        spark.conf.set(name, value)
     root = str(Path(parcelflow.__file__).resolve().parents[1])
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
