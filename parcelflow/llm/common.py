@@ -50,9 +50,15 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared scratch folder and read back; cuts the lineage for good."""
+def stored(df: DataFrame, purpose: str, narrow: bool = False) -> DataFrame:
+    """Write to the shared scratch folder and read back; cuts the lineage for good.
+
+    ``narrow`` is for tables that are a small part of the corpus and come out of a shuffle: an eighth as many tasks
+    write them, so that they do not fall apart into a small file per task of the corpus.
+    """
     spark = df.sparkSession
+    if narrow:
+        df = df.coalesce(max(2 * spark.sparkContext.defaultParallelism, shuffle_width(spark) // 8))
     path = scratch_dir(spark, purpose)
     before = spark.conf.get(_FREE_SHUFFLES, None)
     spark.conf.set(_FREE_SHUFFLES, "true")  # nothing reads them once the table is written

@@ -20,7 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
     def tidy(pairs: DataFrame) -> DataFrame:
         different = pairs.filter("a <> b")
         return stored(
-            different.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges"
+            different.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges", narrow=True
         )
 
     edges = tidy(edges.select("a", "b"))
@@ -28,12 +28,12 @@ def components(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         ends = edges.union(edges.select("b", "a"))
         pointers = ends.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label"))
-        pointers = stored(pointers, "pointers")
+        pointers = stored(pointers, "pointers", narrow=True)
         first, second = (pointers.toDF(x, f"to_{x}") for x in ("a", "b"))
         edges = tidy(edges.join(first, "a").join(second, "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")))
         if labels is None:
             labels = pointers
         else:
             moved = labels.join(pointers.toDF("label", "new"), "label", "left")
-            labels = stored(moved.select("node", F.coalesce("new", "label").alias("label")), "labels")
+            labels = stored(moved.select("node", F.coalesce("new", "label").alias("label")), "labels", narrow=True)
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("label"))

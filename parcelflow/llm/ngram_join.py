@@ -14,7 +14,7 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
 4. Candidates meet on prefix shingles of the first order, pass length and position filters, must then share prefix
    shingles under each other order, and are verified on the whole sets.
 5. A shingle that is in many prefixes would give all pairs of a large group. There, each node is first tried with
-   one common leader; once links have joined most of the group, only pairs across the remaining components are tried. No cap: every pair that
+   one common leader, that with the most common shingles; once links have joined most of the group, only pairs across the remaining components are tried. No cap: every pair that
    passes the filters is verified or already connected.
 
 Sets are compared by 64-bit hashes of their shingles. Defined results: null and empty text have the empty set, n_shingles 0, and are linked
@@ -265,8 +265,13 @@ def _prefix_size(n: int, shared: int, percent: int) -> int:
 
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, node, n, rest): prefix shingles under the first order; rest shingles follow."""
-    schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("rest", pa.int32())])
+    """(token, node, n, rest, weight): prefix shingles under the first order; rest shingles follow.
+
+    ``weight`` is how common the node's shingles are on average: of near copies, that of the fewest edits has most.
+    """
+    schema = pa.schema(
+        [("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("rest", pa.int32()), ("weight", pa.float64())]
+    )
 
     def post(batches):
         for batch in batches:
@@ -280,10 +285,11 @@ def _postings(sets: DataFrame, percent: int) -> DataFrame:
                     pa.array(np.full(size, row["node"], np.int64)),
                     pa.array(np.full(size, row["n"], np.int32)),
                     pa.array(rest),
+                    pa.array(np.full(size, classes.sum(dtype=np.int64) / row["n"])),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return sets.mapInArrow(post, "token long, node long, n int, rest int")
+    return sets.mapInArrow(post, "token long, node long, n int, rest int, weight double")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -324,7 +330,8 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """(node, label) of all nodes that have a partner."""
     postings = _postings(sets, percent)
-    sizes = postings.groupBy("token").agg(F.count("*").alias("m"), F.min("node").alias("leader")).filter("m > 1")
+    leader = F.max(F.struct("weight", "node", "n", "rest")).alias("leader")
+    sizes = postings.groupBy("token").agg(F.count("*").alias("m"), leader).filter("m > 1")
     postings = stored(postings.join(sizes, "token"), "postings")
     small, large = postings.filter(F.col("m") <= SMALL_LIST), postings.filter(F.col("m") > SMALL_LIST)
 
@@ -333,11 +340,14 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     one = lists.select(F.posexplode("list").alias("i", "x"), "list")
     two = one.select("x", F.explode(F.expr("slice(list, i + 2, size(list))")).alias("y"))
     short = two.filter(_fits(F.col("x.n"), F.col("y.n"), F.col("x.rest"), F.col("y.rest"), percent))
-    # long lists: every node with the leader it meets most often
-    met = large.filter("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("times"))
-    best = met.groupBy("node").agg(F.max(F.struct("times", "leader"))["leader"].alias("leader"))
+    # long lists: every node with the weightiest of the leaders it fits with
+    met = large.filter(
+        (F.col("node") != F.col("leader.node"))
+        & _fits(F.col("n"), F.col("leader.n"), F.col("rest"), F.col("leader.rest"), percent)
+    )
+    best = met.groupBy("node").agg(F.max(F.struct("leader.weight", "leader.node"))["node"].alias("leader"))
     tried = short.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).union(best.select("leader", "node"))
-    tried = stored(_ordered(tried), "pairs")
+    tried = stored(_ordered(tried), "pairs", narrow=True)
     links = stored(_verified(tried, sets, percent), "links")
     labels = components(links)
 
@@ -357,7 +367,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         & _fits(F.col("n_a"), F.col("n_b"), F.col("rest_a"), F.col("rest_b"), percent)
     )
     more = _ordered(across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-    more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
+    more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs", narrow=True)
     if more.isEmpty():
         return labels
     found = stored(_verified(more, sets, percent), "links")

@@ -216,7 +216,7 @@ def find_personal_data(
 ) -> DataFrame:
     """(kept, spans) per row: a struct of the columns to keep, and all spans, entities first."""
     scanned = _scanned(docs, keep)
-    terms = stored(disclosing_terms(docs, scanned, threshold, support), "terms")
+    terms = stored(disclosing_terms(docs, scanned, threshold, support), "terms", narrow=True)
     near = scanned.filter(F.size("near") > 0).select("row", F.explode("near").alias("near"))
     near = near.select("row", "near.kind", "near.term", "near.start", "near.end")
     flagged = near.join(terms, ["term", "kind"], "left_semi").groupBy("row").agg(
