@@ -1,9 +1,11 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame expressions only.
 
-Texts are split at white space; tokens without a letter or digit are dropped, punctuation at the edges of the others too. What a question
-can be re-parameterised by becomes a typed placeholder: numbers ``<num>``, numbers with a unit attached ``<num><unit>``, a unit
-after a number ``<unit>``, a capitalised word inside a sentence ``<name>``. All else is lower-cased. Windows of
-``WINDOW`` canonical tokens of the benchmark (a shorter item is one window) are hash-joined with those of every document.
+Texts are split at white space. What a question can be re-parameterised by becomes a typed placeholder: numbers ``<num>``, numbers
+with a unit attached ``<num><unit>``, a unit after a number ``<unit>``, a capitalised word after another word of its
+sentence ``<name>``. All else is lower-cased and loses its punctuation; tokens that lose everything are dropped. The
+replacements run over the whole text and keep its white space, so the n-th canonical token stems from the n-th raw
+one. Windows of ``WINDOW`` canonical tokens of the benchmark (a shorter item is one window) are hash-joined with those of
+every document; a window carries the raw values in its slots.
 
 Windows of one item at one alignment make a match if they are at least ``coverage`` of the item's windows and
 the slots are consistent: each value of the item corresponds to one value in the document and the other way round.
@@ -31,63 +33,70 @@ UNITS = (
     "degrees mph km/h hz kb mb gb"
 ).split()
 
-_EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}%]+$"
+# Each pattern starts with the character class that is rare, and looks back from there.
+_NAME = r"\p{Lu}(?<=[\p{L}\p{N}]\s\p{Lu})\p{Ll}+(?![\p{L}\p{N}])"
+_NUMBER = r"[0-9](?<![\p{L}\p{N}][0-9])[0-9.,:/]*(?![\p{L}\p{N}%])"
+_WITH_UNIT = r"[0-9](?<![\p{L}\p{N}][0-9])[0-9.,]*[\p{L}%]+(?![\p{L}\p{N}%])"
+_UNIT = r"(?<=<num>\s)(?:" + "|".join(UNITS) + r")(?![\p{L}\p{N}])"
+
+
+def canonical(text: Column) -> Column:
+    """The text with typed placeholders, lower-cased, without punctuation; its white space is kept."""
+    named = F.lower(F.regexp_replace(F.translate(text, "<>", ""), _NAME, "<name>"))
+
+    def numbered(t: Column) -> Column:
+        filled = F.regexp_replace(F.regexp_replace(t, _NUMBER, "<num>"), _WITH_UNIT, "<num><unit>")
+        return F.when(F.rlike(t, F.lit("[0-9]")), F.regexp_replace(filled, _UNIT, "<unit>")).otherwise(t)
+
+    return F.regexp_replace(let(named, numbered), r"[^\p{L}\p{N}\s<>]+", "")
 
 
 def tokens(text: Column) -> Column:
-    """array<struct<value, canonical>>: the tokens as they stand, without edge punctuation, and their canonical form."""
-    raw = F.filter(F.split(text, r"\s+"), lambda t: F.rlike(t, F.lit(r"[\p{L}\p{N}]")))
-
-    def canonical(words: Column) -> Column:
-        def one(word: Column, i: Column) -> Column:
-            value = F.regexp_replace(word, _EDGES, "")
-            before = F.get(words, i - 1)
-            form = (
-                F.when(
-                    F.rlike(value, F.lit("[0-9]")),
-                    F.when(F.rlike(value, F.lit(r"^[0-9][0-9.,:/]*$")), F.lit("<num>"))
-                    .when(F.rlike(value, F.lit(r"^[0-9][0-9.,]*[\p{L}%]+$")), F.lit("<num><unit>"))
-                    .otherwise(F.lower(value)),
-                )
-                .when(
-                    (i > 0) & F.lower(value).isin(*UNITS) & F.rlike(before, F.lit("^[^0-9]?[0-9][0-9.,]*$")),
-                    F.lit("<unit>"),
-                )
-                .when(
-                    (i > 0) & F.rlike(value, F.lit(r"^\p{Lu}\p{Ll}+$")) & ~F.rlike(before, F.lit(r"[^\p{L}\p{N}]$")),
-                    F.lit("<name>"),
-                )
-                .otherwise(F.lower(value))
-            )
-            return F.struct(value.alias("value"), form.alias("canonical"))
-
-        return F.transform(words, one)
-
-    return let(raw, canonical)
+    """array<struct<value, canonical>>: the raw tokens and what they stand for."""
+    pairs = F.zip_with(
+        F.split(text, r"\s"),
+        F.split(canonical(text), r"\s"),
+        lambda raw, form: F.struct(raw.alias("value"), form.alias("canonical")),
+    )
+    return F.filter(pairs, lambda t: t["canonical"] != "")
 
 
-def _windows(text: Column, lengths: list[int]) -> Column:
-    """array<struct<at, hash>> of all windows of the given lengths."""
+def _values(window: Column) -> Column:
+    """What fills the placeholders of a window of tokens, in order; punctuation around it does not count."""
+    slots = F.filter(window, lambda t: t["canonical"].startswith("<"))
+    return F.transform(slots, lambda t: F.lower(F.regexp_replace(t["value"], r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}%]+$", "")))
 
-    none = F.array().cast("array<struct<at:int,hash:bigint>>")
 
-    def of(hashes: Column, n: int) -> Column:
+def _windows(text: Column, lengths: list[int]) -> Column:
+    """array<struct<at, hash, slots>> of all windows of the given lengths."""
+    none = F.array().cast("array<struct<at:int,hash:bigint,slots:array<string>>>")
+    no_slots = F.array().cast("array<string>")
+
+    def of(hashes: Column, n: int, slots) -> Column:
         def window(i: Column) -> Column:
-            return F.struct(i.alias("at"), F.xxhash64(*[F.get(hashes, i + d) for d in range(n)]).alias("hash"))
+            hashed = F.xxhash64(*[F.get(hashes, i + d) for d in range(n)])
+            return F.struct(i.alias("at"), hashed.alias("hash"), slots(i, n).alias("slots"))
 
         all_windows = F.transform(F.sequence(F.lit(0), F.size(hashes) - n), window)
         return F.when(F.size(hashes) >= n, all_windows).otherwise(none)
 
-    def every(hashes: Column) -> Column:
-        return F.concat(*[of(hashes, n) for n in lengths]) if lengths else none
+    def plain(form: Column) -> Column:
+        """Most texts have no placeholder: their raw tokens are not needed."""
+        hashes = F.transform(F.filter(F.split(form, r"\s"), lambda t: t != ""), lambda t: F.xxhash64(t))
+        return let(hashes, lambda h: F.concat(*[of(h, n, lambda i, n: no_slots) for n in lengths]))
 
-    return let(F.transform(tokens(text), lambda t: F.xxhash64(t["canonical"])), every)
+    def filled(parsed: Column) -> Column:
+        def every(h: Column) -> Column:
+            return F.concat(*[of(h, n, lambda i, n: _values(F.slice(parsed, i + 1, n))) for n in lengths])
 
+        return let(F.transform(parsed, lambda t: F.xxhash64(t["canonical"])), every)
 
-def _slots(parsed: Column, first: Column, n: Column) -> Column:
-    """The values that fill the placeholders of a window, in order."""
-    window = F.filter(F.slice(parsed, first + 1, n), lambda t: t["canonical"].startswith("<"))
-    return F.transform(window, lambda t: F.lower(t["value"]))
+    if not lengths:
+        return none
+    return let(
+        canonical(text),
+        lambda form: F.when(F.contains(form, F.lit("<")), let(tokens(text), filled)).otherwise(plain(form)),
+    )
 
 
 def _benchmark(items: DataFrame) -> DataFrame:
@@ -105,43 +114,28 @@ def _benchmark(items: DataFrame) -> DataFrame:
         ]
     )
     at = at.withColumn("hashes", hashes).withColumn("hash", by_length)
-    return at.select("item", "n", "hash", "at", _slots(F.col("tokens"), F.col("at"), F.col("n")).alias("slots"), "windows")
+    return at.select("item", "n", "hash", "at", _values(F.slice(F.col("tokens"), F.col("at") + 1, F.col("n"))).alias("slots"), "windows")
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, coverage: float = 0.25) -> DataFrame:
     """(doc_id, text_hash, item_id, matched, windows, exact): the best alignment of every item that a document holds."""
-    benchmark = stored(_benchmark(items), "benchmark-windows")
+    benchmark = stored(_benchmark(items), "benchmark-windows", narrow=True)
     lengths = sorted(r["n"] for r in benchmark.select("n").distinct().collect())  # at most WINDOW of them
     wanted = benchmark.select("hash").distinct()
     if wanted.count() <= MAX_BROADCAST:
         wanted = F.broadcast(wanted)
     text = whole_text()
     all_windows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.explode(_windows(text, lengths)).alias("w"))
-    hits = all_windows.select("doc_id", "text_hash", "w.at", "w.hash").join(wanted, "hash", "left_semi")
-    hits = stored(hits.distinct(), "window-hits")
-    # the texts of documents with hits, once more, for the values in their slots
-    per_text = hits.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("at", "hash")).alias("hits"))
-    key = per_text.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("h"), "hits")
-    texts = docs.select("doc_id", text.alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    parsed = (
-        texts.join(key, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("h")))
-        .select("doc_id", "text_hash", "hits", tokens(F.col("text")).alias("tokens"))
-        .dropDuplicates(["doc_id", "text_hash"])
-    )
-    filled = F.transform(
-        "hits",
-        lambda x: F.struct(x["at"].alias("at"), x["hash"].alias("hash"), _slots(F.col("tokens"), x["at"], F.lit(WINDOW)).alias("slots")),
-    )
-    opened = parsed.select("doc_id", "text_hash", F.explode(filled).alias("x"))
-    opened = opened.select("doc_id", "text_hash", F.col("x.at").alias("doc_at"), "x.hash", F.col("x.slots").alias("doc_slots"))
-    met = opened.join(benchmark, "hash").select(
+    hits = all_windows.select("doc_id", "text_hash", F.col("w.at").alias("doc_at"), "w.hash", F.col("w.slots").alias("doc_slots"))
+    hits = stored(hits.join(wanted, "hash", "left_semi").distinct(), "window-hits", narrow=True)
+    met = hits.join(benchmark, "hash").select(
         "doc_id",
         "text_hash",
         F.col("item").alias("item_id"),
         (F.col("doc_at") - F.col("at")).alias("shift"),
         "at",
         "windows",
-        F.arrays_zip(F.col("slots"), F.slice("doc_slots", 1, F.size("slots")).alias("doc_slots")).alias("fillings"),
+        F.arrays_zip("slots", "doc_slots").alias("fillings"),
     )
     # a window each per place of the item: no more rows in a group than the item has windows
     aligned = met.groupBy("doc_id", "text_hash", "item_id", "shift", "windows").agg(
