@@ -57,6 +57,7 @@ def portable(df: DataFrame) -> DataFrame:
 
 _files: dict[tuple[str, str], str] = {}
 _landed: dict[tuple[str, str], EventLog] = {}
+_history: dict[tuple[str, str], EventLog] = {}
 _built: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -164,6 +165,17 @@ def ingest_dedup(spark, sf_dir):
     )
 
 
+def ingest_onto_history(spark, sf_dir):
+    """One message in a hundred delivered again onto a stored log: the log's counts of that append."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _history or not _stored(spark, _history[key].path):
+        _history[key] = new_log(spark, sf_dir, "history")
+    again = messages(spark, sf_dir).filter((F.col("offset") % 100 == 7) & (F.col("offset") < 10_000_000))
+    counts = _history[key].append(again, F.col("message_ts"))
+    rows = [(topic, outcome, n) for (topic, outcome), n in sorted(counts.items())]
+    return spark.createDataFrame(rows, "topic string, outcome string, messages bigint")
+
+
 def ingest_outcomes(spark, sf_dir):
     return landed(spark, sf_dir).outcomes()
 
@@ -696,6 +708,7 @@ QUERIES = {
     "ingest_raw_events": ingest_raw_events,
     "ingest_dedup": ingest_dedup,
     "ingest_outcomes": ingest_outcomes,
+    "ingest_onto_history": ingest_onto_history,
     "bad_messages": bad_messages,
     "dead_letter_redrive": dead_letter_redrive,
     "topic_filter": topic_filter,

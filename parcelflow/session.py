@@ -60,7 +60,7 @@ def new_session(app: str = "parcelflow", master: str | None = None, **conf: str)
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A new folder under the cluster's shared ``spark.checkpoint.dir``, deleted when the application ends.
 
     Only a local master may go without that setting; it then gets a folder on
     this machine, which is where all of its tasks run.
@@ -71,4 +71,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="parcelflow-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/parcelflow/{purpose}-{uuid.uuid4().hex[:12]}"
+    own = f"{shared.rstrip('/')}/parcelflow/{spark.sparkContext.applicationId}"
+    if own not in _OWN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _OWN.add(own)
+    return f"{own}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+# Folders of this process's applications that are marked for deletion.
+_OWN: set[str] = set()

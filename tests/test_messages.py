@@ -150,3 +150,18 @@ def test_quarantine_lists_failed_fields(spark):
     assert [(r["order_id"], r["quantity"]) for r in rows] == [(None, 1), (4, 1)]
     with pytest.raises(Exception):
         stg_orders(raw).collect()
+
+
+def test_numbers_are_normalised_by_the_parser(spark):
+    """A known difference: whole numbers may be written with a fraction, but not with an exponent.
+
+    The stored value does not tell ``7.0`` from ``7``; reading the field as a variant would, but then Spark
+    reads the whole payload instead of the shredded column.
+    """
+    from parcelflow.functions import typed_field, with_strict_json
+    from parcelflow.schemas import Field
+
+    rows = spark.createDataFrame([(t,) for t in ('{"q":7.0}', '{"q":"7"}', '{"q":7.5}', '{"q":1e3}')], "text string")
+    parsed = with_strict_json(rows, "text", "payload")
+    lenient = parsed.select(typed_field(F.col("payload"), Field("q", "q", "int"), strict=False)).collect()
+    assert [r["q"] for r in lenient] == [7, 7, None, None]
