@@ -1,13 +1,14 @@
 """Document fingerprints from closed syncmers, in DataFrame expressions only.
 
-A text's units are its words (runs of anything but white space, case kept); a text of fewer than ``2 * K`` words is taken by
-code points instead. Of the windows of ``K`` units those are *closed syncmers*, whose smallest sub-window of ``S``
-units, by hash, lies at either edge of the window. Whether a window is chosen depends on nothing outside it, so equal passages have equal
-anchors wherever they stand; ``anchors`` lists them with their positions for positional matching.
+A text's units are its words (runs of anything but white space, case kept); a text of fewer than ``SHORT`` code points, or of
+fewer than ``2 * K`` words, is taken by code points, with longer windows. Of the windows of ``K`` units those are *closed
+syncmers*, whose smallest sub-window of ``S`` units, by hash, lies at either edge of the window. Whether a window is chosen
+depends on nothing outside it, so equal passages have equal anchors wherever they stand; ``anchors`` lists them with their positions for
+positional matching.
 
-The fingerprint is the ``SIZE`` smallest anchor hashes of the whole text (all of them, if fewer) as 16 hex
-digits each: a sample that all texts draw alike. The likeness of two fingerprints is the Dice coefficient of the anchor
-sets as estimated from the samples.
+The fingerprint is a sample of the bag of anchors: an anchor that occurs c times stands as (hash, 1) .. (hash, c), and the ``SIZE`` smallest
+hashes of all these (all of them, if fewer) are kept, 16 hex digits each: a sample that all texts draw alike. The likeness
+of two fingerprints is the Dice coefficient of the bags as estimated from the samples.
 
 Defined results: null text is empty; a text too short for one window has the hash of all its units as its
 only anchor; the empty text has the empty fingerprint, like itself (1) and unlike any other (0).
@@ -20,47 +21,68 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm.common import let, shuffle_width, whole_text
 
-K, S, SIZE = 5, 2, 64
+K, S = 5, 2  # in words
+K_SHORT, S_SHORT, SHORT = 10, 7, 400  # in code points
+SIZE = 64
 
 
-def _units(text: Column) -> Column:
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    return let(
-        words, lambda w: F.when(F.size(w) >= 2 * K, w).otherwise(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)))
-    )
+def _by_points(text: Column, words: Column) -> Column:
+    return (F.length(text) < SHORT) | (F.size(words) < 2 * K)
+
+
+def _chosen(h: Column, pieces: Column, k: int, s: int) -> Column:
+    """The closed syncmers of the unit hashes h; ``pieces`` has the hash of the s units from each unit on."""
+    last = F.size(h) - k
+    ends = k - s
+
+    def closed(i: Column) -> Column:
+        middle = F.least(*[F.get(pieces, i + d) for d in range(1, ends)])
+        return F.least(F.get(pieces, i), F.get(pieces, i + ends)) <= middle
+
+    def anchor(i: Column) -> Column:
+        return F.struct(i.alias("position"), F.xxhash64(*[F.get(h, i + d) for d in range(k)]).alias("hash"))
+
+    whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(h).alias("hash")))
+    return F.when(last >= 0, F.transform(F.filter(F.sequence(F.lit(0), last), closed), anchor)).when(
+        F.size(h) > 0, whole
+    ).otherwise(F.slice(whole, 1, 0))
 
 
 def anchors(text: Column) -> Column:
     """array<struct<position int, hash long>> of the closed syncmers, positions counted in units from 0."""
 
-    def chosen(h: Column, s: Column) -> Column:
-        """h: hash of each unit; s: hash of the pair that starts at each unit (the last one is unused)."""
-        last = F.size(h) - K
-        sub_windows = K - S + 1
+    def of(units: Column, k: int, s: int) -> Column:
+        def with_pieces(h: Column) -> Column:
+            pieces = F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + d) for d in range(1, s)]))
+            return let(pieces, lambda p: _chosen(h, p, k, s))
+
+        return let(F.transform(units, lambda u: F.xxhash64(u)), with_pieces)
+
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    points = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    return let(words, lambda w: F.when(_by_points(text, w), of(points, K_SHORT, S_SHORT)).otherwise(of(w, K, S)))
+
 
-        def closed(i: Column) -> Column:
-            middle = F.least(*[F.get(s, i + d) for d in range(1, sub_windows - 1)])
-            return F.least(F.get(s, i), F.get(s, i + sub_windows - 1)) <= middle
+def _bag(hashes: Column) -> Column:
+    """Each hash as often as it occurs, numbered from 1; equal hashes are found side by side in sorted order."""
 
-        def anchor(i: Column) -> Column:
-            return F.struct(i.alias("position"), F.xxhash64(*[F.get(h, i + d) for d in range(K)]).alias("hash"))
+    def numbered(ordered: Column) -> Column:
+        firsts = F.filter(
+            F.transform(ordered, lambda h, i: F.when((i == 0) | (h != F.get(ordered, i - 1)), i)), lambda i: i.isNotNull()
+        )
 
-        whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(h).alias("hash")))
-        return F.when(last >= 0, F.transform(F.filter(F.sequence(F.lit(0), last), closed), anchor)).when(
-            F.size(h) > 0, whole
-        ).otherwise(F.slice(whole, 1, 0))
+        def run(first: Column, j: Column, starts: Column) -> Column:
+            n = F.coalesce(F.get(starts, j + 1), F.size(ordered)) - first
+            return F.transform(F.sequence(F.lit(1), n), lambda c: F.xxhash64(F.get(ordered, first), c))
 
-    def with_pairs(h: Column) -> Column:
-        following = F.slice(h, 2, F.greatest(F.size(h), F.lit(0)))
-        return let(F.zip_with(h, following, lambda a, b: F.xxhash64(a, b)), lambda s: chosen(h, s))
+        return let(firsts, lambda starts: F.flatten(F.transform(starts, lambda first, j: run(first, j, starts))))
 
-    return let(F.transform(_units(text), lambda u: F.xxhash64(u)), with_pairs)
+    return let(F.array_sort(hashes), numbered)
 
 
 def sketch(text: Column) -> Column:
-    """The smallest distinct anchor hashes, ascending."""
-    hashes = F.transform(anchors(text), lambda a: a["hash"])
-    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, SIZE)
+    """The smallest hashes of the bag of anchors, ascending."""
+    return F.slice(F.array_sort(_bag(F.transform(anchors(text), lambda a: a["hash"]))), 1, SIZE)
 
 
 def fingerprint(sketched: Column) -> Column:

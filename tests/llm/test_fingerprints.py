@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from collections import Counter
 
 import xxhash
 
@@ -29,17 +30,23 @@ def hash_longs(values):
 
 
 def sketch(text):
-    units = [w for w in re.split(r"[ \t\n\x0b\f\r]+", text) if w]
-    units = units if len(units) >= 2 * fp.K else list(text)
+    units, k, s = [w for w in re.split(r"[ \t\n\x0b\f\r]+", text) if w], fp.K, fp.S
+    if len(text) < fp.SHORT or len(units) < 2 * fp.K:
+        units, k, s = list(text), fp.K_SHORT, fp.S_SHORT
     h = [hash_text(u) for u in units]
     if not h:
-        return []
-    if len(h) < fp.K:
-        return [hash_longs(h)]
-    s = [hash_longs(p) for p in zip(h, h[1:], strict=False)]
-    inner = fp.K - fp.S + 1
-    chosen = [i for i in range(len(h) - fp.K + 1) if min(s[i : i + inner]) in (s[i], s[i + inner - 1])]
-    return sorted({hash_longs(h[i : i + fp.K]) for i in chosen})[: fp.SIZE]
+        found = []
+    elif len(h) < k:
+        found = [hash_longs(h)]
+    else:
+        pieces = [hash_longs(h[i : i + s]) for i in range(len(h) - s + 1)]
+        chosen = [i for i in range(len(h) - k + 1) if min(pieces[i : i + k - s + 1]) in (pieces[i], pieces[i + k - s])]
+        found = [hash_longs(h[i : i + k]) for i in chosen]
+    seen, bag = Counter(), []
+    for x in found:
+        seen[x] += 1
+        bag.append(signed(xxhash.xxh64_intdigest(struct.pack("<i", seen[x]), seed=hash_longs([x]) & (2**64 - 1))))
+    return sorted(bag)[: fp.SIZE]
 
 
 def likeness(a, b):
@@ -99,7 +106,7 @@ def test_nulls_repeats_single_and_empty(documents):
 def test_anchors_are_context_free(spark):
     from pyspark.sql import functions as F
 
-    passage = " ".join(f"p{i}" for i in range(40))
+    passage = " ".join(f"p{i}" for i in range(150))
     rows = spark.createDataFrame([(passage,), ("a b c " + passage + " d e",)], "text string").select(fp.anchors(F.col("text")).alias("a")).collect()
     alone = {(x.position, x.hash) for x in rows[0].a}
     within = {(x.position - 3, x.hash) for x in rows[1].a}
