@@ -131,9 +131,14 @@ def place(pieces: DataFrame, max_len: int = 1024) -> DataFrame:
     )
 
 
+def stored_pieces(docs: DataFrame, tokenizer: str, max_len: int = 1024, end_id: int = 2) -> DataFrame:
+    """All pieces with their ids, on the shared folder: what ``place`` starts from."""
+    return stored(pieces_of(docs, tokenizer, max_len, end_id), "pieces")
+
+
 def pack(docs: DataFrame, tokenizer: str, max_len: int = 1024, end_id: int = 2) -> DataFrame:
     """All pieces with ids, sequence_id and offset."""
-    return place(stored(pieces_of(docs, tokenizer, max_len, end_id), "pieces"), max_len)
+    return place(stored_pieces(docs, tokenizer, max_len, end_id), max_len)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

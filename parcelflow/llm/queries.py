@@ -59,15 +59,11 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    pieces = packing.stored_pieces(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    # the ids are digested where they lie; only places and digests move
+    packed = packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
     return packed.select(
-        "doc_id",
-        "piece",
-        "start",
-        F.col("length").cast("long").alias("length"),
-        F.crc32("ids").alias("ids_crc32"),
-        "sequence_id",
-        "offset",
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
     )
 
 
