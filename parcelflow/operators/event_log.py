@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections import defaultdict
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -46,13 +47,16 @@ class EventLog:
     def read(self) -> DataFrame:
         return self.spark.read.schema(EVENT_LOG).parquet(self.path)
 
-    def raw_events(self, blocks: bool = False) -> DataFrame:
+    def raw_events(self, blocks: bool = False, topic: str | None = None) -> DataFrame:
         """The stored events, one per (topic, partition, offset).
 
-        ``blocks`` adds their folder, ``offset_block``, for incremental loads.
+        ``blocks`` adds their folder, ``offset_block``, for incremental loads. With ``topic`` only
+        that topic's folder is listed.
         """
         columns = RAW_EVENTS.fieldNames() + (["offset_block"] if blocks else [])
-        return self.read().filter(F.col("outcome") == "written").select(columns)
+        if topic is None:
+            return self.read().filter(F.col("outcome") == "written").select(columns)
+        return self._folders([f"outcome=written/kafka_topic={topic}"]).select(columns)
 
     def quarantine(self) -> DataFrame:
         """Rejected messages with their reason and original bytes."""
@@ -204,13 +208,18 @@ class EventLog:
             return self.read().filter(reduce(lambda a, b: a | b, touched))
         for s in spans:
             wanted[s["topic"]].update(range(s["low"] >> self.block_bits, (s["high"] >> self.block_bits) + 1))
+        return self._folders(
+            f"outcome=*/kafka_topic={topic}/offset_block={{{','.join(map(str, sorted(blocks)))}}}"
+            for topic, blocks in wanted.items()
+        )
+
+    def _folders(self, patterns: Iterable[str]) -> DataFrame:
+        """The stored rows in the folders that match; the rest of the log is not listed."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         fs = hadoop.Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
         paths = []
-        for topic, blocks in wanted.items():
-            numbers = ",".join(map(str, sorted(blocks)))
-            pattern = f"{self.path}/outcome=*/kafka_topic={topic}/offset_block={{{numbers}}}"
-            paths += [str(found.getPath()) for found in fs.globStatus(hadoop.Path(pattern)) or []]
+        for pattern in patterns:
+            paths += [str(found.getPath()) for found in fs.globStatus(hadoop.Path(f"{self.path}/{pattern}")) or []]
         if not paths:
             return empty_rows(self.spark, EVENT_LOG)
         return self.spark.read.schema(EVENT_LOG).option("basePath", self.path).parquet(*paths)

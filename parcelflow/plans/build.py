@@ -107,12 +107,12 @@ class Warehouse:
 
     def staged(self, topic: str) -> DataFrame:
         """Typed events of a topic, with the folder column that loads prune on."""
-        events = staging.typed_events(self.log.raw_events(blocks=True), topic, self.on_error)
+        events = staging.typed_events(self.log.raw_events(blocks=True, topic=topic), topic, self.on_error)
         return staging.split_failed(events)[0] if self.on_error == "quarantine" else events
 
     def failed(self, topic: str) -> DataFrame:
         """Stored events of a topic with malformed fields, named in ``failed_fields``."""
-        return staging.split_failed(staging.typed_events(self.log.raw_events(), topic, "quarantine"))[1]
+        return staging.split_failed(staging.typed_events(self.log.raw_events(topic=topic), topic, "quarantine"))[1]
 
     def insert(self, name: str, rows: DataFrame) -> None:
         """Insert rows into a raw dimension table unless their name or email is taken.

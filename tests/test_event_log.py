@@ -173,3 +173,12 @@ def test_counts_of_an_append(spark, folder):
         ("orders", "written"): 1, ("orders", "duplicate"): 1, ("orders", "bad"): 1, ("orders", "error"): 1, ("x", "written"): 1,
     }
     assert log.append(batch.limit(0)) == {}
+
+
+def test_a_topic_is_read_from_its_folder(spark, folder):
+    log = EventLog(spark, f"{folder}/log")
+    log.append(frame(spark, message('{"a":1}'), message('{"a":2}', topic="payments"), message("bad", topic="payments", offset=1)))
+    rows = log.raw_events(blocks=True, topic="payments")
+    assert opened(rows) == {"outcome=written/kafka_topic=payments/offset_block=0"} and rows.count() == 1
+    assert log.raw_events(topic="shipments").count() == 0
+    assert rows.columns == log.raw_events(blocks=True).columns
