@@ -24,6 +24,7 @@ doc_ids are ignored when the smallest is chosen; an empty table gives no rows; o
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from parcelflow.llm.common import hash_runs, mix, random_words, shuffle_width, stored, text_chunks, whole_text, word_runs
 from parcelflow.llm.components import components
 
-GROUP_BYTES = 8 << 20  # texts whose shingles are packed together
+GROUP_BYTES = 4 << 20  # texts whose shingles are packed together
 MAX_HEAVY = 32_768  # broadcast as 8 bytes each
 SMALL_LIST = 16  # up to here all pairs of a prefix shingle are tried at once
 _HEAVY_CLASS = 255
@@ -185,16 +186,18 @@ def _shared(dealt: DataFrame, width: int) -> DataFrame:
     """Per hash range: shingles of two nodes or more with their frequency class, dealt by node."""
 
     def count(batches):
-        light: list[tuple] = []
+        light: dict[int, list[dict]] = defaultdict(list)
         for batch in batches:
             rows = pa.Table.from_batches([batch])
-            passed = rows.filter(pc.equal(rows["kind"], 1))
-            yield from passed.to_batches()
-            light.extend(_unpack(r)[:2] for r in rows.filter(pc.equal(rows["kind"], 0)).to_pylist())
-        if not light:
-            return
-        tokens, nodes = (np.concatenate([x[i] for x in light]) for i in (0, 1))
-        del light
+            yield from rows.filter(pc.equal(rows["kind"], 1)).to_batches()
+            for row in rows.filter(pc.equal(rows["kind"], 0)).to_pylist():
+                light[row["dest"]].append(row)
+        for dest in list(light):  # a hash range at a time
+            yield from count_range([_unpack(row)[:2] for row in light.pop(dest)])
+
+    def count_range(parts):
+        tokens, nodes = (np.concatenate([x[i] for x in parts]) for i in (0, 1))
+        del parts
         order = np.argsort(tokens)
         tokens, nodes = tokens[order], nodes[order]
         same = tokens[1:] == tokens[:-1]
@@ -332,6 +335,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     postings = _postings(sets, percent)
     leader = F.max(F.struct("weight", "node", "n", "rest")).alias("leader")
     sizes = postings.groupBy("token").agg(F.count("*").alias("m"), leader).filter("m > 1")
+    # written first, here and below: a join with a table, not with an aggregate in place, can be split where a key is hot
+    sizes = stored(sizes, "lists", narrow=True)
     postings = stored(postings.join(sizes, "token"), "postings")
     small, large = postings.filter(F.col("m") <= SMALL_LIST), postings.filter(F.col("m") > SMALL_LIST)
 
@@ -358,7 +363,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     largest = largest.groupBy("token").agg(
         F.max(F.struct("k", "label"))["label"].alias("main"), F.count("*").alias("labels")
     )
-    open_lists = known.join(largest.filter("labels > 1"), "token")
+    largest = stored(largest.filter("labels > 1"), "open-lists", narrow=True)
+    open_lists = stored(known.join(largest, "token"), "open-postings")
     outside = open_lists.filter("label <> main").select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "rest", "label")))
     inside = open_lists.select("token", "main", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "rest", "label")))
     across = outside.join(inside, "token").filter(
@@ -385,7 +391,7 @@ def link_documents(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFr
     labels = _links(sets, percent)
     members = scanned.filter("token is null").join(labels, "node", "left")
     members = members.select("doc_id", "n", F.coalesce("label", "node").alias("label"))
-    smallest = members.groupBy("label").agg(F.min("doc_id").alias("smallest"))
+    smallest = stored(members.groupBy("label").agg(F.min("doc_id").alias("smallest")), "smallest", narrow=True)
     return members.join(smallest, "label", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
