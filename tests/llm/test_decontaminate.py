@@ -44,6 +44,19 @@ def test_slots_must_be_consistent(spark, documents):
     assert found(docs, items(spark, (1, item))) == {(1, 1): False}
 
 
+def test_slots_rate_an_alignment(spark, documents):
+    equal = ITEM.replace("3 hours", "9 hours")  # two values of the item become one
+    friends = "Tom has 5 apples and 5 friends so how many does every one of them get"
+    split = "Tom has 6 apples and 4 friends so how many does every one of them get"  # and one becomes two
+    docs = documents((1, equal), (2, split), (3, f"before it. {equal} after it"))
+    got = found(docs, items(spark, (10, ITEM), (11, friends)))
+    assert got == {(1, 10): False, (2, 11): False, (3, 10): False}
+    # little but placeholders, with unrelated fillings
+    row, mixed = "add 1 2 1 2 1 2 1 2 1 2", "add 3 4 5 6 7 8 9 10 11 12"
+    swapped = row.replace("1", "7").replace("2", "1")
+    assert found(documents((1, mixed), (2, swapped)), items(spark, (1, row))) == {(2, 1): False}
+
+
 def test_short_items_and_empty_tables(spark, documents):
     docs = documents((1, "so: what is two plus two, then?"), (2, "what is two plus"), (None, "what is two plus two"))
     assert set(found(docs, items(spark, (1, "What is two plus two?")))) == {(1, 1), (None, 1)}
