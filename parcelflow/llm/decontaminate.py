@@ -5,9 +5,12 @@ with a unit attached ``<num><unit>``, a unit after a number ``<unit>``, a capita
 sentence ``<name>``. All else is lower-cased and loses its punctuation; tokens that lose everything are dropped. The
 replacements run over the whole text and keep its white space, so the n-th canonical token stems from the n-th raw
 one. Windows of ``WINDOW`` canonical tokens of the benchmark (a shorter item is one window) are hash-joined with those of
-every document; a window carries the raw values in its slots.
+every document; a window carries the raw values in its slots. What the first word of an item is depends on what precedes
+it in a document (a heading without a full stop, a number), so its windows stand for every reading; in one that is not
+the item's own, the word itself must be the same.
 
-Windows of one item at one alignment make a match if they are at least ``coverage`` of the item's windows. The slots
+Windows of one item at one alignment make a match if they are at least ``coverage`` of the item's windows, or cover a run
+of ``RUN`` canonical tokens of it without a gap. The slots
 rate it: windows with the same fillings on both sides are literal, and are a match if they alone are enough. Otherwise
 at least half of the slots must be consistent, that is follow a one-to-one map between the values of the item and of the
 document, one map per type of placeholder, the commonest pairs of values first. So a copy with other numbers is found,
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from parcelflow.llm.common import let, stored, whole_text
 
 WINDOW = 8
+RUN = 13  # canonical tokens in a row that are a match whatever the item's length
 MAX_BROADCAST = 1_000_000  # distinct window hashes, 8 bytes each
 
 # fixed values: units that may follow a number
@@ -125,12 +129,33 @@ def _consistent(fillings: Column) -> Column:
     return let(pairs, mapped)
 
 
+def _run(places: Column) -> Column:
+    """The length of the longest run of consecutive numbers among distinct ones."""
+
+    def add(done: Column, at: Column) -> Column:
+        now = F.when(at == done["last"] + 1, done["now"] + 1).otherwise(F.lit(1))
+        return F.struct(at.alias("last"), now.alias("now"), F.greatest(done["best"], now).alias("best"))
+
+    none = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("now"), F.lit(0).alias("best"))
+    return F.aggregate(F.array_sort(places), none, add, lambda done: done["best"])
+
+
 def _benchmark(items: DataFrame) -> DataFrame:
-    """(item, n, hash, at, slots, windows) of every window of the benchmark."""
-    parsed = items.select(F.col("item_id").alias("item"), tokens(whole_text()).alias("tokens"))
+    """(item, n, hash, at, slots, windows, reading) of every window of the benchmark, the first ones in every reading."""
+    text = F.regexp_replace(whole_text(), r"^\s+", "")
+    capital, small = [F.concat(of(F.substring(text, 1, 1)), F.substring(text, F.lit(2), F.length(text))) for of in (F.upper, F.lower)]
+    # after a digit and a space the first word is a name if it can be one, or a unit
+    after = [F.filter(tokens(F.concat(F.lit("1 "), t)), lambda x, i: i > 0) for t in (capital, small)]
+    own = tokens(text)
+    forms = [F.transform(t, lambda x: x["canonical"]) for t in (own, *after)]
+    other = [F.when(form != forms[0], t) for form, t in zip(forms[1:], after)]
+    readings = F.array_distinct(F.filter(F.array(own, *other), lambda t: t.isNotNull()))
+    parsed = items.select(F.col("item_id").alias("item"), F.posexplode(readings).alias("reading", "tokens"))
     parsed = parsed.filter(F.size("tokens") > 0).withColumn("n", F.least(F.size("tokens"), F.lit(WINDOW)))
     parsed = parsed.withColumn("windows", F.size("tokens") - F.col("n") + 1)
-    at = parsed.select("*", F.explode(F.sequence(F.lit(0), F.col("windows") - 1)).alias("at"))
+    # only windows that hold the first word differ between the readings
+    last = F.when(F.col("reading") == 0, F.col("windows") - 1).otherwise(F.lit(0))
+    at = parsed.select("*", F.explode(F.sequence(F.lit(0), last)).alias("at"))
     # a hash of hashes, as of the documents' windows
     hashes = F.transform(F.slice("tokens", F.col("at") + 1, F.col("n")), lambda t: F.xxhash64(t["canonical"]))
     by_length = F.coalesce(
@@ -146,7 +171,7 @@ def _benchmark(items: DataFrame) -> DataFrame:
     slots = F.zip_with(
         places, _values(held), lambda k, v: F.struct(k["place"].alias("place"), k["kind"].alias("kind"), v.alias("value"))
     )
-    return at.select("item", "n", "hash", "at", slots.alias("slots"), "windows")
+    return at.select("item", "n", "hash", "at", slots.alias("slots"), "windows", "reading")
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, coverage: float = 0.25) -> DataFrame:
@@ -160,13 +185,15 @@ def find_contamination(docs: DataFrame, items: DataFrame, coverage: float = 0.25
     all_windows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.explode(_windows(text, lengths)).alias("w"))
     hits = all_windows.select("doc_id", "text_hash", F.col("w.at").alias("doc_at"), "w.hash", F.col("w.slots").alias("doc_slots"))
     hits = stored(hits.join(wanted, "hash", "left_semi").distinct(), "window-hits", narrow=True)
-    met = hits.join(benchmark, "hash").select(
+    same_word = (F.col("reading") == 0) | (F.get("slots", F.lit(0))["value"] == F.get("doc_slots", F.lit(0)))
+    met = hits.join(benchmark, "hash").filter(same_word).select(
         "doc_id",
         "text_hash",
         F.col("item").alias("item_id"),
         (F.col("doc_at") - F.col("at")).alias("shift"),
         "at",
         "windows",
+        "n",
         F.zip_with(
             "slots",
             "doc_slots",
@@ -175,18 +202,19 @@ def find_contamination(docs: DataFrame, items: DataFrame, coverage: float = 0.25
     )
     met = met.withColumn("literal", F.forall("fillings", lambda f: f["ours"] == f["theirs"]))
     # a window each per place of the item: no more rows in a group than the item has windows
-    aligned = met.groupBy("doc_id", "text_hash", "item_id", "shift", "windows").agg(
-        F.countDistinct("at").alias("matched"),
-        F.countDistinct(F.when(F.col("literal"), F.col("at"))).alias("literal"),
+    aligned = met.groupBy("doc_id", "text_hash", "item_id", "shift", "windows", "n").agg(
+        F.collect_set("at").alias("all"),
+        F.collect_set(F.when(F.col("literal"), F.col("at"))).alias("literal"),
         F.array_distinct(F.flatten(F.collect_set("fillings"))).alias("fillings"),
     )
 
-    def enough(matched: str) -> Column:
-        return F.col(matched) >= F.ceil(coverage * F.col("windows"))
+    def enough(places: str) -> Column:
+        share = F.size(places) >= F.ceil(coverage * F.col("windows"))
+        return share | (_run(F.col(places)) + F.col("n") - 1 >= RUN)
 
     consistent = 2 * _consistent(F.col("fillings")) >= F.size("fillings")
     exact = F.forall("fillings", lambda f: f["ours"] == f["theirs"])
-    matches = aligned.filter(enough("matched")).filter(enough("literal") | consistent)
+    matches = aligned.filter(enough("all")).filter(enough("literal") | consistent).withColumn("matched", F.size("all").cast("long"))
     best = F.max(F.struct("matched", exact.alias("exact"), "windows"))
     return (
         matches.groupBy("doc_id", "text_hash", "item_id")

@@ -64,6 +64,35 @@ def test_short_items_and_empty_tables(spark, documents):
     assert decontaminate.decontaminate(docs, items(spark)).count() == 3
 
 
+def test_parts_of_long_items(spark, documents):
+    words = [f"word{i}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(1000)]
+    sixty = words[:59]
+    docs = documents(
+        (1, "intro here " + " ".join(words[300:540])),
+        (2, " ".join(sixty[20:38]) + " and on"),
+        (3, " ".join(sixty[20:32])),  # a run of twelve is neither long enough nor a quarter
+        (4, " ".join(w for k in range(0, 200, 20) for w in [*words[k : k + 12], "gap"])),
+    )
+    got = found(docs, items(spark, (1, " ".join(words)), (2, " ".join(sixty))))
+    assert got == {(1, 1): True, (2, 2): True, (2, 1): True}
+
+
+def test_first_word_of_an_item(spark, documents):
+    short = "What is two plus two?"
+    docs = documents(
+        (1, f"Quiz\n{short}"), (2, f"1 {short}"), (3, f"Quiz. {short}"), (4, f"quiz {short} yes"), (5, "Quiz\nWho is two plus two?"),
+        (6, "chapter 3\nDays are long"), (7, "chapter 3 days are long"),
+        (8, "Quiz\nWhat is"),
+    )
+    got = found(docs, items(spark, (1, short), (2, "Days are long"), (3, "days are long"), (4, "Paris"), (5, "  What is")))
+    assert {k: v for k, v in got.items() if k[1] == 1} == {(1, 1): True, (2, 1): True, (3, 1): True, (4, 1): True}
+    assert {(6, 2), (6, 3), (7, 2), (7, 3), (8, 5)} <= set(got)
+    assert not [k for k in got if k[1] == 4]
+    long = f"What {ITEM}"
+    rows = decontaminate.find_contamination(documents((1, f"Quiz\n{long}"), (2, long)), items(spark, (1, long))).collect()
+    assert {r.doc_id: (r.matched == r.windows, r.exact) for r in rows} == {1: (True, True), 2: (True, True)}
+
+
 def test_columns_stay(spark, documents):
     docs = documents((1, ITEM), (2, "clean"))
     assert decontaminate.decontaminate(docs, items(spark, (1, ITEM))).columns == docs.columns
