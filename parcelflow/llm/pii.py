@@ -8,9 +8,14 @@ entity of kind k and p(k | t) the share of the term's texts that have the term n
 
 of the entity's information content: 0 when they are independent, 1 when the term always comes with it. Terms at
 or above ``threshold``, seen in at least ``support`` different contexts (copies of a context count once), are spans of kind
-``term`` wherever they stand near an entity of that kind. Texts without an entity are never touched.
+``term`` wherever they stand near an entity of that kind.
 
-A term is a run of at least three letters, lower-cased, that lies wholly within ``REACH`` code points of a span. Spans are in
+The same is asked of every single entity, a value v (an address in lower case, a number by its digits), over whole texts: p(v)
+is the share of distinct texts that hold v and p(v | t) the share of the distinct texts with t anywhere that hold v. Terms at or
+above ``threshold`` that stand beside v, outside all spans, in at least ``support`` distinct texts are spans of kind ``term``
+wherever they stand in any text, with or without an entity, except inside one.
+
+A term is a run of at least three letters, lower-cased; near a span, one that lies wholly within ``REACH`` code points. Spans are in
 code points, end exclusive. ``sanitise`` replaces entities by their kind and generalises disclosing
 terms to ``[TERM]``. DataFrame expressions only.
 
@@ -68,7 +73,7 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _located(text: Column, pattern: str) -> Column:
+def _located(text: Column, pattern: str | Column) -> Column:
     """array<struct<start, end, match>> of all matches, leftmost and non-overlapping.
 
     What lies between the matches is what splitting leaves, so the lengths of both add up to the places.
@@ -88,7 +93,8 @@ def _located(text: Column, pattern: str) -> Column:
         found = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), empty, step)
         return F.when(F.size(matches) > 0, found).otherwise(empty)
 
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    matches = F.regexp_extract_all(text, pattern, F.lit(0))
     return let(F.struct(matches.alias("matches"), F.split(text, pattern, -1).alias("gaps")), add)
 
 
@@ -131,9 +137,10 @@ def _terms_near(text: Column, span: Column) -> Column:
 
 
 def _scanned(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Stored rows (row, kept, spans, near): the patterns run once over every text.
+    """Stored rows (row, digest, kept, spans, near, entities, words): the patterns run once over every text.
 
-    ``near`` has each term beside each entity, with a hash of what surrounds the entity.
+    ``near`` has each term beside each entity, with a hash of what surrounds the entity. ``entities`` has the distinct values,
+    ``words`` the terms of a text that has any, and whether they stand outside the spans.
     """
     text = whole_text()
     kept = F.struct(*[F.col(c) for c in keep]).alias("kept")
@@ -161,13 +168,95 @@ def _scanned(docs: DataFrame, keep: list[str]) -> DataFrame:
         )
 
     near = F.flatten(F.transform("spans", beside))
-    return stored(rows.select(F.monotonically_increasing_id().alias("row"), "kept", "spans", near.alias("near")), "pii")
+    outside = sanitise(F.col("text"), F.transform("spans", lambda s: s.withField("kind", F.lit(""))))
+    words = let(
+        F.struct(_words(F.col("text")).alias("all"), _words(outside).alias("outside")),
+        lambda w: F.transform(
+            F.filter(w["all"], lambda t: F.length(t) >= 3),
+            lambda t: F.struct(t.alias("term"), F.array_contains(w["outside"], t).alias("outside")),
+        ),
+    )
+    return stored(
+        rows.select(
+            F.monotonically_increasing_id().alias("row"),
+            _digest(F.col("text")).alias("digest"),
+            "kept",
+            "spans",
+            near.alias("near"),
+            F.array_distinct(F.transform("spans", lambda s: _entity(F.col("text"), s))).alias("entities"),
+            F.when(F.size("spans") > 0, words).alias("words"),
+        ),
+        "pii",
+    )
 
 
 def _words(text: Column) -> Column:
     return F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+"))
 
 
+def _digest(text: Column) -> Column:
+    return F.md5(F.encode(text, "UTF-8"))
+
+
+def _entity(text: Column, span: Column) -> Column:
+    match = F.substring(text, (span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int"))
+    value = F.when(span["kind"].isin("card", "phone"), _digits(match)).otherwise(F.lower(match))
+    return F.struct(span["kind"].alias("kind"), value.alias("value"))
+
+
+def _texts_with(docs: DataFrame) -> DataFrame:
+    """(term, texts): the number of distinct texts that hold a term."""
+    return (
+        docs.select(whole_text().alias("text"))
+        .distinct()
+        .select(F.explode(_words(F.col("text"))).alias("term"))
+        .filter(F.length("term") >= 3)
+        .groupBy("term")
+        .agg(F.count("*").alias("texts"))
+    )
+
+
+def revealing_terms(docs: DataFrame, scanned: DataFrame, threshold: float, support: int) -> DataFrame | None:
+    """(term) of those that disclose a single entity; counts are of distinct texts. None if no entity is in enough texts."""
+    held = scanned.filter(F.size("entities") > 0)
+    values = held.select("digest", F.explode("entities").alias("entity")).distinct().groupBy("entity")
+    values = stored(values.agg(F.count("*").alias("with_value")).filter(F.col("with_value") >= support), "entities", narrow=True)
+    if values.isEmpty():
+        return None
+    total = scanned.select("digest").distinct().count()
+    # one row per distinct text; only entities in enough texts meet its words
+    texts = held.groupBy("digest").agg(F.min("row").alias("row"))
+    texts = held.select("row", "entities", "words").join(texts.select("row"), "row", "left_semi")
+    pairs = texts.select(F.explode("entities").alias("entity"), "words").join(values.select("entity"), "entity", "left_semi")
+    together = (
+        pairs.select("entity", F.explode("words").alias("word"))
+        .groupBy("entity", F.col("word.term").alias("term"))
+        .agg(F.count("*").alias("together"), F.count_if("word.outside").alias("beside"))
+        .filter(F.col("beside") >= support)
+    )
+    given = F.least(F.col("together") / F.col("texts"), F.lit(1.0))
+    disclosure = F.when(F.col("with_value") >= total, F.lit(0.0)).otherwise(
+        1 - F.log(given) / F.log(F.col("with_value") / F.lit(total))
+    )
+    known = together.join(values, "entity").join(_texts_with(docs), "term")
+    return known.filter(disclosure >= threshold).select("term").distinct()
+
+
+def _revealed(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(digest, anywhere): the places of the terms in every distinct text that has one."""
+    texts = docs.select(whole_text().alias("text")).withColumn("digest", _digest(F.col("text")))
+    words = texts.select("digest", F.explode(_words(F.col("text"))).alias("term")).filter(F.length("term") >= 3)
+    having = words.join(terms, "term", "left_semi").groupBy("digest").agg(F.collect_set("term").alias("terms"))
+    # terms are letters only
+    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.sort_array("terms"), "|"), F.lit(r")(?!\p{L})"))
+    found = texts.join(having, "digest").withColumn("pattern", pattern)
+    spans = F.transform(
+        _located(F.col("text"), F.col("pattern")),
+        lambda m: F.struct(F.lit("term").alias("kind"), m["start"].alias("start"), m["end"].alias("end")),
+    )
+    return found.select("digest", spans.alias("anywhere")).groupBy("digest").agg(F.min("anywhere").alias("anywhere"))
+
+
 def disclosing_terms(docs: DataFrame, scanned: DataFrame, threshold: float, support: int) -> DataFrame:
     """(term, kind, disclosure) at or above the threshold; counts are of documents, over all of them.
 
@@ -222,8 +311,18 @@ def find_personal_data(
     flagged = near.join(terms, ["term", "kind"], "left_semi").groupBy("row").agg(
         F.sort_array(F.collect_set(F.struct(F.lit("term").alias("kind"), "start", "end"))).alias("terms")
     )
-    spans = F.concat("spans", F.coalesce("terms", F.array().cast(_SPAN)))
-    return scanned.join(flagged, "row", "left").select("kept", spans.alias("spans"))
+    rows = scanned.join(flagged, "row", "left")
+    none = F.array().cast(_SPAN)
+    found = F.coalesce("terms", none)
+    revealing = revealing_terms(docs, scanned, threshold, support)
+    if revealing is not None:
+        rows = rows.join(_revealed(docs, stored(revealing, "revealing-terms", narrow=True)), "digest", "left")
+        free = F.filter(
+            F.coalesce("anywhere", none),
+            lambda m: ~F.exists("spans", lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])),
+        )
+        found = F.array_sort(F.array_union(found, free))
+    return rows.select("kept", F.concat("spans", found).alias("spans"))
 
 
 def sanitise(text: Column, spans: Column) -> Column:

@@ -93,6 +93,26 @@ def test_terms_that_disclose(documents):
         assert all(s.kind == "email" for r in found for s in r.spans)
 
 
+def test_terms_that_reveal_an_entity_anywhere(documents):
+    """With production parameters, far from the address, and in texts without one."""
+    filler = "ordinary words of the kind that stand in all the texts here "
+    words = ["one", "two", "three", "four", "five", "six"]
+    holding = [f"Zyskowski {filler} {w} write to anna@host.org" for w in words[:5]] + [f"{words[5]} ANNA@host.org, {filler} zyskowski!"]
+    clean = [f"{filler} write number {'abcdefghij'[i % 10]}{'klmno'[i // 10]}q" for i in range(50)]
+    other = f"{filler} and (Zyskowski) said zyskowskis"
+    docs = documents(*enumerate([*holding, *clean, other]))
+    rows = {r.kept.doc_id: [(x.kind, r.kept.text[x.start : x.end]) for x in r.spans]
+            for r in pii.find_personal_data(docs, keep=["doc_id", "text"]).collect()}
+    assert 1 - math.log(6 / 7) / math.log(6 / 57) >= 0.9
+    assert rows[0] == [("email", "anna@host.org"), ("term", "Zyskowski")] and rows[5][-1] == ("term", "zyskowski")
+    assert rows[56] == [("term", "Zyskowski")] and not any(rows[i] for i in range(6, 56))
+    # copies of one text are one: they neither give support nor hide a term
+    copied = documents(*enumerate([*holding[:4], *[holding[0]] * 5, *clean, other]))
+    assert all(x.kind == "email" for r in pii.find_personal_data(copied, ["doc_id"]).collect() for x in r.spans)
+    hidden = documents(*enumerate([*holding, *clean, *[other] * 30]))
+    assert sum(x.kind == "term" for r in pii.find_personal_data(hidden, ["doc_id"]).collect() for x in r.spans) == 36
+
+
 def test_sanitise(spark):
     text = "é call +1 415 555 0199 or x@y.org, +4539148803436467 end"
     schema = "text string, spans array<struct<kind:string,start:bigint,end:bigint>>"
