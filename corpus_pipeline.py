@@ -47,7 +47,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data and terms that disclose it replaced; n_chars follows the text."""
     ready(spark)
-    found = pii.find_personal_data(docs, keep=docs.columns)
+    found = pii.find_personal_data(docs, keep=docs.columns, count_copies=False)
     clean = found.withColumn("clean", pii.sanitise(F.col("kept.text"), F.col("spans")))
     new = {"text": F.col("clean"), "n_chars": F.length("clean")}
 

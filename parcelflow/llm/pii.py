@@ -20,7 +20,8 @@ code points, end exclusive. ``sanitise`` replaces entities by their kind and gen
 terms to ``[TERM]``. DataFrame expressions only.
 
 Defined results: null text is empty and has no span; overlapping spans of different kinds are all reported, and replaced as
-one by the kind of the first; repeated rows are scanned each and counted once; an empty table gives no rows.
+one by the kind of the first; repeated rows are scanned each and, unless ``count_copies`` asks for shares of rows near
+entities of a kind, counted once; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -204,11 +205,11 @@ def _entity(text: Column, span: Column) -> Column:
     return F.struct(span["kind"].alias("kind"), value.alias("value"))
 
 
-def _texts_with(docs: DataFrame) -> DataFrame:
-    """(term, texts): the number of distinct texts that hold a term."""
+def _texts_with(docs: DataFrame, count_copies: bool = False) -> DataFrame:
+    """(term, texts): the number of distinct texts, or of rows, that hold a term."""
+    texts = docs.select(whole_text().alias("text"))
     return (
-        docs.select(whole_text().alias("text"))
-        .distinct()
+        (texts if count_copies else texts.distinct())
         .select(F.explode(_words(F.col("text"))).alias("term"))
         .filter(F.length("term") >= 3)
         .groupBy("term")
@@ -257,20 +258,25 @@ def _revealed(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return found.select("digest", spans.alias("anywhere")).groupBy("digest").agg(F.min("anywhere").alias("anywhere"))
 
 
-def disclosing_terms(docs: DataFrame, scanned: DataFrame, threshold: float, support: int) -> DataFrame:
-    """(term, kind, disclosure) at or above the threshold; counts are of documents, over all of them.
+def disclosing_terms(
+    docs: DataFrame, scanned: DataFrame, threshold: float, support: int, count_copies: bool
+) -> DataFrame:
+    """(term, kind, disclosure) at or above the threshold; counts are of distinct texts, or of all rows.
 
     Every count combines before its shuffle, so a term in a third of all texts is one row per task.
     """
-    total = scanned.count()
+    of = "row" if count_copies else "digest"
+    total = scanned.select(of).distinct().count()
     kinds = (
-        scanned.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["kind"]))).alias("kind"))
+        scanned.select(of, F.explode(F.array_distinct(F.transform("spans", lambda s: s["kind"]))).alias("kind"))
+        .distinct()
         .groupBy("kind")
         .agg(F.count("*").alias("with_kind"))
     )
     pairs = F.array_distinct(F.transform("near", lambda t: F.struct(t["kind"].alias("kind"), t["term"].alias("term"))))
     together = (
-        scanned.select(F.explode(pairs).alias("pair"))
+        scanned.select(of, F.explode(pairs).alias("pair"))
+        .distinct()
         .groupBy("pair.kind", "pair.term")
         .agg(F.count("*").alias("together"))
     )
@@ -281,12 +287,7 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, threshold: float, supp
         .groupBy("kind", "term")
         .agg(F.count("*").alias("contexts"))
     )
-    everywhere = (
-        docs.select(F.explode(_words(whole_text())).alias("term"))
-        .filter(F.length("term") >= 3)
-        .groupBy("term")
-        .agg(F.count("*").alias("texts"))
-    )
+    everywhere = _texts_with(docs, count_copies)
     informed = (
         contexts.filter(F.col("contexts") >= support)
         .join(together, ["kind", "term"])
@@ -301,11 +302,14 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, threshold: float, supp
 
 
 def find_personal_data(
-    docs: DataFrame, keep: list[str], threshold: float = 0.9, support: int = 5
+    docs: DataFrame, keep: list[str], threshold: float = 0.9, support: int = 5, count_copies: bool = True
 ) -> DataFrame:
-    """(kept, spans) per row: a struct of the columns to keep, and all spans, entities first."""
+    """(kept, spans) per row: a struct of the columns to keep, and all spans, entities first.
+
+    With ``count_copies`` the shares near entities of a kind are of rows, without of distinct texts.
+    """
     scanned = _scanned(docs, keep)
-    terms = stored(disclosing_terms(docs, scanned, threshold, support), "terms", narrow=True)
+    terms = stored(disclosing_terms(docs, scanned, threshold, support, count_copies), "terms", narrow=True)
     near = scanned.filter(F.size("near") > 0).select("row", F.explode("near").alias("near"))
     near = near.select("row", "near.kind", "near.term", "near.start", "near.end")
     flagged = near.join(terms, ["term", "kind"], "left_semi").groupBy("row").agg(

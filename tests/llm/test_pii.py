@@ -113,6 +113,41 @@ def test_terms_that_reveal_an_entity_anywhere(documents):
     assert sum(x.kind == "term" for r in pii.find_personal_data(hidden, ["doc_id"]).collect() for x in r.spans) == 36
 
 
+def _near_terms(docs):
+    rows = pii.find_personal_data(docs, keep=["doc_id", "text"], count_copies=False).collect()
+    return [(r.kept.doc_id, r.kept.text[s.start : s.end]) for r in rows for s in r.spans if s.kind == "term"]
+
+
+def test_copies_change_no_term(documents):
+    """With production parameters, as the query and the pipeline count."""
+    near = [f"text {c}{c}{c} reachme {c}@host.org please {c}{c}{c}" for c in "abcdefghij"]
+    others = [f"please read this text number {'abcdefghij'[i % 10]}{'klmno'[i // 10]}q" for i in range(50)]
+    want = [(i, "reachme") for i in range(10)]
+    assert sorted(_near_terms(documents(*enumerate(near + others)))) == want
+    # copies of a clean text with the term do not hide it: 10 of 11 distinct texts, not 10 of 70
+    clean = "reachme is a word of this text"
+    once = sorted(_near_terms(documents(*enumerate([*near, *others, clean]))))
+    assert 1 - math.log(10 / 11) / math.log(10 / 61) >= 0.9 and once == want
+    assert sorted(_near_terms(documents(*enumerate([*near, *others, *[clean] * 60])))) == want
+    # nor do copies of a text with an address make its words disclose: 'often' near one in 6 of 12 distinct texts
+    often = [f"often {c}{c}{c} at {c}@host.org" for c in "klmnop"] + [f"often {c}{c}{c}" for c in "qrstuv"]
+    assert _near_terms(documents(*enumerate([*often, *others]))) == []
+    assert _near_terms(documents(*enumerate([*often, *[often[0]] * 300, *others, *others * 20]))) == []
+
+
+def test_production_counts_distinct_texts(spark, documents, tmp_path):
+    import corpus_pipeline
+
+    near = [f"text {c}{c}{c} reachme {c}@host.org please" for c in "abcdefghij"]
+    others = [f"please read this text number {'abcdefghij'[i % 10]}{'klmno'[i // 10]}q" for i in range(50)]
+    docs = documents(*enumerate([*near, *others, *["reachme is a word of this text"] * 60]))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op9_pii"](spark, str(tmp_path)).collect()
+    assert sum("term:" in r.spans for r in rows) == 10
+    clean = corpus_pipeline.remove_personal_data(spark, docs, str(tmp_path)).filter("contains(text, '[TERM]')")
+    assert clean.count() == 10
+
+
 def test_sanitise(spark):
     text = "é call +1 415 555 0199 or x@y.org, +4539148803436467 end"
     schema = "text string, spans array<struct<kind:string,start:bigint,end:bigint>>"
