@@ -103,7 +103,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), windows=2)
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
