@@ -3,12 +3,11 @@
 A text's units are its words (runs of anything but white space, case kept); a text of fewer than ``SHORT`` code points, or of
 fewer than ``2 * K`` words, is taken by code points, with longer windows. Of the windows of ``K`` units those are *closed
 syncmers*, whose smallest sub-window of ``S`` units, by hash, lies at either edge of the window. Whether a window is chosen
-depends on nothing outside it, so equal passages have equal anchors wherever they stand; ``anchors`` lists them with their positions for
-positional matching.
+depends on nothing outside it, so equal passages have equal anchors wherever they stand; ``anchors`` lists them with their positions.
 
-The fingerprint is a sample of the bag of anchors: an anchor that occurs c times stands as (hash, 1) .. (hash, c), and the ``SIZE`` smallest
-hashes of all these (all of them, if fewer) are kept, 16 hex digits each: a sample that all texts draw alike. The likeness
-of two fingerprints is the Dice coefficient of the bags as estimated from the samples.
+The fingerprint is the whole bag of anchors, so it grows with the text: an anchor that occurs c times stands as (hash, 1) .. (hash, c),
+all these hashes in ascending order, 16 hex digits each. The likeness of two fingerprints is the Dice coefficient of the bags, not an
+estimate. It does not look at positions: anchors in another order count as matched.
 
 Defined results: null text is empty; a text too short for one window has the hash of all its units as its
 only anchor; the empty text has the empty fingerprint, like itself (1) and unlike any other (0).
@@ -23,7 +22,7 @@ from parcelflow.llm.common import let, shuffle_width, whole_text
 
 K, S = 5, 2  # in words
 K_SHORT, S_SHORT, SHORT = 10, 7, 400  # in code points
-SIZE = 64
+SIZE = None  # hashes in a fingerprint: all
 
 
 def _by_points(text: Column, words: Column) -> Column:
@@ -81,8 +80,8 @@ def _bag(hashes: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """The smallest hashes of the bag of anchors, ascending."""
-    return F.slice(F.array_sort(_bag(F.transform(anchors(text), lambda a: a["hash"]))), 1, SIZE)
+    """The hashes of the bag of anchors, ascending."""
+    return F.array_sort(_bag(F.transform(anchors(text), lambda a: a["hash"])))
 
 
 def fingerprint(sketched: Column) -> Column:
@@ -93,13 +92,12 @@ def fingerprint(sketched: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """Between two sketches: 0 to 1."""
 
-    def estimate(pair: Column) -> Column:
-        both = F.size(F.array_intersect(pair["union"], pair["common"]))
-        jaccard = both / F.size(pair["union"])
-        return F.when(F.size(pair["union"]) == 0, F.lit(1.0)).otherwise(2 * jaccard / (1 + jaccard))
+    def dice(both: Column) -> Column:
+        total = F.size(a) + F.size(b)
+        jaccard = both / (total - both)
+        return F.when(total == 0, F.lit(1.0)).otherwise(2 * jaccard / (1 + jaccard))
 
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, SIZE)
-    return let(F.struct(union.alias("union"), F.array_intersect(a, b).alias("common")), estimate)
+    return let(F.size(F.array_intersect(a, b)), dice)
 
 
 def neighbours(keys: DataFrame) -> DataFrame:

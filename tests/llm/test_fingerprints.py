@@ -111,3 +111,15 @@ def test_anchors_are_context_free(spark):
     alone = {(x.position, x.hash) for x in rows[0].a}
     within = {(x.position - 3, x.hash) for x in rows[1].a}
     assert alone and alone <= within
+
+
+def test_a_small_common_passage_of_long_texts(documents):
+    passage = " ".join(f"p{i}" for i in range(60))
+    one = " ".join(f"a{i}" for i in range(1500)) + f" {passage} " + " ".join(f"b{i}" for i in range(1500))
+    two = " ".join(f"c{i}" for i in range(2000)) + f" {passage} " + " ".join(f"d{i}" for i in range(1000))
+    docs = {1: one, 2: two}
+    rows = fp.fingerprint_edits(documents(*docs.items())).collect()
+    check(rows, docs)
+    for r in rows:
+        assert 0.01 < r.near_next < 0.03
+        assert len(r.fingerprint) > 16 * 1000  # about every second window
