@@ -11,13 +11,16 @@ from parcelflow.llm import (
     chat,
     decontaminate,
     fingerprints,
+    importance,
     licenses,
     ngram_join,
     packing,
     pii,
     quality,
+    rules,
     token_counts,
     token_files,
+    turn_repair,
 )
 from parcelflow.llm.common import ready, table
 from parcelflow.session import scratch_dir
@@ -131,6 +134,35 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents"), words=5, percent=75)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    decisions = rules.fit_rules(docs, table(spark, sf_dir, "labels"))
+    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return rules.document_counts(docs, keep=["doc_id"]).select(
+        F.col("kept.doc_id").alias("doc_id"),
+        *["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"],
+        base_failed.alias("base_failed"),
+        (~base_failed & (decisions.verdict() == 1)).alias("kept"),
+    )
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    figures = turn_repair.repair_figures(turn_repair.damage(turns)).withColumnRenamed("conv_id", "found_id")
+    ids = turns.select("conv_id").distinct()  # a conversation may have lost all its rows
+    empty = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
+    names = [c for c in figures.columns if c != "found_id"]
+    return ids.join(figures, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").select(
+        "conv_id", *[F.coalesce(c, empty.get(c, F.lit(0).cast("long"))).alias(c) for c in names]
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    drawn = importance.importance_resample(docs, target, keep=["doc_id"], words=1, buckets=10_000, percent=10)
+    return drawn.select(F.col("kept.doc_id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -156,6 +188,9 @@ QUERIES = {
         op8_license_scan,
         op9_pii,
         op10_ngram_jaccard_join,
+        op11_quality_rules,
+        op12_turn_repair,
+        op13_importance_resampling,
         pipeline,
     )
 }
