@@ -200,6 +200,10 @@ ORACLE = {
     "json_field": """
         SELECT event_id, props ->> 'k' AS k, props ->> 'absent' AS absent FROM events""",
     "cast_bigint": "SELECT event_id, CAST(props ->> 'k' AS BIGINT) AS k FROM events",
+    "cast_bigint_forms": """
+        SELECT event_id, CASE event_id % 8 WHEN 2 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN NULL WHEN 3 THEN k * 1000
+                              WHEN 7 THEN k * 10 ELSE k END AS order_id, event_id % 8 IN (2, 4, 5) AS refused
+        FROM (SELECT event_id, CAST(props ->> 'k' AS BIGINT) AS k FROM events)""",
     "cast_decimal": "SELECT event_id, CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS amount FROM events",
     "cast_timestamp": "SELECT event_id, ts FROM events",
     "json_default": f"{_WITH} SELECT event_id, quantity FROM o",

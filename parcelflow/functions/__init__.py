@@ -3,15 +3,18 @@
 from parcelflow.functions.codec import decode_key, decode_utf8, encode_event, iso_text, undecodable_key
 from parcelflow.functions.keys import event_id, offset_block, with_row_id
 from parcelflow.functions.payload import (
+    castable_text,
     field,
     has_lone_surrogate,
     has_nul_character,
     is_non_finite_json,
+    spelled_numbers,
     typed_field,
     with_strict_json,
 )
 
 __all__ = [
+    "castable_text",
     "decode_key",
     "decode_utf8",
     "encode_event",
@@ -22,6 +25,7 @@ __all__ = [
     "is_non_finite_json",
     "iso_text",
     "offset_block",
+    "spelled_numbers",
     "typed_field",
     "undecodable_key",
     "with_row_id",

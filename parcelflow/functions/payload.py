@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.schemas import Field
+from parcelflow.schemas import CONTRACTS, Field
 
 _PYTHON_LIKE = {"allowNonNumericNumbers": "true", "allowSingleQuotes": "false"}
 
@@ -87,12 +87,57 @@ def field(payload: Column, name: str) -> Column:
     return F.variant_get(payload, f"$.{name}", "string")
 
 
-def typed_field(payload: Column, spec: Field, strict: bool = True) -> Column:
-    """A contract field in its declared type.
+# Whole types; a field of such a type is refused when its number was written with a decimal point.
+WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
+_WHOLE_FIELDS = sorted({f.json for fields in CONTRACTS.values() for f in fields if f.type in WHOLE_TYPES})
+# Up to here a double is exactly the whole number it was written as.
+_EXACT_DOUBLE = float(1 << 53)
+
+
+def _spelling(value: Column) -> Column:
+    """A number written with point or exponent as a cast to a whole type should see it; NULL for all else.
+
+    A variant that was just parsed tells a point (decimal) from an exponent (double). ``7.0`` stays ``7.0``, ``1e3`` is
+    ``1000``. A double beyond 2^53 need not be the number that was written, and stays as it is printed.
+    """
+    text, kind = value.cast("string"), F.schema_of_variant(value)
+    number = text.try_cast("double")
+    exact = (F.abs(number) <= F.lit(_EXACT_DOUBLE)) & (number == F.floor(number))
+    with_point = F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".0")))
+    return F.when(F.startswith(kind, F.lit("DECIMAL")), with_point).when(
+        (kind == "DOUBLE") & exact, number.try_cast("bigint").cast("string")
+    )
+
+
+def spelled_numbers(text: Column, parsed: Column, names: list[str] = _WHOLE_FIELDS) -> Column:
+    """Field -> spelling, of the named fields whose number is written with a point or an exponent; NULL for none.
 
-    Malformed text raises (ANSI cast); with ``strict=False`` it becomes NULL.
+    Take it from the text and its freshly parsed variant: storage does not keep how a number was written, because
+    shredding turns the integers of a file that holds one ``7.0`` into decimals too. One pattern over the
+    text decides for nearly all messages that there is nothing to keep.
     """
+    suspect = rf'"({"|".join(names)})"\s*:\s*-?[0-9]+[.eE]|\\u'
+    found = F.create_map(*[x for n in names for x in (F.lit(n), _spelling(F.variant_get(parsed, f"$.{n}", "variant")))])
+    kept = F.map_filter(found, lambda _, spelling: spelling.isNotNull())
+    is_object = F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT"))
+    return F.when(text.rlike(suspect) & is_object & (F.size(kept) > 0), kept)
+
+
+def castable_text(payload: Column, spec: Field, spelled: Column | None = None) -> Column:
+    """The text of a field that the cast to its type is applied to."""
     text = field(payload, spec.json)
+    if spelled is None or spec.type not in WHOLE_TYPES:
+        return text
+    return F.coalesce(F.try_element_at(spelled, F.lit(spec.json)), text)
+
+
+def typed_field(payload: Column, spec: Field, strict: bool = True, spelled: Column | None = None) -> Column:
+    """A contract field in its declared type.
+
+    Malformed text raises (ANSI cast); with ``strict=False`` it becomes NULL. ``spelled`` are the kept
+    :func:`spelled_numbers`; with them ``7.0`` is no whole number and ``1e3`` is one.
+    """
+    text = castable_text(payload, spec, spelled)
     value = text.cast(spec.type) if strict else text.try_cast(spec.type)
     if spec.default is not None:
         value = F.coalesce(value, F.lit(spec.default).cast(spec.type))

@@ -20,6 +20,7 @@ from parcelflow.functions import (
     has_nul_character,
     is_non_finite_json,
     offset_block,
+    spelled_numbers,
     undecodable_key,
     with_strict_json,
 )
@@ -64,6 +65,7 @@ def classify(frame: DataFrame) -> DataFrame:
         F.col("offset").alias("kafka_offset"),
         F.when(accepted, decode_key(F.col("key"))).alias("kafka_key"),
         F.when(accepted, payload).alias("payload"),
+        F.when(accepted, spelled_numbers(text, payload)).alias("spelled"),
         F.col("timestamp").alias("message_ts"),
         outcome.alias("outcome"),
         F.coalesce("_bad", "_error").alias("reason"),
@@ -96,7 +98,7 @@ def merge_copies(classified: DataFrame) -> DataFrame:
     The earliest delivery wins. The aggregate combines map-side, so a message
     redelivered any number of times reaches the shuffle once per input task.
     """
-    kept = ["kafka_key", "payload", "reason", "raw_key", "raw_value", "message_ts"]
+    kept = ["kafka_key", "payload", "spelled", "reason", "raw_key", "raw_value", "message_ts"]
     return (
         classified.groupBy(*_IDENTITY)
         .agg(
@@ -151,7 +153,7 @@ def log_rows(
         entry(F.when(accepted, "duplicate").otherwise(F.col("outcome")), repeats, True),
     )
     entries = merged.withColumn("_entry", F.explode(F.array_compact(F.array(first, again))))
-    body = ["payload", "raw_key", "raw_value"]
+    body = ["payload", "spelled", "raw_key", "raw_value"]
     stored = {c: F.when(~F.col("_entry.redelivery"), F.col(c)) for c in body}
     counted = {c: F.col(f"_entry.{c}") for c in ("outcome", "copies", "redelivery")}
     return _as_log(entries.withColumns({**stored, **counted}), clock, block_bits)

@@ -229,7 +229,7 @@ class Warehouse:
             self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(columns)} FROM {rows}")
 
         log = f"parquet.`{self.log.path}` WHERE outcome = 'written'"
-        view(f"{raw}.raw_events", RAW_EVENTS.fieldNames(), log)
+        view(f"{raw}.raw_events", [c for c in RAW_EVENTS.fieldNames() if c != "spelled"], log)
         for name in _RAW_TABLES:
             view(f"{raw}.{name}", self.source(name).columns, f"parquet.`{self._raw(name)}`")
         for name, model in MODELS.items():

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.functions import event_id, field, typed_field
+from parcelflow.functions import castable_text, event_id, field, typed_field
 from parcelflow.schemas import CONTRACTS, MESSAGE_KEY
 
 
@@ -26,18 +26,18 @@ def typed_events(raw_events: DataFrame, topic: str, on_error: str = "raise") ->
     ``offset_block`` column is passed on.
     """
     specs = CONTRACTS[topic]
-    payload = F.col("payload")
+    payload, spelled = F.col("payload"), F.col("spelled") if "spelled" in raw_events.columns else None
     columns = [
         event_id().alias("event_id"),
         *MESSAGE_KEY,
         "kafka_key",
-        *[typed_field(payload, spec, strict=on_error == "raise") for spec in specs],
+        *[typed_field(payload, spec, on_error == "raise", spelled) for spec in specs],
         "ingested_at",
     ]
     if on_error == "quarantine":
         failures = [
             F.when(
-                field(payload, s.json).isNotNull() & field(payload, s.json).try_cast(s.type).isNull(),
+                field(payload, s.json).isNotNull() & castable_text(payload, s, spelled).try_cast(s.type).isNull(),
                 F.lit(s.json),
             )
             for s in specs

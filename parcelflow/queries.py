@@ -244,6 +244,27 @@ def cast_bigint(spark, sf_dir):
     return _event_props(spark, sf_dir).select("event_id", typed_field(F.col("payload"), Field("k", "k", "bigint")))
 
 
+def cast_bigint_forms(spark, sf_dir):
+    """The same number in eight spellings, stored and read back: a decimal point is refused, an exponent is not."""
+    events = source.table(spark, sf_dir, "events")
+    n, form = F.get_json_object("props", "$.k"), F.col("event_id") % 8
+    spellings = ["{}", '"{}"', "{}.0", "{}e3", "{}.5", '"{}.0"', '" {} "', "{}.0E1"]
+    text = F.element_at(F.array(*[F.format_string(s.replace("{}", "%s"), n) for s in spellings]), form.cast("int") + 1)
+    sent = events.select(
+        F.encode(F.lit("1"), "UTF-8").alias("key"),
+        F.encode(F.concat(F.lit('{"order_id":'), text, F.lit("}")), "UTF-8").alias("value"),
+        F.lit("orders").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+    log = EventLog(spark, scratch_dir(spark, "spellings"))
+    log.append(sent, F.col("message_ts"))
+    staged = staging.stg_orders(log.raw_events(), on_error="quarantine")
+    refused = F.array_contains("failed_fields", "order_id").alias("refused")
+    return staged.select(F.col("kafka_offset").alias("event_id"), "order_id", refused)
+
+
 def cast_decimal(spark, sf_dir):
     amount = typed_field(F.col("payload"), Field("value", "amount", "decimal(12,2)"))
     return portable(_event_values(spark, sf_dir).select("event_id", amount))
@@ -717,6 +738,7 @@ QUERIES = {
     "write_by_key": write_by_key,
     "json_field": json_field,
     "cast_bigint": cast_bigint,
+    "cast_bigint_forms": cast_bigint_forms,
     "cast_decimal": cast_decimal,
     "cast_timestamp": cast_timestamp,
     "json_default": json_default,

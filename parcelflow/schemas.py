@@ -36,6 +36,8 @@ RAW_EVENTS = T.StructType(
         T.StructField("payload", T.VariantType()),
         T.StructField("event_ts", T.TimestampType()),
         T.StructField("ingested_at", T.TimestampType()),
+        # whole-number fields written with a point or an exponent, which the payload does not remember; mostly NULL
+        T.StructField("spelled", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 

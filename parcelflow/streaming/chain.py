@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from parcelflow.functions import decode_key, decode_utf8, with_strict_json
+from parcelflow.functions import decode_key, decode_utf8, spelled_numbers, with_strict_json
 from parcelflow.operators.chain import derive_payments, derive_shipments, payment_messages, shipment_messages
 from parcelflow.plans.staging import stg_orders, stg_payments
 from parcelflow.sources.events import event_sink
@@ -27,6 +27,7 @@ def as_raw_events(messages: DataFrame) -> DataFrame:
         "payload",
         F.col("timestamp").alias("event_ts"),
         F.col("timestamp").alias("ingested_at"),
+        spelled_numbers(F.col("_text"), F.col("payload")).alias("spelled"),
     )
 
 

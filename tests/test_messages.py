@@ -153,15 +153,38 @@ def test_quarantine_lists_failed_fields(spark):
 
 
 def test_numbers_are_normalised_by_the_parser(spark):
-    """A known difference: whole numbers may be written with a fraction, but not with an exponent.
-
-    The stored value does not tell ``7.0`` from ``7``; reading the field as a variant would, but then Spark
-    reads the whole payload instead of the shredded column.
-    """
-    from parcelflow.functions import typed_field, with_strict_json
+    """A payload alone does not tell ``7.0`` from ``7``, nor print ``1e3`` as a whole number; the kept spellings do."""
+    from parcelflow.functions import spelled_numbers, typed_field, with_strict_json
     from parcelflow.schemas import Field
 
-    rows = spark.createDataFrame([(t,) for t in ('{"q":7.0}', '{"q":"7"}', '{"q":7.5}', '{"q":1e3}')], "text string")
+    texts = ['{"q":7.0}', '{"q":"7"}', '{"q":7.5}', '{"q":1e3}', '{"q":9007199254740993e0}', '{"q": -2E1}', '{"q":"1e3"}']
+    texts += ['{"q":[1.0]}', '{"a":{"q":1.5}}', "[1.5]", "7.0", '{"q":null,"a":1.5}', '{"\\u0071":3.0}', '{"q":1e400}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     parsed = with_strict_json(rows, "text", "payload")
-    lenient = parsed.select(typed_field(F.col("payload"), Field("q", "q", "int"), strict=False)).collect()
-    assert [r["q"] for r in lenient] == [7, 7, None, None]
+    spec = Field("q", "q", "int")
+    lenient = parsed.select("i", typed_field(F.col("payload"), spec, strict=False)).orderBy("i").collect()
+    assert [r["q"] for r in lenient][:4] == [7, 7, None, None]
+    kept = parsed.withColumn("spelled", spelled_numbers(F.col("text"), F.col("payload"), ["q"]))
+    found = kept.select("i", "spelled", typed_field(F.col("payload"), spec, False, F.col("spelled"))).orderBy("i").collect()
+    assert [r["q"] for r in found] == [None, 7, None, 1000, None, -20, None, None, None, None, None, None, None, None]
+    assert [r["spelled"] for r in found][:4] == [{"q": "7.0"}, None, {"q": "7.5"}, {"q": "1000"}]
+    assert found[12]["spelled"] == {"q": "3.0"} and found[10]["spelled"] is None
+    with pytest.raises(Exception, match="7.0"):
+        kept.filter("i = 0").select(typed_field(F.col("payload"), spec, True, F.col("spelled"))).collect()
+
+
+def test_spellings_outlive_storage_next_to_each_other(spark, folder):
+    """One ``1.0`` in a file makes all its integers decimals there; the casts must not notice."""
+    from parcelflow.operators.event_log import EventLog
+    from parcelflow.plans.staging import stg_orders
+
+    forms = ["%d", "%d.0", "%de1", '"%d"', "%d.00e0", "%d"]
+    texts = ['{"order_id":%s}' % (forms[i % 6] % i) for i in range(600)]
+    log = EventLog(spark, folder)
+    log.append(frame(spark, *[message(t, offset=i) for i, t in enumerate(texts)]).coalesce(1))
+    rows = stg_orders(log.raw_events(), on_error="quarantine").collect()
+    got = {r["kafka_offset"]: (r["order_id"], r["failed_fields"]) for r in rows}
+    for i in range(600):
+        wanted = (None, ["order_id"]) if i % 6 == 1 else (i * 10 if i % 6 == 2 else i, [])
+        assert got[i] == wanted
+    assert log.raw_events().filter("spelled is not null").count() == 300
