@@ -297,6 +297,9 @@ ORACLE = {
         SELECT event_id, order_id, CAST(quantity + CASE WHEN currency = 'USD' THEN 1 ELSE 0 END AS INT) AS quantity
         FROM o""",
     "incremental_keyed_changed": f"{_WITH} SELECT event_id, order_id, quantity, ingested_at FROM o",
+    "incremental_keyed_repeated": f"""{_WITH}
+        SELECT event_id, order_id, quantity, ingested_at FROM o
+        UNION ALL SELECT event_id, order_id, quantity, ingested_at FROM o""",
     "incremental_upsert_by_order": f"""{_WITH}
         SELECT event_id, order_id, quantity FROM o
         WHERE k % 50 = 49 OR NOT EXISTS (SELECT 1 FROM o x WHERE x.order_id = o.order_id AND x.k % 50 = 49)""",
@@ -333,5 +336,5 @@ ORACLE = {
         SELECT NULL, NULL, NULL, NULL, job, '  raised at event ' || event_id FROM e WHERE event_type = 'error'""",
 }
 for _name in ("fct_orders", "fct_payments", "fct_shipments"):
-    ORACLE[f"build_{_name}"] = ORACLE[_name]
+    ORACLE[f"build_{_name}"] = ORACLE[f"build_{_name}_delta"] = ORACLE[_name]
 ORACLE["stream_outcomes"] = ORACLE["ingest_outcomes"]

@@ -8,11 +8,14 @@ from pyspark.sql import types as T
 
 from parcelflow.functions import offset_block
 from parcelflow.functions.keys import BLOCK_BITS
-from parcelflow.operators.versioned import VersionedTable
+from parcelflow.operators.versioned import VersionedTable, key_digest
 
 # Fixed value: the mark of a table without rows.
 EMPTY_MARK = "1900-01-01"
 
+# A part that readers put together from more loads than this is rewritten as one.
+_MAX_LOADS = 16
+
 # Up to here changed blocks are a literal folder filter, beyond it a join; the rows are the same.
 _MAX_BLOCK_FILTER = 2000
 
@@ -76,21 +79,30 @@ class IncrementalTable:
         if mark is not None:
             self.table._commit(load, [], mark)
 
+    def tidy(self) -> None:
+        """Merge parts of many loads, and delete what no reader of the current state opens.
+
+        Between loads: readers that resolved the table before the last load are done by then.
+        """
+        self.table.vacuum()
+        self.table.merge(self.table.crowded_parts(_MAX_LOADS))
+
     def missing_rows(self, source: DataFrame) -> DataFrame:
         """Source rows whose key is not in the table.
 
-        Parts with the same number and the same digest of keys on both sides are
-        equal. The table's side comes from its manifest, the source's from one pass over the key column, which
+        Parts whose multisets of keys are the same on both sides, by number and additive digest, hold nothing
+        new. The table's side comes from its manifest, the source's from one pass over the key column, which
         moves a row per part and task. Parts the table lacks are taken whole; only
         those that differ are compared key by key.
         """
+        digest = ["key_sum", "key_sum2"]
         have = self.table.active().groupBy("part").agg(
-            F.sum("row_count").alias("have"), F.bit_xor("key_digest").alias("have_digest")
-        )
-        want = source.groupBy(self._part(source).alias("part")).agg(
-            F.count(F.lit(1)).alias("want"), F.bit_xor(F.xxhash64(self.key)).alias("want_digest")
+            F.sum("row_count").alias("have"), *[F.sum(c).cast("decimal(38,0)").alias(f"have_{c}") for c in digest]
         )
-        same = F.col("have").eqNullSafe(F.col("want")) & F.col("have_digest").eqNullSafe(F.col("want_digest"))
+        want = source.groupBy(self._part(source).alias("part")).agg(F.count(F.lit(1)).alias("want"), *key_digest([self.key]))
+        same = F.col("have").eqNullSafe(F.col("want"))
+        for c in digest:
+            same = same & F.col(f"have_{c}").eqNullSafe(F.col(c))
         unequal = want.join(have, "part", "left").filter(~same).select("part", F.col("have").isNotNull().alias("partial"))
         few = unequal.limit(_MAX_BLOCK_FILTER + 1).collect()
         rows = source.withColumn("_part", self._part(source))
@@ -115,7 +127,7 @@ class IncrementalTable:
         mark, low, high = batch.agg(F.unix_micros(F.max("ingested_at")), F.min("part"), F.max("part")).head()
         if mark is None:
             return
-        near = [r["part"] for r in self.table.active().filter(F.col("part").between(low, high)).select("part").distinct().collect()]
+        near = {part for _, part in self.table.state().folders() if low <= part <= high}
         keys = batch.select(self.key)
         stored = self.table.with_part(near)
         repeats = stored.join(keys, self.key, "left_semi").select("part").distinct()

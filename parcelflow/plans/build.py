@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions.keys import BLOCK_BITS
 from parcelflow.operators.event_log import EventLog
+from parcelflow.operators.facts import FactTable, Input, distinct_keys
 from parcelflow.operators.incremental import IncrementalTable
 from parcelflow.operators.versioned import VersionedTable
 from parcelflow.operators.conflicts import insert_ignore
@@ -27,7 +29,7 @@ from parcelflow.sources.seeds import seed_categories, seed_customers, seed_produ
 class Model:
     """How a model is computed, from which models, and how it is kept."""
 
-    materialized: str  # view | table | incremental
+    materialized: str  # view | table | incremental | fact
     needs: tuple[str, ...]
     query: Callable[["Warehouse"], DataFrame]
 
@@ -45,29 +47,24 @@ MODELS: dict[str, Model] = {
         "table", ("stg_categories",), lambda w: marts.dim_categories(w.ref("stg_categories"))
     ),
     "fct_orders": Model(
-        "table",
+        "fact",
         ("stg_orders", "dim_customers", "dim_products", "dim_categories"),
-        lambda w: marts.fct_orders(
-            w.ref("stg_orders"), w.ref("dim_customers"), w.ref("dim_products"), w.ref("dim_categories")
-        ),
+        lambda w: w.fact_rows("fct_orders", w.ref("stg_orders")),
     ),
     "fct_payments": Model(
-        "table",
+        "fact",
         ("stg_payments", "fct_orders"),
-        lambda w: marts.fct_payments(w.ref("stg_payments"), w.ref("fct_orders"), w.hot("hot_orders")),
+        lambda w: w.fact_rows("fct_payments", w.ref("stg_payments")),
     ),
     "fct_shipments": Model(
-        "table",
+        "fact",
         ("stg_shipments", "stg_payments", "fct_orders"),
-        lambda w: marts.fct_shipments(
-            w.ref("stg_shipments"), w.ref("stg_payments"), w.ref("fct_orders"), w.hot("hot_payments"), w.hot("hot_orders")
-        ),
+        lambda w: w.fact_rows("fct_shipments", w.ref("stg_shipments")),
     ),
 }
 
 # Hot-key lists: the joined model whose key column is measured.
 _HOT = {"hot_orders": ("fct_orders", "order_id"), "hot_payments": ("stg_payments", "payment_id")}
-_SPLITS = {"fct_payments": ("hot_orders",), "fct_shipments": ("hot_orders", "hot_payments")}
 
 _RAW_TABLES = {"raw_categories": RAW_CATEGORIES, "raw_products": RAW_PRODUCTS, "raw_customers": RAW_CUSTOMERS}
 # Conflict key, primary key and required columns of each raw table
@@ -83,16 +80,25 @@ class Warehouse:
 
     A stored event with a malformed field stops the build (``on_error="raise"``), or
     is left out of its staging table and listed by :meth:`failed`
-    (``on_error="quarantine"``).
+    (``on_error="quarantine"``). ``fact_parts`` fixes the number of parts of a fact; by default it
+    follows from the number of rows.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, block_bits: int = BLOCK_BITS, on_error: str = "raise"
+        self,
+        spark: SparkSession,
+        root: str,
+        block_bits: int = BLOCK_BITS,
+        on_error: str = "raise",
+        fact_parts: int | None = None,
     ):
+        self.fact_parts = fact_parts
         self.spark, self.root, self.block_bits = spark, root.rstrip("/"), block_bits
         self.on_error = on_error
         self._loads: dict[str, IncrementalTable] = {}
         self._hot: dict[str, HotKeys] = {}
+        self._measuring = {name: threading.Lock() for name in _HOT}
+        self.refreshed: dict[str, str] = {}  # how each fact was brought up to date: full, changes or nothing
         self.log = EventLog(spark, f"{self.root}/raw/event_log", block_bits)
         for name, columns in _RAW_TABLES.items():
             create_if_absent(spark, self._raw(name), columns)
@@ -150,6 +156,8 @@ class Warehouse:
             return model.query(self)
         if model.materialized == "incremental":
             return self._incremental(name).read()
+        if model.materialized == "fact":
+            return self._fact(name).read()
         return self._versioned(name).read()
 
     def materialize(self, name: str, mode: str = "keyed") -> None:
@@ -161,16 +169,48 @@ class Warehouse:
         model = MODELS[name]
         if model.materialized == "view":
             model.query(self).createOrReplaceTempView(name)
+        elif mode not in ("keyed", "strict"):
+            raise ValueError(f"mode must be 'keyed' or 'strict', not {mode!r}")
         elif model.materialized == "table":
             # the version before this one goes a build later, when its readers are done
             self._versioned(name).vacuum()
-            materialize_table(model.query(self), self._table(name))
-        elif mode == "keyed":
-            self._incremental(name).load_keyed(model.query(self))
-        elif mode == "strict":
-            self._incremental(name).load_strict(model.query(self))
+            materialize_table(model.query(self), self._table(name), only_changed=True)
+        elif model.materialized == "fact":
+            self._refresh(name)
         else:
-            raise ValueError(f"mode must be 'keyed' or 'strict', not {mode!r}")
+            table = self._incremental(name)
+            table.tidy()
+            (table.load_keyed if mode == "keyed" else table.load_strict)(model.query(self))
+
+    def _refresh(self, name: str) -> None:
+        """Bring a fact up to date from what changed in its inputs."""
+        fact, follows = self._fact(name), marts.FOLLOWS[name]
+        fact.table.vacuum()
+        tables = {n: Input(self._stored(n), key, n.startswith("dim_")) for n, key in follows.joined.items()}
+        left = Input(self._stored(follows.left), "event_id")
+        self.refreshed[name] = fact.refresh(
+            left, tables, lambda: self.ref(follows.left), lambda rows, whole: self.fact_rows(name, rows, whole), self.fact_parts
+        )
+
+    def fact_rows(self, name: str, left: DataFrame, whole: bool = True) -> DataFrame:
+        """Fact rows of some left rows, with their ``event_id``; unless ``whole``, joined tables are cut to the keys at hand."""
+        keep = ("event_id",)
+
+        def partners(model: str, key: str) -> DataFrame:
+            if whole:
+                return self.ref(model)
+            keys = distinct_keys(left, key)
+            return self._fact(model).holding(keys) if model == "fct_orders" else self.ref(model).join(keys, key, "left_semi")
+
+        if name == "fct_orders":
+            dims = [self.ref(dim) for dim in ("dim_customers", "dim_products", "dim_categories")]
+            return marts.fct_orders(left, *dims, keep=keep)
+        hot_orders = self.hot("hot_orders") if whole else ()
+        orders = partners("fct_orders", "order_id")
+        if name == "fct_payments":
+            return marts.fct_payments(left, orders, hot_orders, keep)
+        hot_payments = self.hot("hot_payments") if whole else ()
+        return marts.fct_shipments(left, partners("stg_payments", "payment_id"), orders, hot_payments, hot_orders, keep)
 
     def build(self, mode: str = "keyed", threads: int = 4) -> DataFrame:
         """Build all models in dependency order; returns name and row count of each.
@@ -178,18 +218,10 @@ class Warehouse:
         Models that do not depend on each other run as parallel Spark jobs.
         """
         order = TopologicalSorter({name: model.needs for name, model in MODELS.items()})
-        for facts, needs in _SPLITS.items():
-            order.add(facts, *needs)
-        for keys, (model, _) in _HOT.items():
-            order.add(keys, model)
         order.prepare()
         self._hot.clear()
-
-        def step(name: str) -> None:
-            self.hot(name) if name in _HOT else self.materialize(name, mode)
-
         # job groups and tags of the caller hold for the jobs started below
-        step = inheritable_thread_target(self.spark)(step)
+        step = inheritable_thread_target(self.spark)(lambda name: self.materialize(name, mode))
         running = {}
         with ThreadPoolExecutor(threads) as pool:
             while order.is_active():
@@ -236,15 +268,17 @@ class Warehouse:
             if model.materialized == "view":
                 view(f"{wh}.{name}", staging.RENAMED[name], f"{raw}.{name.replace('stg_', 'raw_')}")
             else:
-                kept = self._incremental(name).table if model.materialized == "incremental" else self._versioned(name)
-                self.spark.sql(f"CREATE OR REPLACE VIEW {wh}.{name} AS {kept.sql(kept.schema.fieldNames())}")
+                kept = self._stored(name)
+                columns = self._fact(name).columns() if model.materialized == "fact" else kept.schema.fieldNames()
+                self.spark.sql(f"CREATE OR REPLACE VIEW {wh}.{name} AS {kept.sql(columns)}")
 
     def hot(self, name: str) -> HotKeys:
-        """Join keys to split, measured once per build on the table that is joined."""
-        if name not in self._hot:
-            model, key = _HOT[name]
-            self._hot[name] = hot_keys(self.ref(model), key)
-        return self._hot[name]
+        """Join keys to split, measured once per build, and only if a fact is built in full, on the table that is joined."""
+        with self._measuring[name]:
+            if name not in self._hot:
+                model, key = _HOT[name]
+                self._hot[name] = hot_keys(self.ref(model), key)
+            return self._hot[name]
 
     def _table(self, name: str) -> str:
         return f"{self.root}/wh/{name}"
@@ -252,6 +286,13 @@ class Warehouse:
     def _versioned(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, self._table(name))
 
+    def _fact(self, name: str) -> FactTable:
+        return FactTable(self.spark, self._table(name), "event_id", "order_id", marts.FOLLOWS[name].columns, hidden=True)
+
+    def _stored(self, name: str) -> VersionedTable:
+        """The files of a model that is not a view."""
+        return self._incremental(name).table if MODELS[name].materialized == "incremental" else self._versioned(name)
+
     def _incremental(self, name: str) -> IncrementalTable:
         if name not in self._loads:
             schema = MODELS[name].query(self).drop("offset_block").schema
@@ -261,8 +302,11 @@ class Warehouse:
         return self._loads[name]
 
 
-def materialize_table(df: DataFrame, path: str) -> VersionedTable:
-    """Full rebuild: the new rows replace the table in one step; readers of the old ones keep them."""
-    table = VersionedTable(df.sparkSession, path, df.schema)
-    table.replace_all(df)
+def materialize_table(df: DataFrame, path: str, only_changed: bool = False) -> VersionedTable:
+    """Full rebuild: the new rows replace the table in one step; readers of the old ones keep them.
+
+    With ``only_changed``, rows equal to those stored are not committed, so that whatever follows the table sees no change.
+    """
+    table = VersionedTable(df.sparkSession, path, df.schema, df.columns if only_changed else None)
+    table.replace_all(df, only_changed)
     return table

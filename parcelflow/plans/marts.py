@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +36,9 @@ def product_catalog(products: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def fct_orders(
-    orders: DataFrame, customers: DataFrame, products: DataFrame, categories: DataFrame
+    orders: DataFrame, customers: DataFrame, products: DataFrame, categories: DataFrame, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Orders with customer, product and category names.
+    """Orders with customer, product and category names; ``keep`` are further columns of the orders.
 
     The category hangs off the product, so the two small tables are joined
     first and the orders are joined twice, not three times. Spark broadcasts a
@@ -64,6 +66,7 @@ def fct_orders(
             "kafka_partition",
             "kafka_offset",
             "ingested_at",
+            *keep,
         )
     )
 
@@ -90,8 +93,10 @@ def _order_context(orders: DataFrame) -> DataFrame:
     )
 
 
-def fct_payments(payments: DataFrame, orders: DataFrame, hot_orders: HotKeys = ()) -> DataFrame:
-    """Payments with their order. An order id that occurs twice yields two rows.
+def fct_payments(
+    payments: DataFrame, orders: DataFrame, hot_orders: HotKeys = (), keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Payments with their order. An order id that occurs twice yields two rows; ``keep`` are further columns of the payments.
 
     ``hot_orders`` are the order ids to split, see :func:`~parcelflow.operators.joins.hot_keys`.
     """
@@ -103,6 +108,7 @@ def fct_payments(payments: DataFrame, orders: DataFrame, hot_orders: HotKeys = (
         F.col("currency").alias("payment_currency"),
         "payment_date",
         "ingested_at",
+        *keep,
     )
     joined = left_join(paid, _order_context(orders), "order_id", "_order_event", hot_orders)
     return joined.select(
@@ -116,13 +122,16 @@ def fct_payments(payments: DataFrame, orders: DataFrame, hot_orders: HotKeys = (
         "payment_date",
         "order_ts",
         "ingested_at",
+        *keep,
     )
 
 
-def shipment_payments(shipments: DataFrame, payments: DataFrame, hot_payments: HotKeys = ()) -> DataFrame:
+def shipment_payments(
+    shipments: DataFrame, payments: DataFrame, hot_payments: HotKeys = (), keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Shipments with the payment they name."""
     shipped = shipments.select(
-        "shipment_id", "payment_id", "order_id", "customer_id", "ship_date", "ingested_at"
+        "shipment_id", "payment_id", "order_id", "customer_id", "ship_date", "ingested_at", *keep
     )
     paid = payments.select(
         "payment_id",
@@ -145,9 +154,10 @@ def fct_shipments(
     orders: DataFrame,
     hot_payments: HotKeys = (),
     hot_orders: HotKeys = (),
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Shipments with their payment and, independently of it, their order."""
-    paid = shipment_payments(shipments, payments, hot_payments)
+    """Shipments with their payment and, independently of it, their order; ``keep`` are further columns of the shipments."""
+    paid = shipment_payments(shipments, payments, hot_payments, keep)
     return shipment_orders(paid, orders, hot_orders).select(
         "shipment_id",
         "payment_id",
@@ -161,4 +171,45 @@ def fct_shipments(
         "ship_date",
         "order_ts",
         "ingested_at",
+        *keep,
     )
+
+
+@dataclass(frozen=True)
+class Follows:
+    """What a fact's rows come from, for refreshing it from changes.
+
+    ``left`` is the staged table, ``columns`` its columns by the fact's columns that hold them, ``joined`` the other tables
+    by the fact's column they are joined on.
+    """
+
+    left: str
+    columns: dict[str, str]
+    joined: dict[str, str]
+
+
+def _as_they_are(*names: str) -> dict[str, str]:
+    return {name: name for name in ("event_id", *names, "ingested_at")}
+
+
+FOLLOWS = {
+    "fct_orders": Follows(
+        "stg_orders",
+        _as_they_are(
+            "order_id", "customer_id", "product_id", "quantity", "unit_price", "currency", "order_ts",
+            "kafka_topic", "kafka_partition", "kafka_offset",
+        ),
+        {"dim_customers": "customer_id", "dim_products": "product_id", "dim_categories": "category_id"},
+    ),
+    "fct_payments": Follows(
+        "stg_payments",
+        _as_they_are("payment_id", "order_id", "customer_id", "payment_date")
+        | {"amount": "payment_amount", "currency": "payment_currency"},
+        {"fct_orders": "order_id"},
+    ),
+    "fct_shipments": Follows(
+        "stg_shipments",
+        _as_they_are("shipment_id", "payment_id", "order_id", "customer_id", "ship_date"),
+        {"stg_payments": "payment_id", "fct_orders": "order_id"},
+    ),
+}
