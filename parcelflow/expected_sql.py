@@ -185,6 +185,15 @@ ORACLE = {
         UNION ALL
         SELECT 'orders', kafka_partition, k + 20000000, CAST(order_id AS VARCHAR), order_id, order_ts, order_ts
         FROM b WHERE k % 193 = 192""",
+    "dead_letter_ledger": f"""{_WITH}
+        SELECT 'orders' AS kafka_topic, kafka_partition, k + 10000000 AS kafka_offset,
+               CASE k % 4 WHEN 1 THEN 'value is json null' WHEN 3 THEN 'value is not utf-8'
+                          ELSE 'value is not json' END AS reason, CAST(0 AS BIGINT) AS attempts, false AS settled
+        FROM b WHERE k % 97 = 96
+        UNION ALL
+        SELECT 'orders', kafka_partition, k + 20000000, 'key is not utf-8',
+               CAST(CASE WHEN (k + 20000000) % 4 = 0 THEN 3 ELSE 1 END AS BIGINT), true
+        FROM b WHERE k % 193 = 192""",
     "topic_filter": f"{_WITH} SELECT kafka_topic, kafka_partition, kafka_offset, kafka_key FROM p",
     "event_id": f"""{_WITH}
         SELECT kafka_topic || '-' || kafka_partition || '-' || kafka_offset AS event_id,

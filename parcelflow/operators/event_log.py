@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.functions.keys import BLOCK_BITS
-from parcelflow.operators.ingest import fresh_rows, log_rows, outcome_counts
-from parcelflow.schemas import EVENT_LOG, LOG_PARTITIONS, MESSAGE_KEY, RAW_EVENTS, create_if_absent, empty_rows
+from parcelflow.operators.ingest import classify, fresh_rows, log_rows, outcome_counts
+from parcelflow.schemas import EVENT_LOG, KAFKA_SCHEMA, LOG_PARTITIONS, MESSAGE_KEY, RAW_EVENTS, create_if_absent, empty_rows
 
 # A message's place, by the columns of the Kafka source.
 _POSITION = ["topic", "partition", "offset"]
@@ -26,6 +26,10 @@ _FILES_PER_TASK = 32
 _NAMED_FOLDERS = 10_000
 _OUTCOMES = ("written", "duplicate", "bad", "error")
 
+# A rejected message, and the ledger of what was offered in its place.
+_REJECTED = [*MESSAGE_KEY, "reject_id"]
+_REPAIRS = "kafka_topic string, kafka_partition int, kafka_offset bigint, reject_id string, repair_id bigint, accepted boolean"
+
 # Appends of one driver to one log wait for each other; a log has one writing application.
 _LOCKS: dict[str, threading.Lock] = defaultdict(threading.Lock)
 
@@ -42,6 +46,7 @@ class EventLog:
 
     def __init__(self, spark: SparkSession, path: str, block_bits: int = BLOCK_BITS):
         self.spark, self.path, self.block_bits = spark, path, block_bits
+        self._ledger = f"{path.rstrip('/')}-repairs"
         create_if_absent(spark, path, EVENT_LOG, LOG_PARTITIONS)
 
     def read(self) -> DataFrame:
@@ -59,13 +64,33 @@ class EventLog:
         return self._folders([f"outcome=written/kafka_topic={topic}"]).select(columns)
 
     def quarantine(self) -> DataFrame:
-        """Rejected messages with their reason and original bytes."""
-        return (
-            self.read()
-            .filter(F.col("outcome").isin("bad", "error") & ~F.col("redelivery"))
-            .select(*MESSAGE_KEY, "outcome", "reason", "raw_key", "raw_value", "message_ts", "ingested_at")
+        """Rejected messages that no repair has settled, with their reason and original bytes."""
+        rejected = self._rejected()
+        settled = self.repairs().filter("accepted").select(*_REJECTED).distinct()
+        return rejected.join(settled, _REJECTED, "left_anti").select(
+            *MESSAGE_KEY, "outcome", "reason", "raw_key", "raw_value", "message_ts", "ingested_at", "reject_id"
+        )
+
+    def dead_letters(self) -> DataFrame:
+        """Every rejected message: its reason, how many different repairs were offered, and whether one was accepted."""
+        tried = self.repairs().groupBy(*_REJECTED).agg(
+            F.count_distinct("repair_id").alias("attempts"), F.max("accepted").alias("settled")
+        )
+        known = self._rejected().select(*_REJECTED, "outcome", "reason").join(tried, _REJECTED, "left")
+        return known.withColumns(
+            {"attempts": F.coalesce("attempts", F.lit(0).cast("bigint")), "settled": F.coalesce("settled", F.lit(False))}
         )
 
+    def repairs(self) -> DataFrame:
+        """The ledger of repairs offered; a repair that was recorded twice is one by its ``repair_id``."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._ledger)
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return empty_rows(self.spark, _REPAIRS)
+        return self.spark.read.schema(_REPAIRS).parquet(self._ledger)
+
+    def _rejected(self) -> DataFrame:
+        return self.read().filter(F.col("outcome").isin("bad", "error") & ~F.col("redelivery"))
+
     def outcomes(self) -> DataFrame:
         return outcome_counts(self.read())
 
@@ -225,12 +250,32 @@ class EventLog:
         return self.spark.read.schema(EVENT_LOG).option("basePath", self.path).parquet(*paths)
 
     def redrive(self, repaired: DataFrame, clock: Column | None = None) -> Counts:
-        """Offer repaired quarantine messages (Kafka-shaped) to ingest again."""
-        return self.append(repaired, clock)
+        """Offer repaired quarantine messages (Kafka-shaped, with their ``reject_id``) to ingest again.
+
+        What is sound now goes into the log, and the ledger settles the rejected message: it is not offered again.
+        What is still bad stays open, is not stored a second time, and counts as an attempt. The log comes first and the ledger
+        after it; a redrive that died in between, or is repeated, stores no event twice and adds no attempt.
+        Messages without ``reject_id`` are appended like any others.
+        """
+        if "reject_id" not in repaired.columns:
+            return self.append(repaired, clock)
+        offered = ("_offered_for", "key", "value", *_POSITION, "timestamp")
+        judged = classify(repaired.withColumn("_offered_for", F.col("reject_id")), keep=offered).persist()
+        accepted = F.col("outcome") == "written"
+        repair = F.when(accepted, F.xxhash64("kafka_key", "_value_hash")).otherwise(F.xxhash64("reject_id"))
+        entries = judged.select(
+            *MESSAGE_KEY, F.col("_offered_for").alias("reject_id"), repair.alias("repair_id"), accepted.alias("accepted")
+        )
+        try:  # one reading of the repairs decides for the log and the ledger
+            counts = self.append(judged.filter(accepted).select(KAFKA_SCHEMA.fieldNames()), clock)
+            entries.distinct().write.mode("append").parquet(self._ledger)
+        finally:
+            judged.unpersist()
+        return counts
 
 
 def quarantine_as_messages(quarantine: DataFrame) -> DataFrame:
-    """Quarantined rows back in the Kafka shape, ready to be repaired."""
+    """Quarantined rows back in the Kafka shape, ready to be repaired; ``reject_id`` names what a repair is for."""
     return quarantine.select(
         F.col("raw_key").alias("key"),
         F.col("raw_value").alias("value"),
@@ -238,4 +283,5 @@ def quarantine_as_messages(quarantine: DataFrame) -> DataFrame:
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),
         F.col("message_ts").alias("timestamp"),
+        "reject_id",
     )

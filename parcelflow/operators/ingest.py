@@ -32,8 +32,8 @@ from parcelflow.schemas import EVENT_LOG, MESSAGE_KEY
 _IDENTITY = [*MESSAGE_KEY, "outcome", "reject_id"]
 
 
-def classify(frame: DataFrame) -> DataFrame:
-    """Rename to envelope columns and add ``outcome``, ``reason`` and ``payload``.
+def classify(frame: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rename to envelope columns and add ``outcome``, ``reason`` and ``payload``; ``keep`` are columns passed on.
 
     A narrow projection: outcome is ``written``, ``bad`` or ``error`` here;
     repeats are found later.
@@ -73,6 +73,7 @@ def classify(frame: DataFrame) -> DataFrame:
         F.when(~accepted, F.col("value")).alias("raw_value"),
         F.when(accepted, F.lit("")).otherwise(_fingerprint(F.col("key"), F.col("value"))).alias("reject_id"),
         F.xxhash64("value").alias("_value_hash"),
+        *keep,
     )
 
 

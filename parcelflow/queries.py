@@ -196,6 +196,26 @@ def dead_letter_redrive(spark, sf_dir):
     return _envelope(log.raw_events())
 
 
+def dead_letter_ledger(spark, sf_dir):
+    """Three rounds of repairs for messages with an unreadable key: a fourth of them is repaired wrongly in the first two."""
+    log = new_log(spark, sf_dir, "ledger")
+    for round_ in range(3):
+        rejected = log.quarantine().filter(F.col("reason") == "key is not utf-8")
+        offered = quarantine_as_messages(rejected)
+        parsed = with_strict_json(offered.withColumn("_text", F.col("value").cast("string")), "_text", "_json")
+        order_id = field(F.col("_json"), "order_id")
+        wrong = F.lit(round_ < 2) & (F.col("offset") % 4 == 0)
+        repaired = parsed.withColumns(
+            {
+                "key": F.encode(order_id, "UTF-8"),
+                "value": F.when(wrong, F.encode(F.lit(f"still wrong {round_}"), "UTF-8")).otherwise(F.col("value")),
+            }
+        )
+        for _ in range(2):  # offering the same repairs again changes nothing
+            log.redrive(repaired.select(*KAFKA_SCHEMA.fieldNames(), "reject_id"), F.col("message_ts"))
+    return log.dead_letters().select(*MESSAGE_KEY, "reason", "attempts", "settled")
+
+
 # --- projections ------------------------------------------------------------
 
 
@@ -784,6 +804,7 @@ QUERIES = {
     "ingest_onto_history": ingest_onto_history,
     "bad_messages": bad_messages,
     "dead_letter_redrive": dead_letter_redrive,
+    "dead_letter_ledger": dead_letter_ledger,
     "topic_filter": topic_filter,
     "event_id": event_ids,
     "row_id": row_id,

@@ -104,6 +104,45 @@ def test_redrive_of_repaired_messages(spark, folder):
     assert [(r["kafka_key"], r["kafka_offset"]) for r in log.raw_events().collect()] == [("3", 0)]
 
 
+def test_repairs_settle_what_they_repair(spark, folder):
+    """A second redrive offers nothing that is settled; what is still bad stays open and its attempts are counted."""
+    log = EventLog(spark, f"{folder}/log")
+    log.append(frame(spark, message("1", key=b"\xff"), message("{", offset=1), message("{", offset=1), message("[", offset=1)))
+    assert log.repairs().count() == 0 and log.quarantine().count() == 3
+
+    def offer(value):
+        rejected = quarantine_as_messages(log.quarantine()).withColumn("value", F.encode(F.lit(value), "UTF-8"))
+        good = rejected.withColumn("key", F.encode(F.lit("7"), "UTF-8")).select(*KAFKA_SCHEMA.fieldNames(), "reject_id")
+        return log.redrive(good)
+
+    def letters():
+        return sorted((r.kafka_offset, r.reason, r.attempts, r.settled) for r in log.dead_letters().collect())
+
+    assert offer("still {") == {}
+    assert offer("still {") == {}  # the same repair again
+    assert offer("{") == {}
+    wanted = [(0, "key is not utf-8", 2, False), (1, "value is not json", 2, False), (1, "value is not json", 2, False)]
+    assert letters() == wanted and log.quarantine().count() == 3 and counts(log)["orders", "bad"] == 3
+    assert offer('{"a":1}') == {("orders", "written"): 2, ("orders", "duplicate"): 1}  # both at offset 1 are one event
+    assert letters() == [(o, reason, 3, True) for o, reason, _, _ in wanted]
+    assert log.quarantine().count() == 0 and offer('{"a":2}') == {}
+    assert keys(log) == [("orders", 0, 0), ("orders", 0, 1)]
+
+
+def test_a_redrive_that_dies_before_its_ledger_is_repeated(spark, folder, monkeypatch):
+    log = EventLog(spark, f"{folder}/log")
+    log.append(frame(spark, message("1", key=b"\xff")))
+    fixed = quarantine_as_messages(log.quarantine()).withColumn("key", F.encode(F.lit("7"), "UTF-8"))
+    fixed = spark.createDataFrame(fixed.collect(), fixed.schema)
+    ledger, log._ledger = log._ledger, "no-such-scheme://x"
+    with pytest.raises(Exception):
+        log.redrive(fixed)
+    log._ledger = ledger
+    assert log.quarantine().count() == 1 and log.raw_events().count() == 1
+    log.redrive(fixed)
+    assert log.quarantine().count() == 0 and log.raw_events().count() == 1
+
+
 def test_history_check_opens_only_the_blocks_of_the_batch(spark, folder):
     log = EventLog(spark, folder, block_bits=4)
     log.append(frame(spark, *[message("1", offset=i) for i in range(0, 160, 8)]))
