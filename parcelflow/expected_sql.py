@@ -175,7 +175,11 @@ ORACLE = {
     "ingest_onto_history": f"""{_WITH}
         SELECT kafka_topic AS topic, 'duplicate' AS outcome,
                CAST(sum(CASE WHEN k % 10 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS messages
-        FROM every WHERE kafka_offset % 100 = 7 GROUP BY 1""",
+        FROM every WHERE kafka_offset % 100 = 7 GROUP BY 1
+        UNION ALL SELECT 'orders', 'bad', count(*) FROM b
+        WHERE k % 97 = 96 AND (k + 10000000) % 100 = 7 HAVING count(*) > 0
+        UNION ALL SELECT 'orders', 'error', count(*) FROM b
+        WHERE k % 193 = 192 AND (k + 20000000) % 100 = 7 HAVING count(*) > 0""",
     "bad_messages": f"""{_WITH}
         SELECT 'orders' AS kafka_topic, kafka_partition, k + 10000000 AS kafka_offset,
                CASE k % 4 WHEN 1 THEN 'value is json null' WHEN 3 THEN 'value is not utf-8'

@@ -102,9 +102,14 @@ class EventLog:
         rows = reader.parquet(self.path).filter(F.col("outcome") == "written")
         return rows.select(RAW_EVENTS.fieldNames())
 
-    def append(self, frame: DataFrame, clock: Column | None = None, keep: bool = False) -> Counts:
+    def append(
+        self, frame: DataFrame, clock: Column | None = None, keep: bool = False, owner: str | None = None
+    ) -> Counts:
         """Add a batch; returns its messages per topic and outcome. Running the same batch again stores no event twice.
 
+        Without ``owner``, messages delivered again count as duplicates. ``owner`` names the batch: another run of it finds the
+        rows that its earlier run stored, adds only what is missing, and returns the same counts.
+
         A small batch is merged in one shuffle. For a large one, a pass over the
         positions alone finds the repeated messages first; all others are parsed
         and written where they lie, so their payloads are never shuffled.
@@ -117,13 +122,13 @@ class EventLog:
                 spans = self._spans(batch)
                 if not spans:
                     return {}
-                known = self._known(spans)
+                known = self._known(spans, owner)
                 bits = self.block_bits
                 blocks = sum((s["high"] >> bits) - (s["low"] >> bits) + 1 for s in spans)
                 topics = sorted({s["topic"] for s in spans})
                 if sum(s["rows"] for s in spans) <= _SMALL_BATCH:
-                    return self._write(log_rows(batch, known, clock, bits), blocks, topics)
-                return self._append_large(batch, spans, blocks, known, clock, topics)
+                    return self._write(log_rows(batch, known, clock, bits), blocks, topics, owner)
+                return self._append_large(batch, spans, blocks, known, clock, topics, owner)
         finally:
             if keep:
                 batch.unpersist()
@@ -136,6 +141,7 @@ class EventLog:
         known: DataFrame,
         clock: Column | None,
         topics: list[str],
+        owner: str | None,
     ) -> Counts:
         if known.isEmpty():
             known = None
@@ -143,18 +149,20 @@ class EventLog:
         try:
             positions = repeated.count()
             if positions > _BROADCAST_POSITIONS:
-                return self._write(log_rows(batch, known, clock, self.block_bits), blocks, topics)
+                return self._write(log_rows(batch, known, clock, self.block_bits), blocks, topics, owner)
             listed = F.broadcast(repeated)  # counted just above
             fresh = batch.join(listed, _POSITION, "left_anti") if positions else batch
             rows = fresh_rows(fresh, clock, self.block_bits)
             if positions:
                 again = batch.join(listed, _POSITION, "left_semi")
                 rows = rows.unionAll(log_rows(again, known, clock, self.block_bits))
-            return self._write(rows, sum(s["files"] for s in spans) / max(s["tasks"] for s in spans), topics)
+            return self._write(rows, sum(s["files"] for s in spans) / max(s["tasks"] for s in spans), topics, owner)
         finally:
             repeated.unpersist()
 
-    def _write(self, rows: DataFrame, files_per_task: float, topics: list[str]) -> Counts:
+    def _write(self, rows: DataFrame, files_per_task: float, topics: list[str], owner: str | None) -> Counts:
+        if owner is not None:
+            rows = rows.withColumn("owner", F.lit(owner))
         if files_per_task > _FILES_PER_TASK:
             # gather blocks first: else every task would leave a small file in each
             rows = rows.hint("rebalance", *LOG_PARTITIONS)
@@ -166,6 +174,7 @@ class EventLog:
 
         seen = Observation()  # counted while writing, by the tasks that succeed
         rows = rows.observe(seen, *[messages(t, o).alias(f"c{i}") for i, (t, o) in enumerate(cells)])
+        rows = rows.filter(~F.col("stored")).drop("stored")  # an earlier run of the batch left those
         rows.write.mode("append").partitionBy(*LOG_PARTITIONS).parquet(self.path)
         counts = seen.get
         return {cell: counts[f"c{i}"] for i, cell in enumerate(cells) if counts[f"c{i}"]}
@@ -200,11 +209,11 @@ class EventLog:
         often = positions.filter(F.col("copies") > 1).select(*_POSITION)
         if known is None:
             return often
-        stored = known.select(*[F.col(k).alias(p) for k, p in zip(MESSAGE_KEY, _POSITION, strict=True)])
+        stored = known.filter(~F.col("redelivery")).select(*[F.col(k).alias(p) for k, p in zip(MESSAGE_KEY, _POSITION, strict=True)])
         return often.unionAll(positions.join(stored, _POSITION, "left_semi").select(*_POSITION)).distinct()
 
-    def _known(self, spans: list[Row]) -> DataFrame:
-        """Stored identities that could collide with a batch.
+    def _known(self, spans: list[Row], owner: str | None = None) -> DataFrame:
+        """Stored identities that could collide with a batch; ``own`` ones are of an earlier run of it, repeats included.
 
         Offsets only collide within one partition of a topic, and there within the batch's own span. So the
         folders of those blocks are named, not found by listing all history, and
@@ -218,8 +227,9 @@ class EventLog:
             & F.col("kafka_offset").between(s["low"], s["high"])
             for s in spans
         ]
-        stored = stored.filter(~F.col("redelivery")).filter(reduce(lambda a, b: a | b, tests))
-        return stored.select(*MESSAGE_KEY, "outcome", "reject_id")
+        own = F.lit(False) if owner is None else F.col("owner").eqNullSafe(F.lit(owner))
+        stored = stored.filter(~F.col("redelivery") | own).filter(reduce(lambda a, b: a | b, tests))
+        return stored.select(*MESSAGE_KEY, "outcome", "reject_id", "redelivery", own.alias("own"))
 
     def _blocks(self, spans: list[Row]) -> DataFrame:
         """The stored rows in the blocks that the spans touch."""

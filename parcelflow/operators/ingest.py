@@ -116,7 +116,7 @@ def fresh_rows(frame: DataFrame, clock: Column | None = None, block_bits: int =
     A projection: payloads are neither shuffled nor sorted.
     """
     once = {"copies": F.lit(1).cast("bigint"), "redelivery": F.lit(False)}
-    return _as_log(classify(frame).withColumns(once), clock, block_bits)
+    return _as_log(classify(frame).withColumns(once), clock, block_bits, F.lit(False))
 
 
 def log_rows(
@@ -130,40 +130,56 @@ def log_rows(
     ``known`` holds the identities already stored (see ``EventLog``). A stored
     message costs one row with its payload; repeats cost one narrow row, so
     the sum of ``copies`` always equals the number of messages received.
+
+    Rows that an earlier attempt of the same batch stored (``known.own``) come out again, marked ``stored``: they are
+    what this batch consists of, to be counted but not to be written.
     """
     merged = merge_copies(classify(frame))
-    if known is None:
-        seen = F.lit(False)
-    else:
-        merged = merged.join(known.withColumn("_seen", F.lit(True)), _IDENTITY, "left")
-        seen = F.coalesce(F.col("_seen"), F.lit(False))
+    seen, own, own_again = F.lit(False), F.lit(False), F.lit(False)
+    if known is not None:
+        merged = merged.join(_by_identity(known), _IDENTITY, "left")
+        seen, own, own_again = [F.coalesce(c, F.lit(False)) for c in ("_seen", "_own", "_own_again")]
 
     accepted = F.col("outcome") == "written"
-    repeats = F.when(seen, F.col("copies")).otherwise(F.col("copies") - 1)
+    repeats = F.when(seen & ~own, F.col("copies")).otherwise(F.col("copies") - 1)
 
-    def entry(outcome: Column, copies: Column, redelivery: bool) -> Column:
+    def entry(outcome: Column, copies: Column, redelivery: bool, stored: Column) -> Column:
         return F.struct(
             outcome.alias("outcome"),
             copies.cast("bigint").alias("copies"),
             F.lit(redelivery).alias("redelivery"),
+            stored.alias("stored"),
         )
 
-    first = F.when(~seen, entry(F.col("outcome"), F.lit(1), False))
+    first = F.when(~seen | own, entry(F.col("outcome"), F.lit(1), False, own))
     again = F.when(
         repeats > 0,
-        entry(F.when(accepted, "duplicate").otherwise(F.col("outcome")), repeats, True),
+        entry(F.when(accepted, "duplicate").otherwise(F.col("outcome")), repeats, True, own_again),
     )
     entries = merged.withColumn("_entry", F.explode(F.array_compact(F.array(first, again))))
     body = ["payload", "spelled", "raw_key", "raw_value"]
     stored = {c: F.when(~F.col("_entry.redelivery"), F.col(c)) for c in body}
     counted = {c: F.col(f"_entry.{c}") for c in ("outcome", "copies", "redelivery")}
-    return _as_log(entries.withColumns({**stored, **counted}), clock, block_bits)
+    return _as_log(entries.withColumns({**stored, **counted}), clock, block_bits, F.col("_entry.stored"))
+
+
+def _by_identity(known: DataFrame) -> DataFrame:
+    """Whether a message is stored, and whether this batch's own earlier attempt stored it, or its repeats."""
+    flags = {"_seen": ~F.col("redelivery"), "_own": ~F.col("redelivery") & F.col("own"), "_own_again": F.col("redelivery") & F.col("own")}
+    accepted = F.when(F.col("outcome") == "duplicate", "written").otherwise(F.col("outcome")).alias("outcome")
+    rows = known.select(*MESSAGE_KEY, accepted, "reject_id", *[flag.alias(name) for name, flag in flags.items()])
+    return rows.groupBy(*_IDENTITY).agg(*[F.max(name).alias(name) for name in flags])
 
 
-def _as_log(rows: DataFrame, clock: Column | None, block_bits: int) -> DataFrame:
+def _as_log(rows: DataFrame, clock: Column | None, block_bits: int, stored: Column) -> DataFrame:
     now = F.current_timestamp() if clock is None else clock
-    stamps = {"event_ts": now, "ingested_at": now, "offset_block": offset_block(F.col("kafka_offset"), block_bits)}
-    return rows.withColumns(stamps).select(EVENT_LOG.fieldNames())
+    stamps = {
+        "event_ts": now,
+        "ingested_at": now,
+        "offset_block": offset_block(F.col("kafka_offset"), block_bits),
+        "owner": F.lit(None).cast("string"),
+    }
+    return rows.withColumns(stamps).select(*EVENT_LOG.fieldNames(), stored.alias("stored"))
 
 
 def outcome_counts(log: DataFrame) -> DataFrame:

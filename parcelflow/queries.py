@@ -35,7 +35,7 @@ from parcelflow.sources.logs import log_scan as scan_logs
 from parcelflow.sources.logs import render_line
 from parcelflow.sources.tables import declare_table
 from parcelflow.streaming.chain import as_raw_events, start_payments, start_shipments
-from parcelflow.streaming.enrich import enrich_payments, late_events
+from parcelflow.streaming.enrich import LateEvents, enrich_payments
 from parcelflow.streaming.ingest import batch_counts
 from parcelflow.streaming.ingest import stream_ingest as start_ingest
 
@@ -171,7 +171,7 @@ def ingest_onto_history(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _history or not _stored(spark, _history[key].path):
         _history[key] = new_log(spark, sf_dir, "history")
-    again = messages(spark, sf_dir).filter((F.col("offset") % 100 == 7) & (F.col("offset") < 10_000_000))
+    again = messages(spark, sf_dir).filter(F.col("offset") % 100 == 7)  # damaged ones among them
     counts = _history[key].append(again, F.col("message_ts"))
     rows = [(topic, outcome, n) for (topic, outcome), n in sorted(counts.items())]
     return spark.createDataFrame(rows, "topic string, outcome string, messages bigint")
@@ -744,6 +744,8 @@ def _enriched(spark, sf_dir, max_delay: str, max_early: str, late: str, hot_orde
     payments = closed(staging.stg_payments(log.stream()), "payment_date", -1)
     orders = closed(staging.stg_orders(log.stream()), "order_ts", -2)
     out = scratch_dir(spark, "enriched")
+    counter = LateEvents()
+    spark.streams.addListener(counter)
     query = (
         enrich_payments(payments, orders, max_delay, max_early, late, hot_orders)
         .writeStream.option("checkpointLocation", scratch_dir(spark, "cp-enriched"))
@@ -752,8 +754,12 @@ def _enriched(spark, sf_dir, max_delay: str, max_early: str, late: str, hot_orde
         .format("parquet")
         .start(out)
     )
-    _finish(query)
-    if dropped := late_events(query):
+    try:
+        _finish(query)
+        dropped = counter.of(query)
+    finally:
+        spark.streams.removeListener(counter)
+    if dropped:
         raise RuntimeError(f"{dropped} events came behind the watermark")
     return portable(spark.read.parquet(out))
 

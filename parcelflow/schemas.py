@@ -52,6 +52,8 @@ EVENT_LOG = T.StructType(
         T.StructField("raw_key", T.BinaryType()),
         T.StructField("raw_value", T.BinaryType()),
         T.StructField("message_ts", T.TimestampType()),
+        # the micro-batch that brought the row, NULL for other appends
+        T.StructField("owner", T.StringType()),
         # partition folders
         T.StructField("outcome", T.StringType()),
         T.StructField("kafka_topic", T.StringType()),

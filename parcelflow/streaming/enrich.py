@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 MAX_HOT = 1000
 
@@ -24,7 +28,7 @@ def enrich_payments(
     let Spark drop state: an order is kept until no payment can need it, and a
     payment without an order comes out with NULLs once the watermark, ``late``
     behind the newest event, has passed it. Events that arrive behind the watermark are dropped, as anywhere in
-    Structured Streaming; :func:`late_events` tells how many.
+    Structured Streaming; :class:`LateEvents` tells how many.
 
     Many payments of one order would share a state partition. ``hot_orders``, (order id, pieces), deals the payments
     of those orders over that many partitions, each of which gets a copy of the order; other orders have one. Payments without
@@ -78,9 +82,43 @@ def enrich_payments(
 
 
 def late_events(query: StreamingQuery) -> int:
-    """Events of either stream that a query dropped behind the watermark, over its reported progress."""
+    """Events of either stream that a query dropped behind the watermark, over the progress it still reports.
+
+    Spark keeps the last hundred reports by default; :class:`LateEvents` counts over a whole run.
+    """
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress
         for operator in progress["stateOperators"]
     )
+
+
+class LateEvents(StreamingQueryListener):
+    """Adds up what every query drops behind its watermark, from its first batch to its last.
+
+    Add it with ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self):
+        self._dropped: dict[str, int] = defaultdict(int)
+        self._done: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        self._dropped[str(event.runId)] += 0
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self._dropped[str(progress.runId)] += sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._done[str(event.runId)].set()
+
+    def of(self, query: StreamingQuery, timeout: float = 60) -> int:
+        """The events a finished query dropped; reports arrive in order, its end last."""
+        run = str(query.runId)
+        if not self._done[run].wait(timeout):
+            raise TimeoutError(f"no report of the end of query {run}")
+        return self._dropped[run]

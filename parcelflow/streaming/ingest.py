@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow.operators.event_log import EventLog
 from parcelflow.schemas import create_if_absent
 
-_COUNTS = "batch_id bigint, topic string, outcome string, messages bigint"
+_COUNTS = "owner string, attempt bigint, batch_id bigint, topic string, outcome string, messages bigint"
 
 
 def batch_counts(spark: SparkSession, counts_path: str) -> DataFrame:
-    """``batch_id, topic, outcome, messages`` of the micro-batches so far; a batch that ran again counts each time."""
+    """``batch_id, topic, outcome, messages`` of the micro-batches so far; of a batch that ran again the last attempt counts."""
     create_if_absent(spark, counts_path, _COUNTS)
-    return spark.read.schema(_COUNTS).parquet(counts_path)
+    rows = spark.read.schema(_COUNTS).parquet(counts_path)
+    last = rows.groupBy("owner").agg(F.max("attempt").alias("attempt"))
+    return rows.join(last, ["owner", "attempt"], "left_semi").select("batch_id", "topic", "outcome", "messages")
 
 
 def stream_ingest(
@@ -31,16 +36,18 @@ def stream_ingest(
     :func:`batch_counts` reads them.
 
     The checkpoint takes the place of offset commits: offsets count as done
-    only after their batch is stored. A batch that runs twice finds its events
-    in the log and stores them once, so delivery is effectively exactly-once.
+    only after their batch is stored. A batch that runs twice finds its own rows
+    in the log, by checkpoint and number, and adds what is missing: delivery and counts are effectively exactly-once.
     The log needs no streaming state: history is looked up in the stored blocks.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         # rereading a broker costs more than a local copy of one bounded batch
-        counts = log.append(batch, clock, keep=True)
+        owner = f"{checkpoint.rstrip('/')}#{batch_id}"
+        counts = log.append(batch, clock, keep=True, owner=owner)
         if counts_path is not None and counts:
-            rows = [(batch_id, topic, outcome, n) for (topic, outcome), n in counts.items()]
+            now = time.time_ns()
+            rows = [(owner, now, batch_id, topic, outcome, n) for (topic, outcome), n in counts.items()]
             entry = log.spark.createDataFrame(rows, _COUNTS).coalesce(1)
             entry.write.mode("append").parquet(counts_path)
 

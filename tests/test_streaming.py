@@ -13,7 +13,7 @@ from parcelflow.sources.events import event_source, write_events
 from parcelflow.sources.logs import log_scan, parse_lines
 from parcelflow.sources.order_tables import kafka_frame
 from parcelflow.streaming.chain import as_raw_events, start_payments, start_shipments
-from parcelflow.streaming.enrich import enrich_payments, late_events
+from parcelflow.streaming.enrich import LateEvents, enrich_payments, late_events
 from parcelflow.streaming.ingest import batch_counts, stream_ingest
 
 
@@ -139,6 +139,63 @@ def test_batch_counters_add_up_to_the_outcomes(spark, tables, folder):
     assert batch_counts(spark, f"{folder}/none").count() == 0
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_a_batch_that_runs_again_counts_once(spark, tables, folder, monkeypatch, large):
+    """Lost before its counters were written, or before the checkpoint: the same rows and counts as running once."""
+    from parcelflow.operators import event_log
+
+    if large:
+        monkeypatch.setattr(event_log, "_SMALL_BATCH", 0)
+    messages = kafka_frame(spark, tables).filter("offset % 3 <> 1 or offset >= 10000000")
+    log, once = EventLog(spark, f"{folder}/log"), EventLog(spark, f"{folder}/once")
+    for each in (log, once):
+        each.append(messages.filter("offset % 5 = 0"), F.col("message_ts"))  # history that the batch repeats
+    wanted = once.append(messages, F.col("message_ts"))
+    for _ in range(2):
+        assert log.append(messages, F.col("message_ts"), owner="cp#0") == wanted
+    assert sorted(map(tuple, log.outcomes().collect())) == sorted(map(tuple, once.outcomes().collect()))
+    assert log.read().count() == once.read().count()
+    assert log.append(messages, F.col("message_ts"), owner="cp#1") != wanted  # another batch: all duplicates
+
+
+def test_counters_of_a_repeated_batch(spark, folder):
+    rows = [("cp#0", 1, 0, "orders", "written", 5), ("cp#0", 2, 0, "orders", "written", 5), ("cp#1", 1, 1, "orders", "bad", 2)]
+    schema = "owner string, attempt bigint, batch_id bigint, topic string, outcome string, messages bigint"
+    for row in rows:
+        spark.createDataFrame([row], schema).write.mode("append").parquet(folder)
+    assert sorted(map(tuple, batch_counts(spark, folder).collect())) == [(0, "orders", "written", 5), (1, "orders", "bad", 2)]
+
+
+def test_late_events_are_counted_over_the_whole_run(spark, folder):
+    """Twelve micro-batches with a drop early on, and only the last two reports kept."""
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    counter = LateEvents()
+    spark.streams.addListener(counter)
+    spark.conf.set(kept, "2")
+    try:
+        for i in range(12):
+            day = "02" if i in (3, 4) else f"{10 + i}"
+            paid = spark.createDataFrame([(i, i, 1, "EUR")], "payment_id long, order_id long, amount int, currency string")
+            paid = paid.selectExpr("*", f"timestamp '2024-01-{day}' payment_date")
+            placed = spark.createDataFrame([(-1, 1, 1, 1)], "order_id long, product_id long, quantity int, unit_price int")
+            placed = placed.selectExpr("*", f"timestamp '2024-01-{10 + i}' order_ts")
+            paid.coalesce(1).write.mode("append").parquet(f"{folder}/p")
+            placed.coalesce(1).write.mode("append").parquet(f"{folder}/o")
+        streams = [
+            spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{folder}/{name}")
+            for name, rows in (("p", paid), ("o", placed))
+        ]
+        query = enrich_payments(*streams, max_delay="1 day").writeStream.option("checkpointLocation", f"{folder}/cp")
+        query = query.outputMode("append").trigger(availableNow=True).format("parquet").start(f"{folder}/out")
+        query.awaitTermination()
+        assert counter.of(query) == 2
+        assert late_events(query) == 0
+    finally:
+        spark.conf.set(kept, before)
+        spark.streams.removeListener(counter)
+
+
 def test_a_batch_read_of_a_broker_needs_a_fixed_end(spark):
     for options in ({}, {"endingOffsets": "latest"}):
         with pytest.raises(ValueError, match="endingOffsets"):
