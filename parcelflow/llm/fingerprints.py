@@ -85,8 +85,8 @@ def _numbered(hashes: Column) -> Column:
 
             return let(starts, lambda s: F.flatten(F.transform(s, lambda first, r: run(first, r, s))))
 
-        ordered = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("hash"), i.alias("at"))))
-        return F.transform(F.array_sort(let(ordered, by_runs)), lambda x: x["key"])
+        ordered = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("hash"), i.alias("at"))))
+        return F.transform(F.sort_array(let(ordered, by_runs)), lambda x: x["key"])
 
     unique = F.size(F.array_distinct(hashes)) == F.size(hashes)
     return F.when(unique, F.transform(hashes, lambda h: F.xxhash64(h, F.lit(1)))).otherwise(slow(hashes))
@@ -116,7 +116,7 @@ def likeness(a: Column, b: Column) -> Column:
             found = F.struct(x["at"].alias("ours"), following["at"].alias("theirs"))
             return F.when(x["hash"] == following["hash"], found)
 
-        return F.array_sort(F.filter(F.transform(both, pair), lambda x: x.isNotNull()))
+        return F.sort_array(F.filter(F.transform(both, pair), lambda x: x.isNotNull()))
 
     def chain(pairs: Column, start: int, follows) -> Column:
         none = F.struct(F.lit(start).alias("last"), F.lit(0).alias("n"))
@@ -132,10 +132,15 @@ def likeness(a: Column, b: Column) -> Column:
         before = chain(F.reverse(pairs), (1 << 31) - 1, lambda at, last: at < last)
         return F.greatest(behind, before)
 
+    def in_order(common: Column) -> Column:
+        """Of the common hashes, as either side orders them; mostly both do alike."""
+        ours, theirs = common["ours"], common["theirs"]
+        both = F.sort_array(F.concat(tagged(ours, 0), tagged(theirs, 1)))
+        return F.when(ours == theirs, F.size(ours)).otherwise(let(let(both, matches), longest))
+
     total = F.size(a) + F.size(b)
-    both = F.array_sort(F.concat(tagged(a, 0), tagged(b, 1)))
-    common = let(let(both, matches), longest)
-    return F.when(total == 0, F.lit(1.0)).otherwise(2 * common / total)
+    common = F.struct(F.array_intersect(a, b).alias("ours"), F.array_intersect(b, a).alias("theirs"))
+    return F.when(total == 0, F.lit(1.0)).otherwise(2 * let(common, in_order) / total)
 
 
 def _bounds(docs: DataFrame) -> list[int]:
