@@ -22,7 +22,7 @@ from parcelflow.llm import (
     token_files,
     turn_repair,
 )
-from parcelflow.llm.common import ready, table
+from parcelflow.llm.common import ready, table, whole_text
 from parcelflow.session import scratch_dir
 
 
@@ -81,14 +81,16 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    found = decontaminate.find_contamination(docs, items).groupBy("doc_id").agg(
+    found = decontaminate.find_contamination(docs, items).groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"),
         F.max(F.col("matched") / F.col("windows")).alias("coverage"),
         F.max("exact").alias("exact"),
     )
-    rows = docs.select("doc_id").join(found, "doc_id", "left")
-    return rows.select(
-        "doc_id",
+    # by id and text: ids may be null, and rows of one id may differ
+    rows = docs.select("doc_id", F.xxhash64(whole_text()).alias("text_hash")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_hash") == F.col("f.text_hash"))
+    return rows.join(found.alias("f"), same, "left").select(
+        "d.doc_id",
         F.col("item_ids").isNotNull().alias("contaminated"),
         F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"),
         F.coalesce("coverage", F.lit(0.0)).alias("coverage"),

@@ -116,3 +116,14 @@ def test_query_against_plain_text_search(spark, tables):
             words = text.lower().split()
             runs = {" ".join(words[k : k + 6]) for k in range(len(words) - 5)}
             assert all(any(" ".join(t.lower().split()[k : k + 6]) in runs for k in range(len(t.split()) - 5)) for i, t in texts if i in got[doc_id])
+
+
+def test_query_tells_rows_of_one_id_apart(spark, documents, folder):
+    item = "How many apples does the tall merchant carry home when the market closes early on a rainy day in spring?"
+    docs = documents((1, f"Once upon a time. {item} That is all."), (1, "nothing of the kind here"), (None, item), (None, "clean"))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(5, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    rows = QUERIES["op5_benchmark_decontamination"](spark, folder).collect()
+    assert sorted((r.doc_id or 0, r.contaminated, r.item_ids) for r in rows) == [
+        (0, False, []), (0, True, [5]), (1, False, []), (1, True, [5]),
+    ]
