@@ -83,7 +83,8 @@ class FactTable:
         """
         states = {name: i.table.state() for name, i in {"": left, **joined}.items()}
         versions = {name: state.last for name, state in states.items()}
-        known = self.table.state().inputs
+        state = self.table.state()
+        known = state.inputs
         wanted = buckets or _parts_for(states[""].count())
         if known is None or set(known["versions"]) != set(versions) or not known["buckets"] <= wanted <= 4 * known["buckets"]:
             return self._build(all_left, compute, wanted, versions)

@@ -84,8 +84,7 @@ class IncrementalTable:
 
         Between loads: readers that resolved the table before the last load are done by then.
         """
-        self.table.vacuum()
-        self.table.merge(self.table.crowded_parts(_MAX_LOADS))
+        self.table.merge(self.table.vacuum().crowded(_MAX_LOADS))
 
     def missing_rows(self, source: DataFrame) -> DataFrame:
         """Source rows whose key is not in the table.
@@ -127,17 +126,18 @@ class IncrementalTable:
         mark, low, high = batch.agg(F.unix_micros(F.max("ingested_at")), F.min("part"), F.max("part")).head()
         if mark is None:
             return
-        near = {part for _, part in self.table.state().folders() if low <= part <= high}
+        state = self.table.state()
+        near = {part for _, part in state.folders() if low <= part <= high}
         keys = batch.select(self.key)
-        stored = self.table.with_part(near)
+        stored = self.table.with_part(near, state=state)
         repeats = stored.join(keys, self.key, "left_semi").select("part").distinct()
-        rewritten = [r[0] for r in repeats.collect()]  # at most the parts near the batch
+        rewritten = [r[0] for r in repeats.collect()] if near else []  # at most the parts near the batch
         rows = batch
         if rewritten:
-            kept = self.table.with_part(rewritten).join(keys, self.key, "left_anti")
+            kept = self.table.with_part(rewritten, state=state).join(keys, self.key, "left_anti")
             # joined rows are spread by key: gather each part into few files again
             rows = kept.unionByName(batch).hint("rebalance", "part")
-        self.table.commit(rows, rewritten, mark)
+        self.table.commit(rows, rewritten, mark, state=state)
 
     def _with_part(self, batch: DataFrame) -> DataFrame:
         return batch.select(*self._columns, self._part(batch).alias("part"))

@@ -81,6 +81,10 @@ class State:
         kept = {(r["load"], r["part"]): r for r in rows if r["row_count"] > 0 and r["commit"] >= since.get(r["part"], 0)}
         return list(kept.values())
 
+    def crowded(self, loads: int) -> list[int]:
+        """Parts that readers put together from more than so many loads."""
+        return [part for part, n in Counter(part for _, part in self.folders()).items() if n > loads]
+
     def folders(self, parts: Iterable[int] | None = None, at: int | None = None) -> list[tuple[str, int]]:
         wanted = None if parts is None else set(parts)
         return [(r["load"], r["part"]) for r in self.active(at) if wanted is None or r["part"] in wanted]
@@ -137,8 +141,10 @@ class VersionedTable:
         """The rows as of now, or after commit ``at``; only the folders of these parts are listed and opened."""
         return self.with_part(parts, at).drop("part")
 
-    def with_part(self, parts: Iterable[int] | None = None, at: int | None = None) -> DataFrame:
-        state = self.state()
+    def with_part(
+        self, parts: Iterable[int] | None = None, at: int | None = None, state: State | None = None
+    ) -> DataFrame:
+        state = state or self.state()
         return self._folders(state.folders(parts, at), state)
 
     def _folders(self, folders: list[tuple[str, int]], state: State) -> DataFrame:
@@ -198,16 +204,25 @@ class VersionedTable:
         ``only_changed`` needs all columns as ``key``; rows of the same number and digest as those stored are then not committed.
         """
         load = self._write(rows.withColumn("part", F.lit(0).cast("bigint")))
-        if only_changed:
-            state = self.state()
-            stored = [(r["row_count"], r["key_sum"], r["key_sum2"]) for r in state.active()]
-            if state.schema == self.schema and stored == [tuple(r)[1:] for r in self._written(load).collect()]:
-                return
-        self._commit(load, [0])
+        state = self.state()
+        stored = [(r["row_count"], r["key_sum"], r["key_sum2"]) for r in state.active()] if only_changed else []
+        if stored and state.schema == self.schema and stored == [tuple(r)[1:] for r in self._written(load).collect()]:
+            return
+        self._commit(load, [0], state=state)
 
-    def commit(self, added: DataFrame, replaced: list[int] = (), mark: int | None = None, inputs: dict | None = None) -> None:
-        """Add rows (with ``part``); in the ``replaced`` parts they take the place of all earlier rows."""
-        self._commit(self._write(added), list(replaced), mark, inputs)
+    def commit(
+        self,
+        added: DataFrame,
+        replaced: list[int] = (),
+        mark: int | None = None,
+        inputs: dict | None = None,
+        state: State | None = None,
+    ) -> None:
+        """Add rows (with ``part``); in the ``replaced`` parts they take the place of all earlier rows.
+
+        ``state`` is that of the last commit, if it is known already.
+        """
+        self._commit(self._write(added), list(replaced), mark, inputs, state)
 
     def _write(self, rows: DataFrame) -> str:
         load = f"n{uuid.uuid4().hex}"
@@ -223,8 +238,15 @@ class VersionedTable:
         digest = key_digest(self.key) if self.key else [F.first(none).alias("key_sum"), F.first(none).alias("key_sum2")]
         return written.groupBy("part").agg(F.count("*").alias("row_count"), *digest)
 
-    def _commit(self, load: str, replaced: list[int], mark: int | None = None, inputs: dict | None = None) -> None:
-        state = self.state()
+    def _commit(
+        self,
+        load: str,
+        replaced: list[int],
+        mark: int | None = None,
+        inputs: dict | None = None,
+        state: State | None = None,
+    ) -> None:
+        state = state or self.state()
         rows = self._written(load).withColumn("replaces", F.col("part").isin(replaced) if replaced else F.lit(False))
         # a replaced part may be left without rows, and so without a folder
         extra = [(p, 0, True) for p in replaced] + [(None, 0, False)]
@@ -250,22 +272,18 @@ class VersionedTable:
         if parts:
             self.commit(self.with_part(parts).hint("rebalance", "part"), parts)
 
-    def crowded_parts(self, loads: int) -> list[int]:
-        """Parts that readers put together from more than so many loads."""
-        return [part for part, n in Counter(part for _, part in self.state().folders()).items() if n > loads]
-
-    def vacuum(self) -> None:
+    def vacuum(self) -> State:
         """Delete what no reader of the current state opens, and sum up a long manifest.
 
-        The folders of replaced parts and of loads that died go. Once the manifest holds many commits, the current state is
+        Returns that state. The folders of replaced parts and of loads that died go. Once the manifest holds many commits, the current state is
         written as one file that says the same, and the earlier files go; no reader may be starting meanwhile.
         """
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         data = hadoop.Path(f"{self.path}/data")
         fs = data.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(data):
-            return
         state = self.state()
+        if not fs.exists(data):
+            return state
         used: dict[str, set[str]] = defaultdict(set)
         for load, part in state.folders():
             used[f"load={load}"].add(f"part={part}")
@@ -279,6 +297,7 @@ class VersionedTable:
                     fs.delete(part.getPath(), True)
         if len({r["commit"] for r in state.rows}) > _MANIFEST_COMMITS:
             self._sum_up(state, hadoop, fs)
+        return state
 
     def _sum_up(self, state: State, hadoop, fs) -> None:
         """One manifest file in place of all: every active load, as of the last commit."""
