@@ -210,6 +210,27 @@ ORACLE = {
             UNION ALL SELECT 'undecodable', 1 FROM b WHERE k % 193 = 192)
         SELECT messages, CAST(1 AS BIGINT) AS files, count(*) AS keys
         FROM (SELECT CAST(sum(n) AS BIGINT) AS messages FROM sent GROUP BY kafka_key) t GROUP BY 1""",
+    "partition_of_key": f"""{_WITH},
+        sent AS (
+            SELECT hex(encode(kafka_key)) AS key, CASE WHEN k % 10 = 0 THEN 2 ELSE 1 END AS n FROM every
+            UNION ALL SELECT hex(encode(CAST(order_id AS VARCHAR))), 1 FROM b WHERE k % 97 = 96
+            UNION ALL SELECT 'FF', 1 FROM b WHERE k % 193 = 192),
+        keys AS (SELECT key, CAST(sum(n) AS BIGINT) AS messages, length(key) // 2 AS size FROM sent GROUP BY key),
+        words AS (
+            SELECT *, list_transform(range(size // 4), lambda i: ('0x' || substr(key, 8 * i + 7, 2) || substr(key, 8 * i + 5, 2)
+                                     || substr(key, 8 * i + 3, 2) || substr(key, 8 * i + 1, 2))::UBIGINT) AS w,
+                   substr(key, 8 * (size // 4) + 1) AS tail FROM keys),
+        mixed AS (
+            SELECT *, list_transform(list_transform(list_transform(w, lambda x: (x * 1540483477) & 4294967295),
+                                                    lambda x: xor(x, x >> 24)), lambda x: (x * 1540483477) & 4294967295) AS m FROM words),
+        folded AS (
+            SELECT *, list_reduce(list_prepend(xor(2538058380::UBIGINT, size::UBIGINT), m::UBIGINT[]),
+                                  lambda h, x: xor((h * 1540483477) & 4294967295, x)) AS body FROM mixed),
+        rested AS (
+            SELECT *, CASE WHEN tail = '' THEN body ELSE (xor(body, ('0x' || substr(tail, 5, 2) || substr(tail, 3, 2)
+                               || substr(tail, 1, 2))::UBIGINT) * 1540483477) & 4294967295 END AS h FROM folded),
+        stirred AS (SELECT *, (xor(h, h >> 13) * 1540483477) & 4294967295 AS g FROM rested)
+        SELECT key, CAST((xor(g, g >> 15) & 2147483647) % 12 AS INT) AS broker_partition, messages FROM stirred""",
     "json_field": """
         SELECT event_id, props ->> 'k' AS k, props ->> 'absent' AS absent FROM events""",
     "cast_bigint": "SELECT event_id, CAST(props ->> 'k' AS BIGINT) AS k FROM events",

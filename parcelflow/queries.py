@@ -243,6 +243,14 @@ def write_by_key(spark, sf_dir):
     return by_key.groupBy(F.col("n").alias("messages"), "files").agg(F.count("*").alias("keys"))
 
 
+def partition_of_key(spark, sf_dir):
+    """Messages written by the partition that a broker of twelve would put their key into: keys, partitions and messages."""
+    path = scratch_dir(spark, "by-partition")
+    write_events(messages(spark, sf_dir), path=path, partitions=12)
+    stored = spark.read.schema(T.StructType([*KAFKA_SCHEMA.fields, T.StructField("broker_partition", T.IntegerType())])).parquet(path)
+    return stored.groupBy(F.hex("key").alias("key"), "broker_partition").agg(F.count("*").alias("messages"))
+
+
 def _event_props(spark, sf_dir) -> DataFrame:
     events = source.table(spark, sf_dir, "events")
     return with_strict_json(events.select("event_id", "props"), "props", "payload")
@@ -815,6 +823,7 @@ QUERIES = {
     "event_id": event_ids,
     "row_id": row_id,
     "write_by_key": write_by_key,
+    "partition_of_key": partition_of_key,
     "json_field": json_field,
     "cast_bigint": cast_bigint,
     "cast_bigint_forms": cast_bigint_forms,

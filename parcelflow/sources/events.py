@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from parcelflow.functions import encode_event
+from parcelflow.functions import encode_event, partition_of_key
 from parcelflow.schemas import KAFKA_SCHEMA, TOPICS
 
 
@@ -79,13 +79,26 @@ def event_sink(
 
 
 def write_events(
-    messages: DataFrame, servers: str | None = None, path: str | None = None, by_key: bool = False
+    messages: DataFrame,
+    servers: str | None = None,
+    path: str | None = None,
+    by_key: bool = False,
+    partitions: int | None = None,
 ) -> None:
     """The batch form of :func:`event_sink`.
 
     ``by_key`` puts the messages of one key into one file, as a broker puts
-    them into one partition; it costs a shuffle.
+    them into one partition; it costs a shuffle. ``partitions`` puts them into a folder for each partition that a
+    broker with so many would choose (``broker_partition``; without a key by the value). A folder has several files, each of a range of
+    the messages in order, so a key with many messages is not one task.
     """
+    if partitions is not None and path is not None:
+        chosen = F.coalesce(partition_of_key(F.col("key"), partitions), F.pmod(F.xxhash64("value"), F.lit(partitions)))
+        order = ["broker_partition", "topic", "partition", "offset"]
+        dealt = messages.withColumn("broker_partition", chosen.cast("int"))
+        dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order)
+        dealt.write.mode("append").partitionBy("broker_partition").parquet(path)
+        return
     if by_key and path is not None:
         messages = messages.repartition("key")
     if servers is not None:

@@ -188,3 +188,30 @@ def test_spellings_outlive_storage_next_to_each_other(spark, folder):
         wanted = (None, ["order_id"]) if i % 6 == 1 else (i * 10 if i % 6 == 2 else i, [])
         assert got[i] == wanted
     assert log.raw_events().filter("spelled is not null").count() == 300
+
+
+def test_partitions_are_those_of_a_broker(spark, folder):
+    """Published results of the default partitioner's hash, and files in the order of the messages."""
+    from parcelflow.functions import key_hash, partition_of_key
+    from parcelflow.sources.events import write_events
+
+    known = {
+        b"21": -973932308, b"foobar": -790332482, b"a-little-bit-long-string": -985981536, b"a-little-bit-longer-string": -1486304829,
+        b"lkjh234lh9fiuh90y23oiuhsafujhadof229phr9h19h89h8": -58897971, b"abc": 479470107,
+    }
+    rows = spark.createDataFrame([(bytearray(k), v) for k, v in known.items()] + [(None, 0)], "key binary, wanted long")
+    found = rows.select("key", "wanted", key_hash(F.col("key")).alias("h"), partition_of_key(F.col("key"), 7).alias("p")).collect()
+    for r in found:
+        if r["key"] is None:
+            assert r["h"] is None and r["p"] is None
+        else:
+            assert r["h"] == r["wanted"] % 2**32 and r["p"] == (r["wanted"] & 0x7FFFFFFF) % 7
+    sent = [message("1", key=b"21" if i % 3 else b"abc", offset=i) for i in range(300)] + [message("1", key=None, offset=999)]
+    write_events(frame(spark, *sent), path=folder, partitions=5)
+    stored = spark.read.parquet(folder).select("key", "offset", "broker_partition", F.input_file_name().alias("file")).collect()
+    assert len(stored) == 301
+    for key, value in ((b"21", -973932308), (b"abc", 479470107)):
+        assert {r["broker_partition"] for r in stored if r["key"] == key} == {(value & 0x7FFFFFFF) % 5}
+    for file in {r["file"] for r in stored}:
+        offsets = [r["offset"] for r in stored if r["file"] == file]
+        assert offsets == sorted(offsets)
