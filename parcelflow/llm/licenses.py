@@ -1,22 +1,23 @@
 """License scan: exact phrases, and templates found by an exact set-similarity join.
 
 Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z are lower-cased. *Phrases* are found where their words stand
-consecutively. *Templates* are sentences of public license notices; a block (a line of the text) matches a template
-when it holds at least ``percent`` of the template's distinct words. The join that finds all such pairs:
+consecutively. *Templates* are sentences of public license notices; a part of a text matches a template when it holds at least
+``percent`` of the template's distinct words. That part is a line or, with ``windows``, a run of consecutive words that many times
+as long as the template, anywhere in the text, so a notice wrapped over lines is found and words scattered over a long line are not.
+
+Blocks are the lines, or runs of twice the longest window that overlap by half, so every window lies within one. The join of
+blocks and templates finds all pairs of at least that overlap:
 
 * one global order, by how many documents of the corpus hold a word, rare words first;
-* prefix filter: a match shares a word of the template's first ``size - needed + 1`` words with as long
-  a prefix of the block's template words, so only blocks with a word of that kind are taken apart at all;
+* prefix filter: a match shares a word of the template's first ``size - needed + 1`` words, so only documents and
+  blocks with a word of that kind are taken apart at all, and meet the templates by it in a hash join;
 * length filter: the block has at least ``needed`` template words;
 * positional filter: from the places of the shared prefix word on, enough words must be left in both;
-* candidates are verified on the whole sets.
-
-With ``windows`` a block is a window of consecutive words instead, that many times as long as the template and anywhere in the
-text, so a notice wrapped over lines is found and words scattered over a long line are not. Only texts that hold enough of a template's
-words at all are taken apart; of the windows those that start at a template word are enough, as any other holds no more.
+* a candidate is verified once, from its first shared word: on the whole set of a line, on every window of a run that
+  starts at a word of the template, as any other holds no more.
 
 Words that are in no template cannot be in an overlap, so blocks are reduced to template words first. The templates are a
-parameter of fixed size and go into the plan as literals. DataFrame expressions only.
+parameter of fixed size: rows of a broadcast table, and two word lists in the plan. DataFrame expressions only.
 
 Defined results: null text is empty; a text without words has n_words 0, no place, no label and score 0; repeated rows
 are scanned each; an empty table gives no rows.
@@ -25,7 +26,7 @@ are scanned each; an empty table gives no rows.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ def n_words(spaced_text: Column) -> Column:
     return F.length(spaced_text) - F.length(F.replace(spaced_text, F.lit(" "), F.lit(""))) - 1
 
 
-def _all_template_words(templates: dict[str, str]) -> dict[str, list[str]]:
+def _template_words(templates: dict[str, str]) -> dict[str, list[str]]:
     import re
 
     found = {}
@@ -84,91 +85,77 @@ def _all_template_words(templates: dict[str, str]) -> dict[str, list[str]]:
     return found
 
 
-def _template_words(templates: dict[str, str]) -> dict[str, list[str]]:
-    return {label: sorted(set(words)) for label, words in _all_template_words(templates).items()}
+def _strings(words: list[str]) -> Column:
+    """An array literal; words hold no space."""
+    return F.split(F.lit(" ".join(words)), " ") if words else F.array().cast("array<string>")
+
 
+def _most_in_window(block: Column, members: Column, length: Column) -> Column:
+    """The most distinct members that a window of ``length`` words of the block holds; windows start at a member."""
+    numbered = F.transform(block, lambda w, i: F.struct(i.alias("at"), w.alias("word")))
 
-def _strings(values) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    def most(own: Column) -> Column:
+        def held(hit: Column, i: Column) -> Column:
+            window = F.filter(F.slice(own, i + 1, length), lambda p: p["at"] < hit["at"] + length)
+            return F.size(F.array_distinct(F.transform(window, lambda p: p["word"])))
 
+        return F.array_max(F.transform(own, held))
 
-def _matches(docs: DataFrame, templates: dict[str, str], percent: int) -> DataFrame:
-    """(doc_id, text_hash, label, score) of every document with a block that meets a template."""
-    words = _template_words(templates)
-    vocabulary = sorted(set().union(*words.values()))
+    return let(F.filter(numbered, lambda p: F.array_contains(members, p["word"])), most)
+
+
+def _matches(docs: DataFrame, templates: dict[str, str], percent: int, windows: int) -> DataFrame:
+    """(doc_id, text_hash, label, score) of every document with a line, or window of words, that meets a template."""
+    words = {label: own for label, own in _template_words(templates).items() if own}
+    vocabulary = sorted({w for own in words.values() for w in own})
     # the global order: document counts of the template words, over the whole corpus
     held = docs.select(F.explode(F.array_intersect(F.split("spaced", " "), _strings(vocabulary))).alias("word"))
     counts = {r["word"]: r["n"] for r in held.groupBy("word").agg(F.count("*").alias("n")).collect()}
     ordered = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     place = {w: i for i, w in enumerate(ordered)}
     rows = []
-    for label, members in words.items():
-        members = sorted(members, key=place.get)
+    for label, own in words.items():
+        members = sorted(set(own), key=place.get)
         need = -(-len(members) * percent // 100)
-        rows += [(w, label, members, need, i) for i, w in enumerate(members[: len(members) - need + 1])]
+        prefix = members[: len(members) - need + 1]
+        rows += [(w, label, members, need, windows * len(own), i) for i, w in enumerate(prefix)]
     prefixes = docs.sparkSession.createDataFrame(
-        rows, "word string, label string, members array<string>, need int, template_at int"
+        rows, "word string, label string, members array<string>, need int, length int, template_at int"
     )
-    # blocks of documents that hold a prefix word, as template words in the global order
-    relevant = docs.filter(F.arrays_overlap(F.split("spaced", " "), _strings({r[0] for r in rows})))
-    blocks = relevant.select("doc_id", "text_hash", F.explode(F.split("text", r"[\r\n]+")).alias("block"))
-    members = F.array_intersect(_strings(ordered), F.split(spaced(F.col("block")), " "))
-    blocks = blocks.select("doc_id", "text_hash", members.alias("block_words")).filter(F.size("block_words") > 0)
-    shared = blocks.select("doc_id", "text_hash", "block_words", F.posexplode("block_words").alias("block_at", "word"))
+    prefix_words = _strings(sorted({r[0] for r in rows}))
+    # only documents, then blocks, that hold a prefix word are taken apart
+    relevant = docs.filter(F.arrays_overlap(F.split("spaced", " "), prefix_words))
+    if windows:
+        step = max((windows * len(own) for own in words.values()), default=1)
+
+        def pieces(w: Column) -> Column:
+            return F.transform(F.sequence(F.lit(0), F.size(w) - 1, F.lit(step)), lambda at: F.slice(w, at + 1, 2 * step))
+
+        blocks = relevant.select("doc_id", "text_hash", F.explode(let(_words(F.col("spaced")), pieces)).alias("block"))
+    else:
+        lines = relevant.select("doc_id", "text_hash", F.explode(F.split("text", r"[\r\n]+")).alias("line"))
+        blocks = lines.select("doc_id", "text_hash", _words(spaced(F.col("line"))).alias("block"))
+    blocks = blocks.filter(F.arrays_overlap("block", prefix_words))
+    # template words of the block in the global order
+    blocks = blocks.withColumn("block_words", F.array_intersect(_strings(ordered), "block"))
+    shared = blocks.select("*", F.posexplode("block_words").alias("block_at", "word"))
     left = F.least(F.size("members") - F.col("template_at"), F.size("block_words") - F.col("block_at"))
     candidates = shared.join(F.broadcast(prefixes), "word").filter(
-        (F.size("block_words") >= F.col("need"))
-        & (F.col("block_at") <= F.size("block_words") - F.col("need"))
-        & (left >= F.col("need"))
+        (F.size("block_words") >= F.col("need")) & (left >= F.col("need"))
     )
-    common = F.size(F.array_intersect("block_words", "members"))
-    verified = candidates.select("doc_id", "text_hash", "label", "need", common.alias("common"), F.size("members").alias("size"))
+    # a pair that shares several prefix words is verified from the first of them
+    common = F.array_intersect("members", "block_words")
+    candidates = candidates.withColumn("common", common).filter(F.col("common")[0] == F.col("word"))
+    candidates = candidates.filter(F.size("common") >= F.col("need"))
+    if windows:
+        most = _most_in_window(F.col("block"), F.col("members"), F.col("length"))
+    else:
+        most = F.size("common")
+    verified = candidates.select("doc_id", "text_hash", "label", "need", most.alias("most"), F.size("members").alias("size"))
     return (
-        verified.filter("common >= need")
+        verified.filter("most >= need")
         .groupBy("doc_id", "text_hash", "label")
-        .agg(F.max(F.col("common") / F.col("size")).alias("score"))
-    )
-
-
-def _window_matches(docs: DataFrame, templates: dict[str, str], percent: int, windows: int) -> DataFrame:
-    """(doc_id, text_hash, label, score) of every document with a window of words that meets a template."""
-    rules = []  # (label, distinct words, words needed, words in a window)
-    for label, words in _all_template_words(templates).items():
-        members = sorted(set(words))
-        rules.append((label, members, -(-len(members) * percent // 100), windows * len(words)))
-    vocabulary = _strings(sorted({w for _, members, _, _ in rules for w in members}))
-
-    def possible(present: Column) -> Column:
-        return reduce(or_, [F.size(F.array_intersect(_strings(members), present)) >= need for _, members, need, _ in rules])
-
-    relevant = docs.filter(let(F.array_intersect(F.split("spaced", " "), vocabulary), possible))
-
-    def best(places: Column, members: list[str], need: int, length: int) -> Column:
-        own = F.filter(places, lambda p: F.array_contains(_strings(members), p["word"]))
-
-        def most(found: Column) -> Column:
-            def held(hit: Column, i: Column) -> Column:
-                window = F.filter(F.slice(found, i + 1, F.lit(length)), lambda p: p["at"] < hit["at"] + length)
-                return F.size(F.array_distinct(F.transform(window, lambda p: p["word"])))
-
-            enough = F.size(F.array_distinct(F.transform(found, lambda p: p["word"]))) >= need
-            return F.when(enough, F.array_max(F.transform(found, held))).otherwise(F.lit(0))
-
-        return let(own, most)
-
-    def found(places: Column) -> Column:
-        scores = [
-            F.struct(F.lit(label).alias("label"), best(places, members, need, length).alias("common"),
-                     F.lit(need).alias("need"), F.lit(len(members)).alias("size"))
-            for label, members, need, length in rules
-        ]
-        return F.filter(F.array(*scores), lambda r: r["common"] >= r["need"])
-
-    numbered = F.transform(_words(F.col("spaced")), lambda w, i: F.struct(i.alias("at"), w.alias("word")))
-    places = F.filter(numbered, lambda p: F.array_contains(vocabulary, p["word"]))
-    matched = relevant.select("doc_id", "text_hash", F.explode(let(places, found)).alias("m"))
-    return matched.groupBy("doc_id", "text_hash", F.col("m.label").alias("label")).agg(
-        F.max(F.col("m.common") / F.col("m.size")).alias("score")
+        .agg(F.max(F.col("most") / F.col("size")).alias("score"))
     )
 
 
@@ -196,15 +183,15 @@ def scan_licenses(
 ) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score), a row per document.
 
-    ``score`` is 1 where a phrase stands, else the largest share of a template that a block holds, from ``percent`` on, else 0.
-    Blocks are lines, or with ``windows`` runs of that many times a template's words.
+    ``score`` is 1 where a phrase stands, else the largest share of a template that a part of the text holds, from ``percent`` on,
+    else 0. Parts are lines, or with ``windows`` runs of that many times a template's words.
     """
     text = whole_text()
     prepared = docs.select(
         "doc_id", text.alias("text"), spaced(text).alias("spaced"), F.xxhash64(text).alias("text_hash")
     )
     matched = (
-        (_window_matches(prepared, templates, percent, windows) if windows else _matches(prepared, templates, percent))
+        _matches(prepared, templates, percent, windows)
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set("label").alias("found"), F.max("score").alias("found_score"))
     )
