@@ -26,6 +26,8 @@ entities of a kind, counted once; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,10 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _TRIGGERS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
+_TERM = r"\p{L}{3,}+"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_RUN = 256
+_BLOCK = 1024
 _SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 
@@ -74,6 +79,47 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """``step`` folded over whole numbers from 0, its result at every element.
+
+    A fold that appends copies what it has: appended are ``_RUN`` elements at most, and then runs of them.
+    """
+    numbers = "array<bigint>"
+
+    def folded(values: Column) -> Column:
+        def run(done: Column, at: Column) -> Column:
+            def add(inner: Column, value: Column) -> Column:
+                return let(
+                    step(inner["last"], value),
+                    lambda now: F.struct(now.alias("last"), F.concat(inner["all"], F.array(now)).alias("all")),
+                )
+
+            start = F.struct(done["last"].alias("last"), F.array().cast(numbers).alias("all"))
+            return let(
+                F.aggregate(F.slice(values, at + 1, F.lit(_RUN)), start, add),
+                lambda r: F.struct(r["last"].alias("last"), F.concat(done["runs"], F.array(r["all"])).alias("runs")),
+            )
+
+        start = F.struct(F.lit(0).cast("long").alias("last"), F.array().cast(f"array<{numbers}>").alias("runs"))
+        runs = F.aggregate(F.sequence(F.lit(0), F.size(values) - 1, F.lit(_RUN)), start, run)["runs"]
+        return F.when(F.size(values) > 0, F.flatten(runs)).otherwise(F.array().cast(numbers))
+
+    return let(values, folded)
+
+
+def _blocks(text: Column) -> Column:
+    """The text in strings of ``_BLOCK`` code points, to cut pieces from without a walk from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}+"), F.lit(0))
+
+
+def _cut(blocks: Column, start: Column, end: Column) -> Column:
+    """The code points from start to end, exclusive, of a text given in blocks; beyond its end there is nothing."""
+    first = F.floor(start / _BLOCK).cast("int")
+    count = F.floor((F.greatest(end, start + 1) - 1) / _BLOCK).cast("int") - first + 1
+    joined = F.array_join(F.slice(blocks, first + 1, count), "")
+    return F.substring(joined, (start % _BLOCK + 1).cast("int"), (end - start).cast("int"))
+
+
 def _located(text: Column, pattern: str | Column) -> Column:
     """array<struct<start, end, match>> of all matches, leftmost and non-overlapping.
 
@@ -82,17 +128,16 @@ def _located(text: Column, pattern: str | Column) -> Column:
 
     def add(parts: Column) -> Column:
         matches, gaps = parts["matches"], parts["gaps"]
-        empty = F.array().cast("array<struct<start:bigint,end:bigint,match:string>>")
+        lengths = F.transform(matches, lambda m, i: (F.length(F.get(gaps, i)) + F.length(m)).cast("long"))
 
-        def step(done: Column, i: Column) -> Column:
-            before = F.coalesce(F.element_at(F.when(F.size(done) > 0, done), -1)["end"], F.lit(0).cast("long"))
-            start = before + F.length(F.get(gaps, i))
-            match = F.get(matches, i)
-            span = F.struct(start.alias("start"), (start + F.length(match)).alias("end"), match.alias("match"))
-            return F.concat(done, F.array(span))
+        def spans(ends: Column) -> Column:
+            def span(m: Column, i: Column) -> Column:
+                end = F.get(ends, i)
+                return F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("match"))
 
-        found = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), empty, step)
-        return F.when(F.size(matches) > 0, found).otherwise(empty)
+            return F.transform(matches, span)
+
+        return let(_running(lengths, lambda done, n: done + n), spans)
 
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
@@ -114,14 +159,13 @@ def entity_spans(text: Column) -> Column:
     return F.concat(*[of(kind) for kind in KINDS])
 
 
-def _terms_near(text: Column, span: Column) -> Column:
+def _terms_near(blocks: Column, span: Column) -> Column:
     """array<struct<start, end, match>>: whole terms within reach of a span, lower-cased."""
 
     def side(first: Column, last: Column) -> Column:
         """Runs of letters in text[first, last) that are cut at neither end."""
         wide_first = F.greatest(first - 1, F.lit(0))
-        window = F.substring(text, (wide_first + 1).cast("int"), (last + 1 - wide_first).cast("int"))
-        located = _located(window, r"\p{L}{3,}+")
+        located = let(_cut(blocks, wide_first, last + 1), lambda window: _located(window, _TERM))
         moved = F.transform(
             located,
             lambda m: F.struct(
@@ -133,7 +177,7 @@ def _terms_near(text: Column, span: Column) -> Column:
         return F.filter(moved, lambda m: (m["start"] >= first) & (m["end"] <= last))
 
     left = side(F.greatest(span["start"] - REACH, F.lit(0)), span["start"])
-    right = side(span["end"], F.least(span["end"] + REACH, F.length(text).cast("long")))
+    right = side(span["end"], span["end"] + REACH)
     return F.concat(left, right)
 
 
@@ -146,18 +190,19 @@ def _scanned(docs: DataFrame, keep: list[str]) -> DataFrame:
     text = whole_text()
     kept = F.struct(*[F.col(c) for c in keep]).alias("kept")
     rows = docs.select(kept, text.alias("text")).withColumn("spans", entity_spans(F.col("text")))
+    # several columns are made of them, so they are made once; texts without a span need none
+    blocks = F.when(F.size("spans") > 0, _blocks(F.col("text"))).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumn("blocks", blocks)
 
     def beside(span: Column) -> Column:
         first = F.greatest(span["start"] - REACH, F.lit(0))
         around = F.concat_ws(
-            "|",
-            F.substring("text", (first + 1).cast("int"), (span["start"] - first).cast("int")),
-            F.substring("text", (span["end"] + 1).cast("int"), F.lit(REACH)),
+            "|", _cut(F.col("blocks"), first, span["start"]), _cut(F.col("blocks"), span["end"], span["end"] + REACH)
         )
         return let(
             F.xxhash64(around),
             lambda context: F.transform(
-                _terms_near(F.col("text"), span),
+                _terms_near(F.col("blocks"), span),
                 lambda t: F.struct(
                     span["kind"].alias("kind"),
                     t["match"].alias("term"),
@@ -169,12 +214,16 @@ def _scanned(docs: DataFrame, keep: list[str]) -> DataFrame:
         )
 
     near = F.flatten(F.transform("spans", beside))
+
+    def marked(words: Column, outside: bool) -> Column:
+        long = F.filter(words, lambda t: F.length(t) >= 3)
+        return F.transform(long, lambda t: F.struct(t.alias("term"), F.lit(outside).alias("outside")))
+
     outside = sanitise(F.col("text"), F.transform("spans", lambda s: s.withField("kind", F.lit(""))))
     words = let(
         F.struct(_words(F.col("text")).alias("all"), _words(outside).alias("outside")),
-        lambda w: F.transform(
-            F.filter(w["all"], lambda t: F.length(t) >= 3),
-            lambda t: F.struct(t.alias("term"), F.array_contains(w["outside"], t).alias("outside")),
+        lambda w: F.concat(
+            marked(F.array_intersect(w["all"], w["outside"]), True), marked(F.array_except(w["all"], w["outside"]), False)
         ),
     )
     return stored(
@@ -184,7 +233,7 @@ def _scanned(docs: DataFrame, keep: list[str]) -> DataFrame:
             "kept",
             "spans",
             near.alias("near"),
-            F.array_distinct(F.transform("spans", lambda s: _entity(F.col("text"), s))).alias("entities"),
+            _entities(F.col("blocks"), F.col("spans")).alias("entities"),
             F.when(F.size("spans") > 0, words).alias("words"),
         ),
         "pii",
@@ -199,10 +248,19 @@ def _digest(text: Column) -> Column:
     return F.md5(F.encode(text, "UTF-8"))
 
 
-def _entity(text: Column, span: Column) -> Column:
-    match = F.substring(text, (span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int"))
-    value = F.when(span["kind"].isin("card", "phone"), _digits(match)).otherwise(F.lower(match))
-    return F.struct(span["kind"].alias("kind"), value.alias("value"))
+def _entities(blocks: Column, spans: Column) -> Column:
+    """array<struct<kind, value>> of the distinct values; told apart as strings, which are hashed."""
+
+    def named(span: Column) -> Column:
+        match = _cut(blocks, span["start"], span["end"])
+        value = F.when(span["kind"].isin("card", "phone"), _digits(match)).otherwise(F.lower(match))
+        return F.concat(span["kind"], F.lit(":"), value)
+
+    def parts(name: Column) -> Column:
+        kind = F.substring_index(name, ":", 1)
+        return F.struct(kind.alias("kind"), F.substring(name, F.length(kind) + 2, F.length(name)).alias("value"))
+
+    return F.transform(F.array_distinct(F.transform(spans, named)), parts)
 
 
 def _texts_with(docs: DataFrame, count_copies: bool = False) -> DataFrame:
@@ -217,8 +275,13 @@ def _texts_with(docs: DataFrame, count_copies: bool = False) -> DataFrame:
     )
 
 
-def revealing_terms(docs: DataFrame, scanned: DataFrame, threshold: float, support: int) -> DataFrame | None:
-    """(term) of those that disclose a single entity; counts are of distinct texts. None if no entity is in enough texts."""
+def revealing_terms(
+    everywhere: Callable[[], DataFrame], scanned: DataFrame, threshold: float, support: int
+) -> DataFrame | None:
+    """(term) of those that disclose a single entity; counts are of distinct texts. None if no entity is in enough texts.
+
+    ``everywhere()`` gives (term, texts), the number of distinct texts with a term.
+    """
     held = scanned.filter(F.size("entities") > 0)
     values = held.select("digest", F.explode("entities").alias("entity")).distinct().groupBy("entity")
     values = stored(values.agg(F.count("*").alias("with_value")).filter(F.col("with_value") >= support), "entities", narrow=True)
@@ -239,30 +302,33 @@ def revealing_terms(docs: DataFrame, scanned: DataFrame, threshold: float, suppo
     disclosure = F.when(F.col("with_value") >= total, F.lit(0.0)).otherwise(
         1 - F.log(given) / F.log(F.col("with_value") / F.lit(total))
     )
-    known = together.join(values, "entity").join(_texts_with(docs), "term")
+    known = together.join(values, "entity").join(everywhere(), "term")
     return known.filter(disclosure >= threshold).select("term").distinct()
 
 
 def _revealed(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(digest, anywhere): the places of the terms in every distinct text that has one."""
-    texts = docs.select(whole_text().alias("text")).withColumn("digest", _digest(F.col("text")))
-    words = texts.select("digest", F.explode(_words(F.col("text"))).alias("term")).filter(F.length("term") >= 3)
-    having = words.join(terms, "term", "left_semi").groupBy("digest").agg(F.collect_set("term").alias("terms"))
-    # terms are letters only
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.sort_array("terms"), "|"), F.lit(r")(?!\p{L})"))
-    found = texts.join(having, "digest").withColumn("pattern", pattern)
-    spans = F.transform(
-        _located(F.col("text"), F.col("pattern")),
-        lambda m: F.struct(F.lit("term").alias("kind"), m["start"].alias("start"), m["end"].alias("end")),
+    """(digest, anywhere): the places of the terms in every distinct text that has one.
+
+    Places move, not texts; those of copies are the same and combine before the shuffle.
+    """
+    text = whole_text()
+    places = F.transform(
+        _located(text, _TERM),
+        lambda m: F.struct(F.lower(m["match"]).alias("term"), m["start"].alias("start"), m["end"].alias("end")),
     )
-    return found.select("digest", spans.alias("anywhere")).groupBy("digest").agg(F.min("anywhere").alias("anywhere"))
+    found = docs.select(_digest(text).alias("digest"), F.explode(places).alias("place"))
+    found = found.select("digest", "place.*").join(terms, "term", "left_semi")
+    span = F.struct(F.lit("term").alias("kind"), "start", "end")
+    return found.groupBy("digest").agg(F.sort_array(F.collect_set(span)).alias("anywhere"))
 
 
 def disclosing_terms(
-    docs: DataFrame, scanned: DataFrame, threshold: float, support: int, count_copies: bool
+    everywhere: DataFrame, scanned: DataFrame, threshold: float, support: int, count_copies: bool
 ) -> DataFrame:
     """(term, kind, disclosure) at or above the threshold; counts are of distinct texts, or of all rows.
 
+    ``everywhere`` is (term, texts), the number of them that hold a term.
+
     Every count combines before its shuffle, so a term in a third of all texts is one row per task.
     """
     of = "row" if count_copies else "digest"
@@ -287,7 +353,6 @@ def disclosing_terms(
         .groupBy("kind", "term")
         .agg(F.count("*").alias("contexts"))
     )
-    everywhere = _texts_with(docs, count_copies)
     informed = (
         contexts.filter(F.col("contexts") >= support)
         .join(together, ["kind", "term"])
@@ -301,6 +366,25 @@ def disclosing_terms(
     return informed.select("term", "kind", disclosure.alias("disclosure")).filter(F.col("disclosure") >= threshold)
 
 
+def _free(spans: Column, places: Column) -> Column:
+    """The places that overlap no span: no span that starts before a place's end reaches beyond its start."""
+    begun = F.transform(
+        spans, lambda x: F.struct(x["start"].alias("at"), F.lit(1).alias("is_span"), x["end"].alias("reach"), x.alias("place"))
+    )
+    asked = F.transform(
+        places,
+        lambda x: F.struct(x["end"].alias("at"), F.lit(0).alias("is_span"), F.lit(0).cast("long").alias("reach"), x.alias("place")),
+    )
+
+    def kept(bounds: Column) -> Column:
+        reached = _running(F.transform(bounds, lambda b: b["reach"]), F.greatest)
+        pairs = F.zip_with(bounds, reached, lambda b, r: F.struct(b["is_span"].alias("is_span"), b["place"].alias("place"), r.alias("reached")))
+        free = F.filter(pairs, lambda b: (b["is_span"] == 0) & (b["reached"] <= b["place"]["start"]))
+        return F.transform(free, lambda b: b["place"])
+
+    return let(F.array_sort(F.concat(begun, asked)), kept)
+
+
 def find_personal_data(
     docs: DataFrame, keep: list[str], threshold: float = 0.9, support: int = 5, count_copies: bool = True
 ) -> DataFrame:
@@ -309,7 +393,9 @@ def find_personal_data(
     With ``count_copies`` the shares near entities of a kind are of rows, without of distinct texts.
     """
     scanned = _scanned(docs, keep)
-    terms = stored(disclosing_terms(docs, scanned, threshold, support, count_copies), "terms", narrow=True)
+    # one count of all terms serves both questions
+    everywhere = stored(_texts_with(docs, count_copies), "terms-everywhere", narrow=True)
+    terms = stored(disclosing_terms(everywhere, scanned, threshold, support, count_copies), "terms", narrow=True)
     near = scanned.filter(F.size("near") > 0).select("row", F.explode("near").alias("near"))
     near = near.select("row", "near.kind", "near.term", "near.start", "near.end")
     flagged = near.join(terms, ["term", "kind"], "left_semi").groupBy("row").agg(
@@ -318,38 +404,36 @@ def find_personal_data(
     rows = scanned.join(flagged, "row", "left")
     none = F.array().cast(_SPAN)
     found = F.coalesce("terms", none)
-    revealing = revealing_terms(docs, scanned, threshold, support)
+    distinct_texts = (lambda: _texts_with(docs)) if count_copies else (lambda: everywhere)
+    revealing = revealing_terms(distinct_texts, scanned, threshold, support)
     if revealing is not None:
-        rows = rows.join(_revealed(docs, stored(revealing, "revealing-terms", narrow=True)), "digest", "left")
-        free = F.filter(
-            F.coalesce("anywhere", none),
-            lambda m: ~F.exists("spans", lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])),
-        )
-        found = F.array_sort(F.array_union(found, free))
+        revealing = stored(revealing, "revealing-terms", narrow=True)
+    if revealing is not None and not revealing.isEmpty():
+        rows = rows.join(_revealed(docs, revealing), "digest", "left")
+        found = F.array_sort(F.array_union(found, _free(F.col("spans"), F.coalesce("anywhere", none))))
     return rows.select("kept", F.concat("spans", found).alias("spans"))
 
 
 def sanitise(text: Column, spans: Column) -> Column:
     """The text with each span, or run of overlapping spans, replaced by its kind in brackets."""
     places = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>")
-
-    def merge(done: Column, span: Column) -> Column:
-        last = F.element_at(F.when(F.size(done) > 0, done), -1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"), last["kind"].alias("kind"))
-        return F.when(
-            F.coalesce(span["start"] < last["end"], F.lit(False)),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer)),
-        ).otherwise(F.concat(done, F.array(span)))
-
-    def rebuild(merged: Column) -> Column:
-        def piece(span: Column, i: Column) -> Column:
-            before = F.when(i > 0, F.get(merged, i - 1)["end"]).otherwise(F.lit(0).cast("long"))
-            kept = F.substring(text, (before + 1).cast("int"), (span["start"] - before).cast("int"))
-            return F.concat(kept, F.lit("["), F.upper(span["kind"]), F.lit("]"))
-
-        tail = F.substring(text, (F.element_at(merged, -1)["end"] + 1).cast("int"), F.length(text))
-        return F.concat(F.array_join(F.transform(merged, piece), ""), tail)
-
-    merged = F.aggregate(places, empty, merge)
-    return F.when(F.size(spans) > 0, let(merged, rebuild)).otherwise(text)
+
+    def rebuild(places: Column, reached: Column, blocks: Column) -> Column:
+        def headed(place: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(reached, i - 1)).otherwise(F.lit(0).cast("long"))
+            return F.struct(place["start"].alias("start"), place["kind"].alias("kind"), before.alias("before"))
+
+        # a run of overlapping spans starts where all before have ended
+        heads = F.filter(F.transform(places, headed), lambda h: h["start"] >= h["before"])
+        pieces = F.transform(
+            heads, lambda h: F.concat(_cut(blocks, h["before"], h["start"]), F.lit("["), F.upper(h["kind"]), F.lit("]"))
+        )
+        tail = _cut(blocks, F.element_at(reached, -1), F.length(text).cast("long"))
+        return F.concat(F.array_join(pieces, ""), tail)
+
+    def parts(places: Column) -> Column:
+        reached = _running(F.transform(places, lambda p: p["end"]), F.greatest)
+        values = F.struct(reached.alias("reached"), _blocks(text).alias("blocks"))
+        return let(values, lambda v: rebuild(places, v["reached"], v["blocks"]))
+
+    return F.when(F.size(spans) > 0, let(places, parts)).otherwise(text)

@@ -156,6 +156,111 @@ def test_sanitise(spark):
     assert got == ["é call [PHONE] or [EMAIL], +[CARD] end", "none", None, "[A][C]f"]
 
 
+def test_many_matches_end(spark, documents):
+    """80,000 addresses in one text, located, looked around and replaced within seconds."""
+    import time
+
+    text = " ".join(f"é to m{i}@host{i % 7}.org" for i in range(80_000))
+    start = time.time()
+    rows = pii.find_personal_data(documents((1, text), (2, "write to me@host.org")), ["doc_id", "text"], count_copies=False)
+    rows = rows.select("spans", pii.sanitise(F.col("kept.text"), F.col("spans")).alias("clean"), "kept.doc_id").collect()
+    found = {r.doc_id: r for r in rows}
+    assert [(x.start, x.end) for x in found[1].spans if x.kind == "email"] == [m.span() for m in re.finditer(PLAIN["email"], text)]
+    assert found[1].clean == " ".join(["é to [EMAIL]"] * 80_000) and found[2].clean == "write to [EMAIL]"
+    assert time.time() - start < 90
+
+
+def test_running_cut_and_free(spark):
+    dice = random.Random(3)
+    rows = []
+    for i in range(200):
+        n = dice.choice([0, 1, 5, 255, 256, 257, 600])
+        text = "".join(dice.choices("aé日😀\n ", k=dice.choice([0, 1, 1023, 1024, 1025, 3000])))
+        a = dice.randrange(len(text) + 2)
+        spans = sorted((dice.randrange(60), dice.randrange(1, 6)) for _ in range(dice.randrange(5)))
+        places = [(k, k + dice.randrange(3, 6)) for k in range(0, 60, 7)]
+        rows.append((i, [dice.randrange(-9, 99) for _ in range(n)], text, a, a + dice.choice([0, 1, 40, 1100]),
+                     [("x", k, k + w) for k, w in spans], [("term", k, e) for k, e in places]))
+    span = "array<struct<kind:string,start:bigint,end:bigint>>"
+    frame = spark.createDataFrame(rows, f"i int, v array<bigint>, text string, a bigint, b bigint, s {span}, p {span}")
+    got = frame.select(
+        "*",
+        pii._running(F.col("v"), lambda x, y: x + y).alias("sums"),
+        pii._cut(pii._blocks(F.col("text")), F.col("a"), F.col("b")).alias("cut"),
+        pii._free(F.col("s"), F.col("p")).alias("free"),
+    )
+    for r in got.collect():
+        assert r.sums == [sum(r.v[: k + 1]) for k in range(len(r.v))]
+        assert r.cut == r.text[r.a : r.b]
+        assert r.free == [p for p in r.p if not any(x.start < p.end and p.start < x.end for x in r.s)]
+
+
+def _formulas(texts, kinds_of, support):
+    """Terms by both formulas, from plain counts over distinct texts."""
+    texts = sorted(set(texts))
+    letters = {t: {w for w in re.split(r"[^a-z]+", t.lower()) if len(w) >= 3} for t in texts}
+    with_term = {w: {t for t in texts if w in letters[t]} for w in set().union(*letters.values())}
+    near, contexts, beside, values, kinds = {}, {}, {}, {}, {}
+    for t in texts:
+        spans = kinds_of(t)
+        outside = t
+        for _, a, b in reversed(sorted(spans, key=lambda x: x[1])):
+            outside = outside[:a] + "[]" + outside[b:]
+        out = set(re.split(r"[^a-z]+", outside.lower()))
+        for kind, a, b in spans:
+            kinds.setdefault(kind, set()).add(t)
+            value = (kind, re.sub("[^0-9]", "", t[a:b]) if kind in ("card", "phone") else t[a:b].lower())
+            values.setdefault(value, set()).add(t)
+            for w in letters[t] & out:
+                beside.setdefault((value, w), set()).add(t)
+            for m in re.finditer("[A-Za-z]{3,}", t):
+                if max(0, a - 40) <= m.start() and m.end() <= a or b <= m.start() and m.end() <= b + 40:
+                    near.setdefault((kind, m[0].lower()), set()).add(t)
+                    contexts.setdefault((kind, m[0].lower()), set()).add((t[max(0, a - 40) : a], t[b : b + 40]))
+
+    def share(together, entity, w):
+        p, n = len(together) / len(with_term[w]), len(entity) / len(texts)
+        return 0 if n == 1 else 1 - math.log(min(p, 1)) / math.log(n)
+
+    of_kind = {(w, k): share(g, kinds[k], w) for (k, w), g in near.items() if len(contexts[k, w]) >= support}
+    of_value = {}
+    for (v, w), out in beside.items():
+        if len(values[v]) >= support and len(out) >= support:
+            of_value[w] = max(of_value.get(w, -9), share(values[v] & with_term[w], values[v], w))
+    return of_kind, of_value
+
+
+def test_both_formulas_on_random_texts(documents):
+    dice = random.Random(6)
+    words = [c * 3 for c in "abcdefghijklmnop"]
+    texts = []
+    for _ in range(160):
+        own = dice.choices(words, k=dice.randrange(3, 12))
+        if dice.random() < 0.4:
+            own.insert(dice.randrange(len(own)), dice.choice(["qq@host.org", "rr@host.org", "1.2.3.4"]))
+            own += ["zzz"] * (dice.random() < 0.8) + [" , " * 30 + "yyy"] * ("qq@host.org" in own)
+        texts.append(" ".join(own))
+    texts += texts[:30]
+    for threshold in (0.05, 0.2, 0.6):
+        of_kind, of_value = _formulas(texts, brute, 3)
+        kinds = {(w, k) for (w, k), d in of_kind.items() if d >= threshold}
+        anywhere = {w for w, d in of_value.items() if d >= threshold}
+        rows = pii.find_personal_data(documents(*enumerate(texts)), ["text"], threshold, 3, count_copies=False).collect()
+        assert len(rows) == len(texts) and (anywhere or kinds)
+        for r in rows:
+            t, spans = r.kept.text, brute(r.kept.text)
+            want = set()
+            for m in re.finditer("[A-Za-z]{3,}", t):
+                inside = any(a < m.end() and m.start() < b for _, a, b in spans)
+                if m[0].lower() in anywhere and not inside:
+                    want.add(m.span())
+                for kind, a, b in spans:
+                    beside = a - 40 <= m.start() and m.end() <= a or b <= m.start() and m.end() <= b + 40
+                    if beside and (m[0].lower(), kind) in kinds:
+                        want.add(m.span())
+            assert [(x.start, x.end) for x in r.spans if x.kind == "term"] == sorted(want)
+
+
 def test_edges(documents):
     assert pii.find_personal_data(documents(), ["doc_id"]).count() == 0
     docs = documents((1, None), (2, ""), (3, "a@b.c"), (3, "a@b.c"), (None, "1.2.3.4"))
