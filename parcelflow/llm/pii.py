@@ -48,6 +48,7 @@ PATTERNS = {
 _TRIGGERS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _TERM = r"\p{L}{3,}+"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+MAX_LISTED = 1000
 _RUN = 256
 _BLOCK = 1024
 _SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
@@ -309,9 +310,14 @@ def revealing_terms(
 def _revealed(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(digest, anywhere): the places of the terms in every distinct text that has one.
 
-    Places move, not texts; those of copies are the same and combine before the shuffle.
+    Places move, not texts; those of copies are the same and combine before the shuffle. A list of at most ``MAX_LISTED`` terms
+    goes into the plan, so that only texts with one of them are searched for places; a longer one is joined with all places.
     """
     text = whole_text()
+    listed = [r["term"] for r in terms.limit(MAX_LISTED + 1).collect()]
+    if len(listed) <= MAX_LISTED:
+        wanted = F.split(F.lit(" ".join(sorted(listed))), " ")  # terms are letters only
+        docs = docs.filter(F.arrays_overlap(F.split(F.lower(text), r"[^\p{L}]+"), wanted))
     places = F.transform(
         _located(text, _TERM),
         lambda m: F.struct(F.lower(m["match"]).alias("term"), m["start"].alias("start"), m["end"].alias("end")),

@@ -7,6 +7,7 @@ import math
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.llm import pii
@@ -230,7 +231,9 @@ def _formulas(texts, kinds_of, support):
     return of_kind, of_value
 
 
-def test_both_formulas_on_random_texts(documents):
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_both_formulas_on_random_texts(documents, monkeypatch, listed):
+    monkeypatch.setattr(pii, "MAX_LISTED", listed)
     dice = random.Random(6)
     words = [c * 3 for c in "abcdefghijklmnop"]
     texts = []
