@@ -314,14 +314,15 @@ def _revealed(docs: DataFrame, terms: DataFrame) -> DataFrame:
     goes into the plan, so that only texts with one of them are searched for places; a longer one is joined with all places.
     """
     text = whole_text()
-    listed = [r["term"] for r in terms.limit(MAX_LISTED + 1).collect()]
-    if len(listed) <= MAX_LISTED:
-        wanted = F.split(F.lit(" ".join(sorted(listed))), " ")  # terms are letters only
-        docs = docs.filter(F.arrays_overlap(F.split(F.lower(text), r"[^\p{L}]+"), wanted))
     places = F.transform(
         _located(text, _TERM),
         lambda m: F.struct(F.lower(m["match"]).alias("term"), m["start"].alias("start"), m["end"].alias("end")),
     )
+    listed = [r["term"] for r in terms.limit(MAX_LISTED + 1).collect()]
+    if len(listed) <= MAX_LISTED:
+        wanted = F.split(F.lit(" ".join(sorted(listed))), " ")  # terms are letters only
+        docs = docs.filter(F.arrays_overlap(F.split(F.lower(text), r"[^\p{L}]+"), wanted))
+        places = F.filter(places, lambda p: F.array_contains(wanted, p["term"]))
     found = docs.select(_digest(text).alias("digest"), F.explode(places).alias("place"))
     found = found.select("digest", "place.*").join(terms, "term", "left_semi")
     span = F.struct(F.lit("term").alias("kind"), "start", "end")
