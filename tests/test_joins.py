@@ -86,3 +86,27 @@ def test_the_plain_plan_is_used_without_hot_keys(sides):
     left, right = sides
     plan = left_join(left, right, "k", "right_id", [])._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_few_left_rows_are_not_copied(sides):
+    left, right = sides
+    joined = left_join(left, right, "k", "right_id", [(7, 30), (99, 2), (8, 2)])
+    assert "Generate" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("most", [0, 3, 4])  # four left rows have the hot key
+def test_both_ways_of_a_hot_key_are_exact(sides, most, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", most)
+    assert_plain(*sides, [(7, 3), (8, 5), (10**9, 4), (None, 2), (7, 5)])
+    assert left_join(*sides, "k", "right_id", [(7, 3)]).columns == sides[0].join(sides[1], "k", "left").columns
+
+
+def test_keys_in_no_full_bucket_are_not_counted_one_by_one(spark, monkeypatch):
+    even = spark.range(40000).selectExpr("id k")
+    odd = even.unionAll(spark.range(900).selectExpr("5L k")).unionAll(spark.range(900).selectExpr("cast(null as bigint) k"))
+    monkeypatch.setattr(joins, "_BUCKETS", 16)
+    limits = []
+    original = type(even).groupBy
+    monkeypatch.setattr(type(even), "groupBy", lambda df, *cols: limits.append(cols) or original(df, *cols))
+    assert hot_keys(even, "k", 800) == [] and len(limits) == 1  # by buckets alone
+    assert hot_keys(odd, "k", 800) == [(5, 2)] and len(limits) == 3
