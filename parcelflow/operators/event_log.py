@@ -18,10 +18,12 @@ from parcelflow.schemas import EVENT_LOG, KAFKA_SCHEMA, LOG_PARTITIONS, MESSAGE_
 _POSITION = ["topic", "partition", "offset"]
 # Up to this many messages one shuffle costs less than a pass to avoid it.
 _SMALL_BATCH = 1_000_000
-# Repeated positions are broadcast up to this number (some 100 MB).
+# Repeated positions are broadcast as a bit each, in pages of 1024 consecutive offsets: up to so many pages (some 200 MB).
 _BROADCAST_POSITIONS = 1_000_000
-# A task may write into this many blocks; beyond it rows are gathered by block first.
+_PAGE_BITS, _WORDS = 10, 16  # a page is 16 words of 64 bits
+# A task may write into this many blocks; beyond it rows are gathered by block first, unless there are many for each file.
 _FILES_PER_TASK = 32
+_ROWS_PER_FILE = 4_000
 # History is looked up by naming up to this many folders, beyond it by pruning the whole listing; the rows are the same.
 _NAMED_FOLDERS = 10_000
 _OUTCOMES = ("written", "duplicate", "bad", "error")
@@ -112,7 +114,7 @@ class EventLog:
 
         A small batch is merged in one shuffle. For a large one, a pass over the
         positions alone finds the repeated messages first; all others are parsed
-        and written where they lie, so their payloads are never shuffled.
+        and written where they lie, so their payloads are never shuffled. Nor are those of messages that the log holds.
         ``keep`` holds the batch on local disk between the passes, for sources
         that are slow to reread. A batch is read more than once, so it must not change in between.
         """
@@ -145,20 +147,19 @@ class EventLog:
     ) -> Counts:
         if known.isEmpty():
             known = None
-        repeated = self._repeated(batch, known).persist()
+        files = sum(s["files"] for s in spans) / max(s["tasks"] for s in spans)
+        if sum(s["rows"] for s in spans) >= _ROWS_PER_FILE * sum(s["files"] for s in spans):
+            files = 0  # large files, however many
+        pages = _pages(self._repeated(batch, known)).persist()
         try:
-            positions = repeated.count()
-            if positions > _BROADCAST_POSITIONS:
-                return self._write(log_rows(batch, known, clock, self.block_bits), blocks, topics, owner)
-            listed = F.broadcast(repeated)  # counted just above
-            fresh = batch.join(listed, _POSITION, "left_anti") if positions else batch
-            rows = fresh_rows(fresh, clock, self.block_bits)
-            if positions:
-                again = batch.join(listed, _POSITION, "left_semi")
-                rows = rows.unionAll(log_rows(again, known, clock, self.block_bits))
-            return self._write(rows, sum(s["files"] for s in spans) / max(s["tasks"] for s in spans), topics, owner)
+            if pages.count() > _BROADCAST_POSITIONS:
+                return self._write(log_rows(batch, known, clock, self.block_bits), files, topics, owner)
+            marked = _marked(batch, pages)
+            rows = fresh_rows(marked.filter("not _again"), clock, self.block_bits)
+            again = log_rows(marked.filter("_again"), known, clock, self.block_bits, held="_held")
+            return self._write(rows.unionAll(again), files, topics, owner)
         finally:
-            repeated.unpersist()
+            pages.unpersist()
 
     def _write(self, rows: DataFrame, files_per_task: float, topics: list[str], owner: str | None) -> Counts:
         if owner is not None:
@@ -182,35 +183,36 @@ class EventLog:
     def _spans(self, batch: DataFrame) -> list[Row]:
         """Offsets covered per topic and partition, and how they lie in the input: one row each.
 
-        ``files`` is the number of blocks its tasks would write to, in all.
+        ``files`` is the number of blocks its tasks would write to, in all, and ``tasks`` how many tasks hold it.
         """
-        bits = self.block_bits
+        block = F.shiftright("offset", self.block_bits)
         return (
-            batch.groupBy("topic", "partition", F.spark_partition_id().alias("task"))
+            batch.groupBy("topic", "partition", F.spark_partition_id().alias("task"), block.alias("block"))
             .agg(F.min("offset").alias("low"), F.max("offset").alias("high"), F.count(F.lit(1)).alias("rows"))
             .groupBy("topic", "partition")
             .agg(
                 F.sum("rows").alias("rows"),
                 F.min("low").alias("low"),
                 F.max("high").alias("high"),
-                F.sum(F.shiftright("high", bits) - F.shiftright("low", bits) + 1).alias("files"),
-                F.count(F.lit(1)).alias("tasks"),
+                F.count(F.lit(1)).alias("files"),
+                F.count_distinct("task").alias("tasks"),
             )
             .collect()
         )
 
     def _repeated(self, batch: DataFrame, known: DataFrame | None) -> DataFrame:
-        """Positions that occur twice in the batch, or in the batch and the log.
+        """Positions that occur twice in the batch, or in the batch and the log, and whether the log holds an event there.
 
         Only positions are shuffled, combined map-side: a message delivered very
         often is no hot spot.
         """
-        positions = batch.groupBy(*_POSITION).agg(F.count(F.lit(1)).alias("copies"))
-        often = positions.filter(F.col("copies") > 1).select(*_POSITION)
-        if known is None:
-            return often
-        stored = known.filter(~F.col("redelivery")).select(*[F.col(k).alias(p) for k, p in zip(MESSAGE_KEY, _POSITION, strict=True)])
-        return often.unionAll(positions.join(stored, _POSITION, "left_semi").select(*_POSITION)).distinct()
+        positions = batch.select(*_POSITION, F.lit(1).alias("n"), F.lit(False).alias("stored"), F.lit(False).alias("held"))
+        if known is not None:
+            place = [F.col(k).alias(p) for k, p in zip(MESSAGE_KEY, _POSITION, strict=True)]
+            stored = known.filter(~F.col("redelivery"))
+            positions = positions.unionAll(stored.select(*place, F.lit(0), F.lit(True), F.col("outcome") == "written"))
+        counted = positions.groupBy(*_POSITION).agg(F.sum("n").alias("n"), F.max("stored").alias("stored"), F.max("held").alias("held"))
+        return counted.filter((F.col("n") > 1) | ((F.col("n") == 1) & F.col("stored"))).select(*_POSITION, "held")
 
     def _known(self, spans: list[Row], owner: str | None = None) -> DataFrame:
         """Stored identities that could collide with a batch; ``own`` ones are of an earlier run of it, repeats included.
@@ -284,6 +286,42 @@ class EventLog:
         return counts
 
 
+def _place() -> tuple[Column, Column, Column]:
+    """The page of an offset, its word there, and its bit in the word."""
+    offset = F.col("offset")
+    word = F.shiftright(offset, 6).bitwiseAND(F.lit(_WORDS - 1)).cast("int")
+    return F.shiftright(offset, _PAGE_BITS), word, offset.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _pages(positions: DataFrame) -> DataFrame:
+    """A row per topic, partition and page: the bits of the positions in it, and of those that are ``held``."""
+    page, word, place = _place()
+
+    def words(name: str, wanted: Column) -> list[Column]:
+        bits = F.when(wanted, F.expr("shiftleft(1L, _place)"))
+        return [F.bit_or(F.when(F.col("_word") == i, bits)).alias(f"{name}_{i}") for i in range(_WORDS)]
+
+    # every position occurs once here, so a page has at most as many rows as bits
+    dealt = positions.select("topic", "partition", page.alias("_page"), word.alias("_word"), place.alias("_place"), "held")
+    by_page = dealt.repartition("topic", "partition", "_page").groupBy("topic", "partition", "_page")
+    return by_page.agg(*words("_again", F.lit(True)), *words("_held", F.col("held")))
+
+
+def _marked(batch: DataFrame, pages: DataFrame) -> DataFrame:
+    """The batch with ``_again`` for messages whose position is in the pages, and ``_held`` for those held there.
+
+    A message without a position is merged with its like, as in a small batch.
+    """
+    page, word, place = _place()
+
+    def bit(name: str) -> Column:
+        return F.coalesce(F.getbit(F.get(F.array(*[F.col(f"{name}_{i}") for i in range(_WORDS)]), word), place) == 1, F.lit(False))
+
+    nowhere = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in _POSITION])
+    found = batch.withColumn("_page", page).join(F.broadcast(pages), ["topic", "partition", "_page"], "left")  # counted before
+    return found.select(*batch.columns, (bit("_again") | nowhere).alias("_again"), bit("_held").alias("_held"))
+
+
 def quarantine_as_messages(quarantine: DataFrame) -> DataFrame:
     """Quarantined rows back in the Kafka shape, ready to be repaired; ``reject_id`` names what a repair is for."""
     return quarantine.select(

@@ -124,6 +124,7 @@ def log_rows(
     known: DataFrame | None = None,
     clock: Column | None = None,
     block_bits: int = BLOCK_BITS,
+    held: str | None = None,
 ) -> DataFrame:
     """The event-log rows of messages that may repeat each other or stored ones.
 
@@ -133,8 +134,16 @@ def log_rows(
 
     Rows that an earlier attempt of the same batch stored (``known.own``) come out again, marked ``stored``: they are
     what this batch consists of, to be counted but not to be written.
+
+    ``held`` names a column that tells where ``known`` has an event; a sound message there needs no payload.
     """
-    merged = merge_copies(classify(frame))
+    if held is None:
+        classified = classify(frame)
+    else:
+        repeat = (F.col("outcome") == "written") & F.col(held)
+        classified = classify(frame, keep=(held,))
+        classified = classified.withColumns({c: F.when(~repeat, F.col(c)) for c in ("payload", "spelled")}).drop(held)
+    merged = merge_copies(classified)
     seen, own, own_again = F.lit(False), F.lit(False), F.lit(False)
     if known is not None:
         merged = merged.join(_by_identity(known), _IDENTITY, "left")

@@ -221,3 +221,42 @@ def test_a_topic_is_read_from_its_folder(spark, folder):
     assert opened(rows) == {"outcome=written/kafka_topic=payments/offset_block=0"} and rows.count() == 1
     assert log.raw_events(topic="shipments").count() == 0
     assert rows.columns == log.raw_events(blocks=True).columns
+
+
+def _batch(spark, rows: int, first: int = 0):
+    return spark.range(first, first + rows).selectExpr(
+        "encode(string(id), 'UTF-8') key", "encode(concat('{\"order_id\":', id, '}'), 'UTF-8') value",
+        "'orders' topic", "cast(id % 3 as int) partition", "id div 3 offset", "timestamp_seconds(id) timestamp",
+    )
+
+
+def test_many_repeats_do_not_send_the_batch_through_a_shuffle(spark, folder, monkeypatch):
+    monkeypatch.setattr(event_log, "_SMALL_BATCH", 0)
+    monkeypatch.setattr(event_log, "_BROADCAST_POSITIONS", 10)
+    ways = []
+    fresh = event_log.fresh_rows
+    monkeypatch.setattr(event_log, "fresh_rows", lambda *args: ways.append("fresh") or fresh(*args))
+    log = EventLog(spark, f"{folder}/log")
+    batch = _batch(spark, 3000)
+    assert log.append(batch.unionAll(_batch(spark, 900))) == {("orders", "written"): 3000, ("orders", "duplicate"): 900}
+    assert log.append(batch) == {("orders", "duplicate"): 3000}  # all of them are in the log
+    assert ways == ["fresh"] * 2
+    assert log.raw_events().filter("variant_get(payload, '$.order_id', 'bigint') = kafka_offset * 3 + kafka_partition").count() == 3000
+
+
+def test_large_batches_store_what_small_ones_store(spark, folder, monkeypatch):
+    offsets = [-1025, -64, -1, 0, 63, 64, 1023, 1024, (1 << 40) + 7, None]
+    texts = ['{"order_id":1}', "no json", None, '{"order_id":2}']
+
+    def batch(some, order: int):
+        found = [message(t, offset=o, partition=p, minutes=m) for m, t in enumerate(some) for o in offsets for p in (0, 1, None)]
+        return frame(spark, *found[::order])
+
+    def stored(size: int):
+        monkeypatch.setattr(event_log, "_SMALL_BATCH", size)
+        log = EventLog(spark, f"{folder}/log-{size}")
+        counts = [log.append(b, F.col("message_ts")) for b in (batch(texts[1:], 1), batch(texts, -1), batch(texts[:2], 2), batch(texts, 1))]
+        rows = log.read().withColumns({"payload": F.to_json("payload"), "spelled": F.to_json("spelled")})
+        return counts, sorted(map(str, rows.collect()))
+
+    assert stored(0) == stored(10**6)
