@@ -15,12 +15,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelflow.operators.joins import with_key_in, without_key_in
 from parcelflow.operators.versioned import VersionedTable
 
 # Rows a part should hold; the number of parts is set when a fact is built in full.
 ROWS_PER_PART = 4_000_000
 # Beyond this share of changed left rows a full build costs less.
 FULL_BUILD_SHARE = 0.25
+# A task of a full build may write into this many parts; beyond it rows are gathered by part first.
+_FILES_PER_TASK = 32
 
 
 @dataclass(frozen=True)
@@ -60,7 +63,7 @@ class FactTable:
         """The rows whose ``part_key`` is among the keys; only their parts are opened."""
         known = self.table.state().inputs
         rows = self.table.read(self._parts_of(keys, known["buckets"])) if known else self.table.read()
-        return rows.join(keys, self.part_key, "left_semi")
+        return with_key_in(rows, keys, self.part_key)
 
     def _parts_of(self, keys: DataFrame, buckets: int) -> list[int] | None:
         """The parts of some keys, None for all."""
@@ -94,7 +97,7 @@ class FactTable:
         changes: dict[str, DataFrame] = {}
         try:
             for name, source in changed.items():
-                rows = source.table.changes_since(known["versions"][name])
+                rows = source.table.changes_since(known["versions"][name], source.key if name else None)
                 if rows is None:
                     return self._build(all_left, compute, wanted, versions)
                 # few rows next to the table, used several times
@@ -108,7 +111,7 @@ class FactTable:
 
     def _build(self, all_left, compute, buckets: int, versions: dict) -> str:
         rows = self._parted(compute(all_left(), True), buckets)
-        if buckets > 1:
+        if buckets > _FILES_PER_TASK:
             rows = rows.hint("rebalance", "part")  # else every task would write into every part
         before = {part for _, part in self.table.state().folders()}
         table = VersionedTable(self.spark, self.table.path, rows.drop("part").schema)
@@ -133,7 +136,7 @@ class FactTable:
                 stored = self.table.with_part(replaced)
                 concerned = touched.select(self.event).distinct()
                 if replaced:
-                    again = stored.join(concerned, self.event, "left_semi").dropDuplicates([self.event])
+                    again = with_key_in(stored, concerned, self.event).dropDuplicates([self.event])
                     again = again.select(*[F.col(c).alias(name) for name, c in self.left.items()])
                     if gone is not None:
                         again = again.join(gone, self.event, "left_anti")
@@ -141,13 +144,17 @@ class FactTable:
                 if new is None:
                     self._note(inputs)
                     return "nothing"
+                new = new.persist()  # few again, and read for their keys as well
                 rows = self._parted(compute(new, False), buckets)
                 if replaced:
-                    kept = stored.join(concerned, self.event, "left_anti")
-                    rows = kept.unionByName(rows).hint("rebalance", "part")
+                    rows = without_key_in(stored, concerned, self.event).unionByName(rows)
+                    if buckets > _FILES_PER_TASK:
+                        rows = rows.hint("rebalance", "part")
                 self.table.commit(rows, replaced, inputs=inputs)
             finally:
                 touched.unpersist()
+                if new is not None:
+                    new.unpersist()
         elif new is not None:
             self.table.commit(self._parted(compute(new, False), buckets), [], inputs=inputs)
         return "changes"
@@ -156,7 +163,7 @@ class FactTable:
         """(part, event) of the stored rows whose ``column`` is one of the keys."""
         parts = self._parts_of(keys, buckets) if column == self.part_key else None
         stored = self.table.with_part(parts).select("part", self.event, *({column} - {self.event}))
-        return stored.join(keys, column, "left_semi").select("part", self.event)
+        return with_key_in(stored, keys, column).select("part", self.event)
 
     def _note(self, inputs: dict) -> None:
         """An empty commit that tells which versions the rows follow from."""

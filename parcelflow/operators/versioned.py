@@ -163,11 +163,12 @@ class VersionedTable:
         """The greatest committed mark in microseconds, None before the first."""
         return max((r["mark"] for r in self.state().rows if r["mark"] is not None), default=None)
 
-    def changes_since(self, commit: int) -> DataFrame | None:
+    def changes_since(self, commit: int, key: str | None = None) -> DataFrame | None:
         """Rows with ``added``: how many more of them there are now than after that commit, or fewer.
 
         Loads that only added rows are read as they are; parts that were replaced are compared with what they held.
-        None when the manifest does not go back that far.
+        None when the manifest does not go back that far. With ``key`` only that column comes out beside ``added``; rows of
+        replaced parts are then compared by it and two 64-bit hashes of the whole row, so that they are not shuffled.
         """
         state = self.state()
         if commit < state.first:
@@ -182,8 +183,13 @@ class VersionedTable:
         before = self._folders(state.folders(replaced, commit), state).withColumn("added", F.lit(-1).cast("bigint"))
         after = self._folders(state.folders(replaced), state).withColumn("added", F.lit(1).cast("bigint"))
         columns = self._schema(state).fieldNames()
-        compared = before.unionByName(after).groupBy(*columns).agg(F.sum("added").alias("added")).filter("added <> 0")
-        return added.unionByName(compared)
+        both, by = before.unionByName(after), [F.col(c) for c in columns]
+        if key is not None:
+            row = [*columns, *[F.isnull(c) for c in columns]]  # a hash alone passes over nulls
+            by = [F.col(key), F.xxhash64(*row).alias("_row"), F.xxhash64(F.lit(1), *row).alias("_row2")]
+        compared = both.groupBy(*by).agg(F.sum("added").alias("added")).filter("added <> 0")
+        wanted = [*(columns if key is None else [key]), "added"]
+        return added.select(wanted).unionByName(compared.select(wanted))
 
     def sql(self, columns: list[str]) -> str:
         """A SELECT over the files that shows the current state whenever it runs."""

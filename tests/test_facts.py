@@ -8,7 +8,9 @@ import shutil
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from parcelflow.operators.versioned import VersionedTable
 from parcelflow.plans import marts
 from parcelflow.plans.build import Warehouse
 from parcelflow.sources.seeds import seed_categories, seed_customers, seed_products
@@ -178,3 +180,14 @@ def test_random_arrivals(spark, warehouse):
             warehouse.log.append(frame(spark, *batch))
         follow(warehouse)
     check(warehouse)
+
+
+def test_changed_keys_tell_a_value_from_a_null(spark, folder):
+    table = VersionedTable(spark, folder, T.StructType.fromDDL("k bigint, a bigint, b bigint"))
+    rows = spark.createDataFrame([(1, 5, None, 0), (2, 5, None, 0), (3, 1, 1, 1), (4, 1, 1, 0)], "k bigint, a bigint, b bigint, part bigint")
+    table.commit(rows)
+    moved = spark.createDataFrame([(1, None, 5, 0), (2, 5, None, 0), (4, 1, 1, 0), (4, 1, 1, 0)], "k bigint, a bigint, b bigint, part bigint")
+    table.commit(moved, [0])
+    found = table.changes_since(1, "k")
+    assert found.columns == ["k", "added"]
+    assert sorted(map(tuple, found.collect())) == [(1, -1), (1, 1), (4, 1)]

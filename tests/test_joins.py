@@ -110,3 +110,16 @@ def test_keys_in_no_full_bucket_are_not_counted_one_by_one(spark, monkeypatch):
     monkeypatch.setattr(type(even), "groupBy", lambda df, *cols: limits.append(cols) or original(df, *cols))
     assert hot_keys(even, "k", 800) == [] and len(limits) == 1  # by buckets alone
     assert hot_keys(odd, "k", 800) == [(5, 2)] and len(limits) == 3
+
+
+def test_a_sieve_loses_no_row(sides, spark, monkeypatch):
+    keys = spark.range(0, 30000, 3).selectExpr("id k").unionAll(spark.createDataFrame([(7,), (None,)], "k long"))
+    some = sides[1].selectExpr("k", "right_id")
+    plain = {how: some.join(keys, "k", how) for how in ("left_semi", "left_anti")}
+    monkeypatch.setattr(joins, "SIEVE_FROM", 1)
+    for how, way in (("left_semi", joins.with_key_in), ("left_anti", joins.without_key_in)):
+        found = way(some, keys, "k")
+        assert "_may" not in found.columns and "_bits_0" in found._jdf.queryExecution().optimizedPlan().toString()
+        assert found.exceptAll(plain[how]).isEmpty() and plain[how].exceptAll(found).isEmpty()
+    assert joins.with_key_in(some, keys.limit(0), "k").isEmpty()
+    assert joins.without_key_in(some, keys.selectExpr("cast(k as int) k"), "k").count() == plain["left_anti"].count()
