@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from parcelflow.functions import offset_block
 from parcelflow.functions.keys import BLOCK_BITS
+from parcelflow.operators.joins import with_key_in, without_key_in
 from parcelflow.operators.versioned import VersionedTable, key_digest
 
 # Fixed value: the mark of a table without rows.
@@ -130,11 +131,11 @@ class IncrementalTable:
         near = {part for _, part in state.folders() if low <= part <= high}
         keys = batch.select(self.key)
         stored = self.table.with_part(near, state=state)
-        repeats = stored.join(keys, self.key, "left_semi").select("part").distinct()
-        rewritten = [r[0] for r in repeats.collect()] if near else []  # at most the parts near the batch
+        # at most the parts near the batch
+        rewritten = [r[0] for r in with_key_in(stored.select(self.key, "part"), keys, self.key).select("part").distinct().collect()] if near else []
         rows = batch
         if rewritten:
-            kept = self.table.with_part(rewritten, state=state).join(keys, self.key, "left_anti")
+            kept = without_key_in(self.table.with_part(rewritten, state=state), keys, self.key)
             # joined rows are spread by key: gather each part into few files again
             rows = kept.unionByName(batch).hint("rebalance", "part")
         self.table.commit(rows, rewritten, mark, state=state)
