@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions.keys import BLOCK_BITS
 from parcelflow.operators.ingest import classify, fresh_rows, log_rows, outcome_counts
-from parcelflow.schemas import EVENT_LOG, KAFKA_SCHEMA, LOG_PARTITIONS, MESSAGE_KEY, RAW_EVENTS, create_if_absent, empty_rows
+from parcelflow.operators.positions import bit_pages, page_of, with_flags
+from parcelflow.schemas import COMPRESSION, EVENT_LOG, KAFKA_SCHEMA, LOG_PARTITIONS, MESSAGE_KEY, RAW_EVENTS, create_if_absent, empty_rows
 
 # A message's place, by the columns of the Kafka source.
 _POSITION = ["topic", "partition", "offset"]
@@ -20,7 +21,8 @@ _POSITION = ["topic", "partition", "offset"]
 _SMALL_BATCH = 1_000_000
 # Repeated positions are broadcast as a bit each, in pages of 1024 consecutive offsets: up to so many pages (some 200 MB).
 _BROADCAST_POSITIONS = 1_000_000
-_PAGE_BITS, _WORDS = 10, 16  # a page is 16 words of 64 bits
+# What the bits tell of a position: it is repeated; the log holds an event there; that event is all it repeats.
+_FLAGS = ["_again", "_held", "_lone"]
 # A task may write into this many blocks; beyond it rows are gathered by block first, unless there are many for each file.
 _FILES_PER_TASK = 32
 _ROWS_PER_FILE = 4_000
@@ -155,9 +157,15 @@ class EventLog:
             if pages.count() > _BROADCAST_POSITIONS:
                 return self._write(log_rows(batch, known, clock, self.block_bits), files, topics, owner)
             marked = _marked(batch, pages)
-            rows = fresh_rows(marked.filter("not _again"), clock, self.block_bits)
-            again = log_rows(marked.filter("_again"), known, clock, self.block_bits, held="_held")
-            return self._write(rows.unionAll(again), files, topics, owner)
+            if known is None:
+                rows, again = fresh_rows(marked.filter("not _again"), clock, self.block_bits), marked.filter("_again")
+            else:
+                rows = fresh_rows(marked.filter("not _again or _lone"), clock, self.block_bits, "_lone")
+                again = marked.filter("_again and not _lone")
+                stored = with_flags(known, pages, MESSAGE_KEY, ["_again", "_lone"])
+                known = stored.filter("_again and not _lone").drop("_again", "_lone")
+            merged = log_rows(again, known, clock, self.block_bits, held="_held")
+            return self._write(rows.unionAll(merged), files, topics, owner)
         finally:
             pages.unpersist()
 
@@ -176,7 +184,7 @@ class EventLog:
         seen = Observation()  # counted while writing, by the tasks that succeed
         rows = rows.observe(seen, *[messages(t, o).alias(f"c{i}") for i, (t, o) in enumerate(cells)])
         rows = rows.filter(~F.col("stored")).drop("stored")  # an earlier run of the batch left those
-        rows.write.mode("append").partitionBy(*LOG_PARTITIONS).parquet(self.path)
+        rows.write.mode("append").option("compression", COMPRESSION).partitionBy(*LOG_PARTITIONS).parquet(self.path)
         counts = seen.get
         return {cell: counts[f"c{i}"] for i, cell in enumerate(cells) if counts[f"c{i}"]}
 
@@ -201,18 +209,25 @@ class EventLog:
         )
 
     def _repeated(self, batch: DataFrame, known: DataFrame | None) -> DataFrame:
-        """Positions that occur twice in the batch, or in the batch and the log, and whether the log holds an event there.
+        """Positions that occur twice in the batch, or in the batch and the log.
+
+        ``_held`` tells that the log holds an event there, ``_lone`` that the batch has but one message for it besides, and that the log
+        holds no rejected message there and no row of an earlier run of the batch.
 
         Only positions are shuffled, combined map-side: a message delivered very
         often is no hot spot.
         """
-        positions = batch.select(*_POSITION, F.lit(1).alias("n"), F.lit(False).alias("stored"), F.lit(False).alias("held"))
+        none = [F.lit(False).alias(c) for c in ("stored", "held", "other")]
+        positions = batch.select(*_POSITION, F.lit(1).alias("n"), *none)
         if known is not None:
             place = [F.col(k).alias(p) for k, p in zip(MESSAGE_KEY, _POSITION, strict=True)]
-            stored = known.filter(~F.col("redelivery"))
-            positions = positions.unionAll(stored.select(*place, F.lit(0), F.lit(True), F.col("outcome") == "written"))
-        counted = positions.groupBy(*_POSITION).agg(F.sum("n").alias("n"), F.max("stored").alias("stored"), F.max("held").alias("held"))
-        return counted.filter((F.col("n") > 1) | ((F.col("n") == 1) & F.col("stored"))).select(*_POSITION, "held")
+            first = ~F.col("redelivery")
+            other = F.col("own") | F.col("outcome").isin("bad", "error")
+            positions = positions.unionAll(known.select(*place, F.lit(0), first, first & (F.col("outcome") == "written"), other))
+        counted = positions.groupBy(*_POSITION).agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in ("stored", "held", "other")])
+        repeated = counted.filter((F.col("n") > 1) | ((F.col("n") == 1) & F.col("stored")))
+        lone = (F.col("n") == 1) & F.col("held") & ~F.col("other")
+        return repeated.select(*_POSITION, F.col("held").alias("_held"), lone.alias("_lone"))
 
     def _known(self, spans: list[Row], owner: str | None = None) -> DataFrame:
         """Stored identities that could collide with a batch; ``own`` ones are of an earlier run of it, repeats included.
@@ -286,40 +301,20 @@ class EventLog:
         return counts
 
 
-def _place() -> tuple[Column, Column, Column]:
-    """The page of an offset, its word there, and its bit in the word."""
-    offset = F.col("offset")
-    word = F.shiftright(offset, 6).bitwiseAND(F.lit(_WORDS - 1)).cast("int")
-    return F.shiftright(offset, _PAGE_BITS), word, offset.bitwiseAND(F.lit(63)).cast("int")
-
-
 def _pages(positions: DataFrame) -> DataFrame:
-    """A row per topic, partition and page: the bits of the positions in it, and of those that are ``held``."""
-    page, word, place = _place()
-
-    def words(name: str, wanted: Column) -> list[Column]:
-        bits = F.when(wanted, F.expr("shiftleft(1L, _place)"))
-        return [F.bit_or(F.when(F.col("_word") == i, bits)).alias(f"{name}_{i}") for i in range(_WORDS)]
-
+    """A row per topic, partition and page: the bits of the positions in it, and of those with each flag."""
     # every position occurs once here, so a page has at most as many rows as bits
-    dealt = positions.select("topic", "partition", page.alias("_page"), word.alias("_word"), place.alias("_place"), "held")
-    by_page = dealt.repartition("topic", "partition", "_page").groupBy("topic", "partition", "_page")
-    return by_page.agg(*words("_again", F.lit(True)), *words("_held", F.col("held")))
+    dealt = positions.repartition("topic", "partition", page_of("offset"))
+    return bit_pages(dealt.withColumn("_again", F.lit(True)), _POSITION, _FLAGS)
 
 
 def _marked(batch: DataFrame, pages: DataFrame) -> DataFrame:
-    """The batch with ``_again`` for messages whose position is in the pages, and ``_held`` for those held there.
+    """The batch with ``_again`` for messages whose position is in the pages, and the other flags of that position.
 
     A message without a position is merged with its like, as in a small batch.
     """
-    page, word, place = _place()
-
-    def bit(name: str) -> Column:
-        return F.coalesce(F.getbit(F.get(F.array(*[F.col(f"{name}_{i}") for i in range(_WORDS)]), word), place) == 1, F.lit(False))
-
     nowhere = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in _POSITION])
-    found = batch.withColumn("_page", page).join(F.broadcast(pages), ["topic", "partition", "_page"], "left")  # counted before
-    return found.select(*batch.columns, (bit("_again") | nowhere).alias("_again"), bit("_held").alias("_held"))
+    return with_flags(batch, pages, _POSITION, _FLAGS).withColumn("_again", F.col("_again") | nowhere)
 
 
 def quarantine_as_messages(quarantine: DataFrame) -> DataFrame:

@@ -110,13 +110,21 @@ def merge_copies(classified: DataFrame) -> DataFrame:
     )
 
 
-def fresh_rows(frame: DataFrame, clock: Column | None = None, block_bits: int = BLOCK_BITS) -> DataFrame:
+def fresh_rows(
+    frame: DataFrame, clock: Column | None = None, block_bits: int = BLOCK_BITS, lone: str | None = None
+) -> DataFrame:
     """Event-log rows of messages known to be delivered for the first time.
 
-    A projection: payloads are neither shuffled nor sorted.
+    A projection: payloads are neither shuffled nor sorted. ``lone`` names a column that is true for messages that come once in their
+    batch, at a place where the log holds an event and nothing else: a sound one is a duplicate, another is rejected for the first time.
     """
-    once = {"copies": F.lit(1).cast("bigint"), "redelivery": F.lit(False)}
-    return _as_log(classify(frame).withColumns(once), clock, block_bits, F.lit(False))
+    rows = classify(frame) if lone is None else classify(frame, keep=(lone,))
+    again = F.lit(False) if lone is None else (F.col("outcome") == "written") & F.col(lone)
+    once = {"copies": F.lit(1).cast("bigint"), "redelivery": again}
+    if lone is not None:
+        once["outcome"] = F.when(again, "duplicate").otherwise(F.col("outcome"))
+        once |= {c: F.when(~again, F.col(c)) for c in ("payload", "spelled")}
+    return _as_log(rows.withColumns(once), clock, block_bits, F.lit(False))
 
 
 def log_rows(

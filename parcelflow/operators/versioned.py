@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelflow.schemas import create_if_absent, empty_rows
+from parcelflow.schemas import COMPRESSION, create_if_absent, empty_rows
 
 # a row per part written, and one without part that carries the commit's mark, columns and what it was derived from
 _MANIFEST = (
@@ -89,6 +89,11 @@ class State:
         wanted = None if parts is None else set(parts)
         return [(r["load"], r["part"]) for r in self.active(at) if wanted is None or r["part"] in wanted]
 
+    def gained(self, commit: int) -> int | None:
+        """How many rows were added after that commit, None if parts were replaced since."""
+        later = [r for r in self.rows if r["part"] is not None and r["commit"] > commit]
+        return None if any(r["replaces"] for r in later) else sum(r["row_count"] for r in later)
+
     def count(self) -> int:
         return sum(r["row_count"] for r in self.active())
 
@@ -233,7 +238,7 @@ class VersionedTable:
     def _write(self, rows: DataFrame) -> str:
         load = f"n{uuid.uuid4().hex}"
         declared = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]  # a wider type would be unreadable
-        rows.select(*declared, "part").write.partitionBy("part").parquet(f"{self.path}/data/load={load}")
+        rows.select(*declared, "part").write.option("compression", COMPRESSION).partitionBy("part").parquet(f"{self.path}/data/load={load}")
         return load
 
     def _written(self, load: str) -> DataFrame:

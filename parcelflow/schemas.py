@@ -61,6 +61,8 @@ EVENT_LOG = T.StructType(
     ]
 )
 LOG_PARTITIONS = ["outcome", "kafka_topic", "offset_block"]
+# Messages, log and tables are Parquet of this codec.
+COMPRESSION = "zstd"
 
 RAW_CATEGORIES = "category_id bigint, name string, ingested_at timestamp"
 RAW_PRODUCTS = (

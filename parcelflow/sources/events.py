@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow.functions import encode_event, partition_of_key
-from parcelflow.schemas import KAFKA_SCHEMA, TOPICS
+from parcelflow.schemas import COMPRESSION, KAFKA_SCHEMA, TOPICS
 
 
 def event_source(
@@ -97,13 +97,13 @@ def write_events(
         order = ["broker_partition", "topic", "partition", "offset"]
         dealt = messages.withColumn("broker_partition", chosen.cast("int"))
         dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order)
-        dealt.write.mode("append").partitionBy("broker_partition").parquet(path)
+        dealt.write.mode("append").option("compression", COMPRESSION).partitionBy("broker_partition").parquet(path)
         return
     if by_key and path is not None:
         messages = messages.repartition("key")
     if servers is not None:
         messages.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
     elif path is not None:
-        messages.write.mode("append").parquet(path)
+        messages.write.mode("append").option("compression", COMPRESSION).parquet(path)
     else:
         raise ValueError("give either servers or path")

@@ -260,3 +260,17 @@ def test_large_batches_store_what_small_ones_store(spark, folder, monkeypatch):
         return counts, sorted(map(str, rows.collect()))
 
     assert stored(0) == stored(10**6)
+
+
+def test_messages_that_only_repeat_a_stored_event_are_not_merged(spark, folder, monkeypatch):
+    monkeypatch.setattr(event_log, "_SMALL_BATCH", 0)
+    merged, log_rows = [], event_log.log_rows
+    monkeypatch.setattr(event_log, "log_rows", lambda frame, known, *args, **more: merged.append((frame, known)) or log_rows(frame, known, *args, **more))
+    log = EventLog(spark, f"{folder}/log")
+    log.append(_batch(spark, 900).unionAll(frame(spark, message("no json", offset=5))))
+    # offset 5 of partition 0 holds a rejected message beside the event, and two events come twice
+    assert log.append(_batch(spark, 1000).unionAll(_batch(spark, 2))) == {("orders", "written"): 100, ("orders", "duplicate"): 902}
+    again, known = merged[-1]
+    assert (again.count(), known.count()) == (5, 4)
+    assert log.append(frame(spark, message("no json", offset=7), message("no json", offset=5))) == {("orders", "bad"): 2}
+    assert log.quarantine().select("kafka_offset").orderBy("kafka_offset").collect() == [(5,), (7,)]

@@ -191,3 +191,11 @@ def test_changed_keys_tell_a_value_from_a_null(spark, folder):
     found = table.changes_since(1, "k")
     assert found.columns == ["k", "added"]
     assert sorted(map(tuple, found.collect())) == [(1, -1), (1, 1), (4, 1)]
+
+
+def test_a_build_in_full_does_not_read_the_changes_first(spark, warehouse, monkeypatch):
+    w = warehouse
+    w.log.append(frame(spark, *[order(i, i) for i in range(100, 130)]))
+    monkeypatch.setattr(VersionedTable, "changes_since", lambda *args: pytest.fail("the manifest tells how much was added"))
+    follow(w, "stg_orders", "fct_orders")
+    assert w.refreshed["fct_orders"] == "full" and w.ref("fct_orders").count() == w.ref("stg_orders").count()

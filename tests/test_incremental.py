@@ -245,3 +245,37 @@ def test_a_rebuild_with_equal_rows_commits_nothing(spark, folder):
     assert again.state().last == before + 1 and again.count() == 2
     materialize_table(rows(spark, (0, 1, 1)).limit(0), folder, only_changed=True)
     assert again.count() == 0
+
+
+def _events(spark, numbers, name="concat('orders-', id % 3, '-', id div 3)"):
+    return spark.createDataFrame([(n,) for n in numbers], "id bigint").selectExpr(
+        f"{name} event_id", "'orders' kafka_topic", "cast(id % 3 as int) kafka_partition", "id div 3 kafka_offset", "timestamp_seconds(id) ingested_at"
+    )
+
+
+@pytest.mark.parametrize("named_by_place", [True, False])
+def test_missing_events_are_found_by_bits_of_their_places(spark, folder, named_by_place):
+    """The load is not shuffled against the stored keys; events of other names are compared by name."""
+    name = "concat('orders-', id % 3, '-', id div 3)" if named_by_place else "concat('e', id)"
+    t = IncrementalTable(spark, f"{folder}/events", _events(spark, [0]).schema, block_bits=12)
+    t.load_keyed(_events(spark, [*range(0, 5000, 2), 3072, 30_000], name))
+    source = _events(spark, [*range(5000), 30_000, 1, 30_001], name)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        missing = t.missing_rows(source)
+        plan = missing._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan) == named_by_place
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    wanted = _events(spark, [1, *range(1, 5000, 2), 30_001], name)
+    assert sorted(missing.collect()) == sorted(wanted.collect())
+    t.load_keyed(source)
+    assert t.read().count() == 5004 and t.missing_rows(source).count() == 0
+
+
+def test_events_of_wrong_names_are_never_taken_for_stored(spark, folder):
+    t = IncrementalTable(spark, f"{folder}/events", _events(spark, [0]).schema, block_bits=12)
+    t.load_keyed(_events(spark, range(9), "concat('e', id)"))
+    t.load_keyed(_events(spark, range(9)))  # the same places, other events
+    assert t.read().count() == 18
