@@ -101,6 +101,35 @@ def test_both_ways_of_a_hot_key_are_exact(sides, most, monkeypatch):
     assert left_join(*sides, "k", "right_id", [(7, 3)]).columns == sides[0].join(sides[1], "k", "left").columns
 
 
+def test_tiles_of_left_rows_are_exact(sides, spark, monkeypatch):
+    monkeypatch.setattr(joins, "_TILE", 3)
+    left = sides[0].unionAll(spark.range(20).selectExpr("case when id < 10 then 7 when id < 17 then 8 end k", "id % 4 left_id"))
+    right = sides[1].unionAll(spark.range(5).selectExpr("8L k", "id % 2 right_id"))
+    assert_plain(left, right, [(7, 3), (8, 5), (10**9, 4), (None, 2)])
+
+
+@pytest.mark.parametrize(
+    ("kind", "keys", "hot"),
+    [
+        ("string", ["7", "07", "7", " 7", "8", None, "007"], 7),  # some equal the right side's number only
+        ("double", [0.0, -0.0, float("nan"), 0.0, None, 1.0, -0.0], 0),
+    ],
+)
+def test_tiles_of_keys_of_another_type_are_exact(spark, monkeypatch, kind, keys, hot):
+    monkeypatch.setattr(joins, "_TILE", 2)
+    left = spark.createDataFrame(list(zip(keys, range(len(keys)), strict=True)), f"k {kind}, left_id long")
+    right = spark.range(60).selectExpr(f"if(id % 2 = 0, {hot}, id) k", "id right_id")
+    assert_plain(left, right, [(hot, 3)])
+
+
+def test_the_product_of_a_hot_key_is_stored_in_a_third_of_a_byte_a_row(spark, tmp_path):
+    left, right = spark.range(4000).selectExpr("7L k", "id left_id"), spark.range(1000).selectExpr("7L k", "id right_id")
+    left_join(left, right, "k", "right_id", [(7, 1)]).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows").count()
+    assert rows == 4_000_000
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < rows / 3  # 0.58 bytes a row where all left rows follow one right row
+
+
 def test_keys_in_no_full_bucket_are_not_counted_one_by_one(spark, monkeypatch):
     even = spark.range(40000).selectExpr("id k")
     odd = even.unionAll(spark.range(900).selectExpr("5L k")).unionAll(spark.range(900).selectExpr("cast(null as bigint) k"))
